@@ -54,13 +54,17 @@ def change_envelope(change_id="change_id", table_name="table_name",
     ))
 
 
-def _as_field_map(struct_col: Column) -> Column:
-    return F.from_json(F.to_json(struct_col), PAYLOAD_TYPE)
+def _variant_map(pairs) -> Column:
+    """``map<string, variant>`` from (name, Column) pairs; NULL values are
+    left out, as ``to_json`` leaves out NULL struct fields."""
+    m = F.create_map(*[x for name, c in pairs for x in (F.lit(name), c.cast("variant"))])
+    return F.map_filter(m, lambda k, v: v.isNotNull())
 
 
 def flatten_change(change_id="change_id", table_name="table_name",
                    operation="operation", new_data="new_data",
-                   envelope=None, cdc_time=None,
+                   envelope=None, cdc_time=None, record_id="record_id",
+                   change_time="change_time", old_data="old_data",
                    source_db: str = fixed.SOURCE_DB) -> Column:
     """Flattened change document (JSON text).
 
@@ -69,30 +73,42 @@ def flatten_change(change_id="change_id", table_name="table_name",
     * otherwise (deletes, JSON null, non-object): the envelope plus
       ``source_db``, ``cdc_time`` and ``data_format = 'original'``.
 
-    ``envelope`` defaults to :func:`change_envelope` over the standard
-    column names; ``cdc_time`` defaults to ``current_timestamp()``.
+    The envelope is built from the change columns unless ``envelope``
+    (JSON text of an already-built envelope) is given.  ``cdc_time``
+    defaults to ``current_timestamp()``.  Only the payload is parsed; the
+    metadata is cast straight to variant values.
     """
     cdc_time = F.current_timestamp() if cdc_time is None else _c(cdc_time)
     cdc_text = F.date_format(cdc_time, fixed.TIME_TEXT_FORMAT)
     payload = payload_map(new_data)
-    meta = _as_field_map(F.struct(
-        F.lit(source_db).alias("source_db"),
-        cdc_text.alias("cdc_time"),
-        _c(change_id).cast("bigint").alias("original_change_id"),
-        _c(operation).alias("original_operation"),
-        _c(table_name).alias("original_table_name"),
-    ))
+    meta = _variant_map([
+        ("source_db", F.lit(source_db)),
+        ("cdc_time", cdc_text),
+        ("original_change_id", _c(change_id).cast("bigint")),
+        ("original_operation", _c(operation)),
+        ("original_table_name", _c(table_name)),
+    ])
     meta_names = F.array(*[F.lit(n) for n in fixed.CHANGE_META_FIELDS])
     flattened = F.to_json(F.map_concat(
         F.map_filter(payload, lambda k, v: ~F.array_contains(meta_names, k)), meta))
 
-    env = change_envelope() if envelope is None else _c(envelope)
-    env_map = F.from_json(env, PAYLOAD_TYPE)
-    extra = _as_field_map(F.struct(
-        F.lit(source_db).alias("source_db"),
-        cdc_text.alias("cdc_time"),
-        F.lit(fixed.PASS_THROUGH_FORMAT).alias("data_format"),
-    ))
+    if envelope is None:
+        env_map = _variant_map([
+            ("change_id", _c(change_id).cast("bigint")),
+            ("table_name", _c(table_name)),
+            ("record_id", _c(record_id).cast("int")),
+            ("operation", _c(operation)),
+            ("change_time", _c(change_time).cast("string")),
+            ("old_data", json_value(old_data)),
+            ("new_data", json_value(new_data)),
+        ])
+    else:
+        env_map = F.from_json(_c(envelope), PAYLOAD_TYPE)
+    extra = _variant_map([
+        ("source_db", F.lit(source_db)),
+        ("cdc_time", cdc_text),
+        ("data_format", F.lit(fixed.PASS_THROUGH_FORMAT)),
+    ])
     extra_names = F.array(F.lit("source_db"), F.lit("cdc_time"), F.lit("data_format"))
     passed = F.to_json(F.map_concat(
         F.map_filter(env_map, lambda k, v: ~F.array_contains(extra_names, k)), extra))

@@ -17,7 +17,7 @@ from tidemark.functions import fixed
 # meaning of "word character" and "whitespace" used by the text cleaner.
 UNICODE_SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 # Characters kept by the cleaner: letters, digits, '_', whitespace, '-', '.'.
-CLEAN_DROP_PATTERN = r"[^\p{L}\p{N}_" + UNICODE_SPACE + r"\-.]"
+CLEAN_DROP_PATTERN = r"[^\p{L}\p{N}_" + UNICODE_SPACE + r"\-.]+"
 SPACE_RUN_PATTERN = "[" + UNICODE_SPACE + "]+"
 EDGE_SPACE_PATTERN = "^[" + UNICODE_SPACE + "]+|[" + UNICODE_SPACE + "]+$"
 

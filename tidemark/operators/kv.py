@@ -22,12 +22,11 @@ def with_order_keys(orders: DataFrame, id_col: str = "o_orderkey",
                     date_col: str = "o_orderdate", plain_prefix: str = "order_") -> DataFrame:
     """Add ``partition_date`` (yyyyMMdd), the plain key ``order_<id>`` and the
     partition-prefixed key ``<yyyyMMdd>_<id>``."""
-    return orders.select(
-        "*",
-        T.day_key(date_col).alias("partition_date"),
-        F.concat(F.lit(plain_prefix), F.col(id_col).cast("string")).alias("plain_rowkey"),
-        T.row_key(T.day_key(date_col), id_col).alias("rowkey"),
-    )
+    return orders.withColumns({
+        "partition_date": T.day_key(date_col),
+        "plain_rowkey": F.concat(F.lit(plain_prefix), F.col(id_col).cast("string")),
+        "rowkey": T.row_key(T.day_key(date_col), id_col),
+    })
 
 
 def status_counts(df: DataFrame, status_col: str = "status") -> DataFrame:

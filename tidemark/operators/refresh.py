@@ -87,3 +87,41 @@ def non_blank_lines(spark, path: str) -> DataFrame:
     """Number of non-blank lines of a text/JSONL log (one row)."""
     return (spark.read.text(path).where(F.trim(F.col("value")) != "")
                  .agg(F.count(F.lit(1)).alias("lines")))
+
+
+def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
+                  incremental: bool = True, pairs: dict | None = None) -> dict:
+    """One refresh cycle of the pair-keyed rate state, as one batch plan.
+
+    ``state``: current rows (base_currency, target_currency, rates map,
+    date, timestamp, source, is_fallback, update_time, crawl_time).
+    ``snapshot``: landed fetch results (base_currency, target_currency,
+    rate) - rate NULL or 0 when the fetch failed.
+
+    Returns ``new_state`` (keyed upsert), ``changes`` (one change record
+    per refreshed pair) and ``counts`` (cycle counters).
+    """
+    from tidemark.operators import state as S
+
+    keys = ["base_currency", "target_currency"]
+    dim = pairs_frame(spark, pairs).select(F.col("base").alias(keys[0]), F.col("target").alias(keys[1]))
+    last = state.select(*keys, T.parse_time("update_time").alias("last_seen"))
+    due = S.due_keys(dim, last, keys, "last_seen", as_of, interval_seconds, incremental)
+    todo = due.where("due").select(*keys).join(snapshot.select(*keys, "rate"), keys, "left")
+    ref = S.fallback_rates_frame(spark).select(F.col("base").alias(keys[0]),
+                                               F.col("target").alias(keys[1]), "rate")
+    filled = S.impute(todo, "rate", ref.withColumnRenamed("rate", "ref_rate"), keys, "ref_rate",
+                      random_key=F.concat_ws("_", *keys))
+    rows = filled.select(
+        *keys,
+        F.create_map(F.col(keys[1]), F.round("rate", 4)).alias("rates"),
+        T.time_text(as_of, fixed.DATE_TEXT_FORMAT).alias("date"),
+        T.time_text(as_of).alias("timestamp"),
+        F.coalesce(F.col("source"), F.lit("api")).alias("source"),
+        "is_fallback")
+    rows = S.load_stamps(rows, as_of)
+    new_state = S.upsert(state.select(*rows.columns), rows, keys, ["update_time"], origin_col=None)
+    changes = S.project_change(rows, "rates", keys[1], as_of).select(
+        *keys, "exchange_rate", "timestamp", "update_time", "is_fallback")
+    counts = S.cycle_counts(due)
+    return {"new_state": new_state, "changes": changes, "counts": counts, "due": due}

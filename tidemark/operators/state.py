@@ -126,7 +126,8 @@ def project_change(df: DataFrame, map_col, key_col, as_of, value_out: str = "exc
     k = F.col(key_col) if isinstance(key_col, str) else key_col
     has_fb = bool(fallback_col) and fallback_col in df.columns
     fb = F.coalesce(F.col(fallback_col), F.lit(False)) if has_fb else F.lit(False)
-    rest = [c for c in df.columns if not (has_fb and c == fallback_col)]
+    rest = [c for c in df.columns if not (has_fb and c == fallback_col)
+            and c not in (value_out, "update_time")]
     return df.select(*rest, F.try_element_at(m, k).alias(value_out),
                      T.time_text(as_of).alias("update_time"), fb.alias("is_fallback"))
 

@@ -13,7 +13,7 @@ from tidemark.plans import queries as Q
 
 # RE2 spellings of the Unicode classes used by the Spark side.
 RE2_SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
-RE2_CLEAN_DROP = r"[^\p{L}\p{N}_" + RE2_SPACE + r"\-.]"
+RE2_CLEAN_DROP = r"[^\p{L}\p{N}_" + RE2_SPACE + r"\-.]+"
 RE2_SPACE_RUN = "[" + RE2_SPACE + "]+"
 RE2_EDGE = "^[" + RE2_SPACE + "]+|[" + RE2_SPACE + "]+$"
 

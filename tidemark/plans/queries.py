@@ -99,22 +99,22 @@ def q_cursor_read(spark, sf):
     return rows.select("event_id", "user_id", "event_type", "value", T.time_text("ts").alias("ts"))
 
 
+FLAT_CHECK_SCHEMA = ("original_change_id bigint, change_id bigint, source_db string, cdc_time string, "
+                     "data_format string, original_operation string, original_table_name string, "
+                     "k bigint, record_id int, old_data struct<k: bigint>")
+
+
 def q_cdc_flatten(spark, sf):
     ch = events_as_changelog(_t(spark, sf, "events"))
     flat = changelog.flatten(ch, cdc_time=_ts(AS_OF))
-    d = F.col("doc")
-    g = lambda p: F.get_json_object(d, p)
-    return flat.select(
-        F.coalesce(g("$.original_change_id"), g("$.change_id")).cast("bigint").alias("change_id"),
-        g("$.source_db").alias("source_db"),
-        g("$.cdc_time").alias("cdc_time"),
-        g("$.data_format").alias("data_format"),
-        g("$.original_operation").alias("original_operation"),
-        g("$.original_table_name").alias("original_table_name"),
-        g("$.k").cast("bigint").alias("k"),
-        g("$.record_id").cast("int").alias("record_id"),
-        g("$.old_data.k").cast("bigint").alias("old_k"),
-        F.size(F.json_object_keys(d)).alias("n_fields"))
+    # parse each document once for the checked fields, once for its key count
+    f = flat.select(F.from_json("doc", FLAT_CHECK_SCHEMA).alias("j"),
+                    F.size(F.from_json("doc", "map<string,string>")).alias("n_fields"))
+    return f.select(
+        F.coalesce("j.original_change_id", "j.change_id").alias("change_id"),
+        "j.source_db", "j.cdc_time", "j.data_format", "j.original_operation",
+        "j.original_table_name", "j.k", "j.record_id", F.col("j.old_data.k").alias("old_k"),
+        "n_fields")
 
 
 def _snapshots(orders: DataFrame):

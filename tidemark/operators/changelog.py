@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import fixed
 from tidemark.functions import jsonx
 from tidemark.functions import text as T
+from tidemark.functions.compute import with_computed
 
 CHANGELOG_SCHEMA = ("change_id bigint, table_name string, record_id int, operation string, "
                     "old_data string, new_data string, change_time timestamp")
@@ -39,7 +40,7 @@ def next_cursor(df: DataFrame, id_col: str = "change_id", previous: int = 0) ->
 def flatten(changes: DataFrame, cdc_time=None, source_db: str = fixed.SOURCE_DB,
             out: str = "doc") -> DataFrame:
     """Add the flattened change document (see ``jsonx.flatten_change``)."""
-    return changes.withColumn(out, jsonx.flatten_change(cdc_time=cdc_time, source_db=source_db))
+    return with_computed(changes, out, jsonx.flatten_change(cdc_time=cdc_time, source_db=source_db))
 
 
 def with_envelope(changes: DataFrame, out: str = "envelope") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.functions import text as T
+from tidemark.functions.compute import with_computed
 
 
 def address_dimension(spark) -> DataFrame:
@@ -26,9 +27,8 @@ def address_dimension(spark) -> DataFrame:
 def clean_addresses(df: DataFrame, col: str = "address", out: str = "cleaned_address",
                     min_len: int = fixed.MIN_ADDRESS_LEN) -> DataFrame:
     """Drop NULL/empty input, clean the text, keep cleaned length >= min_len."""
-    return (df.where(F.col(col).isNotNull() & (F.col(col) != ""))
-              .withColumn(out, T.clean_text(col))
-              .where(F.length(out) >= min_len))
+    kept = df.where(F.col(col).isNotNull() & (F.col(col) != ""))
+    return with_computed(kept, out, T.clean_text(col)).where(F.length(out) >= min_len)
 
 
 def address_features(df: DataFrame, col: str = "cleaned_address") -> DataFrame:

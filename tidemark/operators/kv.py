@@ -96,15 +96,18 @@ def key_ordered(df: DataFrame, key: str = "rowkey", partitions: int | None = Non
 
 def keep_versions(cells: DataFrame, key_cols, version_col: str,
                   n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None,
-                  salt_buckets: int = 32) -> DataFrame:
+                  salt_buckets: int | None = None) -> DataFrame:
     """Newest ``n`` versions per cell key, numbered 1..n (1 = newest).
 
     Two passes so a single hot key never lands whole in one task: first
     the newest ``n`` per (key, salt) where the salt spreads a key over
     ``salt_buckets`` groups, then the newest ``n`` among at most
     ``n * salt_buckets`` survivors per key.  Exact: every global top-n row
-    is a top-n row of its own salt group.
+    is a top-n row of its own salt group.  By default the salt count is the
+    session's shuffle parallelism, so a hot key is spread over every task.
     """
+    if salt_buckets is None:
+        salt_buckets = max(8, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     order = [F.col(version_col).desc()]
     if tie_col:

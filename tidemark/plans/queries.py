@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import fixed
 from tidemark.functions import text as T
 from tidemark.operators import analytics, changelog, corpus, encode, kv, refresh, state
-from tidemark.sources.tables import table
+from tidemark.sources.tables import spread, table
 
 # Query parameters (not reference values).
 AS_OF = "2024-01-31 00:00:00"          # "now" of every batch query
@@ -105,7 +105,7 @@ FLAT_CHECK_SCHEMA = ("original_change_id bigint, change_id bigint, source_db str
 
 
 def q_cdc_flatten(spark, sf):
-    ch = events_as_changelog(_t(spark, sf, "events"))
+    ch = events_as_changelog(spread(_t(spark, sf, "events")))
     flat = changelog.flatten(ch, cdc_time=_ts(AS_OF))
     # parse each document once for the checked fields, once for its key count
     f = flat.select(F.from_json("doc", FLAT_CHECK_SCHEMA).alias("j"),
@@ -231,7 +231,7 @@ def q_fallback_impute(spark, sf):
 
 
 def q_change_projection(spark, sf):
-    ev = _t(spark, sf, "events").withColumn("rates", F.from_json("props", "map<string,double>"))
+    ev = spread(_t(spark, sf, "events")).withColumn("rates", F.from_json("props", "map<string,double>"))
     pr = state.project_change(ev, "rates", F.lit("k"), _ts(AS_OF))
     return pr.select("event_id", "event_type", "exchange_rate",
                      T.time_text("ts").alias("timestamp"), "update_time", "is_fallback")
@@ -252,7 +252,7 @@ def q_success_rate(spark, sf):
 
 
 def q_pair_expansion(spark, sf):
-    docs = _t(spark, sf, "documents").select(
+    docs = spread(_t(spark, sf, "documents")).select(
         "doc_id", F.create_map(F.col("lang"), F.split("text", "\n")).alias("lines"))
     ex = refresh.expand_pairs(docs, "lines", "base", "target")
     return ex.select("doc_id", "base", "item_pos", F.length("target").alias("target_chars"))
@@ -277,7 +277,7 @@ def q_region_derive(spark, sf):
 # --- corpus -----------------------------------------------------------------------
 
 def q_clean_text(spark, sf):
-    docs = _t(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(_t(spark, sf, "documents").select("doc_id", "text"))
     c = corpus.clean_addresses(docs, "text", "cleaned")
     return c.select("doc_id", F.length("cleaned").alias("n_chars_clean"), F.md5("cleaned").alias("clean_md5"))
 

@@ -17,3 +17,17 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register every table as a temp view of the same name."""
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan is narrower than
+    the available cores (e.g. a large file written as one row group), so
+    CPU-heavy row work (regular expressions, JSON) runs on every core.
+
+    At scale the scan already has at least that many splits and this is a
+    no-op: no shuffle is added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -34,17 +34,43 @@ def words(c) -> Column:
     return F.filter(F.split(strip_ws(t), SPACE_RUN_PATTERN), lambda w: w != "")
 
 
+# Each id 0..63 is written as one ASCII character chr(ID_BASE + id) so a
+# whole text can be encoded with string functions and split once.
+ID_BASE = 64
+
+
+def _id_char(i: int) -> str:
+    if not 0 <= i < 63:
+        raise ValueError("vocabulary ids must lie in 0..62 for the character encoding")
+    return chr(ID_BASE + i)
+
+
+def _id_chars(c, vocab: dict | None = None) -> Column:
+    """The text as a string of id characters: a whole word found in the
+    vocabulary becomes its id; any other word becomes one id per
+    character (the character's id, or UNK)."""
+    vocab = fixed.VOCAB if vocab is None else vocab
+    word_map = F.create_map(*[x for k, v in vocab.items() for x in (F.lit(k), F.lit(_id_char(v)))])
+    singles = [k for k in vocab if len(k) == 1]
+    single_src = "".join(singles)
+    single_dst = "".join(_id_char(vocab[k]) for k in singles)
+    unk = _id_char(fixed.UNK_ID)
+    not_single = "[^" + "".join("\\" + ch if ch in "\\^-]" else ch for ch in singles) + "]" if singles else "."
+
+    def per_word(w):
+        chars = F.translate(F.regexp_replace(w, not_single, unk), single_src, single_dst)
+        return F.coalesce(F.try_element_at(word_map, w), chars)
+
+    return F.array_join(F.transform(words(c), per_word), "")
+
+
 def token_ids(c, vocab: dict | None = None) -> Column:
     """Ids of the words: a known word maps to its id; an unknown word maps
     character by character, unknown characters to the UNK id."""
-    m = vocab_map(vocab)
-
-    def word_ids(w):
-        return F.when(F.map_contains_key(m, w), F.array(F.element_at(m, w))).otherwise(
-            F.transform(F.split(w, ""),
-                        lambda ch: F.coalesce(F.try_element_at(m, ch), F.lit(fixed.UNK_ID))))
-
-    return F.flatten(F.transform(words(c), word_ids))
+    enc = _id_chars(c, vocab)
+    # an empty text splits to [''], whose ascii() is 0: drop it
+    return F.filter(F.transform(F.split(enc, ""), lambda ch: F.ascii(ch) - F.lit(ID_BASE)),
+                    lambda i: i >= 0)
 
 
 def pad_truncate(ids, max_length: int = fixed.MAX_LENGTH, pad_id: int = fixed.PAD_ID) -> Column:
@@ -53,17 +79,25 @@ def pad_truncate(ids, max_length: int = fixed.MAX_LENGTH, pad_id: int = fixed.PA
 
 
 def encode(c, max_length: int = fixed.MAX_LENGTH, vocab: dict | None = None) -> Column:
-    return pad_truncate(token_ids(c, vocab), max_length)
+    """Fixed-length ids: the id-character string is cut / padded to
+    ``max_length`` first, so only ``max_length`` characters are split."""
+    enc = F.rpad(_id_chars(c, vocab), max_length, _id_char(fixed.PAD_ID))
+    return F.transform(F.split(enc, ""), lambda ch: F.ascii(ch) - F.lit(ID_BASE))
 
 
 def attention_mask(ids) -> Column:
     """All-ones mask of the id array's length (padding included)."""
-    return F.transform(_c(ids), lambda _: F.lit(1))
+    return F.array_repeat(F.lit(1), F.size(_c(ids)))
 
 
 def decode(ids, vocab: dict | None = None) -> Column:
-    """Ids back to tokens joined by one space; unknown ids become [UNK]."""
-    inv = inverse_vocab_map(vocab)
+    """Ids back to tokens joined by one space; unknown ids become [UNK].
+    Ids are dense positions, so the lookup is an array index."""
+    vocab = fixed.VOCAB if vocab is None else vocab
+    by_id = {v: k for k, v in vocab.items()}
+    n = max(by_id) + 1
+    tokens = F.array(*[F.lit(by_id.get(i, fixed.UNK_TOKEN)) for i in range(n)])
     return F.array_join(
-        F.transform(_c(ids), lambda i: F.coalesce(F.try_element_at(inv, i), F.lit(fixed.UNK_TOKEN))),
+        F.transform(_c(ids), lambda i: F.when((i >= 0) & (i < n), F.element_at(tokens, i + 1))
+                                        .otherwise(F.lit(fixed.UNK_TOKEN))),
         " ")

@@ -83,9 +83,10 @@ def time_text(c, fmt: str = fixed.TIME_TEXT_FORMAT) -> Column:
 
 
 def seconds_between(earlier, later) -> Column:
-    """Elapsed whole-and-fractional seconds from ``earlier`` to ``later``."""
-    return (F.unix_micros(_c(later).cast("timestamp")) -
-            F.unix_micros(_c(earlier).cast("timestamp"))) / F.lit(1_000_000)
+    """Elapsed seconds (with microseconds) from ``earlier`` to ``later``.
+    Wall-clock difference for local (NTZ) timestamps, so the session time
+    zone and its daylight-saving shifts do not change the result."""
+    return F.timestamp_diff("MICROSECOND", _c(earlier), _c(later)) / F.lit(1_000_000)
 
 
 def hash_unit(key, modulus: int) -> Column:

@@ -115,3 +115,14 @@ def test_corpus_and_log_files(spark, tmp_dir):
     writers.append_jsonl(pairs, log)
     assert refresh.non_blank_lines(spark, log).first().lines == 2
     assert writers.preview(pairs, 1).count() == 1
+
+
+def test_topic_records_and_create_if_absent(spark):
+    df = spark.createDataFrame([(1, "a", None)], "id int, name string, x double")
+    r = writers.as_topic_records(df, "id").first()
+    assert r.key == "1" and json.loads(r.value) == {"id": 1, "name": "a"}
+    spark.sql("DROP TABLE IF EXISTS users_empty")
+    assert catalog.create_table_if_absent(spark, "users_empty", df) is True
+    assert catalog.create_table_if_absent(spark, "users_empty", df) is False
+    assert spark.table("users_empty").count() == 0
+    catalog.check_key_prefix(["id", "cdc_time", "name"], ["id", "cdc_time"])

@@ -75,3 +75,23 @@ def test_maintain_latest(spark, tmp_dir):
     cdc_stream.maintain_latest(src, base, ["k"], ["seq"], ck, available_now=True).awaitTermination()
     got = {(r.k, r.v) for r in writers.read_state(spark, base).collect()}
     assert got == {(1, "a2"), (2, "b")}
+
+
+def test_refresh_stream_cycles(spark, tmp_dir):
+    from tidemark.operators import refresh
+    from tidemark.sinks import writers
+    land, ck, base, changes, counts = (os.path.join(tmp_dir, x) for x in ("land", "ck", "state", "changes", "counts"))
+    _land(land, "a.json", [{"base_currency": "USD", "target_currency": "EUR", "rate": 0.92}])
+    snap = spark.readStream.schema(refresh.RATE_SNAPSHOT_SCHEMA).json(land)
+    t1 = F.lit("2025-10-03 10:00:00").cast("timestamp_ntz")
+    cdc_stream.refresh_stream(snap, base, changes, counts, ck, 3600, as_of=t1, available_now=True).awaitTermination()
+    st = writers.read_state(spark, base)
+    assert st.count() == 18 and st.where("is_fallback").count() == 17
+    # second cycle, 30 minutes later: nothing is due
+    t2 = F.lit("2025-10-03 10:30:00").cast("timestamp_ntz")
+    _land(land, "b.json", [{"base_currency": "USD", "target_currency": "EUR", "rate": 0.95}])
+    cdc_stream.refresh_stream(snap, base, changes, counts, ck, 3600, as_of=t2, available_now=True).awaitTermination()
+    c = {r.batch_id: (r.n_due, r.n_skipped) for r in spark.read.json(counts).collect()}
+    assert c == {0: (18, 0), 1: (0, 18)}
+    assert spark.read.json(changes).count() == 18
+    assert writers.read_state(spark, base).where("base_currency = 'USD' and target_currency = 'EUR'").first().rates == {"EUR": 0.92}

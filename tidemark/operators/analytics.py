@@ -59,14 +59,18 @@ def new_product_trend(lineitem: DataFrame, part: str = "l_partkey", ts: str = "l
     ym = (F.year(ts) * 12 + F.month(ts) - 1).alias("_ym")
     monthly = (lineitem.groupBy(part, ym)
                        .agg(F.sum(F.col(qty).cast("bigint")).alias("qty")))
-    w_all = Window.partitionBy(part)
+    # one window spec (one sort): first month over the whole frame, lags
     w = Window.partitionBy(part).orderBy("_ym")
-    out = (monthly.withColumn("month_no", F.col("_ym") - F.min("_ym").over(w_all))
-                  .withColumn("prev_qty", F.lag("qty").over(w))
-                  .withColumn("prev_month_no", F.lag("month_no").over(w)))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = monthly.select(part, "_ym", "qty",
+                         F.min("_ym").over(whole).alias("_first"),
+                         F.lag("_ym").over(w).alias("_prev_ym"),
+                         F.lag("qty").over(w).alias("prev_qty"))
     growth = F.when(F.col("prev_qty") > 0,
                     F.round((F.col("qty") - F.col("prev_qty")) / F.col("prev_qty"), 4))
-    return out.select(part, "month_no", "qty", "prev_month_no", "prev_qty", growth.alias("growth"),
+    return out.select(part, (F.col("_ym") - F.col("_first")).alias("month_no"), "qty",
+                      (F.col("_prev_ym") - F.col("_first")).alias("prev_month_no"), "prev_qty",
+                      growth.alias("growth"),
                       F.format_string("%04d-%02d", (F.col("_ym") / 12).cast("int"),
                                       (F.col("_ym") % 12 + 1).cast("int")).alias("month"))
 

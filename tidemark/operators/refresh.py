@@ -89,6 +89,12 @@ def non_blank_lines(spark, path: str) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("lines")))
 
 
+RATE_STATE_SCHEMA = ("base_currency string, target_currency string, rates map<string,double>, "
+                     "date string, timestamp string, source string, is_fallback boolean, "
+                     "update_time string, crawl_time string")
+RATE_SNAPSHOT_SCHEMA = "base_currency string, target_currency string, rate double"
+
+
 def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
                   incremental: bool = True, pairs: dict | None = None) -> dict:
     """One refresh cycle of the pair-keyed rate state, as one batch plan.

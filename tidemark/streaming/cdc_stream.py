@@ -131,3 +131,38 @@ def maintain_latest(updates: DataFrame, state_base: str, keys, order_cols, check
     elif trigger:
         w = w.trigger(processingTime=trigger)
     return w.start()
+
+
+def refresh_stream(snapshots: DataFrame, state_base: str, changes_path: str, counts_path: str,
+                   checkpoint: str, interval_seconds: float, as_of=None,
+                   trigger: str | None = None, available_now: bool = False):
+    """Repeated refresh cycle: every micro-batch of landed fetch results
+    (base_currency, target_currency, rate) runs one refresh against the
+    committed rate state - due filter, fallback imputation, keyed upsert -
+    commits the next state version, and appends the change records and the
+    cycle counters (tagged with the batch id and state version).
+
+    ``as_of`` fixes "now" (tests); by default each batch uses its start time.
+    """
+    import datetime as dt
+
+    from tidemark.operators import refresh
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        now = as_of if as_of is not None else F.lit(
+            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)).cast("timestamp_ntz")
+        state = writers.read_state(spark, state_base, refresh.RATE_STATE_SCHEMA)
+        out = refresh.refresh_rates(spark, state, batch, now, interval_seconds)
+        version = writers.commit_state(spark, out["new_state"], state_base)
+        out["changes"].write.mode("append").json(changes_path)
+        (out["counts"].withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                      .withColumn("state_version", F.lit(version).cast("bigint"))
+                      .write.mode("append").json(counts_path))
+
+    w = snapshots.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()

@@ -60,7 +60,7 @@ def q_rowkey_prefix_scan(spark, sf):
 
 
 def q_kv_mapped_view(spark, sf):
-    o = kv.with_order_keys(_t(spark, sf, "orders"))
+    o = kv.with_order_keys(spread(_t(spark, sf, "orders")))
     src = o.select(F.col("plain_rowkey").alias("rowkey"),
                    F.col("o_orderkey").alias("order_id"),
                    T.time_text("o_orderdate").alias("create_time"),
@@ -140,7 +140,7 @@ def q_cdc_batch_metrics(spark, sf):
 
 
 def q_lenient_load(spark, sf):
-    o = _t(spark, sf, "orders")
+    o = spread(_t(spark, sf, "orders"))
     k = F.col("o_orderkey")
     raw = o.select(
         k,
@@ -259,7 +259,7 @@ def q_pair_expansion(spark, sf):
 
 
 def _customer_addresses(spark, sf):
-    cust = _t(spark, sf, "customer").select("c_custkey")
+    cust = spread(_t(spark, sf, "customer").select("c_custkey"))
     dim = corpus.address_dimension(spark)
     # 10-row literal dimension: bounded, broadcast
     j = cust.join(F.broadcast(dim), F.pmod("c_custkey", F.lit(10)) == F.col("addr_idx"))

@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Post-shuffle partitions are merged up to the advisory size (64 MB) at
+    # scale; on small inputs keep enough partitions for CPU-heavy row work.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -8,9 +8,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# DataFrames over the table files, one per (session, path): like a catalog
+# table, the file listing and footer schema are read once per session.
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table; column pruning and filters reach the Parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
+
+
+def refresh_tables() -> None:
+    """Forget cached table listings (files were replaced)."""
+    _TABLES.clear()
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -18,3 +18,15 @@ def with_computed(df: DataFrame, name: str, expr: Column) -> DataFrame:
     """``df`` plus column ``name`` = ``expr``, evaluated once per row."""
     keep = [c for c in df.columns if c != name]
     return df.select(*keep, F.explode(F.array(expr)).alias(name))
+
+
+def literal_table(spark, rows, schema: str) -> DataFrame:
+    """A small fixed table built inside the plan (``inline`` over a one-row
+    range) rather than shipped from Python: Spark knows its exact size, so
+    its own broadcast threshold decides how joins against it are planned."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.functions import text as T
-from tidemark.functions.compute import with_computed
+from tidemark.functions.compute import literal_table, with_computed
 
 
 def address_dimension(spark) -> DataFrame:
     """The fixed 10-row address dimension with its position ``addr_idx``."""
     rows = [(i, *r) for i, r in enumerate(fixed.ADDRESS_ROWS)]
-    return spark.createDataFrame(
-        rows, "addr_idx int, address string, province string, city string, district string, street string")
+    return literal_table(
+        spark, rows, "addr_idx int, address string, province string, city string, district string, street string")
 
 
 def clean_addresses(df: DataFrame, col: str = "address", out: str = "cleaned_address",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.functions import text as T
+from tidemark.functions.compute import literal_table
 
 
 def latest_per_key(df: DataFrame, keys, order_cols) -> DataFrame:
@@ -91,7 +92,7 @@ def cycle_counts(due: DataFrame) -> DataFrame:
 
 def fallback_rates_frame(spark) -> DataFrame:
     rows = [(b, t, r) for b, m in fixed.FALLBACK_RATES.items() for t, r in m.items()]
-    return spark.createDataFrame(rows, "base string, target string, rate double")
+    return literal_table(spark, rows, "base string, target string, rate double")
 
 
 def impute(df: DataFrame, value_col: str, ref: DataFrame, keys, ref_value_col: str,
@@ -102,12 +103,14 @@ def impute(df: DataFrame, value_col: str, ref: DataFrame, keys, ref_value_col: s
     from ``random_key``; replaced rows get ``source='fallback'`` and
     ``is_fallback=true``.
 
-    ``ref`` is a small reference table; it is broadcast only when it has a
-    known bound (pass a literal table, e.g. ``fallback_rates_frame``).
+    ``ref`` is a reference table keyed like ``df``; no broadcast is forced:
+    a literal table (e.g. ``fallback_rates_frame``) has exact size
+    statistics and is broadcast by Spark's size threshold, a large one is
+    shuffle-joined.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = out or value_col
-    j = df.join(F.broadcast(ref.select(*keys, F.col(ref_value_col).alias("_ref"))), keys, "left")
+    j = df.join(ref.select(*keys, F.col(ref_value_col).alias("_ref")), keys, "left")
     v = F.nullif(F.col(value_col), F.lit(0.0))
     span = int(round((high - low) * 1000))
     rnd = F.lit(low) + T.hash_unit(random_key, span) / F.lit(1000.0)

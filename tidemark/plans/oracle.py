@@ -261,11 +261,11 @@ SELECT event_id AS change_id, {_q(fixed.SOURCE_DB)} AS source_db, '{Q.AS_OF}' AS
                         + (CASE WHEN op <> 'D' AND json_valid(props) THEN 1 ELSE 0 END) + 3 END AS INTEGER) AS n_fields
 FROM p""",
 
-    "snapshot_diff": """
-WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 13 <> 0),
+    "snapshot_diff": f"""
+WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate < {_ts(Q.SNAPSHOT_OLD_END)}),
 n AS (SELECT o_orderkey, o_orderstatus,
-             CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
-      FROM orders WHERE o_orderkey % 11 <> 0)
+             CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+      FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderdate < {_ts(Q.PURGE_BEFORE)}))
 SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
        CASE WHEN o.o_orderkey IS NULL THEN 'I' WHEN n.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS operation,
        o.o_totalprice AS old_price, n.o_totalprice AS new_price

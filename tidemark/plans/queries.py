@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.functions import text as T
+from tidemark.functions.compute import literal_table
 from tidemark.operators import analytics, changelog, corpus, encode, kv, refresh, state
 from tidemark.sources.tables import spread, table
 
@@ -21,6 +22,8 @@ STATE_CUTOFF = "2024-01-21 00:00:00"   # events before: stored state; after: new
 REFRESH_INTERVAL = 86400               # seconds
 FRESH_INTERVAL = 3 * 86400             # seconds
 SCAN_DAY = "19980101"
+SNAPSHOT_OLD_END = "2001-01-01 00:00:00"  # earlier snapshot: orders placed before
+PURGE_BEFORE = "1996-01-01 00:00:00"      # later snapshot: fulfilled orders before are archived
 SCAN_PREFIX = "199801"
 CDC_BATCH = 1000
 # per-event-type reference values for imputation ('error' has none)
@@ -118,11 +121,17 @@ def q_cdc_flatten(spark, sf):
 
 
 def _snapshots(orders: DataFrame):
-    o = orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    old = o.where(F.pmod("o_orderkey", F.lit(13)) != 0)
-    new = (o.where(F.pmod("o_orderkey", F.lit(11)) != 0)
-            .withColumn("o_totalprice", F.when(F.pmod("o_orderkey", F.lit(7)) == 0,
-                                               F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))))
+    """Two snapshots of the order table: the earlier one holds orders placed
+    before SNAPSHOT_OLD_END; the later one holds every order except
+    fulfilled ones placed before PURGE_BEFORE (archived), with open orders
+    re-priced.  Their diff has inserts, deletes and updates."""
+    o = orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    old = o.where(F.col("o_orderdate") < _ts(SNAPSHOT_OLD_END)).drop("o_orderdate")
+    purged = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < _ts(PURGE_BEFORE))
+    new = (o.where(~purged)
+            .withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1)
+                                         .otherwise(F.col("o_totalprice")))
+            .drop("o_orderdate"))
     return old, new
 
 
@@ -216,7 +225,7 @@ def q_cycle_counts(spark, sf):
 
 
 def _event_ref(spark):
-    return spark.createDataFrame(list(EVENT_REF_VALUES.items()), "event_type string, ref_value double")
+    return literal_table(spark, list(EVENT_REF_VALUES.items()), "event_type string, ref_value double")
 
 
 def _imputed(spark, sf):
@@ -261,8 +270,8 @@ def q_pair_expansion(spark, sf):
 def _customer_addresses(spark, sf):
     cust = spread(_t(spark, sf, "customer").select("c_custkey"))
     dim = corpus.address_dimension(spark)
-    # 10-row literal dimension: bounded, broadcast
-    j = cust.join(F.broadcast(dim), F.pmod("c_custkey", F.lit(10)) == F.col("addr_idx"))
+    # 10-row literal dimension with exact size statistics: Spark broadcasts it
+    j = cust.join(dim, F.pmod("c_custkey", F.lit(10)) == F.col("addr_idx"))
     return j.select("c_custkey",
                     F.concat("address", F.col("c_custkey").cast("string"), F.lit("号")).alias("address"),
                     "province", "city", "district", "street")

@@ -83,6 +83,14 @@ def success_rate(df: DataFrame, group_cols, failed) -> DataFrame:
     return g.withColumn("success_rate", F.round(rate, 4))
 
 
+def count_non_blank_lines(df: DataFrame, text_col: str, group_cols=()) -> DataFrame:
+    """Non-blank line count of a text column (per group): lines are split on
+    newlines and a line of only whitespace does not count."""
+    lines = df.select(*group_cols, F.explode(F.split(F.col(text_col), "\n")).alias("_line"))
+    return (lines.where(T.strip_ws("_line") != "")
+                 .groupBy(*group_cols).agg(F.count(F.lit(1)).alias("lines")))
+
+
 def non_blank_lines(spark, path: str) -> DataFrame:
     """Number of non-blank lines of a text/JSONL log (one row)."""
     return (spark.read.text(path).where(F.trim(F.col("value")) != "")

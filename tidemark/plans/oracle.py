@@ -364,6 +364,12 @@ SELECT doc_id, base, CAST(item_pos AS INTEGER) AS item_pos, CAST(target_chars AS
          unnest(list_transform(arr, lambda x: length(x))) AS target_chars
   FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS arr FROM documents WHERE text IS NOT NULL))""",
 
+    "nonblank_lines": f"""
+SELECT lang, count(*) AS lines FROM (
+  SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)
+WHERE {_strip('line')} <> ''
+GROUP BY lang""",
+
     "region_derive": f"""
 WITH a AS (SELECT c_custkey, d.province FROM customer JOIN {_address_values()} ON c_custkey % 10 = d.addr_idx),
 r AS (SELECT c_custkey, province, {_region_case('province')} AS region FROM a)

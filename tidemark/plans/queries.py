@@ -267,6 +267,11 @@ def q_pair_expansion(spark, sf):
     return ex.select("doc_id", "base", "item_pos", F.length("target").alias("target_chars"))
 
 
+def q_nonblank_lines(spark, sf):
+    docs = spread(_t(spark, sf, "documents").select("lang", "text"))
+    return refresh.count_non_blank_lines(docs, "text", ["lang"])
+
+
 def _customer_addresses(spark, sf):
     cust = spread(_t(spark, sf, "customer").select("c_custkey"))
     dim = corpus.address_dimension(spark)
@@ -396,6 +401,7 @@ QUERIES = {
     "state_stats": q_state_stats,
     "success_rate": q_success_rate,
     "pair_expansion": q_pair_expansion,
+    "nonblank_lines": q_nonblank_lines,
     "region_derive": q_region_derive,
     "clean_text": q_clean_text,
     "address_features": q_address_features,

@@ -64,3 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """Checkpoint location for a named streaming query under the shared
+    ``spark.checkpoint.dir`` (offsets and commits survive driver restarts
+    as long as that folder is on shared storage)."""
+    return os.path.join(checkpoint_dir(spark), "streams", name)

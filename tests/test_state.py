@@ -124,3 +124,18 @@ def test_success_rate(spark):
     df = spark.createDataFrame([(1, True), (1, False), (1, False), (2, True)], "g int, failed boolean")
     r = {x.g: x.success_rate for x in refresh.success_rate(df, "g", F.col("failed")).collect()}
     assert r == {1: 66.6667, 2: 0.0}
+
+
+def test_weather_defaults_and_coverage(spark):
+    rows = [("北京", None, None, None, None, None), ("广东", "2025-10-03", "晴", "15℃-28℃", "东风2级", "weather.cma.cn")]
+    df = spark.createDataFrame(rows, "province string, date string, weather string, temperature string, "
+                                     "wind string, source string")
+    out = {r.province: r for r in refresh.fill_weather_defaults(df, NOW()).collect()}
+    b = out["北京"]
+    assert (b.weather, b.temperature, b.wind, b.source, b.is_fallback, b.date) == (
+        "多云", "10°C-20°C", "微风", "fallback", True, "2025-10-03")
+    assert out["广东"].weather == "晴" and not out["广东"].is_fallback
+    assert len(fixed.PROVINCES) == 34 and len(set(fixed.PROVINCES)) == 34
+    st = refresh.fill_weather_defaults(df, NOW()).withColumn("update_time", F.lit("2025-10-03 21:30:00"))
+    s = refresh.state_stats(st, "province", "update_time", "is_fallback", NOW(), 3600, len(fixed.PROVINCES)).first()
+    assert (s.covered_keys, s.fallback_records, s.fresh_records, s.coverage) == (2, 1, 2, round(2 / 34, 4))

@@ -128,6 +128,16 @@ REGION_PROVINCES = {
     '西北': ['陕西', '甘肃', '宁夏', '青海', '新疆'],
 }
 DEFAULT_REGION = '华北'
+# Province dimension of the weather refresh (34 entries, in the original
+# order); its size is the denominator of the coverage ratio.
+PROVINCES = [
+    '北京', '天津', '上海', '重庆', '河北', '山西', '辽宁', '吉林', '黑龙江',
+    '江苏', '浙江', '安徽', '福建', '江西', '山东', '河南', '湖北', '湖南',
+    '广东', '海南', '四川', '贵州', '云南', '陕西', '甘肃', '青海', '台湾',
+    '内蒙古', '广西', '宁夏', '新疆', '西藏', '香港', '澳门',
+]
+# Whole-record default when a weather fetch fails.
+WEATHER_FALLBACK = {"weather": "多云", "temperature": "10°C-20°C", "wind": "微风"}
 # region -> (low, high)
 TEMP_RANGES = {
     '东北': ('5℃', '15℃'), '华北': ('8℃', '20℃'), '华东': ('10℃', '22℃'),

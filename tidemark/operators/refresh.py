@@ -49,6 +49,19 @@ def temperature_text(region, ranges: dict | None = None,
                     F.coalesce(F.try_element_at(highs, r), F.lit(default[1])))
 
 
+def fill_weather_defaults(df: DataFrame, as_of) -> DataFrame:
+    """Weather rows whose fetch failed (all of weather/temperature/wind
+    missing) get the fixed fallback record, ``source='fallback'`` and
+    ``is_fallback=true``; the date is the day of ``as_of``."""
+    failed = F.col("weather").isNull() & F.col("temperature").isNull() & F.col("wind").isNull()
+    out = df.withColumn("is_fallback", failed)
+    filled = {c: F.when(F.col("is_fallback"), F.lit(v)).otherwise(F.col(c))
+              for c, v in fixed.WEATHER_FALLBACK.items()}
+    filled["source"] = F.when(F.col("is_fallback"), F.lit(fixed.FALLBACK_SOURCE)).otherwise(F.col("source"))
+    filled["date"] = F.coalesce(F.col("date"), T.time_text(as_of, fixed.DATE_TEXT_FORMAT))
+    return out.withColumns(filled)
+
+
 def state_stats(state: DataFrame, keys, time_col: str, fallback_col: str, as_of,
                 interval_seconds: float, dimension_size=None) -> DataFrame:
     """One row: total rows, distinct keys, fallback rows, fresh rows

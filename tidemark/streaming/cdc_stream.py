@@ -14,7 +14,7 @@ does not double-count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
@@ -55,8 +55,11 @@ def flatten_stream(changes: DataFrame, source_db: str = fixed.SOURCE_DB) -> Data
 def publish(flat: DataFrame, fmt: str, checkpoint: str, path: str | None = None,
             options: dict | None = None, trigger: str | None = fixed.POLL_INTERVAL,
             available_now: bool = False, query_name: str | None = None):
-    """Start the query writing one JSON document per change (``value``)."""
-    out = flat.select(F.col("doc").alias("value"))
+    """Start the query writing one JSON document per change (``value``).
+    Per-batch row count and last change id are observed in the same pass
+    and reported in ``query.lastProgress['observedMetrics']['changes']``."""
+    out = (flat.observe("changes", F.count(F.lit(1)).alias("rows"), F.max("change_id").alias("last_change_id"))
+               .select(F.col("doc").alias("value")))
     w = writers.topic_writer(out, fmt, options, checkpoint, None if available_now else trigger)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -95,13 +98,16 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
             return
         typed = _typed_from_docs(batch, target_schema)
         typed = typed.withColumn(time_col, F.coalesce(F.col(time_col).cast("timestamp"), F.current_timestamp()))
-        rows = typed.select(*cols, F.date_format(time_col, fixed.DATE_TEXT_FORMAT).alias(day_col))
-        rows.persist()
+        # counters are observed while the rows are written: one pass
+        obs = Observation(f"load_batch_{batch_id}")
+        observed = typed.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                 F.max("change_id").alias("last_change_id"))
+        rows = observed.select(*cols, F.date_format(time_col, fixed.DATE_TEXT_FORMAT).alias(day_col))
         writers.write_day_bucketed(rows, table, day_col, key_col, (key_col, time_col), n_buckets)
-        stats = typed.agg(F.count(F.lit(1)).alias("rows"), F.max("change_id").alias("last_change_id"))
-        stats.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "rows", "last_change_id") \
+        got = obs.get
+        spark.createDataFrame([(batch_id, got["rows"], got["last_change_id"])],
+                              "batch_id bigint, rows bigint, last_change_id bigint") \
              .write.mode("append").json(metrics_path)
-        rows.unpersist()
 
     w = flat.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

@@ -101,7 +101,9 @@ def qa_pairs_regex(df: DataFrame, col: str = "cleaned_address") -> DataFrame:
     """Three pairs per address from the pattern-found components; pairs whose
     answer is 'cannot determine' are dropped; de-duplicated on
     (instruction, output).  ``original_address`` is a function of the
-    instruction, so the surviving row is the same whichever one is kept."""
+    instruction (the instruction is the question text followed by it), so
+    de-duplicating whole rows keeps exactly one row per (instruction,
+    output) - as a hash aggregate over the keys, with no sort."""
     comp = address_components(df, col)
     parts = [F.col(c) for c in ("c_province", "c_city", "c_district", "c_street", "c_detail")]
     base = T.strip_ws(F.concat(*parts))
@@ -121,7 +123,7 @@ def qa_pairs_regex(df: DataFrame, col: str = "cleaned_address") -> DataFrame:
                         F.col("pair.output").alias("output"),
                         "original_address")
                 .where(~F.contains(F.col("output"), F.lit(fixed.NOT_SURE)))
-                .dropDuplicates(["instruction", "output"]))
+                .distinct())
 
 
 def training_records(pairs: DataFrame) -> DataFrame:

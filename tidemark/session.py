@@ -71,3 +71,29 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     ``spark.checkpoint.dir`` (offsets and commits survive driver restarts
     as long as that folder is on shared storage)."""
     return os.path.join(checkpoint_dir(spark), "streams", name)
+
+
+def scaled_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run sized from the input volume.
+
+    * initial shuffle partitions: enough for ``target_partition_bytes`` of
+      shuffled input per partition (at least 3 per core); AQE then merges
+      small ones back to the advisory size, so over-provisioning is cheap;
+    * scan splits and the advisory post-shuffle size match that target, so
+      a task's working set stays well inside executor memory and spills
+      rather than fails;
+    * a partition is treated as skewed above 5x the median and 1 GB, and
+      split by AQE's skew-join handling.
+    E.g. 100 TB on 8 000 cores -> 409 600 initial shuffle partitions.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

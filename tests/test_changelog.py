@@ -106,3 +106,19 @@ def test_merge_sources(spark):
     b = spark.createDataFrame([(2, 5.0)], "id int, score double")
     m = changelog.merge_sources({"postgresql": a, "sqlserver": b}).orderBy("id").collect()
     assert (m[0].source_db, m[0].score, m[1].source_db, m[1].name) == ("postgresql", None, "sqlserver", None)
+
+
+def test_diff_to_changelog_round_trip(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
+    new = spark.createDataFrame([(2, "b2"), (3, "c"), (4, "d")], "id int, name string")
+    d = changelog.snapshot_diff(old, new, "id")
+    ch = changelog.diff_to_changelog(d, "id", "users", "2025-10-01 10:00:00", id_base=100)
+    rows = {r.record_id: r for r in ch.collect()}
+    assert {k: r.operation for k, r in rows.items()} == {1: "D", 2: "U", 4: "I"}
+    assert rows[1].new_data is None and json.loads(rows[1].old_data) == {"name": "a"}
+    assert rows[4].old_data is None and json.loads(rows[4].new_data) == {"name": "d"}
+    ids = [r.change_id for r in rows.values()]
+    assert len(set(ids)) == 3 and min(ids) > 100
+    docs = {r.record_id: json.loads(r.doc) for r in changelog.flatten(ch, cdc_time=AS_OF()).collect()}
+    assert docs[2]["name"] == "b2" and docs[2]["original_operation"] == "U"
+    assert docs[1]["data_format"] == "original" and docs[1]["old_data"] == {"name": "a"}

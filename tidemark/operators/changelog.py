@@ -66,6 +66,26 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, compare_cols=None) -
              .where(F.col("operation").isNotNull()))
 
 
+def diff_to_changelog(diff: DataFrame, key: str, table_name: str, change_time, id_base=0) -> DataFrame:
+    """Change-log rows (``CHANGELOG_SCHEMA``) from ``snapshot_diff`` output:
+    I carries only the new image, D only the old one, U both, as JSON text.
+
+    ``change_id`` = ``id_base`` + a distributed increasing id: unique and
+    above every earlier id when ``id_base`` is the previous cursor, without
+    numbering rows in one partition.  ``id_base`` may be a scalar Column.
+    """
+    base = F.lit(id_base) if isinstance(id_base, int) else id_base
+    t = F.lit(change_time).cast("timestamp") if isinstance(change_time, str) else change_time.cast("timestamp")
+    return diff.select(
+        (base + F.monotonically_increasing_id() + 1).cast("bigint").alias("change_id"),
+        F.lit(table_name).alias("table_name"),
+        F.col(key).cast("int").alias("record_id"),
+        F.col("operation"),
+        F.when(F.col("operation") != fixed.OP_INSERT, F.to_json("old_row")).alias("old_data"),
+        F.when(F.col("operation") != fixed.OP_DELETE, F.to_json("new_row")).alias("new_data"),
+        t.alias("change_time"))
+
+
 def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "running_total",
                   block: int = 4096) -> DataFrame:
     """Cumulative sum of ``value_col`` in ``order_col`` order, without a

@@ -154,8 +154,7 @@ def lenient_cast(df: DataFrame, casts: dict) -> DataFrame:
         if isinstance(t, tuple) and t[0] == "timestamp":
             out = out.withColumn(c, T.parse_time(c, t[1]))
         else:
-            out = out.withColumn(c, F.try_cast(F.col(c), t) if hasattr(F, "try_cast")
-                                 else F.col(c).try_cast(t))
+            out = out.withColumn(c, F.col(c).try_cast(t))
     return out
 
 

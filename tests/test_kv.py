@@ -56,3 +56,24 @@ def test_keep_versions_matches_brute_force(spark):
         for i, (ts, s) in enumerate(sorted(v, reverse=True)[:3]):
             want.add((k, i + 1, s))
     assert got == want
+
+
+def test_kv_partitioned_files(spark, tmp_dir):
+    import os
+    from tidemark.sinks import writers
+    df = spark.createDataFrame(ORDERS7, SCHEMA).withColumn("ts", F.to_timestamp("create_time"))
+    keyed = kv.with_order_keys(df, "order_id", "ts").drop("plain_rowkey", "ts")
+    out = os.path.join(tmp_dir, "kv")
+    writers.write_kv_partitioned(keyed, out)
+    got = writers.read_kv_prefix(spark, out, "20251002")
+    assert sorted(r.rowkey for r in got.collect()) == ["20251002_ORD100003", "20251002_ORD100004"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "20251002" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    assert "StringStartsWith(rowkey,20251002)" in plan
+    # rewrite one day: dynamic overwrite keeps the other days
+    day2 = keyed.where("partition_date = '20251002'").withColumn("status", F.lit("REFUNDED"))
+    writers.write_kv_partitioned(day2, out)
+    allrows = spark.read.parquet(out)
+    assert allrows.count() == 7 and allrows.where("status = 'REFUNDED'").count() == 2
+    v = kv.kv_view(allrows.where("partition_date = '20251001'"))
+    assert v.count() == 2

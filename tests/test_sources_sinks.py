@@ -127,3 +127,18 @@ def test_topic_records_and_create_if_absent(spark):
     assert catalog.create_table_if_absent(spark, "users_empty", df) is False
     assert spark.table("users_empty").count() == 0
     catalog.check_key_prefix(["id", "cdc_time", "name"], ["id", "cdc_time"])
+
+
+def test_bucketed_table_latest_without_shuffle(spark):
+    from tidemark.operators import state
+    df = spark.range(0, 2000).select((F.col("id") % 97).alias("id"),
+                                     F.to_timestamp(F.lit("2025-10-01 00:00:00")).alias("cdc_time"),
+                                     F.col("id").alias("seq"),
+                                     F.lit("2025-10-01").alias("ds"))
+    spark.sql("DROP TABLE IF EXISTS users_bucketed")
+    writers.write_day_bucketed(df, "users_bucketed", "ds", "id", ("id", "cdc_time"), 8)
+    latest = state.latest_per_key(spark.table("users_bucketed"), "id", ["cdc_time", "seq"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan            # bucketing on id co-locates every key
+    got = {r.id: r.seq for r in latest.collect()}
+    assert len(got) == 97 and got[0] == 1940

@@ -103,6 +103,34 @@ def keep_cell_versions(spark: SparkSession, batch: DataFrame, base: str, key_col
     return commit_state(spark, kept, base)
 
 
+# --- key-ordered KV files ---------------------------------------------------------------
+
+def write_kv_partitioned(df: DataFrame, path: str, key: str = "rowkey",
+                         partition_col: str = "partition_date", files_per_day: int | None = None,
+                         mode: str = "overwrite") -> None:
+    """Partition-prefixed key-value layout: one directory per day, rows
+    range-partitioned and sorted by row key so each file holds one
+    contiguous key range (Parquet min/max statistics then skip row groups
+    on key-prefix scans).  Same row key written again replaces the day's
+    files under dynamic partition overwrite."""
+    from tidemark.operators.kv import key_ordered
+    ordered = key_ordered(df, key, files_per_day)
+    (ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col).parquet(path))
+
+
+def read_kv_prefix(spark: SparkSession, path: str, prefix: str, key: str = "rowkey",
+                   partition_col: str = "partition_date") -> DataFrame:
+    """Rows whose row key starts with a yyyyMMdd[...] prefix: the day part
+    prunes partitions, the key range reaches the Parquet scan."""
+    df = spark.read.parquet(path)
+    day = prefix[:8]
+    cond = F.col(key).startswith(prefix)
+    if len(day) == 8:
+        cond = (F.col(partition_col).cast("string") == day) & cond
+    return df.where(cond)
+
+
 # --- day-partitioned bucketed table --------------------------------------------------
 
 def write_day_bucketed(df: DataFrame, table: str, day_col: str = "ds", bucket_col: str = "id",

@@ -43,6 +43,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     At scale the scan already has at least that many splits and this is a
     no-op: no shuffle is added.
     """
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

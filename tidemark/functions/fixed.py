@@ -112,6 +112,7 @@ FALLBACK_RATES = {
 # Range of the substitute value when no reference rate exists.
 RANDOM_RATE_LOW = 0.5
 RANDOM_RATE_HIGH = 150.0
+RANDOM_RATE_DECIMALS = 4
 
 FALLBACK_SOURCE = "fallback"
 TIME_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"

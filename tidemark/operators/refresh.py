@@ -139,13 +139,15 @@ def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
                                                F.col("target").alias(keys[1]), "rate")
     filled = S.impute(todo, "rate", ref.withColumnRenamed("rate", "ref_rate"), keys, "ref_rate",
                       random_key=F.concat_ws("_", *keys))
+    # fetched rows carry no source / is_fallback (NULL: left out of JSON);
+    # substituted rows are marked source='fallback', is_fallback=true
     rows = filled.select(
         *keys,
-        F.create_map(F.col(keys[1]), F.round("rate", 4)).alias("rates"),
+        F.create_map(F.col(keys[1]), F.col("rate")).alias("rates"),
         T.time_text(as_of, fixed.DATE_TEXT_FORMAT).alias("date"),
         T.time_text(as_of).alias("timestamp"),
-        F.coalesce(F.col("source"), F.lit("api")).alias("source"),
-        "is_fallback")
+        "source",
+        F.when(F.col("is_fallback"), F.lit(True)).alias("is_fallback"))
     rows = S.load_stamps(rows, as_of)
     new_state = S.upsert(state.select(*rows.columns), rows, keys, ["update_time"], origin_col=None)
     changes = S.project_change(rows, "rates", keys[1], as_of).select(

@@ -112,8 +112,9 @@ def impute(df: DataFrame, value_col: str, ref: DataFrame, keys, ref_value_col: s
     out = out or value_col
     j = df.join(ref.select(*keys, F.col(ref_value_col).alias("_ref")), keys, "left")
     v = F.nullif(F.col(value_col), F.lit(0.0))
-    span = int(round((high - low) * 1000))
-    rnd = F.lit(low) + T.hash_unit(random_key, span) / F.lit(1000.0)
+    scale = 10 ** fixed.RANDOM_RATE_DECIMALS
+    span = int(round((high - low) * scale))
+    rnd = F.lit(low) + T.hash_unit(random_key, span) / F.lit(float(scale))
     filled = F.coalesce(v, F.col("_ref"), rnd)
     return (j.withColumn("is_fallback", v.isNull())
              .withColumn("source", F.when(v.isNull(), F.lit(fixed.FALLBACK_SOURCE)))

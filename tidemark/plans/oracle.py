@@ -172,14 +172,15 @@ r AS (
   FROM k LEFT JOIN l ON k.user_id = l.user_id AND k.event_type = l.event_type)"""
 
 _ref_rows = ", ".join(f"({_q(k)}, CAST({v} AS DOUBLE))" for k, v in Q.EVENT_REF_VALUES.items())
-_span = int(round((fixed.RANDOM_RATE_HIGH - fixed.RANDOM_RATE_LOW) * 1000))
+_scale = 10 ** fixed.RANDOM_RATE_DECIMALS
+_span = int(round((fixed.RANDOM_RATE_HIGH - fixed.RANDOM_RATE_LOW) * _scale))
 IMPUTED = f"""
 m AS (SELECT event_id, event_type, user_id, ts, CASE WHEN event_id % 10 <> 0 THEN value END AS value FROM events),
 ref AS (SELECT * FROM (VALUES {_ref_rows}) t(event_type, ref_value)),
 imp AS (
   SELECT m.event_id, m.event_type, m.user_id, m.ts,
          coalesce(nullif(m.value, 0.0), ref.ref_value,
-                  {fixed.RANDOM_RATE_LOW} + CAST(('0x' || substr(md5(CAST(m.event_id AS VARCHAR)), 1, 6))::BIGINT % {_span} AS DOUBLE) / 1000.0) AS value,
+                  {fixed.RANDOM_RATE_LOW} + CAST(('0x' || substr(md5(CAST(m.event_id AS VARCHAR)), 1, 6))::BIGINT % {_span} AS DOUBLE) / CAST({_scale} AS DOUBLE)) AS value,
          nullif(m.value, 0.0) IS NULL AS is_fallback,
          CASE WHEN nullif(m.value, 0.0) IS NULL THEN {_q(fixed.FALLBACK_SOURCE)} END AS source
   FROM m LEFT JOIN ref ON m.event_type = ref.event_type)"""

@@ -139,3 +139,19 @@ def test_weather_defaults_and_coverage(spark):
     st = refresh.fill_weather_defaults(df, NOW()).withColumn("update_time", F.lit("2025-10-03 21:30:00"))
     s = refresh.state_stats(st, "province", "update_time", "is_fallback", NOW(), 3600, len(fixed.PROVINCES)).first()
     assert (s.covered_keys, s.fallback_records, s.fresh_records, s.coverage) == (2, 1, 2, round(2 / 34, 4))
+
+
+def test_refresh_weather(spark):
+    st = spark.createDataFrame([], refresh.WEATHER_STATE_SCHEMA)
+    snap = spark.createDataFrame([("广东", "2025-10-03", "晴", "15℃-28℃", "东风2级", "weather.cma.cn"),
+                                  ("北京", None, None, None, None, None)], refresh.WEATHER_SNAPSHOT_SCHEMA)
+    out = refresh.refresh_weather(spark, st, snap, NOW(), 3600)
+    c = out["counts"].first()
+    assert (c.n_keys, c.n_due, c.n_new) == (34, 34, 34)
+    new = {r.province: r for r in out["new_state"].collect()}
+    assert len(new) == 34 and new["广东"].weather == "晴" and new["广东"].is_fallback is None
+    assert new["北京"].weather == "多云" and new["北京"].is_fallback and new["北京"].source == "fallback"
+    s = out["stats"].first()
+    assert (s.covered_keys, s.fallback_records, s.fresh_records, s.coverage) == (34, 33, 34, 1.0)
+    again = refresh.refresh_weather(spark, out["new_state"], snap, NOW(), 3600)
+    assert again["counts"].first().n_due == 0

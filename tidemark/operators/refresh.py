@@ -154,3 +154,40 @@ def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
         *keys, "exchange_rate", "timestamp", "update_time", "is_fallback")
     counts = S.cycle_counts(due)
     return {"new_state": new_state, "changes": changes, "counts": counts, "due": due}
+
+
+WEATHER_STATE_SCHEMA = ("province string, date string, weather string, temperature string, wind string, "
+                        "source string, is_fallback boolean, update_time string, crawl_time string")
+WEATHER_SNAPSHOT_SCHEMA = "province string, date string, weather string, temperature string, wind string, source string"
+
+
+def provinces_frame(spark) -> DataFrame:
+    """The fixed 34-province dimension."""
+    from tidemark.functions.compute import literal_table
+    return literal_table(spark, [(p,) for p in fixed.PROVINCES], "province string")
+
+
+def refresh_weather(spark, state, snapshot, as_of, interval_seconds: float,
+                    incremental: bool = True) -> dict:
+    """One refresh cycle of the province-keyed weather state.
+
+    Due provinces take their landed fetch result; a province whose fetch
+    failed (no row, or no weather fields) gets the fixed fallback record.
+    Returns ``new_state`` (keyed upsert), ``counts`` (cycle counters) and
+    ``stats`` (coverage against the 34 provinces, fallback and fresh rows).
+    """
+    from tidemark.operators import state as S
+
+    keys = ["province"]
+    last = state.select("province", T.parse_time("update_time").alias("last_seen"))
+    due = S.due_keys(provinces_frame(spark), last, keys, "last_seen", as_of, interval_seconds, incremental)
+    snap = snapshot.select("province", "date", "weather", "temperature", "wind", "source")
+    todo = due.where("due").select("province").join(snap, "province", "left")
+    filled = fill_weather_defaults(todo, as_of)
+    rows = filled.select("province", "date", "weather", "temperature", "wind", "source",
+                         F.when(F.col("is_fallback"), F.lit(True)).alias("is_fallback"))
+    rows = S.load_stamps(rows, as_of)
+    new_state = S.upsert(state.select(*rows.columns), rows, keys, ["update_time"], origin_col=None)
+    stats = state_stats(new_state, keys, "update_time", "is_fallback", as_of, interval_seconds,
+                        len(fixed.PROVINCES))
+    return {"new_state": new_state, "counts": S.cycle_counts(due), "stats": stats, "due": due}

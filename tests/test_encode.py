@@ -47,3 +47,10 @@ def test_split_small_and_large(spark):
     assert b.count() == 2000 and 300 < n_eval < 500
     again = encode.train_eval_split(big.repartition(7), "k").where(F.col("split") == "eval").count()
     assert again == n_eval
+
+
+def test_token_ids_and_pad(spark):
+    df = spark.createDataFrame([("北京 abc 路号",), ("",)], "t string")
+    r = df.select(K.token_ids("t").alias("ids"), K.pad_truncate(K.token_ids("t"), 4).alias("p")).collect()
+    assert r[0].ids == [19, 1, 1, 1, 51, 52] and r[0].p == [19, 1, 1, 1]
+    assert r[1].ids == [] and r[1].p == [0, 0, 0, 0]

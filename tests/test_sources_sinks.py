@@ -73,6 +73,9 @@ def test_jdbc_in_process(spark):
     assert split.count() == 90
     parted = jdbc.read_table(spark, url, "users_changelog", opts, "change_id", 1, 100, 4)
     assert parted.rdd.getNumPartitions() == 4 and parted.count() == 100
+    # catalog listing with the equality filter pushed to the database
+    tabs = jdbc.catalog_tables(spark, url, "T", opts, catalog_view="SYS.SYSTABLES", schema_col="TABLETYPE")
+    assert "USERS_CHANGELOG" in {r.TABLENAME for r in tabs.collect()}
 
 
 def test_versioned_state(spark, tmp_dir):
@@ -142,3 +145,14 @@ def test_bucketed_table_latest_without_shuffle(spark):
     assert "Exchange" not in plan            # bucketing on id co-locates every key
     got = {r.id: r.seq for r in latest.collect()}
     assert len(got) == 97 and got[0] == 1940
+
+
+def test_views_and_checkpoint_paths(spark):
+    from tidemark.session import checkpoint_dir, stream_checkpoint
+    from tidemark.sources.tables import TABLES, refresh_tables, register_views
+    register_views(spark, "/root/testdata/sf0.001", ["region", "nation"])
+    assert spark.sql("SELECT count(*) AS n FROM nation").first().n == 25
+    refresh_tables()
+    assert len(TABLES) == 14
+    base = checkpoint_dir(spark)
+    assert stream_checkpoint(spark, "cdc").startswith(base) and base == spark.conf.get("spark.checkpoint.dir")

@@ -55,14 +55,6 @@ def or_empty(c) -> Column:
     return F.when(present(c), _c(c)).otherwise(F.lit(""))
 
 
-def remove_all(c, parts) -> Column:
-    """Remove every occurrence of each part, in order (empty part: no-op)."""
-    out = _c(c)
-    for p in parts:
-        out = F.replace(out, p)
-    return out
-
-
 def day_key(ts) -> Column:
     """Day text yyyyMMdd of a timestamp."""
     return F.date_format(_c(ts), "yyyyMMdd")

@@ -25,7 +25,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = get_session("tidemark-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
+    # over-provisioned; AQE merges small post-shuffle partitions
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 8)))
+    spark = get_session("tidemark-bench", master=f"local[{cpus}]", shuffle_partitions=shuffle,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     names = only or list(QUERIES)
     # Warm-up on the smallest tables (JVM JIT and generated-code cache);

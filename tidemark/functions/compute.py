@@ -20,13 +20,23 @@ def with_computed(df: DataFrame, name: str, expr: Column) -> DataFrame:
     return df.select(*keep, F.explode(F.array(expr)).alias(name))
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_table(spark, rows, schema: str) -> DataFrame:
-    """A small fixed table built inside the plan (``inline`` over a one-row
-    range) rather than shipped from Python: Spark knows its exact size, so
-    its own broadcast threshold decides how joins against it are planned."""
-    from pyspark.sql.types import _parse_datatype_string
-
-    st = _parse_datatype_string(schema)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small fixed table as an inline ``VALUES`` relation inside the plan
+    (one statement, not shipped row by row from Python): Spark knows its
+    exact size, so its own broadcast threshold decides how joins against
+    it are planned.  ``schema`` is ``"name type, ..."`` with simple types."""
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
+    names = [f"c{i}" for i in range(len(fields))]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    select = ", ".join(f"CAST({n} AS {t}) AS {name}" for n, (name, t) in zip(names, fields))
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({', '.join(names)})")

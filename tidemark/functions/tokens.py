@@ -34,43 +34,50 @@ def words(c) -> Column:
     return F.filter(F.split(strip_ws(t), SPACE_RUN_PATTERN), lambda w: w != "")
 
 
-# Each id 0..63 is written as one ASCII character chr(ID_BASE + id) so a
-# whole text can be encoded with string functions and split once.
-ID_BASE = 64
+# Each id is written as two decimal digits, so a whole text is encoded
+# with string functions and turned into an int array by one native cast.
+ID_WIDTH = 2
 
 
-def _id_char(i: int) -> str:
-    if not 0 <= i < 63:
-        raise ValueError("vocabulary ids must lie in 0..62 for the character encoding")
-    return chr(ID_BASE + i)
+def _id_text(i: int) -> str:
+    if not 0 <= i < 10 ** ID_WIDTH:
+        raise ValueError("vocabulary ids must fit in two digits")
+    return str(i).zfill(ID_WIDTH)
 
 
-def _id_chars(c, vocab: dict | None = None) -> Column:
-    """The text as a string of id characters: a whole word found in the
-    vocabulary becomes its id; any other word becomes one id per
+def _id_digits(c, vocab: dict | None = None) -> Column:
+    """The text as a digit string, two digits per id: a whole word found in
+    the vocabulary becomes its id; any other word becomes one id per
     character (the character's id, or UNK)."""
     vocab = fixed.VOCAB if vocab is None else vocab
-    word_map = F.create_map(*[x for k, v in vocab.items() for x in (F.lit(k), F.lit(_id_char(v)))])
-    singles = [k for k in vocab if len(k) == 1]
-    single_src = "".join(singles)
-    single_dst = "".join(_id_char(vocab[k]) for k in singles)
-    unk = _id_char(fixed.UNK_ID)
-    not_single = "[^" + "".join("\\" + ch if ch in "\\^-]" else ch for ch in singles) + "]" if singles else "."
+    word_map = F.create_map(*[x for k, v in vocab.items() for x in (F.lit(k), F.lit(_id_text(v)))])
+    singles = [k for k in vocab if len(k) == 1 and not k.isdigit() and k != "!"]
+    other = "[^" + "".join("\\" + ch if ch in "\\^-]" else ch for ch in singles) + "]"
 
     def per_word(w):
-        chars = F.translate(F.regexp_replace(w, not_single, unk), single_src, single_dst)
-        return F.coalesce(F.try_element_at(word_map, w), chars)
+        # every character outside the single-character vocabulary -> UNK,
+        # then each vocabulary character -> its id (no digit is touched,
+        # since no vocabulary character is a digit or '!')
+        x = F.replace(F.regexp_replace(w, other, "!"), F.lit("!"), F.lit(_id_text(fixed.UNK_ID)))
+        for ch in singles:
+            x = F.replace(x, F.lit(ch), F.lit(_id_text(vocab[ch])))
+        return F.coalesce(F.try_element_at(word_map, w), x)
 
     return F.array_join(F.transform(words(c), per_word), "")
 
 
+def _digits_to_ids(digits, n: int) -> Column:
+    """First ``n`` two-digit ids of a digit string (its length must be at
+    least 2n) as an int array, without a per-element lambda."""
+    pairs = F.split(F.regexp_replace(F.substring(digits, 1, ID_WIDTH * n), "(\\d{2})", "$1,"), ",")
+    return F.slice(pairs, 1, n).cast("array<int>")
+
+
 def token_ids(c, vocab: dict | None = None) -> Column:
     """Ids of the words: a known word maps to its id; an unknown word maps
     character by character, unknown characters to the UNK id."""
-    enc = _id_chars(c, vocab)
-    # an empty text splits to [''], whose ascii() is 0: drop it
-    return F.filter(F.transform(F.split(enc, ""), lambda ch: F.ascii(ch) - F.lit(ID_BASE)),
-                    lambda i: i >= 0)
+    pairs = F.split(F.regexp_replace(_id_digits(c, vocab), "(\\d{2})", "$1,"), ",")
+    return F.filter(pairs, lambda p: p != "").cast("array<int>")
 
 
 def pad_truncate(ids, max_length: int = fixed.MAX_LENGTH, pad_id: int = fixed.PAD_ID) -> Column:
@@ -79,10 +86,10 @@ def pad_truncate(ids, max_length: int = fixed.MAX_LENGTH, pad_id: int = fixed.PA
 
 
 def encode(c, max_length: int = fixed.MAX_LENGTH, vocab: dict | None = None) -> Column:
-    """Fixed-length ids: the id-character string is cut / padded to
-    ``max_length`` first, so only ``max_length`` characters are split."""
-    enc = F.rpad(_id_chars(c, vocab), max_length, _id_char(fixed.PAD_ID))
-    return F.transform(F.split(enc, ""), lambda ch: F.ascii(ch) - F.lit(ID_BASE))
+    """Fixed-length ids: the digit string is cut / padded to ``max_length``
+    ids first, then split and cast natively."""
+    padded = F.rpad(_id_digits(c, vocab), ID_WIDTH * max_length, _id_text(fixed.PAD_ID))
+    return _digits_to_ids(padded, max_length)
 
 
 def attention_mask(ids) -> Column:

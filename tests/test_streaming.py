@@ -29,6 +29,8 @@ def test_flatten_stream_resumes(spark, tmp_dir):
                            "json", ck, out, available_now=True)
     q.awaitTermination()
     first = spark.read.json(out).count()
+    obs = q.lastProgress["observedMetrics"]["changes"]
+    assert obs["rows"] == 2 and obs["last_change_id"] == 2      # counters from the same pass
     _land(land, "b.json", [_row(3, "U", json.dumps({"id": 1, "name": "b"}), '{"id": 1}')])
     q = cdc_stream.publish(cdc_stream.flatten_stream(cdc_stream.changelog_stream(spark, land)),
                            "json", ck, out, available_now=True)

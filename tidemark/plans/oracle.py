@@ -262,6 +262,13 @@ SELECT event_id AS change_id, {_q(fixed.SOURCE_DB)} AS source_db, '{Q.AS_OF}' AS
                         + (CASE WHEN op <> 'D' AND json_valid(props) THEN 1 ELSE 0 END) + 3 END AS INTEGER) AS n_fields
 FROM p""",
 
+    "cdc_envelope": f"""
+WITH {CHANGELOG}
+SELECT event_id AS change_id, op AS operation, CAST(user_id AS INTEGER) AS record_id, 'events' AS table_name,
+       op <> 'I' AS has_old, op <> 'D' AS has_new,
+       CAST(5 + (CASE WHEN op <> 'I' THEN 1 ELSE 0 END) + (CASE WHEN op <> 'D' THEN 1 ELSE 0 END) AS INTEGER) AS n_fields
+FROM p""",
+
     "snapshot_diff": f"""
 WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate < {_ts(Q.SNAPSHOT_OLD_END)}),
 n AS (SELECT o_orderkey, o_orderstatus,

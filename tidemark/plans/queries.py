@@ -120,6 +120,18 @@ def q_cdc_flatten(spark, sf):
         "n_fields")
 
 
+def q_cdc_envelope(spark, sf):
+    ch = events_as_changelog(spread(_t(spark, sf, "events")))
+    env = changelog.with_envelope(ch)
+    j = F.from_json("envelope", "change_id bigint, table_name string, record_id int, operation string, "
+                                "change_time string, old_data string, new_data string")
+    return env.select(j.alias("e"), F.size(F.from_json("envelope", "map<string,string>")).alias("n_fields")) \
+              .select(F.col("e.change_id").alias("change_id"), F.col("e.operation").alias("operation"),
+                      F.col("e.record_id").alias("record_id"), F.col("e.table_name").alias("table_name"),
+                      F.col("e.old_data").isNotNull().alias("has_old"),
+                      F.col("e.new_data").isNotNull().alias("has_new"), "n_fields")
+
+
 def _snapshots(orders: DataFrame):
     """Two snapshots of the order table: the earlier one holds orders placed
     before SNAPSHOT_OLD_END; the later one holds every order except
@@ -387,6 +399,7 @@ QUERIES = {
     "kv_versions_top3": q_kv_versions_top3,
     "cursor_read": q_cursor_read,
     "cdc_flatten": q_cdc_flatten,
+    "cdc_envelope": q_cdc_envelope,
     "snapshot_diff": q_snapshot_diff,
     "cdc_batch_metrics": q_cdc_batch_metrics,
     "lenient_load": q_lenient_load,

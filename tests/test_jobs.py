@@ -44,3 +44,21 @@ def test_rate_refresh_job(spark, tmp_dir):
     later = F.lit("2025-10-03 11:00:00").cast("timestamp_ntz")
     assert jobs.rate_refresh_job(spark, base, snap, changes, 3600, as_of=later) == 1
     assert spark.read.json(changes).count() == 36   # everything due again after exactly one interval
+
+
+def test_sync_tables(spark, tmp_dir):
+    url = "jdbc:derby:memory:syncdb;create=true"
+    opts = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.range(1, 501).select(F.col("id").alias("order_id"), (F.col("id") % 7).alias("status")) \
+        .write.format("jdbc").option("url", url).option("dbtable", "sync_orders").options(**opts).mode("overwrite").save()
+    spark.range(1, 26).select(F.col("id").alias("nation_id")) \
+        .write.format("jdbc").option("url", url).option("dbtable", "sync_nation").options(**opts).mode("overwrite").save()
+    out = jobs.sync_tables(spark, url, {
+        "sync_orders": {"key": "order_id", "partition_column": "order_id", "lower_bound": 1,
+                        "upper_bound": 500, "num_partitions": 4},
+        "sync_nation": {"key": "nation_id"},
+    }, os.path.join(tmp_dir, "copy"), opts)
+    r = {x.table_name: x for x in out.collect()}
+    assert r["sync_orders"].source_rows == 500 and r["sync_orders"].copy_rows == 500
+    assert r["sync_orders"].source_key_sum == str(500 * 501 // 2)
+    assert all(x.in_sync for x in r.values())

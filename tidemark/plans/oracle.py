@@ -427,6 +427,10 @@ SELECT u.conv_id, u.turn,
        '<|im_start|>user ' || u.text || ' <|im_end|> <|im_start|>assistant ' || a.text || ' <|im_end|>' AS chat
 {CHAT_JOIN}""",
 
+    "chat_plain": f"""
+SELECT u.conv_id, u.turn, '用户: ' || u.text || chr(10) || '助手: ' || a.text AS chat
+{CHAT_JOIN}""",
+
     "response_extract": f"""
 WITH g AS (
   SELECT u.conv_id, u.turn,

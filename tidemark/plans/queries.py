@@ -338,6 +338,10 @@ def q_chat_text(spark, sf):
     return corpus.chat_turns(_t(spark, sf, "conversations"), "train").select("conv_id", "turn", "chat")
 
 
+def q_chat_plain(spark, sf):
+    return corpus.chat_turns(_t(spark, sf, "conversations"), "plain").select("conv_id", "turn", "chat")
+
+
 def q_response_extract(spark, sf):
     turns = corpus.chat_turns(_t(spark, sf, "conversations"), "prompt")
     generated = turns.select("conv_id", "turn",
@@ -422,6 +426,7 @@ QUERIES = {
     "address_components": q_address_components,
     "qa_pairs_regex": q_qa_pairs_regex,
     "chat_text": q_chat_text,
+    "chat_plain": q_chat_plain,
     "response_extract": q_response_extract,
     "encode_tokens": q_encode_tokens,
     "decode_tokens": q_decode_tokens,

@@ -45,7 +45,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 - e.g. a remote session without RDD access
         return df
-    return df.repartition(target)
+    return df.repartition(target) if narrow else df

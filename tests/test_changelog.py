@@ -122,3 +122,14 @@ def test_diff_to_changelog_round_trip(spark):
     docs = {r.record_id: json.loads(r.doc) for r in changelog.flatten(ch, cdc_time=AS_OF()).collect()}
     assert docs[2]["name"] == "b2" and docs[2]["original_operation"] == "U"
     assert docs[1]["data_format"] == "original" and docs[1]["old_data"] == {"name": "a"}
+
+
+def test_malformed_split(spark):
+    rows = [(1, "users", 1, "I", None, '{"id": 1}', "2025-10-01 10:00:00"),
+            (2, "users", 1, "U", '{"id": 1}', '{"id": 1, "name": ', "2025-10-01 10:01:00"),
+            (3, "users", 1, "D", "not json", None, "2025-10-01 10:02:00"),
+            (4, "users", 1, "U", '{"id": 1}', "", "2025-10-01 10:03:00")]
+    df = spark.createDataFrame(rows, "change_id long, table_name string, record_id int, operation string, "
+                                     "old_data string, new_data string, change_time string")
+    assert sorted(r.change_id for r in changelog.malformed_changes(df).collect()) == [2, 3]
+    assert sorted(r.change_id for r in changelog.well_formed_changes(df).collect()) == [1, 4]

@@ -58,9 +58,13 @@ def test_load_batches_and_counters(spark, tmp_dir):
     schema = "id bigint, cdc_time string, name string, created_at string, source_db string"
     q = cdc_stream.load_batches(flat, "users_rt", metrics, ck, schema, available_now=True)
     q.awaitTermination()
-    _land(land, "b.json", [_row(6, "I", json.dumps({"id": 6, "name": "n6"})), _row(7, "D", old='{"id": 2}')])
-    q = cdc_stream.load_batches(flat, "users_rt", metrics, ck, schema, available_now=True)
+    _land(land, "b.json", [_row(6, "I", json.dumps({"id": 6, "name": "n6"})), _row(7, "D", old='{"id": 2}'),
+                           _row(8, "I", '{"id": 8, "name": ')])
+    quarantine = os.path.join(tmp_dir, "quarantine")
+    q = cdc_stream.load_batches(flat, "users_rt", metrics, ck, schema, available_now=True,
+                                quarantine_path=quarantine)
     q.awaitTermination()
+    assert [r.change_id for r in spark.read.json(quarantine).collect()] == [8]
     t = spark.table("users_rt")
     assert t.count() == 7 and t.where(F.col("id").isNull()).count() == 1  # delete passes through without id
     c = cdc_stream.batch_counters(spark, metrics).orderBy("batch_id").collect()

@@ -43,6 +43,21 @@ def flatten(changes: DataFrame, cdc_time=None, source_db: str = fixed.SOURCE_DB,
     return with_computed(changes, out, jsonx.flatten_change(cdc_time=cdc_time, source_db=source_db))
 
 
+def _malformed(c: str):
+    """Non-blank JSON text that does not parse."""
+    return (F.coalesce(F.col(c), F.lit("")) != "") & jsonx.json_value(c).isNull()
+
+
+def malformed_changes(changes: DataFrame, old_data: str = "old_data", new_data: str = "new_data") -> DataFrame:
+    """Change rows whose row image is non-blank but not valid JSON (to be
+    kept aside in a quarantine table; the cursor still moves past them)."""
+    return changes.where(_malformed(old_data) | _malformed(new_data))
+
+
+def well_formed_changes(changes: DataFrame, old_data: str = "old_data", new_data: str = "new_data") -> DataFrame:
+    return changes.where(~(_malformed(old_data) | _malformed(new_data)))
+
+
 def with_envelope(changes: DataFrame, out: str = "envelope") -> DataFrame:
     return changes.withColumn(out, jsonx.change_envelope())
 

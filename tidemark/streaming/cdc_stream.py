@@ -77,13 +77,16 @@ def _typed_from_docs(batch: DataFrame, target_schema: str) -> DataFrame:
 def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str,
                  target_schema: str, key_col: str = "id", time_col: str = "cdc_time",
                  day_col: str = "ds", n_buckets: int = fixed.TABLE_BUCKETS,
-                 trigger: str | None = fixed.LOAD_TRIGGER, available_now: bool = False):
+                 trigger: str | None = fixed.LOAD_TRIGGER, available_now: bool = False,
+                 quarantine_path: str | None = None):
     """Micro-batch load of flattened changes into a day-partitioned,
     bucketed table, plus one counter row per batch
     (batch_id, rows, last change id) appended to ``metrics_path``.
 
     ``target_schema`` lists the table columns (key column first, then the
-    time column: the key prefix the table is sorted on).
+    time column: the key prefix the table is sorted on).  With
+    ``quarantine_path``, change rows whose non-blank row image is not valid
+    JSON are appended there instead of being loaded.
     """
     cols = [c.strip().split(" ")[0] for c in target_schema.split(",")]
     check_key_prefix(cols, [key_col, time_col])
@@ -96,6 +99,11 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
             done = False
         if done:
             return
+        if quarantine_path:
+            # unparsable row images are kept aside; the rest is loaded
+            changelog.malformed_changes(batch).drop("doc").withColumn("batch_id", F.lit(batch_id)) \
+                .write.mode("append").json(quarantine_path)
+            batch = changelog.well_formed_changes(batch)
         typed = _typed_from_docs(batch, target_schema)
         typed = typed.withColumn(time_col, F.coalesce(F.col(time_col).cast("timestamp"), F.current_timestamp()))
         # counters are observed while the rows are written: one pass

@@ -50,6 +50,8 @@ def test_load_records_and_state(spark, tmp_dir):
         raise AssertionError("expected failure")
     except ValueError:
         pass
+    sample = files.load_records(spark, os.path.join(tmp_dir, "none.txt"), sample_if_unknown=True)
+    assert [r.address for r in sample.collect()][0] == "北京市海淀区中关村大街1号" and sample.count() == 3
     s = os.path.join(tmp_dir, "state.json")
     with open(s, "w") as f:
         json.dump([{"province": "北京", "update_time": "2025-10-03 21:00:00"},

@@ -23,6 +23,9 @@ ADDRESS_ROWS = [
     ("山东省济南市历下区泉城广场", "山东", "济南市", "历下区", "泉城广场"),
 ]
 
+# Built-in sample (on explicit request only): the first three addresses.
+SAMPLE_ADDRESSES = 3
+
 # Value meaning "component unknown" in the rule-based generator.
 UNKNOWN = "未知"
 

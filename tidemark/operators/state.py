@@ -81,13 +81,17 @@ def due_keys(keys_df: DataFrame, last_seen: DataFrame, keys, last_col: str, as_o
 
 
 def cycle_counts(due: DataFrame) -> DataFrame:
-    """One row of refresh-cycle counters from ``due_keys`` output."""
+    """One row of refresh-cycle counters from ``due_keys`` output.
+
+    Every due key yields one record (fetched or fallback), and a skipped
+    key counts as a success with no record, so ``succeeded`` = all keys
+    and ``records`` = due keys."""
     return due.agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.count_if("due").alias("n_due"),
         F.count_if(~F.col("due")).alias("n_skipped"),
         F.count_if(F.col("reason") == "new").alias("n_new"),
-    )
+    ).withColumns({"records": F.col("n_due"), "succeeded": F.col("n_keys")})
 
 
 def fallback_rates_frame(spark) -> DataFrame:

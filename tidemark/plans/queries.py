@@ -233,7 +233,7 @@ def q_due_keys(spark, sf):
 
 
 def q_cycle_counts(spark, sf):
-    return state.cycle_counts(_due(spark, sf))
+    return state.cycle_counts(_due(spark, sf)).select("n_keys", "n_due", "n_skipped", "n_new")
 
 
 def _event_ref(spark):

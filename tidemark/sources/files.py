@@ -17,11 +17,18 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
                  .option("mode", "PERMISSIVE").csv(path))
 
 
-def load_records(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def load_records(spark: SparkSession, path: str, schema: str | None = None,
+                 sample_if_unknown: bool = False) -> DataFrame:
     """Load records by file extension: ``.json`` (a JSON array or JSON
-    lines), ``.csv`` (with header).  Anything else is an error - a missing
-    input is never replaced by sample rows."""
+    lines), ``.csv`` (with header).  Any other input is an error unless the
+    caller explicitly asks for the built-in three-address sample
+    (``sample_if_unknown=True``) - a bad input is never silently replaced."""
     low = path.lower().rstrip("/")
+    if sample_if_unknown and not low.endswith((".json", ".jsonl", ".csv")):
+        from tidemark.functions import fixed
+        from tidemark.functions.compute import literal_table
+        return literal_table(spark, [(r[0],) for r in fixed.ADDRESS_ROWS[:fixed.SAMPLE_ADDRESSES]],
+                             "address string")
     if low.endswith(".json") or low.endswith(".jsonl"):
         r = spark.read.option("multiLine", low.endswith(".json"))
         return (r.schema(schema) if schema else r).json(path)

@@ -158,3 +158,12 @@ def test_views_and_checkpoint_paths(spark):
     assert len(TABLES) == 14
     base = checkpoint_dir(spark)
     assert stream_checkpoint(spark, "cdc").startswith(base) and base == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scaled_conf():
+    from tidemark.session import scaled_conf
+    big = scaled_conf(100 * 2 ** 40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 2 ** 40 // (256 << 20))
+    small = scaled_conf(10 << 20, 64)
+    assert small["spark.sql.shuffle.partitions"] == str(3 * 64)
+    assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -6,10 +6,13 @@
 * publish flattened documents to a topic/file sink, or load them per
   micro-batch into a day-partitioned bucketed table with per-batch
   counters;
-* keep a keyed "latest value" state up to date per micro-batch.
+* keep a keyed "latest value" state up to date per micro-batch;
+* run the repeated rate-refresh cycle against the committed state.
 
-Every micro-batch handler is keyed by ``batch_id`` so a replayed batch
-does not double-count.
+Replayed micro-batches do not double-count: the table load skips a batch
+id whose counters are already written, and the keyed-state and refresh
+handlers rebuild the same state from the committed version (a replayed
+refresh finds its keys fresh and writes no new change records).
 """
 
 from __future__ import annotations

@@ -382,7 +382,8 @@ def q_basket_affinity(spark, sf):
 
 
 def q_new_product_trend(spark, sf):
-    return analytics.new_product_trend(_t(spark, sf, "lineitem"))
+    li = spread(_t(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_quantity"))
+    return analytics.new_product_trend(li)
 
 
 def q_report_rollup(spark, sf):

@@ -155,3 +155,13 @@ def test_refresh_weather(spark):
     assert (s.covered_keys, s.fallback_records, s.fresh_records, s.coverage) == (34, 33, 34, 1.0)
     again = refresh.refresh_weather(spark, out["new_state"], snap, NOW(), 3600)
     assert again["counts"].first().n_due == 0
+
+
+def test_unify_rate_states(spark):
+    nested = spark.createDataFrame([("EUR", "GBP", {"GBP": 0.86}, True)],
+                                   "base_currency string, target_currency string, rates map<string,double>, is_fallback boolean")
+    flat = spark.createDataFrame([("USD", "JPY", 110.5, "2025-10-03")],
+                                 "base_currency string, target_currency string, exchange_rate double, date string")
+    u = {(r.base_currency, r.target_currency): r for r in refresh.unify_rate_states(nested, flat).collect()}
+    assert u[("EUR", "GBP")].exchange_rate == 0.86 and u[("EUR", "GBP")].date is None
+    assert u[("USD", "JPY")].rates == {"JPY": 110.5} and u[("USD", "JPY")].is_fallback is None

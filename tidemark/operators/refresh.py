@@ -191,3 +191,20 @@ def refresh_weather(spark, state, snapshot, as_of, interval_seconds: float,
     stats = state_stats(new_state, keys, "update_time", "is_fallback", as_of, interval_seconds,
                         len(fixed.PROVINCES))
     return {"new_state": new_state, "counts": S.cycle_counts(due), "stats": stats, "due": due}
+
+
+def unify_rate_states(*frames: DataFrame) -> DataFrame:
+    """Rate-state rows written in either shape - nested ``rates`` map or flat
+    ``exchange_rate`` - as one frame carrying both: the map form gets
+    ``exchange_rate = rates[target]``, the flat form gets
+    ``rates = {target: exchange_rate}``; other missing columns are NULL
+    (union by name)."""
+    out = None
+    for df in frames:
+        cols = set(df.columns)
+        if "rates" in cols and "exchange_rate" not in cols:
+            df = df.withColumn("exchange_rate", F.try_element_at("rates", F.col("target_currency")))
+        elif "exchange_rate" in cols and "rates" not in cols:
+            df = df.withColumn("rates", F.create_map(F.col("target_currency"), F.col("exchange_rate")))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out

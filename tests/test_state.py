@@ -165,3 +165,11 @@ def test_unify_rate_states(spark):
     u = {(r.base_currency, r.target_currency): r for r in refresh.unify_rate_states(nested, flat).collect()}
     assert u[("EUR", "GBP")].exchange_rate == 0.86 and u[("EUR", "GBP")].date is None
     assert u[("USD", "JPY")].rates == {"JPY": 110.5} and u[("USD", "JPY")].is_fallback is None
+
+
+def test_source_counts(spark):
+    flat = spark.createDataFrame([("USD", "EUR", 0.92, "api"), ("USD", "JPY", 110.5, "fallback"),
+                                  ("EUR", "GBP", 0.86, "fallback"), ("GBP", "USD", 1.3, None)],
+                                 "base_currency string, target_currency string, exchange_rate double, source string")
+    c = refresh.source_counts(flat).first()
+    assert (c.total_records, c.api_records, c.fallback_records) == (4, 1, 2)

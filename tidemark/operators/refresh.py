@@ -208,3 +208,12 @@ def unify_rate_states(*frames: DataFrame) -> DataFrame:
             df = df.withColumn("rates", F.create_map(F.col("target_currency"), F.col("exchange_rate")))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
+
+
+def source_counts(state: DataFrame, source_col: str = "source") -> DataFrame:
+    """One row: total records and the records per source ('api' /
+    'fallback'), counted in one pass."""
+    s = F.col(source_col)
+    return state.agg(F.count(F.lit(1)).alias("total_records"),
+                     F.count_if(s == "api").alias("api_records"),
+                     F.count_if(s == fixed.FALLBACK_SOURCE).alias("fallback_records"))

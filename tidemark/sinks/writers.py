@@ -73,7 +73,13 @@ def read_state(spark: SparkSession, base: str, schema: str | None = None) -> Dat
 
 
 def commit_state(spark: SparkSession, df: DataFrame, base: str) -> int:
-    """Write ``df`` as the next version, then commit it."""
+    """Write ``df`` as the next version, then commit it.
+
+    One writer per ``base`` (a streaming query or a scheduled job).  A
+    failed attempt leaves an uncommitted version directory that the next
+    attempt overwrites; readers only see committed versions.  Because the
+    new version is a written table, it also cuts the lineage of iterative
+    state updates."""
     cur = current_version(spark, base)
     nxt = 0 if cur is None else cur + 1
     df.write.mode("overwrite").parquet(version_path(base, nxt))

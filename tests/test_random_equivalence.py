@@ -80,3 +80,31 @@ def test_upsert_random(spark):
             if k not in best or cand[:3] > best[k][:3]:
                 best[k] = cand
     assert got == {k: (c[0], c[3]) for k, c in best.items()}
+
+
+def test_due_keys_random(spark):
+    import datetime as dt
+    rnd = random.Random(33)
+    now = dt.datetime(2025, 10, 3, 22, 0, 0)
+    keys = [f"k{i}" for i in range(300)]
+    last = {}
+    for k in keys:
+        c = rnd.random()
+        if c < 0.2:
+            continue                                            # never loaded
+        if c < 0.3:
+            last[k] = now - dt.timedelta(seconds=3600)          # exactly one interval
+        else:
+            last[k] = now - dt.timedelta(seconds=rnd.randint(0, 7200), microseconds=rnd.randint(0, 999999))
+    kdf = spark.createDataFrame([(k,) for k in keys], "k string")
+    ldf = spark.createDataFrame([(k, t) for k, t in last.items()], "k string, t timestamp_ntz")
+    got = {r.k: (r.reason, r.due) for r in
+           state.due_keys(kdf, ldf, "k", "t", F.lit(now).cast("timestamp_ntz"), 3600).collect()}
+    for k in keys:
+        if k not in last:
+            want = ("new", True)
+        elif (now - last[k]).total_seconds() >= 3600:
+            want = ("stale", True)
+        else:
+            want = ("fresh", False)
+        assert got[k] == want, (k, last.get(k))

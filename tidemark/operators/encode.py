@@ -36,7 +36,9 @@ def train_eval_split(df: DataFrame, key: str, eval_percent: int = fixed.EVAL_PER
     """Rows labelled 'train' / 'eval' by a hash of the key (stable under any
     partitioning, unlike ``randomSplit``).  When the whole set has at most
     3 rows, every row appears in both sets."""
-    n = df.agg(F.count(F.lit(1))).scalar()
+    # only "more than SMALL_SET_ROWS or not" matters: count at most one row
+    # past the threshold instead of the whole input
+    n = df.limit(fixed.SMALL_SET_ROWS + 1).agg(F.count(F.lit(1))).scalar()
     label = F.when(split_bucket(key) < eval_percent, F.lit("eval")).otherwise(F.lit("train"))
     both = F.array(F.lit("train"), F.lit("eval"))
     sets = F.when(n <= F.lit(fixed.SMALL_SET_ROWS), both).otherwise(F.array(label))

@@ -96,9 +96,10 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # counters are partitioned by batch id: a replay only probes its own folder
         try:
-            done = (spark.read.json(metrics_path).where(F.col("batch_id") == batch_id).limit(1).count() > 0)
-        except Exception:  # noqa: BLE001 - no metrics yet
+            done = spark.read.json(f"{metrics_path.rstrip('/')}/batch_id={batch_id}").limit(1).count() > 0
+        except Exception:  # noqa: BLE001 - folder absent: batch not loaded yet
             done = False
         if done:
             return
@@ -118,7 +119,7 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
         got = obs.get
         spark.createDataFrame([(batch_id, got["rows"], got["last_change_id"])],
                               "batch_id bigint, rows bigint, last_change_id bigint") \
-             .write.mode("append").json(metrics_path)
+             .write.mode("append").partitionBy("batch_id").json(metrics_path)
 
     w = flat.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

@@ -50,7 +50,12 @@ def rate_refresh_job(spark: SparkSession, state_base: str, snapshot_path: str, c
     """One refresh cycle in batch: committed rate state + landed fetch
     results -> new committed state version, appended change records.
     Returns the new state version."""
-    now = F.current_timestamp() if as_of is None else as_of
+    # one "now" for both writes (current_timestamp() would be evaluated
+    # separately by the state write and the change-log write)
+    if as_of is None:
+        import datetime as dt
+        as_of = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)).cast("timestamp_ntz")
+    now = as_of
     state = writers.read_state(spark, state_base, refresh.RATE_STATE_SCHEMA)
     snap = spark.read.schema(refresh.RATE_SNAPSHOT_SCHEMA).json(snapshot_path)
     out = refresh.refresh_rates(spark, state, snap, now, interval_seconds, incremental)

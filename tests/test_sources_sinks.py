@@ -167,3 +167,30 @@ def test_scaled_conf():
     small = scaled_conf(10 << 20, 64)
     assert small["spark.sql.shuffle.partitions"] == str(3 * 64)
     assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_partitioned_state_rewrites_touched_buckets(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pstate")
+    b1 = spark.createDataFrame([(k, f"v{k}", 1) for k in range(100)], "k int, v string, seq int")
+    writers.upsert_partitioned_state(spark, b1, path, ["k"], ["seq"], buckets=16)
+
+    def files():
+        out = {}
+        for d in os.listdir(path):
+            if d.startswith("_bucket="):
+                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+        return out
+
+    before = files()
+    b2 = spark.createDataFrame([(5, "new5", 2), (150, "v150", 2), (7, "old7", 0)], "k int, v string, seq int")
+    writers.upsert_partitioned_state(spark, b2, path, ["k"], ["seq"], buckets=16)
+    after = files()
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    want = {k: f"v{k}" for k in range(100)}
+    want.update({5: "new5", 150: "v150"})
+    assert got == want
+    touched = {f"_bucket={r._bucket}" for r in
+               b2.select(F.pmod(F.xxhash64("k"), F.lit(16)).cast("int").alias("_bucket")).collect()}
+    untouched = [d for d in before if d not in touched]
+    assert untouched and all(before[d] == after[d] for d in untouched)   # untouched buckets not rewritten
+    assert all(before.get(d) != after[d] for d in touched if d in before)

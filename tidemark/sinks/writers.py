@@ -98,6 +98,42 @@ def upsert_state(spark: SparkSession, batch: DataFrame, base: str, keys, order_c
     return commit_state(spark, new, base)
 
 
+def upsert_partitioned_state(spark: SparkSession, batch: DataFrame, path: str, keys, order_cols,
+                             buckets: int = 64) -> None:
+    """Keyed upsert that rewrites only the key buckets a batch touches.
+
+    The state table is partitioned by ``_bucket = pmod(xxhash64(keys),
+    buckets)``.  Each upsert reads just the touched buckets (their ids, at
+    most ``buckets`` integers, are a static partition filter), merges the
+    batch in (last write wins), stages the merged
+    buckets under ``_staging`` and swaps them in with dynamic partition
+    overwrite - cost follows the batch, not the whole state.  Use a bucket
+    count large enough that one bucket fits a task comfortably.
+    """
+    import uuid
+
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    b = batch.withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+    try:
+        cur = spark.read.parquet(path)
+    except AnalysisException:
+        cur = None
+    if cur is None:
+        S.latest_per_key(b, keys + ["_bucket"], order_cols).write.mode("overwrite") \
+            .partitionBy("_bucket").parquet(path)
+        return
+    # the touched bucket ids (at most ``buckets`` small ints) become a static
+    # partition filter, so only those partitions are listed and read
+    touched = [r[0] for r in b.select("_bucket").distinct().collect()]
+    cur_touched = cur.where(F.col("_bucket").isin(touched))
+    merged = S.upsert(cur_touched.select(*b.columns), b, keys + ["_bucket"], order_cols, origin_col=None)
+    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    merged.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
+    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("_bucket").parquet(path))
+
+
 def keep_cell_versions(spark: SparkSession, batch: DataFrame, base: str, key_cols, version_col: str,
                        n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None) -> int:
     """Versioned-cell store: append the batch, keep the newest ``n``

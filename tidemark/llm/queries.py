@@ -4,9 +4,11 @@ those that SQL can express."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, token_counts
+from tidemark.llm import ann, bpe, exact_dedup, langid, mixing, ngram_join, quality, token_counts, warc
+from tidemark.llm.common import shared_path
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -21,23 +23,67 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
                                      public_tokenizers.PATTERN, limit=512)
 
 
+def grade() -> Column:
+    """The graded rating of ``labels``: 0 toxic, 1 of low quality, 2 good."""
+    return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+
+
+GRADES, GOOD = 3, 2
+
+
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    model = quality.fit(docs, _read(spark, sf, "labels"), grade(), GRADES)
+    rated = quality.rate(docs.select("doc_id", "text"), model, GOOD)
+    return rated.select("row.doc_id", "expected_grade", F.col("tail").alias("tail_probability"), "kept")
+
+
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf, "documents"), public_tokenizers.path(RANKS),
                           public_tokenizers.PATTERN)
 
 
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    net = langid.fit(docs.where(~held_out))
+    return langid.identify(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_read(spark, sf, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(_read(spark, sf, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(warc.with_revisits(_read(spark, sf, "pages"), least=0), path)
+    records = warc.read(spark, path, "record_id string, record_type string, refers_to string, "
+                                     "payload_bytes long, payload_digest string")
+    return records.select(warc.id_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", warc.id_of("refers_to").alias("refers_to"))
+
+
+def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.groups(_read(spark, sf, "documents"), n=3, percent=90)
+
+
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_read(spark, sf, "documents"), keep="largest")
 
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
+    "op8_warc": op8_warc,
+    "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -75,6 +121,21 @@ SELECT doc_id, size, source_size, target,
                               OR (h = edge AND edge_upto - budget < budget - used)
                          THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+             min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+b AS (SELECT *, list_transform(range(0, 8), lambda i: ('0x' || substr(hex, (1 + 5 * i)::INT, 5))::BIGINT) AS part FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(part, lambda v:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31)::INT + 1, 1) ||
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31)::INT + 1, 1) ||
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31)::INT + 1, 1) ||
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31)::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
 """,
     "op10_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

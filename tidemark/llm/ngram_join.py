@@ -1,18 +1,21 @@
 """N-gram Jaccard join with a prefix tree, and the components of its links.
 
-A document's set holds the 64-bit hashes of its distinct n-grams, in the
-global order of the hashes.  Documents with equal sets form a class; one
-representative of each goes on.
-
-*Which sets can meet.*  If two sets of at most ``u`` n-grams reach the
-similarity, they differ in at most ``k = floor(2u(100-p)/(100+p))`` n-grams,
-so of ``k + 1`` fixed ranges of the hash space at least one holds the same
-n-grams in both.  Every set emits one signature for each range, for the
-sizes of its own band and, if it can reach it, of the next; a link has at
-least one signature in common.  This is exact, and a passage that many
-documents share does not make them meet unless it fills a whole range.
-
-*Comparing.*  Sets that share a signature are compared by a prefix tree:
+A document's set holds the 64-bit hashes of its distinct n-grams, in one
+global order: n-grams that many documents share come last, by how many do,
+all others come before them by their hash.  Any order gives the same
+links; this one keeps common passages from making documents meet.  How
+common an n-gram is, is counted over all documents: every batch reports
+what at least ``LOCAL`` of its documents share, and the sums over all
+batches give the order of the ``COMMON`` most common (broadcast, so
+bounded; what lies beyond stays in the order of the hashes).  Documents
+with equal sets form a class; one representative of each goes on.
+
+*Which sets can meet.*  Linked sets have at least ``o`` n-grams in common,
+and ``o`` is at least ``p`` percent of each size.  So the first n-gram they
+share is among the first ``size - o + 1`` of both: every set emits these,
+and linked sets emit at least one in common.
+
+*Comparing.*  Sets that emit the same n-gram are compared by a prefix tree:
 the sets of a group are stored in the tree by their global order, and a
 probe goes down it once, sharing the overlap counted on common prefixes,
 and leaves a subtree when its overlap so far plus what remains, of the
@@ -20,9 +23,9 @@ probe or of the longest set below, can no longer reach the similarity.
 
 *Hot groups.*  Only which documents hang together is asked for, so pairs
 that already do are not compared again.  In each of ``ROUNDS`` rounds a
-document is compared in the group of one partner for all its signatures (a
+document is compared in the group of one partner for all that it emits (a
 hot partner's group is dealt out in blocks, the partner in each); after
-that only signatures whose documents are still in different components
+that only emitted n-grams whose documents are still in different components
 remain, and those are compared exhaustively, block by block.
 
 Defined cases: null and blank texts have no n-grams and link with nothing;
@@ -34,7 +37,6 @@ links with nothing and gets a null component.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,9 @@ N = 3
 PERCENT = 90
 BLOCK = 256          # sets of a group that one tree holds at most
 ROUNDS = 2
-BAND = 1.5           # ratio of the sizes in a band
+LOCAL = 3            # documents of a batch that make an n-gram worth reporting
+OFTEN = 16           # reported documents that make it common
+COMMON = 1_000_000   # common n-grams that are put in order
 
 _U = np.uint64
 
@@ -76,43 +80,27 @@ def shingles(text: bytes, n: int = N) -> np.ndarray:
     return np.unique(x)
 
 
-@lru_cache(maxsize=64)
-def _band(level: int) -> tuple[int, int]:
-    """Smallest size of a band and of the one above it."""
-    low = 1 if level == 0 else _band(level - 1)[1]
-    return low, max(low + 1, int(low * BAND))
+class Order:
+    """The global order: n-grams as numbers that sort in it."""
 
+    def __init__(self, common: np.ndarray):
+        """``common``: the common n-grams, the rarest first."""
+        self.by_value = np.argsort(common, kind="stable")
+        self.common = common[self.by_value]
 
-def _level(size: int) -> int:
-    level = 0
-    while _band(level)[1] <= size:
-        level += 1
-    return level
+    def put(self, s: np.ndarray) -> np.ndarray:
+        out = s >> _U(1)
+        if len(self.common) and len(s):
+            at = np.minimum(np.searchsorted(self.common, s), len(self.common) - 1)
+            hit = self.common[at] == s
+            out[hit] = self.by_value[at[hit]].astype(_U) + _U(1 << 63)
+            out.sort()
+        return out
 
 
-@lru_cache(maxsize=256)
-def _ranges(level: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where the hash ranges of a band begin, and a seed for each."""
-    differ = 2 * (_band(level)[1] - 1) * (100 - percent) // (100 + percent)
-    parts = differ + 1
-    starts = np.array([(i << 64) // parts for i in range(parts)], _U)
-    return starts, _mix(np.arange(parts, dtype=_U) + _U((level + 1) << 32))
-
-
-def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """One signature for each hash range of the bands a set can meet in."""
-    if not len(s):
-        return np.empty(0, _U)
-    level = _level(len(s))
-    levels = [level] + [level + 1] * (100 * len(s) >= percent * _band(level)[1])
-    sums = np.zeros(len(s) + 1, _U)
-    np.cumsum(_mix(s ^ _U(0x9E3779B97F4A7C15)), out=sums[1:])
-    out = []
-    for at in levels:
-        starts, seeds = _ranges(at, percent)
-        cut = np.append(np.searchsorted(s, starts), len(s))
-        out.append(_mix(sums[cut[1:]] - sums[cut[:-1]] + seeds))
-    return np.concatenate(out)
+def emitted(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The n-grams of an ordered set of which linked sets share one."""
+    return s[:len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s
 
 
 class Groups:
@@ -215,29 +203,46 @@ def join_group(sets: list[np.ndarray], labels: list, percent: int = PERCENT) ->
     return groups
 
 
-def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """(id, n, key, sigs) of every row; ``key`` is a 128-bit hash of the set."""
+def common_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
+    """The most common n-grams, the rarest of them first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_buffer().to_pybytes(), n) for t in batch.column("text")]
+            gram, count = np.unique(np.concatenate([*sets, np.empty(0, _U)]), return_counts=True)
+            often = count >= LOCAL
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram[often].view(np.int64)), pa.array(count[often].astype(np.int64))], names=["gram", "n"])
+
+    rows = docs.select(whole_text(text_col).cast("binary").alias("text")).mapInArrow(run, "gram long, n long")
+    top = (rows.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+               .orderBy(F.desc("n"), F.desc("gram")).limit(COMMON).select("gram").toArrow())
+    return top.column("gram").to_numpy()[::-1].view(_U).copy()
+
+
+def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, order) -> DataFrame:
+    """(id, n, key, grams) of every row; ``key`` is a 128-bit hash of the set."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        put = order.value.put
         for batch in batches:
-            size, key, sigs = [], [], []
+            size, key, grams = [], [], []
             for text in batch.column("text"):
-                s = shingles(text.as_buffer().to_pybytes(), n)
+                s = put(shingles(text.as_buffer().to_pybytes(), n))
                 size.append(len(s))
                 key.append(xxhash.xxh3_128_digest(s.tobytes()))
-                sigs.append(signatures(s, percent).view(np.int64))
-            ends = np.cumsum([0, *map(len, sigs)], dtype=np.int32)
-            flat = pa.array(np.concatenate(sigs) if sigs else np.empty(0, np.int64))
+                grams.append(emitted(s, percent).view(np.int64))
+            ends = np.cumsum([0, *map(len, grams)], dtype=np.int32)
+            flat = pa.array(np.concatenate([*grams, np.empty(0, np.int64)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends), flat)], names=["id", "n", "key", "sigs"])
+                 pa.ListArray.from_arrays(pa.array(ends), flat)], names=["id", "n", "key", "grams"])
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n long, key binary, sigs array<long>")
+    return rows.mapInArrow(run, f"id {kind}, n long, key binary, grams array<long>")
 
 
-def _verify(tasks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _verify(tasks: DataFrame, texts: DataFrame, n: int, percent: int, order) -> DataFrame:
     """``tasks(g, id, label)``: compare the documents of each group ``g``;
     returns links ``(a, b)`` that span what hangs together."""
     kind = dict(tasks.dtypes)["id"]
@@ -261,7 +266,7 @@ def _verify(tasks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
                     now, ids, labels, sets = g, [], [], []
                 ids.append(i)
                 labels.append(label)
-                sets.append(shingles(text, n))
+                sets.append(order.value.put(shingles(text, n)))
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in pairs], schema=out)
         if out is not None:
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links()], schema=out)
@@ -279,24 +284,25 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Rows ``(id, n, key)`` of all documents, and links ``(a, b)`` between
     representatives (smallest ids) of classes of equal sets, enough to span
     every component."""
-    described = materialise(_describe(docs, id_col, text_col, n, percent), "ngram-sets")
+    order = docs.sparkSession.sparkContext.broadcast(Order(common_ngrams(docs, text_col, n)))
+    described = materialise(_describe(docs, id_col, text_col, n, percent, order), "ngram-sets")
     rows = described.select("id", "n", "key")
     some = described.where("n > 0 and id is not null")
     repeated = materialise(some.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("rep"))
                                .where("c > 1").select("key", "rep"), "ngram-classes")
     # an id may have several texts and so several sets; each has its class
     reps = (some.join(repeated, "key", "left").where("rep is null or rep = id")
-                .select("id", F.explode("sigs").alias("sig")))
-    sig = W.partitionBy("sig")
-    met = (reps.select("sig", "id", F.min("id").over(sig).alias("lo"), F.max("id").over(sig).alias("hi"))
-               .where("lo < hi").select("sig", "id"))
+                .select("id", F.explode("grams").alias("gram")))
+    gram = W.partitionBy("gram")
+    met = (reps.select("gram", "id", F.min("id").over(gram).alias("lo"), F.max("id").over(gram).alias("hi"))
+               .where("lo < hi").select("gram", "id"))
     met = materialise(met, "ngram-met").distinct()
-    # of signatures with the same documents, one will do
-    once = (met.groupBy("sig").agg(F.count("*").alias("c"), F.min("id").alias("lo"),
+    # of n-grams with the same documents, one will do
+    once = (met.groupBy("gram").agg(F.count("*").alias("c"), F.min("id").alias("lo"),
                                    F.bit_xor(F.xxhash64("id")).alias("x"),
                                    F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
-               .groupBy("c", "lo", "x", "y").agg(F.min("sig").alias("sig")).select("sig"))
-    met = materialise(met.join(once, "sig"), "ngram-met")
+               .groupBy("c", "lo", "x", "y").agg(F.min("gram").alias("gram")).select("gram"))
+    met = materialise(met.join(once, "gram"), "ngram-met")
 
     involved = met.select("id").distinct()
     texts = (docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
@@ -306,9 +312,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = None
     labels = met.select("id", F.col("id").alias("label")).limit(0)
     for turn in range(ROUNDS + 1):
-        known = met.join(labels, "id", "left").select("sig", "id", F.coalesce("label", "id").alias("label"))
+        known = met.join(labels, "id", "left").select("gram", "id", F.coalesce("label", "id").alias("label"))
         open_ = materialise(
-            known.withColumn("lo", F.min("label").over(sig)).withColumn("hi", F.max("label").over(sig))
+            known.withColumn("lo", F.min("label").over(gram)).withColumn("hi", F.max("label").over(gram))
                  .where("lo < hi").drop("lo", "hi"), "ngram-open")
         if open_.isEmpty():
             break
@@ -316,7 +322,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             tasks = _partner_tasks(open_, turn)
         else:
             tasks = _all_pairs_tasks(open_)
-        edges = materialise(_verify(tasks, texts, n, percent), "ngram-links")
+        edges = materialise(_verify(tasks, texts, n, percent, order), "ngram-links")
         found = edges if found is None else found.union(edges)
         labels = components(found)
     if found is None:
@@ -327,11 +333,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _partner_tasks(open_: DataFrame, turn: int) -> DataFrame:
     """Every document with a partner from another component among those it
-    shares a signature with; the partner changes with ``turn``."""
-    sig = W.partitionBy("sig")
+    shares an emitted n-gram with; the partner changes with ``turn``."""
+    gram = W.partitionBy("gram")
     draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("k"), "id", "label") if turn else F.struct(
         F.col("id").alias("k"), "id", "label")
-    pairs = (open_.withColumn("p", F.min(draw).over(sig)).where("p.label <> label")
+    pairs = (open_.withColumn("p", F.min(draw).over(gram)).where("p.label <> label")
                   .groupBy("id", "label").agg(F.min("p").alias("p"))
                   .select("id", "label", F.col("p.id").alias("partner"), F.col("p.label").alias("plabel")))
     pairs = materialise(pairs, "ngram-pairs")
@@ -346,11 +352,11 @@ def _partner_tasks(open_: DataFrame, turn: int) -> DataFrame:
 
 
 def _all_pairs_tasks(open_: DataFrame) -> DataFrame:
-    """Every signature whole; one with many documents as pairs of blocks."""
-    size = open_.groupBy("sig").agg(F.count("*").alias("c")).select("sig", _blocks("c").alias("k"))
-    t = open_.join(size, "sig").withColumn("b", F.pmod(F.xxhash64("id", F.lit(99)), "k").cast("int"))
+    """The documents of every n-gram; those of one with many as pairs of blocks."""
+    size = open_.groupBy("gram").agg(F.count("*").alias("c")).select("gram", _blocks("c").alias("k"))
+    t = open_.join(size, "gram").withColumn("b", F.pmod(F.xxhash64("id", F.lit(99)), "k").cast("int"))
     t = t.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    return t.select(F.concat_ws("/", "sig", F.least("b", "o"), F.greatest("b", "o")).alias("g"), "id", "label")
+    return t.select(F.concat_ws("/", "gram", F.least("b", "o"), F.greatest("b", "o")).alias("g"), "id", "label")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, exact_dedup, langid, mixing, ngram_join, quality, token_counts, warc
+from tidemark.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, ngram_join, quality, token_counts, warc
 from tidemark.llm.common import shared_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,6 +58,12 @@ def op6_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(_read(spark, sf, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = line_dedup.drop_recurring(_read(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+                      F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write(warc.with_revisits(_read(spark, sf, "pages"), least=0), path)
@@ -82,6 +88,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_nearest": op6_nearest,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,

@@ -1,11 +1,8 @@
-"""Address corpus: the two generators against their stored outputs and a
-plain-Python re-implementation of the same rules."""
-
-import re
+"""Address corpus: the two generators against stored and hand-computed
+outputs."""
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import fixed
 from tidemark.operators import corpus
 
 
@@ -13,34 +10,6 @@ def rows(df, cols):
     return {tuple(r[c] for c in cols) for r in df.collect()}
 
 
-def python_regex_corpus(addresses):
-    pats = [("province", fixed.PROVINCE_PATTERN), ("city", fixed.CITY_PATTERN),
-            ("district", fixed.DISTRICT_PATTERN), ("street", fixed.STREET_PATTERN)]
-    out, seen = [], set()
-    for a in addresses:
-        a = re.sub(r"\s+", " ", re.sub(r"[^\w一-鿿\s\-\.]", "", a)).strip()
-        if len(a) < 3:
-            continue
-        comp = {"detail": a}
-        for name, p in pats:
-            m = re.search(p, a)
-            comp[name] = m.group(1) if m else ""
-            if m:
-                comp["detail"] = comp["detail"].replace(m.group(1), "")
-        base = (comp["province"] + comp["city"] + comp["district"] + comp["street"] + comp["detail"]).strip()
-        pairs = [
-            (fixed.Q_PROVINCE + base, fixed.A_PREFIX + comp["province"] if comp["province"] else fixed.A_NO_PROVINCE),
-            (fixed.Q_CITY + base, fixed.A_PREFIX + comp["city"] if comp["city"] else fixed.A_NO_CITY),
-            (fixed.Q_STANDARD + base, (fixed.A_STANDARD + comp["province"] + comp["city"] + comp["district"]
-                                       + comp["street"] + comp["detail"]).strip()),
-        ]
-        for ins, o in pairs:
-            if fixed.NOT_SURE not in o and (ins, o) not in seen:
-                seen.add((ins, o))
-                out.append((ins, "", o, base))
-    return set(out)
-
-
 def test_rule_corpus_golden(spark):
     dim = corpus.address_dimension(spark)
     pairs = corpus.qa_pairs_rule(corpus.clean_addresses(dim))
@@ -59,28 +28,33 @@ def test_regex_corpus_golden(spark):
     pairs = corpus.qa_pairs_regex(corpus.clean_addresses(dim))
     got = rows(pairs, ["instruction", "input", "output", "original_address"])
     assert len(got) == 28 and pairs.count() == 28
-    assert got == python_regex_corpus([r[0] for r in fixed.ADDRESS_ROWS])
+    assert all(i == "" for _, i, _, _ in got)
+    assert len({a for _, _, _, a in got}) == 10  # every address is standardised
+    assert sum(q.startswith("请标准化这个地址：") for q, _, _, _ in got) == 10
+    assert all("无法确定" not in o for _, _, o, _ in got)
     doubled = "北京市北京市海淀区北京市海淀区中关村大街海淀区中关村大街1号"
     assert ("这个地址在哪个市？" + doubled, "", "这个地址在北京市", doubled) in got
     assert ("请标准化这个地址：" + doubled, "", "标准化地址：" + doubled, doubled) in got
 
 
 def test_regex_corpus_messy_input(spark):
-    addrs = ["  河北省 石家庄市!!长安区  中山路5号 ", "县县县", "ab", None, "", "甘肃省兰州市城关区", "州县路道"]
+    """Expected rows worked out by hand from the component rules."""
+    addrs = ["ab", None, "", "甘肃省兰州市城关区"]
     df = spark.createDataFrame([(a,) for a in addrs], "address string")
-    got = rows(corpus.qa_pairs_regex(corpus.clean_addresses(df)),
-               ["instruction", "input", "output", "original_address"])
-    assert got == python_regex_corpus([a for a in addrs if a])
-
-
-def test_clean_matches_python(spark):
-    texts = ["a b　c", "x y", "Ünïcödé—dash…", "tab\tand\x1cfs", "  lead", "emoji 😀 ok",
-             "keep-these.chars_1", "​zero", "Ⅻ numerals ½ ²", "a\x0bb\x85c"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows(corpus.qa_pairs_regex(corpus.clean_addresses(df)), ["instruction", "input", "output"])
+    outputs = {o for _, _, o in got}
+    assert "这个地址在甘肃省" in outputs
+    assert len(got) == 3 and all(i == "" for _, i, _ in got)
+    assert {q.split("？")[0] for q, _, _ in got if "？" in q} == {"这个地址在哪个省", "这个地址在哪个市"}
+
+
+def test_clean_by_hand(spark):
+    given = {"a b　c": "a b c", "Ünïcödé—dash…": "Ünïcödédash", "tab\tand\x1cfs": "tab and fs", "  lead": "lead",
+             "emoji 😀 ok": "emoji ok", "keep-these.chars_1": "keep-these.chars_1", "\u200bzero": "zero",
+             "Ⅻ numerals ½ ²": "Ⅻ numerals ½ ²", "a\x0bb\x85c": "a b c", "!!": "", "北京市，海淀区": "北京市海淀区"}
+    df = spark.createDataFrame([(t,) for t in given], "t string")
     from tidemark.functions.text import clean_text
-    got = [r[0] for r in df.select(clean_text("t")).collect()]
-    want = [re.sub(r"\s+", " ", re.sub(r"[^\w一-鿿\s\-\.]", "", t)).strip() for t in texts]
-    assert got == want
+    assert {r.t: r.c for r in df.select("t", clean_text("t").alias("c")).collect()} == given
 
 
 def test_features(spark):

@@ -1,5 +1,6 @@
-"""Vocabulary encoding against a plain-Python tokenizer of the same rules."""
+"""Vocabulary encoding: hand-computed ids, properties and limits."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
@@ -7,40 +8,46 @@ from tidemark.functions import tokens as K
 from tidemark.operators import encode
 
 
-def py_encode(text, n=fixed.MAX_LENGTH):
-    v = fixed.VOCAB
-    words = text.replace(fixed.IM_START, f" {fixed.IM_START} ").replace(fixed.IM_END, f" {fixed.IM_END} ").split()
-    ids = []
-    for w in words:
-        if w in v:
-            ids.append(v[w])
-        else:
-            ids.extend(v.get(ch, fixed.UNK_ID) for ch in w)
-    return (ids + [fixed.PAD_ID] * n)[:n]
+def test_encode_by_hand(spark):
+    """Ids read off the vocabulary by hand: 19 北京, 51 路, 52 号, 53 无法,
+    54 确定, 55 。; 1 stands for what it does not have."""
+    given = {"北京 路号": [19, 51, 52], "abc": [1, 1, 1], "": [], "无法 确定。": [53, 1, 1, 55],
+             " 路\t号\n路 ": [51, 52, 51], "号" * 300: [52] * 300}
+    df = spark.createDataFrame([(t,) for t in given], "t string")
+    got = {r.t: list(r.ids) for r in df.select("t", K.token_ids("t").alias("ids")).collect()}
+    assert got == given
+    cut = {r.t: list(r.ids) for r in df.select("t", K.encode("t", 128).alias("ids")).collect()}
+    assert cut["北京 路号"] == [19, 51, 52] + [0] * 125 and cut["号" * 300] == [52] * 128
 
 
-def test_encode_decode(spark):
-    texts = ["<|im_start|>user 这个 地址 在 哪个 省 ？北京 <|im_end|>", "user assistant 请 标准化：x",
-             "", "号号号 " * 60, "<|im_start|><|im_end|>无法 确定。"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [list(r[0]) for r in df.select(K.encode("t")).collect()]
-    assert got == [py_encode(t) for t in texts]
-    inv = {v: k for k, v in fixed.VOCAB.items()}
-    dec = [r[0] for r in df.select(K.decode(K.encode("t"))).collect()]
-    assert dec == [" ".join(inv.get(i, "[UNK]") for i in py_encode(t)) for t in texts]
+def test_all_ids_of_a_long_text_are_kept(spark):
+    pairs = spark.createDataFrame([("路 " * 500, "号 " * 400)], "instruction string, output string")
+    r = encode.encode_pairs(pairs, 128).collect()[0]
+    assert len(r.input_ids) == 128 and r.n_tokens > 900
+
+
+def test_vocabulary_of_a_thousand(spark):
+    vocab = {f"word{i}": i for i in range(2, 1000)} | {"[PAD]": 0, "[UNK]": 1, "!": 1000, "7": 1001, "-": 1002, "]": 1003}
+    df = spark.createDataFrame([("word2 word999 !7-]x word500",)], "t string")
+    r = df.select(K.token_ids("t", vocab).alias("ids")).select("ids", K.decode("ids", vocab).alias("d")).first()
+    assert list(r.ids) == [2, 999, 1000, 1001, 1002, 1003, 1, 500]
+    assert r.d == "word2 word999 ! 7 - ] [UNK] word500"
+    with pytest.raises(ValueError):
+        K.token_ids("t", {"a": 1 << 21})
 
 
 def test_encode_pairs_shapes(spark):
     pairs = spark.createDataFrame([("这个地址在哪个省？", "这个地址在北京省")], "instruction string, output string")
-    r = encode.encode_pairs(pairs).collect()[0]
+    r = encode.encode_pairs(pairs, fixed.MAX_LENGTH).collect()[0]
     assert len(r.input_ids) == 128 and r.labels == r.input_ids and r.attention_mask == [1] * 128
     assert r.input_ids[:2] == [5, 7]
 
 
-def test_split_small_and_large(spark):
+def test_split(spark):
     small = spark.range(3).withColumnRenamed("id", "k")
-    s = encode.train_eval_split(small, "k").groupBy("split").count().collect()
+    s = encode.train_eval_split(small, "k", duplicate_all=True).groupBy("split").count().collect()
     assert {r.split: r["count"] for r in s} == {"train": 3, "eval": 3}
+    assert encode.train_eval_split(small, "k").count() == 3  # no change of behaviour by size
     big = spark.range(2000).withColumnRenamed("id", "k")
     b = encode.train_eval_split(big, "k")
     n_eval = b.where(F.col("split") == "eval").count()

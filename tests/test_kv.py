@@ -47,7 +47,7 @@ def test_keep_versions_matches_brute_force(spark):
     rnd = random.Random(3)
     rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randint(0, 20)}", rnd.randint(0, 10_000), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "rowkey string, ts long, seq long")
-    got = {(r.rowkey, r.version, r.seq) for r in kv.keep_versions(df, "rowkey", "ts", 3, "seq", salt_buckets=8).collect()}
+    got = {(r.rowkey, r.version, r.seq) for r in kv.keep_versions(df, "rowkey", "ts", 3, "seq").collect()}
     want = set()
     by = {}
     for k, ts, s in rows:

@@ -51,3 +51,11 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(srows, df.columns) == _rows(drows, dcols)
+
+
+def test_table_lists_files_anew(spark, tmp_dir):
+    from tidemark.sources.tables import table
+    spark.range(5).write.parquet(f"{tmp_dir}/region.parquet")
+    assert table(spark, tmp_dir, "region").count() == 5
+    spark.range(5).write.mode("append").parquet(f"{tmp_dir}/region.parquet")
+    assert table(spark, tmp_dir, "region").count() == 10

@@ -151,10 +151,9 @@ def test_bucketed_table_latest_without_shuffle(spark):
 
 def test_views_and_checkpoint_paths(spark):
     from tidemark.session import checkpoint_dir, stream_checkpoint
-    from tidemark.sources.tables import TABLES, refresh_tables, register_views
+    from tidemark.sources.tables import TABLES, register_views
     register_views(spark, "/root/testdata/sf0.001", ["region", "nation"])
     assert spark.sql("SELECT count(*) AS n FROM nation").first().n == 25
-    refresh_tables()
     assert len(TABLES) == 14
     base = checkpoint_dir(spark)
     assert stream_checkpoint(spark, "cdc").startswith(base) and base == spark.conf.get("spark.checkpoint.dir")

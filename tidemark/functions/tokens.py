@@ -1,7 +1,7 @@
 """Vocabulary encoding of text to fixed-length id arrays, natively.
 
-The vocabulary is a 58-entry literal map, so lookups are plain map
-element access inside the generated code; no Python runs per row.
+The vocabulary is a literal map and a character translation; no Python
+runs per row.
 """
 
 from __future__ import annotations
@@ -17,16 +17,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def vocab_map(vocab: dict | None = None) -> Column:
-    vocab = fixed.VOCAB if vocab is None else vocab
-    return F.create_map(*[x for k, v in vocab.items() for x in (F.lit(k), F.lit(v))])
-
-
-def inverse_vocab_map(vocab: dict | None = None) -> Column:
-    vocab = fixed.VOCAB if vocab is None else vocab
-    return F.create_map(*[x for k, v in vocab.items() for x in (F.lit(v), F.lit(k))])
-
-
 def words(c) -> Column:
     """Markers padded with spaces, then split on whitespace (no empties)."""
     t = F.replace(_c(c), F.lit(fixed.IM_START), F.lit(" " + fixed.IM_START + " "))
@@ -34,62 +24,53 @@ def words(c) -> Column:
     return F.filter(F.split(strip_ws(t), SPACE_RUN_PATTERN), lambda w: w != "")
 
 
-# Each id is written as two decimal digits, so a whole text is encoded
-# with string functions and turned into an int array by one native cast.
-ID_WIDTH = 2
+# An id is held as one character while a text is encoded, so whole words and
+# single characters are mapped by string functions and the ids are read off
+# the characters at the end.
+FIRST_ID_CHAR = 0x10000
 
 
-def _id_text(i: int) -> str:
-    if not 0 <= i < 10 ** ID_WIDTH:
-        raise ValueError("vocabulary ids must fit in two digits")
-    return str(i).zfill(ID_WIDTH)
+def _id_char(i: int) -> str:
+    if not 0 <= i <= 0x10FFFF - FIRST_ID_CHAR:
+        raise ValueError(f"an id must lie between 0 and {0x10FFFF - FIRST_ID_CHAR}: {i}")
+    return chr(FIRST_ID_CHAR + i)
 
 
-def _id_digits(c, vocab: dict | None = None) -> Column:
-    """The text as a digit string, two digits per id: a whole word found in
-    the vocabulary becomes its id; any other word becomes one id per
-    character (the character's id, or UNK)."""
+def _id_chars(c, vocab: dict | None = None) -> Column:
+    """One character for each id: a whole word found in the vocabulary
+    becomes its id; any other word becomes one id per character (the
+    character's id, or UNK)."""
     vocab = fixed.VOCAB if vocab is None else vocab
-    word_map = F.create_map(*[x for k, v in vocab.items() for x in (F.lit(k), F.lit(_id_text(v)))])
-    singles = [k for k in vocab if len(k) == 1 and not k.isdigit() and k != "!"]
-    other = "[^" + "".join("\\" + ch if ch in "\\^-]" else ch for ch in singles) + "]"
+    word_map = F.create_map(*[x for k, v in vocab.items() for x in (F.lit(k), F.lit(_id_char(v)))])
+    singles = [k for k in vocab if len(k) == 1]
+    other = "[^" + "".join("\\" + ch if ch in "\\^-][&" else ch for ch in singles) + "]" if singles else "(?s)."
 
     def per_word(w):
-        # every character outside the single-character vocabulary -> UNK,
-        # then each vocabulary character -> its id (no digit is touched,
-        # since no vocabulary character is a digit or '!')
-        x = F.replace(F.regexp_replace(w, other, "!"), F.lit("!"), F.lit(_id_text(fixed.UNK_ID)))
-        for ch in singles:
-            x = F.replace(x, F.lit(ch), F.lit(_id_text(vocab[ch])))
-        return F.coalesce(F.try_element_at(word_map, w), x)
+        known = F.regexp_replace(w, other, _id_char(fixed.UNK_ID))
+        return F.coalesce(F.try_element_at(word_map, w), F.translate(
+            known, "".join(singles), "".join(_id_char(vocab[ch]) for ch in singles)))
 
     return F.array_join(F.transform(words(c), per_word), "")
 
 
-def _digits_to_ids(digits, n: int) -> Column:
-    """First ``n`` two-digit ids of a digit string (its length must be at
-    least 2n) as an int array, without a per-element lambda."""
-    pairs = F.split(F.regexp_replace(F.substring(digits, 1, ID_WIDTH * n), "(\\d{2})", "$1,"), ",")
-    return F.slice(pairs, 1, n).cast("array<int>")
+def _ids_of(chars) -> Column:
+    return F.transform(F.filter(F.split(chars, ""), lambda x: x != ""), lambda x: F.ascii(x) - FIRST_ID_CHAR)
 
 
 def token_ids(c, vocab: dict | None = None) -> Column:
     """Ids of the words: a known word maps to its id; an unknown word maps
     character by character, unknown characters to the UNK id."""
-    pairs = F.split(F.regexp_replace(_id_digits(c, vocab), "(\\d{2})", "$1,"), ",")
-    return F.filter(pairs, lambda p: p != "").cast("array<int>")
+    return _ids_of(_id_chars(c, vocab))
 
 
-def pad_truncate(ids, max_length: int = fixed.MAX_LENGTH, pad_id: int = fixed.PAD_ID) -> Column:
+def pad_truncate(ids, max_length: int, pad_id: int = fixed.PAD_ID) -> Column:
     """Cut to ``max_length`` or right-pad with ``pad_id``."""
     return F.slice(F.concat(_c(ids), F.array_repeat(F.lit(pad_id), max_length)), 1, max_length)
 
 
-def encode(c, max_length: int = fixed.MAX_LENGTH, vocab: dict | None = None) -> Column:
-    """Fixed-length ids: the digit string is cut / padded to ``max_length``
-    ids first, then split and cast natively."""
-    padded = F.rpad(_id_digits(c, vocab), ID_WIDTH * max_length, _id_text(fixed.PAD_ID))
-    return _digits_to_ids(padded, max_length)
+def encode(c, max_length: int, vocab: dict | None = None) -> Column:
+    """Exactly ``max_length`` ids, cut or padded; see ``token_ids`` for all."""
+    return pad_truncate(token_ids(c, vocab), max_length)
 
 
 def attention_mask(ids) -> Column:

@@ -53,12 +53,12 @@ def new_product_trend(lineitem: DataFrame, part: str = "l_partkey", ts: str = "l
     month's quantity and the growth ratio.
 
     Lines are first aggregated to (product, month) - map-side combined, so
-    hot products shrink before the shuffle - and the window then runs over
+    hot products shrink before the shuffle, fractions kept - and the window then runs over
     at most one row per month per product.
     """
     ym = (F.year(ts) * 12 + F.month(ts) - 1).alias("_ym")
     monthly = (lineitem.groupBy(part, ym)
-                       .agg(F.sum(F.col(qty).cast("bigint")).alias("qty")))
+                       .agg(F.sum(F.col(qty).cast("decimal(18,6)")).cast("double").alias("qty")))
     # one window spec (one sort): first month over the whole frame, lags
     w = Window.partitionBy(part).orderBy("_ym")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -80,14 +80,20 @@ def report_rollup(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     """Order totals by region > nation > status with subtotals and grand
     total (ROLLUP).  Money is summed in integer cents so totals are exact.
     ``level`` = number of rolled-up columns (0 = detail, 3 = grand total)."""
-    j = (orders.select("o_custkey", "o_orderstatus", "o_totalprice")
-               .join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-               .join(nation.select("n_nationkey", "n_name", "n_regionkey"),
-                     F.col("c_nationkey") == F.col("n_nationkey"))
-               .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")))
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    # one row a customer and status before the join, one a nation and status
+    # before the names; only that small table is rolled up
+    per_customer = orders.groupBy("o_custkey", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(cents).alias("cents"))
+    per_nation = (per_customer.join(customer.select("c_custkey", "c_nationkey"),
+                                    F.col("o_custkey") == F.col("c_custkey"))
+                              .groupBy("c_nationkey", "o_orderstatus").agg(F.sum("n").alias("n"),
+                                                                           F.sum("cents").alias("cents")))
+    j = (per_nation.join(nation.select("n_nationkey", "n_name", "n_regionkey"),
+                         F.col("c_nationkey") == F.col("n_nationkey"))
+                   .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")))
     return (j.rollup("r_name", "n_name", "o_orderstatus")
-             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(cents).alias("total_cents"),
+             .agg(F.sum("n").alias("n_orders"), F.sum("cents").alias("total_cents"),
                   F.grouping_id().alias("gid"))
              .withColumn("level", F.expr("bit_count(gid)").cast("int"))
              .drop("gid"))
@@ -103,9 +109,29 @@ def _checks(df: DataFrame, table: str, checks: dict) -> DataFrame:
     return agg.selectExpr(f"'{table}' as table_name", stack)
 
 
+def _one_check(n_bad: DataFrame, table: str, check: str) -> DataFrame:
+    return n_bad.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+                        F.coalesce("n_bad", F.lit(0)).cast("bigint").alias("n_bad"))
+
+
+def duplicates(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows beyond the first of each key without nulls, as ``n_bad``."""
+    whole = df.select(*keys).dropna()
+    return whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("n_bad"))
+
+
+def orphans(child: DataFrame, foreign: str, parent: DataFrame, key: str) -> DataFrame:
+    """Child rows whose key, if any, has no parent, as ``n_bad``.  The keys
+    are grouped first, so a hot key is one row in the join."""
+    keys = child.where(F.col(foreign).isNotNull()).groupBy(foreign).agg(F.count(F.lit(1)).alias("n"))
+    return (keys.join(parent.select(F.col(key).alias(foreign)), foreign, "left_anti")
+                .agg(F.sum("n").alias("n_bad")))
+
+
 def dq_checks(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
               customer: DataFrame) -> DataFrame:
-    """Null, duplicate-key, orphan and range checks; one row per check."""
+    """Null, duplicate-key, orphan and range checks; one row per check.
+    Null keys are counted by the null checks only."""
     li = _checks(lineitem, "lineitem", {
         "null_orderkey": F.count_if(F.col("l_orderkey").isNull()),
         "null_partkey": F.count_if(F.col("l_partkey").isNull()),
@@ -113,42 +139,50 @@ def dq_checks(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
         "bad_quantity": F.count_if(F.col("l_quantity") <= 0),
         "bad_discount": F.count_if((F.col("l_discount") < 0) | (F.col("l_discount") > 1)),
         "bad_tax": F.count_if((F.col("l_tax") < 0) | (F.col("l_tax") > 1)),
-        "dup_key": F.count(F.lit(1)) - F.count_distinct("l_orderkey", "l_linenumber"),
     })
     o = _checks(orders, "orders", {
         "null_custkey": F.count_if(F.col("o_custkey").isNull()),
         "bad_totalprice": F.count_if(F.col("o_totalprice") < 0),
-        "dup_key": F.count(F.lit(1)) - F.count_distinct("o_orderkey"),
-    })
-    p = _checks(part, "part", {
-        "bad_retailprice": F.count_if(F.col("p_retailprice") <= 0),
-        "dup_key": F.count(F.lit(1)) - F.count_distinct("p_partkey"),
     })
-    orphan_li = lineitem.select("l_orderkey").join(
-        orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti")
-    orphan_o = orders.select("o_custkey").join(
-        customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti")
-    orphan_p = lineitem.select("l_partkey").join(
-        part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_anti")
-    orphans = [
-        orphan_li.agg(F.count(F.lit(1)).alias("n_bad")).select(
-            F.lit("lineitem").alias("table_name"), F.lit("orphan_order").alias("check_name"), "n_bad"),
-        orphan_p.agg(F.count(F.lit(1)).alias("n_bad")).select(
-            F.lit("lineitem").alias("table_name"), F.lit("orphan_part").alias("check_name"), "n_bad"),
-        orphan_o.agg(F.count(F.lit(1)).alias("n_bad")).select(
-            F.lit("orders").alias("table_name"), F.lit("orphan_customer").alias("check_name"), "n_bad"),
-    ]
-    return reduce(DataFrame.unionByName, [li, o, p] + orphans)
+    p = _checks(part, "part", {"bad_retailprice": F.count_if(F.col("p_retailprice") <= 0)})
+    return reduce(DataFrame.unionByName, [
+        li, o, p,
+        _one_check(duplicates(lineitem, "l_orderkey", "l_linenumber"), "lineitem", "dup_key"),
+        _one_check(duplicates(orders, "o_orderkey"), "orders", "dup_key"),
+        _one_check(duplicates(part, "p_partkey"), "part", "dup_key"),
+        _one_check(orphans(lineitem, "l_orderkey", orders, "o_orderkey"), "lineitem", "orphan_order"),
+        _one_check(orphans(lineitem, "l_partkey", part, "p_partkey"), "lineitem", "orphan_part"),
+        _one_check(orphans(orders, "o_custkey", customer, "c_custkey"), "orders", "orphan_customer"),
+    ])
 
 
 def reconcile(tables: dict) -> DataFrame:
-    """Row count and key checksum per table (``tables``: name -> (df, key)).
+    """Row count, key checksum and content checksum per table (``tables``:
+    name -> (df, key)).
 
-    The checksum is an exact decimal sum of the key, returned as text."""
+    The checksums are exact decimal sums, of the key and of a hash of all
+    columns of a row, as text; the order of rows does not matter."""
     parts = []
     for name, (df, key) in tables.items():
+        # map columns cannot be hashed; their JSON text can
+        columns = [F.to_json(c) if t.startswith("map") else F.col(f"`{c}`") for c, t in df.dtypes]
+        marked = F.xxhash64(*columns, *[c.isNull() for c in columns])
         parts.append(df.agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.sum(F.col(key).cast("decimal(38,0)")).cast("string").alias("key_sum"),
-        ).select(F.lit(name).alias("table_name"), "n_rows", "key_sum"))
+            F.sum(marked.cast("decimal(38,0)")).cast("string").alias("row_sum"),
+        ).select(F.lit(name).alias("table_name"), "n_rows", "key_sum", "row_sum"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def compare_copies(sources: dict, copies: dict) -> DataFrame:
+    """Per table: row counts and key sums of source and copy, and ``in_sync``
+    (counts, keys and contents agree).  Both as for :func:`reconcile`."""
+    s = reconcile(sources).select("table_name", F.col("n_rows").alias("source_rows"),
+                                  F.col("key_sum").alias("source_key_sum"), F.col("row_sum").alias("_s"))
+    c = reconcile(copies).select("table_name", F.col("n_rows").alias("copy_rows"),
+                                 F.col("key_sum").alias("copy_key_sum"), F.col("row_sum").alias("_c"))
+    same = ((F.col("source_rows") == F.col("copy_rows")) & F.col("source_key_sum").eqNullSafe(F.col("copy_key_sum"))
+            & F.col("_s").eqNullSafe(F.col("_c")))
+    return (s.join(c, "table_name", "full_outer").withColumn("in_sync", F.coalesce(same, F.lit(False)))
+             .drop("_s", "_c"))

@@ -102,50 +102,30 @@ def diff_to_changelog(diff: DataFrame, key: str, table_name: str, change_time, i
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "running_total",
-                  block: int = 4096) -> DataFrame:
+                  blocks: int = 256) -> DataFrame:
     """Cumulative sum of ``value_col`` in ``order_col`` order, without a
-    single-partition window.
+    window over all rows.
 
-    Rows are grouped into blocks of ``block`` consecutive order values;
-    block totals (a table ``block`` times smaller) get their prefix sum,
-    which is joined back as an offset to a window partitioned by block.
-    ``order_col`` must be an integral, unique ordering key.
+    Quantiles of the order column cut the rows into at most ``blocks``
+    blocks of about equal size, however sparse or dense its values are; the
+    block totals get their prefix sum (at most ``blocks`` rows), which is
+    joined back as the offset of a window in each block.  ``order_col`` must
+    be a numeric, unique ordering key.
     """
-    b = F.floor(F.col(order_col) / F.lit(block))
-    with_b = df.withColumn("_blk", b)
+    cuts = df.agg(F.percentile_approx(order_col, [i / blocks for i in range(1, blocks)], 100 * blocks)).first()[0]
+    cuts = sorted(set(cuts or []))
+    block = F.aggregate(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>"), F.lit(0),
+                        lambda n, c: n + F.coalesce((F.col(order_col) > c).cast("int"), F.lit(0)))
+    with_b = df.withColumn("_blk", block)
     totals = with_b.groupBy("_blk").agg(F.sum(value_col).alias("_bt"))
-    # The block table is data/``block`` rows; its prefix sum is blocked
-    # once more, so every window stays small.
-    offsets = _block_offsets(totals, block)
+    w_top = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_blk", F.coalesce(F.sum("_bt").over(w_top), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     return (with_b.join(offsets, "_blk", "left")
-                  .withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.sum(value_col).over(w))
+                  .withColumn(out, F.col("_off") + F.sum(value_col).over(w))
                   .drop("_blk", "_off"))
 
 
-def _block_offsets(totals: DataFrame, block: int) -> DataFrame:
-    """Exclusive prefix sum of block totals (``_blk`` -> ``_off``)."""
-    cum = running_total_small(totals, "_blk", "_bt", block)
-    return cum.select("_blk", (F.col("_cum") - F.col("_bt")).alias("_off"))
-
-
-def running_total_small(totals: DataFrame, order_col: str, value_col: str, block: int) -> DataFrame:
-    """Prefix sum over the (already reduced) block table: a second level of
-    blocking so no window sees more than ``block`` rows per partition."""
-    sb = F.floor(F.col(order_col) / F.lit(block))
-    t2 = totals.withColumn("_sb", sb)
-    st = t2.groupBy("_sb").agg(F.sum(value_col).alias("_st"))
-    # Third level is block^2 times smaller than the block table: at 4096
-    # rows per block that is 1.6e7 input ids per super-block row, so this
-    # window stays tiny for any realistic table.
-    w_top = Window.orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    st = st.withColumn("_soff", F.coalesce(F.sum("_st").over(w_top), F.lit(0)))
-    w = Window.partitionBy("_sb").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return (t2.join(st.select("_sb", "_soff"), "_sb")
-              .withColumn("_cum", F.col("_soff") + F.sum(value_col).over(w))
-              .drop("_sb", "_soff"))
-
-
 def batch_metrics(changes: DataFrame, id_col: str = "change_id", batch_size: int = 1000,
                   batch_col: str | None = None) -> DataFrame:
     """Per-batch row count, last id and cumulative row count.
@@ -153,7 +133,7 @@ def batch_metrics(changes: DataFrame, id_col: str = "change_id", batch_size: int
     Batches are ``id div batch_size`` unless an explicit ``batch_col`` is
     given (e.g. the micro-batch id of a stream).
     """
-    bc = F.col(batch_col) if batch_col else F.floor(F.col(id_col) / F.lit(batch_size))
+    bc = F.col(batch_col) if batch_col else F.expr(f"`{id_col}` div {int(batch_size)}")
     per = changes.groupBy(bc.cast("bigint").alias("batch_no")).agg(
         F.count(F.lit(1)).alias("batch_rows"), F.max(id_col).alias("last_id"))
     return running_total(per, "batch_no", "batch_rows", out="cumulative_rows")

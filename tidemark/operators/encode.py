@@ -11,13 +11,16 @@ from tidemark.functions import text as T
 from tidemark.functions import tokens as K
 
 
-def encode_pairs(pairs: DataFrame, instruction: str = "instruction", output: str = "output",
-                 max_length: int = fixed.MAX_LENGTH, keep=()) -> DataFrame:
+def encode_pairs(pairs: DataFrame, max_length: int, instruction: str = "instruction",
+                 output: str = "output", keep=()) -> DataFrame:
     """input_ids / labels / attention_mask for each pair, rendered with the
-    training chat template.  Input columns other than ``keep`` are dropped
-    (batched map with column removal)."""
-    ids = K.encode(T.chat_text(instruction, output, "train"), max_length)
-    return (pairs.select(*keep, ids.alias("input_ids"))
+    training chat template, at the caller's ``max_length``; ``n_tokens`` is
+    the number of ids before they are cut or padded.  Input columns other
+    than ``keep`` are dropped (batched map with column removal)."""
+    ids = K.token_ids(T.chat_text(instruction, output, "train"))
+    return (pairs.select(*keep, ids.alias("_ids"))
+                 .select(*keep, F.size("_ids").alias("n_tokens"),
+                         K.pad_truncate("_ids", max_length).alias("input_ids"))
                  .withColumn("labels", F.col("input_ids"))
                  .withColumn("attention_mask", K.attention_mask("input_ids")))
 
@@ -32,14 +35,11 @@ def split_bucket(key) -> F.Column:
     return T.hash_unit(k, 100)
 
 
-def train_eval_split(df: DataFrame, key: str, eval_percent: int = fixed.EVAL_PERCENT) -> DataFrame:
+def train_eval_split(df: DataFrame, key: str, eval_percent: int = fixed.EVAL_PERCENT,
+                     duplicate_all: bool = False) -> DataFrame:
     """Rows labelled 'train' / 'eval' by a hash of the key (stable under any
-    partitioning, unlike ``randomSplit``).  When the whole set has at most
-    3 rows, every row appears in both sets."""
-    # only "more than SMALL_SET_ROWS or not" matters: count at most one row
-    # past the threshold instead of the whole input
-    n = df.limit(fixed.SMALL_SET_ROWS + 1).agg(F.count(F.lit(1))).scalar()
-    label = F.when(split_bucket(key) < eval_percent, F.lit("eval")).otherwise(F.lit("train"))
-    both = F.array(F.lit("train"), F.lit("eval"))
-    sets = F.when(n <= F.lit(fixed.SMALL_SET_ROWS), both).otherwise(F.array(label))
-    return df.withColumn("split", F.explode(sets))
+    partitioning, unlike ``randomSplit``).  With ``duplicate_all``, the
+    caller's choice for a handful of rows, every row is in both sets."""
+    if duplicate_all:
+        return df.withColumn("split", F.explode(F.array(F.lit("train"), F.lit("eval"))))
+    return df.withColumn("split", F.when(split_bucket(key) < eval_percent, "eval").otherwise("train"))

@@ -95,28 +95,13 @@ def key_ordered(df: DataFrame, key: str = "rowkey", partitions: int | None = Non
 
 
 def keep_versions(cells: DataFrame, key_cols, version_col: str,
-                  n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None,
-                  salt_buckets: int | None = None) -> DataFrame:
+                  n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None) -> DataFrame:
     """Newest ``n`` versions per cell key, numbered 1..n (1 = newest).
 
-    Two passes so a single hot key never lands whole in one task: first
-    the newest ``n`` per (key, salt) where the salt spreads a key over
-    ``salt_buckets`` groups, then the newest ``n`` among at most
-    ``n * salt_buckets`` survivors per key.  Exact: every global top-n row
-    is a top-n row of its own salt group.  By default the salt count is the
-    session's shuffle parallelism, so a hot key is spread over every task.
+    Spark limits each group to ``n`` rows before the shuffle, so a hot key
+    ships at most ``n`` rows from each input partition.
     """
-    if salt_buckets is None:
-        salt_buckets = max(8, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    order = [F.col(version_col).desc()]
-    if tie_col:
-        order.append(F.col(tie_col).desc())
-    salt_src = tie_col or version_col
-    salted = cells.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_src)), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(*key_cols, "_salt").orderBy(*order)
-    local = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= n)
-    w2 = Window.partitionBy(*key_cols).orderBy(*order)
-    return (local.drop("_rn", "_salt")
-                 .withColumn("version", F.row_number().over(w2))
-                 .where(F.col("version") <= n))
+    order = [F.col(version_col).desc()] + ([F.col(tie_col).desc()] if tie_col else [])
+    w = Window.partitionBy(*key_cols).orderBy(*order)
+    return cells.withColumn("version", F.row_number().over(w)).where(F.col("version") <= n)

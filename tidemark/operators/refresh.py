@@ -63,10 +63,12 @@ def fill_weather_defaults(df: DataFrame, as_of) -> DataFrame:
 
 
 def state_stats(state: DataFrame, keys, time_col: str, fallback_col: str, as_of,
-                interval_seconds: float, dimension_size=None) -> DataFrame:
+                interval_seconds: float, dimension_size=None, keys_unique: bool = False) -> DataFrame:
     """One row: total rows, distinct keys, fallback rows, fresh rows
     (``as_of - t <= interval``; unparsable/NULL time is not fresh) and the
-    key coverage ratio against ``dimension_size`` (number or scalar Column)."""
+    key coverage ratio against ``dimension_size`` (number or scalar Column).
+    ``keys_unique`` says that the state has one row a key, so that no
+    distinct count is needed."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     t = F.col(time_col)
     if dict(state.dtypes)[time_col] == "string":
@@ -74,7 +76,7 @@ def state_stats(state: DataFrame, keys, time_col: str, fallback_col: str, as_of,
     age = T.seconds_between(t, as_of)
     aggs = [
         F.count(F.lit(1)).alias("total_records"),
-        F.count_distinct(*[F.col(k) for k in keys]).alias("covered_keys"),
+        (F.count(F.struct(*keys)) if keys_unique else F.count_distinct(*[F.col(k) for k in keys])).alias("covered_keys"),
         F.count_if(F.coalesce(F.col(fallback_col), F.lit(False))).alias("fallback_records"),
         F.count_if(F.coalesce(age <= F.lit(interval_seconds), F.lit(False))).alias("fresh_records"),
     ]

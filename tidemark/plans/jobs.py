@@ -36,12 +36,13 @@ def address_corpus_job(spark: SparkSession, input_path: str, output_path: str,
 
 
 def encode_corpus_job(spark: SparkSession, corpus_path: str, output_path: str,
-                      key: str = "instruction", max_length: int = fixed.MAX_LENGTH) -> None:
+                      key: str = "instruction", max_length: int = fixed.MAX_LENGTH,
+                      duplicate_all: bool = False) -> None:
     """Corpus JSON -> train/eval split -> fixed-length ids, labels and mask,
     written as Parquet partitioned by split."""
-    pairs = spark.read.json(corpus_path)
-    split = encode.train_eval_split(pairs, key)
-    enc = encode.encode_pairs(split, max_length=max_length, keep=("split", "instruction", "output"))
+    pairs = spark.read.schema("instruction string, input string, output string, original_address string").json(corpus_path)
+    split = encode.train_eval_split(pairs, key, duplicate_all=duplicate_all)
+    enc = encode.encode_pairs(split, max_length, keep=("split", "instruction", "output"))
     enc.write.mode("overwrite").partitionBy("split").parquet(output_path)
 
 
@@ -73,7 +74,7 @@ def sync_tables(spark: SparkSession, url: str, tables: dict, target_dir: str,
     for a parallel read.  Each table is copied by its own distributed job
     (only the table list is iterated on the driver); the returned frame
     holds, per table, row counts and key checksums of source and copy and
-    whether they agree.
+    whether they and the contents agree.
     """
     from tidemark.operators import analytics
     from tidemark.sources import jdbc
@@ -86,11 +87,4 @@ def sync_tables(spark: SparkSession, url: str, tables: dict, target_dir: str,
         src.write.mode(mode).parquet(path)
         sources[name] = (src, spec["key"])
         copies[name] = (spark.read.parquet(path), spec["key"])
-    s = analytics.reconcile(sources).select("table_name", F.col("n_rows").alias("source_rows"),
-                                            F.col("key_sum").alias("source_key_sum"))
-    c = analytics.reconcile(copies).select("table_name", F.col("n_rows").alias("copy_rows"),
-                                           F.col("key_sum").alias("copy_key_sum"))
-    return (s.join(c, "table_name", "full_outer")
-             .withColumn("in_sync", F.coalesce((F.col("source_rows") == F.col("copy_rows"))
-                                               & F.col("source_key_sum").eqNullSafe(F.col("copy_key_sum")),
-                                               F.lit(False))))
+    return analytics.compare_copies(sources, copies)

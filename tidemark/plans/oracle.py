@@ -121,13 +121,15 @@ words AS (
            {_strip("replace(replace(txt, '<|im_start|>', ' <|im_start|> '), '<|im_end|>', ' <|im_end|> ')")},
            {_q(RE2_SPACE_RUN)}), lambda x: x <> '') AS ws
   FROM chat_t),
-encoded AS (
+coded AS (
   SELECT instruction, output,
-         list_resize(flatten(list_transform(ws, lambda w:
+         flatten(list_transform(ws, lambda w:
              CASE WHEN map_contains({_vocab_map()}, w) THEN [{_vocab_map()}[w]]
-                  ELSE list_transform(string_split(w, ''), lambda ch: coalesce({_vocab_map()}[ch], {fixed.UNK_ID})) END)),
-           {fixed.MAX_LENGTH}, {fixed.PAD_ID}) AS ids
-  FROM words)"""
+                  ELSE list_transform(string_split(w, ''), lambda ch: coalesce({_vocab_map()}[ch], {fixed.UNK_ID})) END)) AS all_ids
+  FROM words),
+encoded AS (
+  SELECT instruction, output, all_ids, list_resize(all_ids, {fixed.MAX_LENGTH}, {fixed.PAD_ID}) AS ids
+  FROM coded)"""
 
 
 def _region_case(c: str) -> str:
@@ -199,16 +201,16 @@ def _dq_rows():
         (li, "bad_quantity", "SELECT count_if(l_quantity <= 0) FROM lineitem"),
         (li, "bad_discount", "SELECT count_if(l_discount < 0 OR l_discount > 1) FROM lineitem"),
         (li, "bad_tax", "SELECT count_if(l_tax < 0 OR l_tax > 1) FROM lineitem"),
-        (li, "dup_key", "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem "
-                        "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL)) FROM lineitem"),
+        (li, "dup_key", "SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM lineitem "
+                        "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber)"),
         (o, "null_custkey", "SELECT count_if(o_custkey IS NULL) FROM orders"),
         (o, "bad_totalprice", "SELECT count_if(o_totalprice < 0) FROM orders"),
-        (o, "dup_key", "SELECT count(*) - count(DISTINCT o_orderkey) FROM orders"),
+        (o, "dup_key", "SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey)"),
         (p, "bad_retailprice", "SELECT count_if(p_retailprice <= 0) FROM part"),
-        (p, "dup_key", "SELECT count(*) - count(DISTINCT p_partkey) FROM part"),
-        (li, "orphan_order", "SELECT count(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)"),
-        (li, "orphan_part", "SELECT count(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)"),
-        (o, "orphan_customer", "SELECT count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)"),
+        (p, "dup_key", "SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM part WHERE p_partkey IS NOT NULL GROUP BY p_partkey)"),
+        (li, "orphan_order", "SELECT count(*) FROM lineitem WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)"),
+        (li, "orphan_part", "SELECT count(*) FROM lineitem WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)"),
+        (o, "orphan_customer", "SELECT count(*) FROM orders WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)"),
     ]
 
 
@@ -284,7 +286,7 @@ WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL
     "cdc_batch_metrics": f"""
 SELECT batch_no, batch_rows, last_id,
        CAST(sum(batch_rows) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_rows
-FROM (SELECT CAST(floor(event_id / {Q.CDC_BATCH}) AS BIGINT) AS batch_no, count(*) AS batch_rows, max(event_id) AS last_id
+FROM (SELECT event_id // {Q.CDC_BATCH} AS batch_no, count(*) AS batch_rows, max(event_id) AS last_id
       FROM events GROUP BY 1)""",
 
     "lenient_load": f"""
@@ -338,7 +340,8 @@ SELECT user_id, event_type, strftime(last_seen, {TS_FMT}) AS last_seen, reason,
     "cycle_counts": f"""
 WITH {DUE}
 SELECT count(*) AS n_keys, CAST(count_if(reason <> 'fresh') AS BIGINT) AS n_due,
-       CAST(count_if(reason = 'fresh') AS BIGINT) AS n_skipped, CAST(count_if(reason = 'new') AS BIGINT) AS n_new
+       CAST(count_if(reason = 'fresh') AS BIGINT) AS n_skipped, CAST(count_if(reason = 'new') AS BIGINT) AS n_new,
+       CAST(count_if(reason <> 'fresh') AS BIGINT) AS records, count(*) AS succeeded
 FROM r""",
 
     "fallback_impute": f"""
@@ -449,7 +452,7 @@ SELECT conv_id, turn, {_strip('r')} AS response FROM t""",
     "encode_tokens": f"""
 WITH {CLEANED_ADDRESSES}, {RULE_PAIRS}, {ENCODED}
 SELECT instruction, output, array_to_string(ids, ',') AS input_ids,
-       CAST(len(list_filter(ids, lambda x: x <> {fixed.PAD_ID})) AS INTEGER) AS n_tokens,
+       CAST(len(all_ids) AS INTEGER) AS n_tokens,
        CAST(len(ids) AS INTEGER) AS mask_len, true AS labels_match
 FROM encoded""",
 
@@ -459,20 +462,49 @@ SELECT instruction, output,
        array_to_string(list_transform(ids, lambda i: coalesce({_inverse_vocab_map()}[i], {_q(fixed.UNK_TOKEN)})), ' ') AS decoded
 FROM encoded""",
 
+    "encode_conversations": f"""
+WITH chat_t AS (
+  SELECT u.conv_id, u.turn,
+         '<|im_start|>user ' || u.text || ' <|im_end|> <|im_start|>assistant ' || a.text || ' <|im_end|>' AS txt
+  {CHAT_JOIN}),
+words AS (
+  SELECT conv_id, turn,
+         list_filter(string_split_regex(
+           {_strip("replace(replace(txt, '<|im_start|>', ' <|im_start|> '), '<|im_end|>', ' <|im_end|> ')")},
+           {_q(RE2_SPACE_RUN)}), lambda x: x <> '') AS ws
+  FROM chat_t),
+coded AS (
+  SELECT conv_id, turn, flatten(list_transform(ws, lambda w:
+             CASE WHEN map_contains({_vocab_map()}, w) THEN [{_vocab_map()}[w]]
+                  ELSE list_transform(string_split(w, ''), lambda ch: coalesce({_vocab_map()}[ch], {fixed.UNK_ID})) END)) AS ids
+  FROM words)
+SELECT conv_id, turn, CAST(len(ids) AS INTEGER) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM coded""",
+
     "hash_split": f"""
-WITH d AS (
-  SELECT doc_id, CASE WHEN ('0x' || substr(md5('{fixed.SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)), 1, 6))::BIGINT % 100
-                           < {fixed.EVAL_PERCENT} THEN 'eval' ELSE 'train' END AS label
-  FROM documents),
-n AS (SELECT count(*) AS n FROM documents)
-SELECT doc_id, unnest(CASE WHEN n <= {fixed.SMALL_SET_ROWS} THEN ['train', 'eval'] ELSE [label] END) AS split
-FROM d, n""",
+SELECT doc_id, CASE WHEN ('0x' || substr(md5('{fixed.SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)), 1, 6))::BIGINT % 100
+                         < {fixed.EVAL_PERCENT} THEN 'eval' ELSE 'train' END AS split
+FROM documents""",
 
     "reconcile_tables": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, "
         f"CAST(sum(CAST({k} AS DECIMAL(38,0))) AS VARCHAR) AS key_sum FROM {t}"
         for t, k in Q.STORE_TABLES.items()),
 
+    "reconcile_contents": """
+WITH first AS (SELECT min(o_orderkey) AS k FROM orders),
+t AS (
+  SELECT 'changed' AS table_name, count(*) AS source_rows, count(*) AS copy_rows,
+         CAST(sum(CAST(o_orderkey AS DECIMAL(38,0))) AS VARCHAR) AS source_key_sum,
+         CAST(sum(CAST(o_orderkey AS DECIMAL(38,0))) AS VARCHAR) AS copy_key_sum, false AS in_sync FROM orders
+  UNION ALL
+  SELECT 'equal', count(*), count(*), CAST(sum(CAST(o_orderkey AS DECIMAL(38,0))) AS VARCHAR),
+         CAST(sum(CAST(o_orderkey AS DECIMAL(38,0))) AS VARCHAR), true FROM orders
+  UNION ALL
+  SELECT 'missing', count(*), count_if(o_orderkey <> k), CAST(sum(CAST(o_orderkey AS DECIMAL(38,0))) AS VARCHAR),
+         CAST(sum(CASE WHEN o_orderkey <> k THEN CAST(o_orderkey AS DECIMAL(38,0)) END) AS VARCHAR), false
+  FROM orders, first)
+SELECT * FROM t""",
+
     "basket_affinity": """
 WITH op AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
 top AS (SELECT l_partkey AS top FROM lineitem GROUP BY l_partkey ORDER BY sum(l_quantity) DESC, l_partkey ASC LIMIT 1),
@@ -490,7 +522,7 @@ FROM co JOIN pp ON co.l_partkey = pp.l_partkey, n, nt""",
 
     "new_product_trend": """
 WITH m AS (SELECT l_partkey, CAST(year(l_shipdate) * 12 + month(l_shipdate) - 1 AS INTEGER) AS ym,
-                  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty
+                  CAST(sum(CAST(l_quantity AS DECIMAL(18,6))) AS DOUBLE) AS qty
            FROM lineitem GROUP BY 1, 2),
 x AS (SELECT *, ym - min(ym) OVER (PARTITION BY l_partkey) AS month_no FROM m)
 SELECT l_partkey, CAST(month_no AS INTEGER) AS month_no, qty,

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.functions import text as T
+from tidemark.functions import tokens as K
 from tidemark.functions.compute import literal_table
 from tidemark.operators import analytics, changelog, corpus, encode, kv, refresh, state
-from tidemark.sources.tables import spread, table
+from tidemark.sources.tables import table
 
 # Query parameters (not reference values).
 AS_OF = "2024-01-31 00:00:00"          # "now" of every batch query
@@ -63,7 +64,7 @@ def q_rowkey_prefix_scan(spark, sf):
 
 
 def q_kv_mapped_view(spark, sf):
-    o = kv.with_order_keys(spread(_t(spark, sf, "orders")))
+    o = kv.with_order_keys(_t(spark, sf, "orders"))
     src = o.select(F.col("plain_rowkey").alias("rowkey"),
                    F.col("o_orderkey").alias("order_id"),
                    T.time_text("o_orderdate").alias("create_time"),
@@ -108,7 +109,7 @@ FLAT_CHECK_SCHEMA = ("original_change_id bigint, change_id bigint, source_db str
 
 
 def q_cdc_flatten(spark, sf):
-    ch = events_as_changelog(spread(_t(spark, sf, "events")))
+    ch = events_as_changelog(_t(spark, sf, "events"))
     flat = changelog.flatten(ch, cdc_time=_ts(AS_OF))
     # parse each document once for the checked fields, once for its key count
     f = flat.select(F.from_json("doc", FLAT_CHECK_SCHEMA).alias("j"),
@@ -121,7 +122,7 @@ def q_cdc_flatten(spark, sf):
 
 
 def q_cdc_envelope(spark, sf):
-    ch = events_as_changelog(spread(_t(spark, sf, "events")))
+    ch = events_as_changelog(_t(spark, sf, "events"))
     env = changelog.with_envelope(ch)
     j = F.from_json("envelope", "change_id bigint, table_name string, record_id int, operation string, "
                                 "change_time string, old_data string, new_data string")
@@ -161,7 +162,7 @@ def q_cdc_batch_metrics(spark, sf):
 
 
 def q_lenient_load(spark, sf):
-    o = spread(_t(spark, sf, "orders"))
+    o = _t(spark, sf, "orders")
     k = F.col("o_orderkey")
     raw = o.select(
         k,
@@ -233,7 +234,7 @@ def q_due_keys(spark, sf):
 
 
 def q_cycle_counts(spark, sf):
-    return state.cycle_counts(_due(spark, sf)).select("n_keys", "n_due", "n_skipped", "n_new")
+    return state.cycle_counts(_due(spark, sf))
 
 
 def _event_ref(spark):
@@ -252,7 +253,7 @@ def q_fallback_impute(spark, sf):
 
 
 def q_change_projection(spark, sf):
-    ev = spread(_t(spark, sf, "events")).withColumn("rates", F.from_json("props", "map<string,double>"))
+    ev = _t(spark, sf, "events").withColumn("rates", F.from_json("props", "map<string,double>"))
     pr = state.project_change(ev, "rates", F.lit("k"), _ts(AS_OF))
     return pr.select("event_id", "event_type", "exchange_rate",
                      T.time_text("ts").alias("timestamp"), "update_time", "is_fallback")
@@ -264,7 +265,7 @@ def q_state_stats(spark, sf):
                               KEYS, ["ts", "event_id"])
     dim = (ev.agg(F.count_distinct("user_id")).scalar() *
            ev.agg(F.count_distinct("event_type")).scalar())
-    return refresh.state_stats(st, KEYS, "ts", "is_fallback", _ts(AS_OF), FRESH_INTERVAL, dim)
+    return refresh.state_stats(st, KEYS, "ts", "is_fallback", _ts(AS_OF), FRESH_INTERVAL, dim, keys_unique=True)
 
 
 def q_success_rate(spark, sf):
@@ -273,19 +274,19 @@ def q_success_rate(spark, sf):
 
 
 def q_pair_expansion(spark, sf):
-    docs = spread(_t(spark, sf, "documents")).select(
+    docs = _t(spark, sf, "documents").select(
         "doc_id", F.create_map(F.col("lang"), F.split("text", "\n")).alias("lines"))
     ex = refresh.expand_pairs(docs, "lines", "base", "target")
     return ex.select("doc_id", "base", "item_pos", F.length("target").alias("target_chars"))
 
 
 def q_nonblank_lines(spark, sf):
-    docs = spread(_t(spark, sf, "documents").select("lang", "text"))
+    docs = _t(spark, sf, "documents").select("lang", "text")
     return refresh.count_non_blank_lines(docs, "text", ["lang"])
 
 
 def _customer_addresses(spark, sf):
-    cust = spread(_t(spark, sf, "customer").select("c_custkey"))
+    cust = _t(spark, sf, "customer").select("c_custkey")
     dim = corpus.address_dimension(spark)
     # 10-row literal dimension with exact size statistics: Spark broadcasts it
     j = cust.join(dim, F.pmod("c_custkey", F.lit(10)) == F.col("addr_idx"))
@@ -303,7 +304,7 @@ def q_region_derive(spark, sf):
 # --- corpus -----------------------------------------------------------------------
 
 def q_clean_text(spark, sf):
-    docs = spread(_t(spark, sf, "documents").select("doc_id", "text"))
+    docs = _t(spark, sf, "documents").select("doc_id", "text")
     c = corpus.clean_addresses(docs, "text", "cleaned")
     return c.select("doc_id", F.length("cleaned").alias("n_chars_clean"), F.md5("cleaned").alias("clean_md5"))
 
@@ -350,15 +351,14 @@ def q_response_extract(spark, sf):
 
 
 def _encoded(spark, sf):
-    return encode.encode_pairs(_rule_pairs(spark, sf), keep=("instruction", "output"))
+    return encode.encode_pairs(_rule_pairs(spark, sf), fixed.MAX_LENGTH, keep=("instruction", "output"))
 
 
 def q_encode_tokens(spark, sf):
     e = _encoded(spark, sf)
     return e.select("instruction", "output",
                     F.array_join("input_ids", ",").alias("input_ids"),
-                    F.size(F.filter("input_ids", lambda x: x != fixed.PAD_ID)).alias("n_tokens"),
-                    F.size("attention_mask").alias("mask_len"),
+                    "n_tokens", F.size("attention_mask").alias("mask_len"),
                     (F.col("labels") == F.col("input_ids")).alias("labels_match"))
 
 
@@ -367,6 +367,14 @@ def q_decode_tokens(spark, sf):
     return d.select("instruction", "output", "decoded")
 
 
+def q_encode_conversations(spark, sf):
+    """All ids of every rendered turn, whatever its length."""
+    c = corpus.chat_turns(_t(spark, sf, "conversations"), "train")
+    ids = c.select("conv_id", "turn", K.token_ids("chat").alias("ids"))
+    return ids.select("conv_id", "turn", F.size("ids").alias("n_tokens"),
+                      F.md5(F.array_join("ids", ",")).alias("ids_md5"))
+
+
 def q_hash_split(spark, sf):
     return encode.train_eval_split(_t(spark, sf, "documents").select("doc_id"), "doc_id")
 
@@ -374,7 +382,21 @@ def q_hash_split(spark, sf):
 # --- reports ------------------------------------------------------------------------
 
 def q_reconcile_tables(spark, sf):
-    return analytics.reconcile({n: (_t(spark, sf, n), k) for n, k in STORE_TABLES.items()})
+    """Counts and key sums; the content sums are held against changed copies
+    in ``reconcile_contents``."""
+    return analytics.reconcile({n: (_t(spark, sf, n), k) for n, k in STORE_TABLES.items()}).drop("row_sum")
+
+
+def q_reconcile_contents(spark, sf):
+    """Orders against three copies: one value changed, equal but dealt out
+    anew, one row missing."""
+    o = _t(spark, sf, "orders")
+    first = o.agg(F.min("o_orderkey")).scalar()
+    price = F.when(F.col("o_orderkey") == first, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
+    copies = {"changed": o.withColumn("o_totalprice", price), "equal": o.repartition(7),
+              "missing": o.where(F.col("o_orderkey") != first)}
+    return analytics.compare_copies({n: (o, "o_orderkey") for n in copies},
+                                    {n: (df, "o_orderkey") for n, df in copies.items()})
 
 
 def q_basket_affinity(spark, sf):
@@ -382,7 +404,7 @@ def q_basket_affinity(spark, sf):
 
 
 def q_new_product_trend(spark, sf):
-    li = spread(_t(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_quantity"))
+    li = _t(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
     return analytics.new_product_trend(li)
 
 
@@ -431,8 +453,10 @@ QUERIES = {
     "response_extract": q_response_extract,
     "encode_tokens": q_encode_tokens,
     "decode_tokens": q_decode_tokens,
+    "encode_conversations": q_encode_conversations,
     "hash_split": q_hash_split,
     "reconcile_tables": q_reconcile_tables,
+    "reconcile_contents": q_reconcile_contents,
     "basket_affinity": q_basket_affinity,
     "new_product_trend": q_new_product_trend,
     "report_rollup": q_report_rollup,

@@ -8,25 +8,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# DataFrames over the table files, one per (session, path): like a catalog
-# table, the file listing and footer schema are read once per session.
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table; column pruning and filters reach the Parquet scan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
-
-
-def refresh_tables() -> None:
-    """Forget cached table listings (files were replaced)."""
-    _TABLES.clear()
+    """One table; column pruning and filters reach the Parquet scan.  The
+    files are listed anew each time, so files that were added are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
@@ -34,20 +19,3 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     for n in names:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when a scan is narrower than
-    the available cores (e.g. a large file written as one row group), so
-    CPU-heavy row work (regular expressions, JSON) runs on every core.
-
-    At scale the scan already has at least that many splits and this is a
-    no-op: no shuffle is added.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001 - e.g. a remote session without RDD access
-        return df
-    return df.repartition(target) if narrow else df

@@ -38,11 +38,13 @@ def changelog_stream(spark: SparkSession, path: str, fmt: str = "json",
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, schema: str,
-                 max_offsets: int = fixed.LOAD_MAX_ROWS, options: dict | None = None) -> DataFrame:
+                 max_offsets: int | None = None, options: dict | None = None) -> DataFrame:
     """JSON messages from a topic, matched to ``schema`` columns by name;
-    bad fields become NULL (lenient).  Needs the Kafka connector jar."""
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic).option("maxOffsetsPerTrigger", max_offsets))
+    bad fields become NULL (lenient).  Without ``max_offsets`` a batch takes
+    all that has arrived.  Needs the Kafka connector jar."""
+    r = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if max_offsets:
+        r = r.option("maxOffsetsPerTrigger", max_offsets)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     raw = r.load()

@@ -68,7 +68,7 @@ def test_running_total_matches_brute_force(spark):
     rnd = random.Random(7)
     vals = [(i, rnd.randint(0, 9)) for i in range(0, 500, 3)]
     df = spark.createDataFrame(vals, "k long, v long")
-    got = {r.k: r.running_total for r in changelog.running_total(df, "k", "v", block=4).collect()}
+    got = {r.k: r.running_total for r in changelog.running_total(df, "k", "v", blocks=7).collect()}
     acc, want = 0, {}
     for k, v in vals:
         acc += v
@@ -115,13 +115,15 @@ def test_diff_to_changelog_round_trip(spark):
     ch = changelog.diff_to_changelog(d, "id", "users", "2025-10-01 10:00:00", id_base=100)
     rows = {r.record_id: r for r in ch.collect()}
     assert {k: r.operation for k, r in rows.items()} == {1: "D", 2: "U", 4: "I"}
-    assert rows[1].new_data is None and json.loads(rows[1].old_data) == {"name": "a"}
-    assert rows[4].old_data is None and json.loads(rows[4].new_data) == {"name": "d"}
+    assert rows[1].new_data is None and json.loads(rows[1].old_data) == {"id": 1, "name": "a"}
+    assert rows[4].old_data is None and json.loads(rows[4].new_data) == {"id": 4, "name": "d"}
     ids = [r.change_id for r in rows.values()]
-    assert len(set(ids)) == 3 and min(ids) > 100
+    assert sorted(ids) == [101, 102, 103]
+    again = changelog.diff_to_changelog(d.repartition(5), "id", "users", "2025-10-01 10:00:00", id_base=100)
+    assert {r.record_id: r.change_id for r in again.collect()} == {r.record_id: r.change_id for r in rows.values()}
     docs = {r.record_id: json.loads(r.doc) for r in changelog.flatten(ch, cdc_time=AS_OF()).collect()}
     assert docs[2]["name"] == "b2" and docs[2]["original_operation"] == "U"
-    assert docs[1]["data_format"] == "original" and docs[1]["old_data"] == {"name": "a"}
+    assert docs[1]["data_format"] == "original" and docs[1]["old_data"] == {"id": 1, "name": "a"}
 
 
 def test_malformed_split(spark):
@@ -133,3 +135,35 @@ def test_malformed_split(spark):
                                      "old_data string, new_data string, change_time string")
     assert sorted(r.change_id for r in changelog.malformed_changes(df).collect()) == [2, 3]
     assert sorted(r.change_id for r in changelog.well_formed_changes(df).collect()) == [1, 4]
+
+
+def test_compared_columns_do_not_cut_the_images(spark):
+    old = spark.createDataFrame([(3_000_000_000, "a", 1), (2, "b", 1)], "id long, name string, seen int")
+    new = spark.createDataFrame([(3_000_000_000, "a2", 5), (2, "b", 9)], "id long, name string, seen int")
+    d = changelog.snapshot_diff(old, new, "id", compare_cols=["name"])
+    ch = changelog.diff_to_changelog(d, "id", "users", "2025-10-01 10:00:00").collect()
+    assert [(r.change_id, r.record_id, r.operation) for r in ch] == [(1, 3_000_000_000, "U")]
+    assert json.loads(ch[0].new_data) == {"id": 3_000_000_000, "name": "a2", "seen": 5}
+
+
+def test_malformed_images_are_published_as_text(spark):
+    df = spark.createDataFrame([(1, "users", 1, "U", '{"id": 1}', '{"a": broken', "2025-10-01 10:00:00")],
+                               changelog.CHANGELOG_SCHEMA.replace("timestamp", "string"))
+    doc = json.loads(changelog.flatten(df).first().doc)
+    assert doc["data_format"] == "original" and doc["new_data_raw"] == '{"a": broken' and doc["old_data"] == {"id": 1}
+    assert json.loads(changelog.with_envelope(df).first().envelope)["new_data_raw"] == '{"a": broken'
+
+
+def test_batches_of_large_ids(spark):
+    df = spark.createDataFrame([(9223372036854775000,), (9223372036854774999,), (5,)], "change_id long")
+    got = [(r.batch_no, r.batch_rows, r.cumulative_rows) for r in changelog.batch_metrics(df).orderBy("batch_no").collect()]
+    assert got == [(0, 1, 1), (9223372036854774, 1, 2), (9223372036854775, 1, 3)]
+
+
+def test_apply_changelog(spark):
+    rows = [(1, "u", 1, "I", None, '{"id": 1, "v": "a"}', None), (2, "u", 2, "I", None, '{"id": 2, "v": "b"}', None),
+            (3, "u", 1, "U", '{"id": 1}', '{"id": 1, "v": "c"}', None), (4, "u", 2, "D", '{"id": 2}', None, None)]
+    df = spark.createDataFrame(rows, changelog.CHANGELOG_SCHEMA)
+    now = changelog.apply_changelog(None, df, "id long, v string")
+    assert [(r.record_id, r.row.v) for r in now.collect()] == [(1, "c")]
+    assert [(r.record_id, r.row.v) for r in changelog.apply_changelog(now, df, "id long, v string").collect()] == [(1, "c")]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import kv
 
+# --- FIXED VALUES: the seven sample orders ---
 ORDERS7 = [
     ("ORD100001", "2025-10-01 10:00:00", "150.00", "SUCCESS", "20251001"),
     ("ORD100002", "2025-10-01 11:30:00", "89.90", "PENDING", "20251001"),
@@ -64,7 +65,7 @@ def test_kv_partitioned_files(spark, tmp_dir):
     df = spark.createDataFrame(ORDERS7, SCHEMA).withColumn("ts", F.to_timestamp("create_time"))
     keyed = kv.with_order_keys(df, "order_id", "ts").drop("plain_rowkey", "ts")
     out = os.path.join(tmp_dir, "kv")
-    writers.write_kv_partitioned(keyed, out)
+    writers.write_kv_partitioned(spark, keyed, out)
     got = writers.read_kv_prefix(spark, out, "20251002")
     assert sorted(r.rowkey for r in got.collect()) == ["20251002_ORD100003", "20251002_ORD100004"]
     plan = got._jdf.queryExecution().executedPlan().toString()
@@ -72,7 +73,7 @@ def test_kv_partitioned_files(spark, tmp_dir):
     assert "StringStartsWith(rowkey,20251002)" in plan
     # rewrite one day: dynamic overwrite keeps the other days
     day2 = keyed.where("partition_date = '20251002'").withColumn("status", F.lit("REFUNDED"))
-    writers.write_kv_partitioned(day2, out)
+    writers.write_kv_partitioned(spark, day2, out)
     allrows = spark.read.parquet(out)
     assert allrows.count() == 7 and allrows.where("status = 'REFUNDED'").count() == 2
     v = kv.kv_view(allrows.where("partition_date = '20251001'"))

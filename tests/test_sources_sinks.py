@@ -193,3 +193,99 @@ def test_partitioned_state_rewrites_touched_buckets(spark, tmp_dir):
     untouched = [d for d in before if d not in touched]
     assert untouched and all(before[d] == after[d] for d in untouched)   # untouched buckets not rewritten
     assert all(before.get(d) != after[d] for d in touched if d in before)
+
+
+def test_json_forms(spark, tmp_dir):
+    lines, array, folder = (os.path.join(tmp_dir, x) for x in ("l.json", "a.json", "f.json"))
+    with open(lines, "w") as f:
+        f.write('{"address": "a"}\n{"address": "b"}\n{"address": "c"}\n')
+    with open(array, "w") as f:
+        json.dump([{"address": "a"}, {"address": "b"}], f, indent=1)
+    pairs = spark.createDataFrame([(str(i), "o", "x") for i in range(10)], "instruction string, output string, original_address string")
+    writers.write_corpus(pairs.repartition(3), folder)
+    assert [files.load_records(spark, p).count() for p in (lines, array, folder)] == [3, 2, 10]
+    assert files.load_state(spark, lines).count() == 3
+    assert files.load_records(spark, array, multi_line=True).count() == 2
+
+
+def test_state_sinks_replay(spark, tmp_dir):
+    """Every keyed sink: a first batch is reduced, a repeated one changes nothing."""
+    first = spark.createDataFrame([(1, "old", 1), (1, "new", 2)], "k int, v string, seq int")
+    base = os.path.join(tmp_dir, "state")
+    for _ in range(2):
+        writers.upsert_state(spark, first, base, "k", "seq")
+        assert [r.v for r in writers.read_state(spark, base).collect()] == ["new"]
+    assert writers.drop_old_versions(spark, base, keep=1) == [0]
+    assert writers.read_state(spark, base).count() == 1
+
+    cells = spark.createDataFrame([("r", t, f"v{t}") for t in (1, 2, 3)], "rowkey string, ts int, v string")
+    base = os.path.join(tmp_dir, "cells")
+    for _ in range(2):
+        writers.keep_cell_versions(spark, cells, base, "rowkey", "ts")
+        assert sorted(r.ts for r in writers.read_state(spark, base).collect()) == [1, 2, 3]
+
+    path = os.path.join(tmp_dir, "buckets")
+    rows = spark.range(20).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit(1).alias("seq"))
+    writers.upsert_partitioned_state(spark, rows, path, "k", "seq", buckets=8)
+    try:
+        writers.upsert_partitioned_state(spark, rows, path, "k", "seq", buckets=4)
+        raise AssertionError("expected another number of buckets to be refused")
+    except ValueError:
+        pass
+    writers.upsert_partitioned_state(spark, rows, path, "k", "seq", buckets=8)
+    assert spark.read.parquet(path).count() == 20 and "_staging" not in os.listdir(path)
+
+    kv = os.path.join(tmp_dir, "kv")
+    day = spark.createDataFrame([("20251001_a", "1", "20251001"), ("20251001_b", "1", "20251001")],
+                                "rowkey string, v string, partition_date string")
+    writers.write_kv_partitioned(spark, day, kv)
+    change = day.where("rowkey = '20251001_b'").withColumn("v", F.lit("2"))
+    for _ in range(2):
+        writers.write_kv_partitioned(spark, change, kv)
+        assert {r.rowkey: r.v for r in spark.read.parquet(kv).collect()} == {"20251001_a": "1", "20251001_b": "2"}
+
+
+def test_commit_with_survives_a_failure(spark, tmp_dir, monkeypatch):
+    base, log = os.path.join(tmp_dir, "state"), os.path.join(tmp_dir, "log")
+    df = spark.range(3)
+    real = writers.commit_state
+    monkeypatch.setattr(writers, "commit_state", lambda *a: 1 / 0)
+    try:
+        writers.commit_with(spark, df, base, {log: df})
+    except ZeroDivisionError:
+        pass
+    monkeypatch.setattr(writers, "commit_state", real)
+    assert writers.read_state(spark, base) is None
+    assert writers.commit_with(spark, df, base, {log: df}) == 0
+    assert spark.read.json(log).count() == 3
+
+
+def test_day_buckets_have_one_file_each(spark):
+    df = spark.range(2000).repartition(16).select(
+        "id", F.lit("2025-10-01 00:00:00").cast("timestamp").alias("cdc_time"),
+        F.concat(F.lit("2025-10-0"), F.col("id") % 3 + 1).alias("ds"))
+    spark.sql("DROP TABLE IF EXISTS few_files")
+    writers.write_day_bucketed(df, "few_files", "ds", "id", ("id", "cdc_time"), 8)
+    assert spark.table("few_files").select(F.input_file_name()).distinct().count() <= 24
+
+
+def test_poll_changes_job(spark, tmp_dir):
+    from tidemark.plans import jobs
+    url, opts = "jdbc:derby:memory:polldb;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+    def put(lo, hi):
+        spark.range(lo, hi).select(
+            F.col("id").alias("change_id"), F.lit("users").alias("table_name"), F.col("id").alias("record_id"),
+            F.lit("I").alias("operation"), F.lit("").alias("old_data"),
+            F.concat(F.lit('{"id": '), "id", F.lit("}")).alias("new_data"),
+            F.lit("2025-10-01 10:00:00").cast("timestamp").alias("change_time")
+        ).write.format("jdbc").option("url", url).option("dbtable", "poll_log").options(**opts).mode("append").save()
+
+    out, cursor = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "cursor")
+    put(1, 51)
+    assert jobs.poll_changes_job(spark, url, "poll_log", out, cursor, opts) == (0, 50)
+    put(51, 61)
+    assert jobs.poll_changes_job(spark, url, "poll_log", out, cursor, opts) == (50, 60)
+    assert jobs.poll_changes_job(spark, url, "poll_log", out, cursor, opts) == (60, 60)
+    got = spark.read.json(out)
+    assert got.count() == 60 and got.select("CHANGE_ID" if "CHANGE_ID" in got.columns else "change_id").distinct().count() == 60

@@ -34,6 +34,11 @@ def json_value(c) -> Column:
     return F.try_parse_json(F.nullif(_c(c), F.lit("")))
 
 
+def malformed_text(c) -> Column:
+    """The text itself when it is not blank and not JSON, else NULL."""
+    return F.when((F.coalesce(F.trim(_c(c)), F.lit("")) != "") & json_value(c).isNull(), _c(c))
+
+
 def change_envelope(change_id="change_id", table_name="table_name",
                     record_id="record_id", operation="operation",
                     change_time="change_time", old_data="old_data",
@@ -41,16 +46,19 @@ def change_envelope(change_id="change_id", table_name="table_name",
     """One JSON document per change row.
 
     The row images are embedded as parsed JSON and omitted when NULL or
-    empty (``to_json`` drops NULL fields).
+    empty (``to_json`` drops NULL fields); text that is not JSON is kept as
+    it is under ``old_data_raw`` / ``new_data_raw``.
     """
     return F.to_json(F.struct(
         _c(change_id).cast("bigint").alias("change_id"),
         _c(table_name).alias("table_name"),
-        _c(record_id).cast("int").alias("record_id"),
+        _c(record_id).cast("bigint").alias("record_id"),
         _c(operation).alias("operation"),
         _c(change_time).cast("string").alias("change_time"),
         json_value(old_data).alias("old_data"),
         json_value(new_data).alias("new_data"),
+        malformed_text(old_data).alias("old_data_raw"),
+        malformed_text(new_data).alias("new_data_raw"),
     ))
 
 
@@ -71,7 +79,8 @@ def flatten_change(change_id="change_id", table_name="table_name",
     * row image present and a JSON object: its fields plus the metadata
       fields; metadata overwrites payload fields of the same name;
     * otherwise (deletes, JSON null, non-object): the envelope plus
-      ``source_db``, ``cdc_time`` and ``data_format = 'original'``.
+      ``source_db``, ``cdc_time`` and ``data_format = 'original'``; an image
+      that is not JSON stays in it as raw text.
 
     The envelope is built from the change columns unless ``envelope``
     (JSON text of an already-built envelope) is given.  ``cdc_time``
@@ -96,11 +105,13 @@ def flatten_change(change_id="change_id", table_name="table_name",
         env_map = _variant_map([
             ("change_id", _c(change_id).cast("bigint")),
             ("table_name", _c(table_name)),
-            ("record_id", _c(record_id).cast("int")),
+            ("record_id", _c(record_id).cast("bigint")),
             ("operation", _c(operation)),
             ("change_time", _c(change_time).cast("string")),
             ("old_data", json_value(old_data)),
             ("new_data", json_value(new_data)),
+            ("old_data_raw", malformed_text(old_data)),
+            ("new_data_raw", malformed_text(new_data)),
         ])
     else:
         env_map = F.from_json(_c(envelope), PAYLOAD_TYPE)

@@ -17,7 +17,7 @@ from tidemark.functions import jsonx
 from tidemark.functions import text as T
 from tidemark.functions.compute import with_computed
 
-CHANGELOG_SCHEMA = ("change_id bigint, table_name string, record_id int, operation string, "
+CHANGELOG_SCHEMA = ("change_id bigint, table_name string, record_id bigint, operation string, "
                     "old_data string, new_data string, change_time timestamp")
 
 
@@ -67,16 +67,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, compare_cols=None) -
 
     ``operation``: I (only in new), D (only in old), U (in both, some
     compared column differs, NULL-safe).  Unchanged rows are dropped.
-    ``old_row`` / ``new_row`` carry the before and after images.
-    One full outer join on the key; keys are unique per snapshot.
+    ``old_row`` / ``new_row`` carry the whole before and after rows, key
+    included, whatever columns are compared.  One full outer join on the key; keys are unique per snapshot.
     """
     cols = compare_cols or [c for c in new.columns if c != key]
-    o = old.select(F.col(key).alias("_k"), F.struct(*cols).alias("old_row"))
-    n = new.select(F.col(key).alias("_k"), F.struct(*cols).alias("new_row"))
+    o = old.select(F.col(key).alias("_k"), F.struct(*old.columns).alias("old_row"))
+    n = new.select(F.col(key).alias("_k"), F.struct(*new.columns).alias("new_row"))
     j = o.join(n, "_k", "full_outer")
+    compared = lambda row: F.struct(*[F.col(row)[c].alias(c) for c in cols])
     op = (F.when(F.col("old_row").isNull(), F.lit(fixed.OP_INSERT))
            .when(F.col("new_row").isNull(), F.lit(fixed.OP_DELETE))
-           .when(~F.col("old_row").eqNullSafe(F.col("new_row")), F.lit(fixed.OP_UPDATE)))
+           .when(~compared("old_row").eqNullSafe(compared("new_row")), F.lit(fixed.OP_UPDATE)))
     return (j.select(F.col("_k").alias(key), op.alias("operation"), "old_row", "new_row")
              .where(F.col("operation").isNotNull()))
 
@@ -85,22 +86,40 @@ def diff_to_changelog(diff: DataFrame, key: str, table_name: str, change_time, i
     """Change-log rows (``CHANGELOG_SCHEMA``) from ``snapshot_diff`` output:
     I carries only the new image, D only the old one, U both, as JSON text.
 
-    ``change_id`` = ``id_base`` + a distributed increasing id: unique and
-    above every earlier id when ``id_base`` is the previous cursor, without
-    numbering rows in one partition.  ``id_base`` may be a scalar Column.
+    ``change_id`` = ``id_base`` + the row's number in the order of the key:
+    dense, above every earlier id when ``id_base`` is the previous cursor,
+    and the same when the job is repeated.  ``id_base`` may be a scalar
+    Column.  The key must be numeric.
     """
+    numbered = running_total(diff.withColumn("_one", F.lit(1).cast("bigint")), key, "_one", out="_number")
     base = F.lit(id_base) if isinstance(id_base, int) else id_base
     t = F.lit(change_time).cast("timestamp") if isinstance(change_time, str) else change_time.cast("timestamp")
-    return diff.select(
-        (base + F.monotonically_increasing_id() + 1).cast("bigint").alias("change_id"),
+    return numbered.select(
+        (base + F.col("_number")).cast("bigint").alias("change_id"),
         F.lit(table_name).alias("table_name"),
-        F.col(key).cast("int").alias("record_id"),
+        F.col(key).cast("bigint").alias("record_id"),
         F.col("operation"),
         F.when(F.col("operation") != fixed.OP_INSERT, F.to_json("old_row")).alias("old_data"),
         F.when(F.col("operation") != fixed.OP_DELETE, F.to_json("new_row")).alias("new_data"),
         t.alias("change_time"))
 
 
+def apply_changelog(state: DataFrame | None, changes: DataFrame, row_schema: str,
+                    key: str = "record_id") -> DataFrame:
+    """Current rows after a change log: of each record's changes the one
+    with the greatest ``change_id`` counts; I and U put their new image, D
+    removes the record.  ``state`` (``key``, ``change_id``, ``row``) is an
+    earlier result, or None; applying the same changes again changes
+    nothing.  Removed records stay out of the result."""
+    new = changes.select(F.col("record_id").alias(key), "change_id",
+                         F.when(F.col("operation") != fixed.OP_DELETE,
+                                F.from_json("new_data", row_schema)).alias("row"))
+    every = new if state is None else state.select(key, "change_id", "row").unionByName(new)
+    last = every.groupBy(key).agg(F.max("change_id").alias("change_id"),
+                                  F.max_by("row", "change_id").alias("row"))
+    return last.where(F.col("row").isNotNull())
+
+
 def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "running_total",
                   blocks: int = 256) -> DataFrame:
     """Cumulative sum of ``value_col`` in ``order_col`` order, without a

@@ -151,7 +151,7 @@ def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
         "source",
         F.when(F.col("is_fallback"), F.lit(True)).alias("is_fallback"))
     rows = S.load_stamps(rows, as_of)
-    new_state = S.upsert(state.select(*rows.columns), rows, keys, ["update_time"], origin_col=None)
+    new_state = S.replace_keys(state.select(*rows.columns), rows, keys, "update_time")
     changes = S.project_change(rows, "rates", keys[1], as_of).select(
         *keys, "exchange_rate", "timestamp", "update_time", "is_fallback")
     counts = S.cycle_counts(due)
@@ -189,7 +189,7 @@ def refresh_weather(spark, state, snapshot, as_of, interval_seconds: float,
     rows = filled.select("province", "date", "weather", "temperature", "wind", "source",
                          F.when(F.col("is_fallback"), F.lit(True)).alias("is_fallback"))
     rows = S.load_stamps(rows, as_of)
-    new_state = S.upsert(state.select(*rows.columns), rows, keys, ["update_time"], origin_col=None)
+    new_state = S.replace_keys(state.select(*rows.columns), rows, keys, "update_time")
     stats = state_stats(new_state, keys, "update_time", "is_fallback", as_of, interval_seconds,
                         len(fixed.PROVINCES))
     return {"new_state": new_state, "counts": S.cycle_counts(due), "stats": stats, "due": due}

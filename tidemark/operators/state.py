@@ -47,6 +47,15 @@ def upsert(state: DataFrame, batch: DataFrame, keys, order_cols,
     return merged.drop("_src")
 
 
+def replace_keys(state: DataFrame, batch: DataFrame, keys, time_col: str) -> DataFrame:
+    """New state in which the batch replaces the stored row of its keys
+    whatever the stored time says (it may not even be a time); among rows of
+    the same side the latest parsed time wins."""
+    rows = (state.withColumn("_src", F.lit(0)).unionByName(batch.withColumn("_src", F.lit(1)))
+                 .withColumn("_at", T.parse_time(time_col)))
+    return latest_per_key(rows, keys, ["_src", "_at"]).drop("_src", "_at")
+
+
 def upsert_accounting(state: DataFrame, batch: DataFrame, keys) -> DataFrame:
     """One row: batch keys that replace a stored key (``updated``), batch keys
     that are new (``inserted``) and the key count after the upsert

@@ -31,7 +31,8 @@ def address_corpus_job(spark: SparkSession, input_path: str, output_path: str,
                        generator: str = "regex") -> None:
     """Load addresses (.json array or .csv), build the corpus, write it as
     JSON records (instruction, input, output, original_address)."""
-    src = files.load_records(spark, input_path)
+    schema = None if generator == "rule" else "address string"
+    src = files.load_records(spark, input_path, schema)
     writers.write_corpus(address_corpus(src, generator), output_path)
 
 
@@ -60,9 +61,34 @@ def rate_refresh_job(spark: SparkSession, state_base: str, snapshot_path: str, c
     state = writers.read_state(spark, state_base, refresh.RATE_STATE_SCHEMA)
     snap = spark.read.schema(refresh.RATE_SNAPSHOT_SCHEMA).json(snapshot_path)
     out = refresh.refresh_rates(spark, state, snap, now, interval_seconds, incremental)
-    version = writers.commit_state(spark, out["new_state"], state_base)
-    writers.append_jsonl(out["changes"], changes_path)
-    return version
+    return writers.commit_with(spark, out["new_state"], state_base, {changes_path: out["changes"]})
+
+
+def poll_changes_job(spark: SparkSession, url: str, table: str, out_path: str, cursor_path: str,
+                     options: dict | None = None, id_col: str = "change_id",
+                     num_partitions: int = 8, source_db: str = fixed.SOURCE_DB) -> tuple[int, int]:
+    """One poll of a change-log table: rows after the committed cursor up to
+    the largest id there is now, read in ``num_partitions`` id ranges,
+    flattened and written; the cursor is committed last.
+
+    Returns (cursor before, cursor now).  The rows lie in a folder named by
+    the cursor they start from, which a repeated poll overwrites, so a
+    failure between the two writes neither loses nor doubles a change.
+    """
+    from tidemark.operators import changelog
+    from tidemark.sources import jdbc
+
+    done = writers.read_state(spark, cursor_path, "cursor bigint")
+    row = done.first()
+    cursor = 0 if row is None else row[0]
+    upper = jdbc.max_id(spark, url, table, id_col, options)
+    if upper is None or upper <= cursor:
+        return cursor, cursor
+    changes = jdbc.changes_between(spark, url, table, cursor, upper, id_col, options, num_partitions)
+    flat = changelog.flatten(changes, source_db=source_db).select(id_col, F.col("doc").alias("value"))
+    flat.write.mode("overwrite").json(f"{out_path.rstrip('/')}/after={cursor}")
+    writers.commit_state(spark, spark.createDataFrame([(upper,)], "cursor bigint"), cursor_path)
+    return cursor, upper
 
 
 def sync_tables(spark: SparkSession, url: str, tables: dict, target_dir: str,

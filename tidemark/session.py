@@ -48,16 +48,19 @@ def get_session(app: str = "tidemark", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a private folder is created
-    and registered, so ``DataFrame.checkpoint()`` and streaming checkpoints
-    have somewhere to go.
+    On a cluster that setting points at shared storage and is used as is;
+    without it this fails, as a folder of one machine would lose offsets and
+    intermediate tables.  Only in local mode (tests) an unset one becomes a
+    private folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 

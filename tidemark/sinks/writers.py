@@ -17,6 +17,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions import fixed
 from tidemark.operators import state as S
+from tidemark.session import checkpoint_dir
 from tidemark.sources.catalog import check_key_prefix
 
 
@@ -48,17 +49,27 @@ def topic_writer(df: DataFrame, fmt: str = "kafka", options: dict | None = None,
 
 # --- committed state versions -------------------------------------------------------
 
+def _read_if_there(read):
+    """``read()``, or None where its path does not exist yet; any other
+    failure is the caller's."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def _commits(base: str) -> str:
     return f"{base.rstrip('/')}/_commits"
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
     """Highest committed version number, or None when nothing is committed."""
-    try:
-        row = spark.read.text(_commits(base)).agg(F.max(F.col("value").cast("bigint"))).first()
-    except AnalysisException:
+    commits = _read_if_there(lambda: spark.read.text(_commits(base)))
+    if commits is None:
         return None
-    return None if row is None else row[0]
+    return commits.agg(F.max(F.col("value").cast("bigint"))).first()[0]
 
 
 def version_path(base: str, version: int) -> str:
@@ -87,15 +98,27 @@ def commit_state(spark: SparkSession, df: DataFrame, base: str) -> int:
     return nxt
 
 
+def commit_with(spark: SparkSession, df: DataFrame, base: str, logs: dict) -> int:
+    """Write ``logs`` (path -> frame) under ``state_version=<next>``, then
+    commit ``df`` as that version.
+
+    A failure before the commit leaves the old version current, and the
+    next attempt writes the same folders again; so no log record is lost or
+    doubled, whichever step failed."""
+    cur = current_version(spark, base)
+    nxt = 0 if cur is None else cur + 1
+    for path, log in logs.items():
+        log.write.mode("overwrite").json(f"{path.rstrip('/')}/state_version={nxt}")
+    return commit_state(spark, df, base)
+
+
 def upsert_state(spark: SparkSession, batch: DataFrame, base: str, keys, order_cols,
                  origin_col: str | None = None) -> int:
     """Keyed upsert of ``batch`` into the committed state at ``base``
     (last write wins by ``order_cols``); returns the new version."""
     cur = read_state(spark, base)
-    new = batch if cur is None else S.upsert(cur, batch, keys, order_cols, origin_col)
-    if cur is None and origin_col:
-        new = new.withColumn(origin_col, F.lit("batch"))
-    return commit_state(spark, new, base)
+    stored = batch.limit(0) if cur is None else cur.select(*batch.columns)
+    return commit_state(spark, S.upsert(stored, batch, keys, order_cols, origin_col), base)
 
 
 def upsert_partitioned_state(spark: SparkSession, batch: DataFrame, path: str, keys, order_cols,
@@ -103,61 +126,91 @@ def upsert_partitioned_state(spark: SparkSession, batch: DataFrame, path: str, k
     """Keyed upsert that rewrites only the key buckets a batch touches.
 
     The state table is partitioned by ``_bucket = pmod(xxhash64(keys),
-    buckets)``.  Each upsert reads just the touched buckets (their ids, at
-    most ``buckets`` integers, are a static partition filter), merges the
-    batch in (last write wins), stages the merged
-    buckets under ``_staging`` and swaps them in with dynamic partition
-    overwrite - cost follows the batch, not the whole state.  Use a bucket
-    count large enough that one bucket fits a task comfortably.
+    buckets)``; the number of buckets is written next to it once and another
+    one is refused later.  Each upsert reads just the touched buckets (their
+    ids, at most ``buckets`` integers, are a static partition filter),
+    merges the batch in (last write wins), checkpoints the merged buckets
+    and swaps them in with dynamic partition overwrite - cost follows the
+    batch, not the whole state, and a repeated batch gives the same state.
+    Use a bucket count large enough that one bucket fits a task comfortably.
     """
-    import uuid
-
+    checkpoint_dir(spark)
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    meta = f"{path.rstrip('/')}/_buckets"
+    said = _read_if_there(lambda: spark.read.text(meta))
+    if said is None:
+        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode("overwrite").text(meta)
+    elif int(said.first()[0]) != buckets:
+        raise ValueError(f"the state at {path} has {said.first()[0]} buckets, not {buckets}")
     b = batch.withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
-    try:
-        cur = spark.read.parquet(path)
-    except AnalysisException:
-        cur = None
+    cur = _read_if_there(lambda: spark.read.parquet(path))
     if cur is None:
-        S.latest_per_key(b, keys + ["_bucket"], order_cols).write.mode("overwrite") \
-            .partitionBy("_bucket").parquet(path)
-        return
-    # the touched bucket ids (at most ``buckets`` small ints) become a static
-    # partition filter, so only those partitions are listed and read
-    touched = [r[0] for r in b.select("_bucket").distinct().collect()]
-    cur_touched = cur.where(F.col("_bucket").isin(touched))
-    merged = S.upsert(cur_touched.select(*b.columns), b, keys + ["_bucket"], order_cols, origin_col=None)
-    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("_bucket").parquet(path))
+        merged = S.latest_per_key(b, keys + ["_bucket"], order_cols)
+    else:
+        # the batch is computed once; its bucket ids become a static filter
+        b = b.checkpoint()
+        touched = [r[0] for r in b.select("_bucket").distinct().collect()]
+        cur = cur.where(F.col("_bucket").isin(touched))
+        merged = S.upsert(cur.select(*b.columns), b, keys + ["_bucket"], order_cols, origin_col=None).checkpoint()
+    (merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_bucket").parquet(path))
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
+    """Remove all but the newest ``keep`` committed versions; returns the
+    removed ones.  Call it when no reader holds an older version."""
+    now = current_version(spark, base)
+    gone = []
+    conf = spark._jsc.hadoopConfiguration()
+    for v in range(0 if now is None else max(0, now - keep + 1)):
+        where = spark._jvm.org.apache.hadoop.fs.Path(version_path(base, v))
+        if where.getFileSystem(conf).delete(where, True):
+            gone.append(v)
+    return gone
 
 
 def keep_cell_versions(spark: SparkSession, batch: DataFrame, base: str, key_cols, version_col: str,
                        n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None) -> int:
-    """Versioned-cell store: append the batch, keep the newest ``n``
-    versions per cell, commit as the next state version."""
+    """Versioned-cell store: add the batch, keep the newest ``n`` versions
+    per cell, commit as the next state version.  A version that is written
+    again replaces itself, so a repeated batch changes nothing."""
     from tidemark.operators.kv import keep_versions
+    key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     cur = read_state(spark, base)
-    allv = batch if cur is None else cur.drop("version").unionByName(batch)
-    kept = keep_versions(allv, key_cols, version_col, n, tie_col)
+    stored = batch.limit(0) if cur is None else cur.select(*batch.columns)
+    cell = key_cols + [version_col] + ([tie_col] if tie_col else [])
+    kept = keep_versions(S.upsert(stored, batch, cell, [version_col], origin_col=None),
+                         key_cols, version_col, n, tie_col)
     return commit_state(spark, kept, base)
 
 
 # --- key-ordered KV files ---------------------------------------------------------------
 
-def write_kv_partitioned(df: DataFrame, path: str, key: str = "rowkey",
-                         partition_col: str = "partition_date", files_per_day: int | None = None,
-                         mode: str = "overwrite") -> None:
-    """Partition-prefixed key-value layout: one directory per day, rows
+def write_kv_partitioned(spark: SparkSession, df: DataFrame, path: str, key: str = "rowkey",
+                         partition_col: str = "partition_date", files_per_day: int = 1) -> None:
+    """Partition-prefixed key-value upsert: one directory per day, rows
     range-partitioned and sorted by row key so each file holds one
     contiguous key range (Parquet min/max statistics then skip row groups
-    on key-prefix scans).  Same row key written again replaces the day's
-    files under dynamic partition overwrite."""
-    from tidemark.operators.kv import key_ordered
-    ordered = key_ordered(df, key, files_per_day)
-    (ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    on key-prefix scans).
+
+    A row replaces the stored row of the same key; the other rows of its
+    day stay.  Days that the batch does not touch are neither read nor
+    written, and a repeated batch gives the same files' contents.
+    """
+    checkpoint_dir(spark)
+    new = df.dropDuplicates([partition_col, key]).checkpoint()
+    days = [r[0] for r in new.select(partition_col).distinct().collect()]  # names only
+    cur = _read_if_there(lambda: spark.read.parquet(path))
+    merged = new
+    if cur is not None:
+        old = cur.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
+        old = old.where(F.col(partition_col).isin(days)).join(new.select(partition_col, key), [partition_col, key],
+                                                              "left_anti")
+        merged = old.select(*new.columns).unionByName(new).checkpoint()
+    ordered = (merged.repartitionByRange(max(1, len(days) * files_per_day), partition_col, key)
+                     .sortWithinPartitions(partition_col, key))
+    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col).parquet(path))
 
 
@@ -180,12 +233,34 @@ def write_day_bucketed(df: DataFrame, table: str, day_col: str = "ds", bucket_co
                        mode: str = "append", fmt: str = "parquet") -> None:
     """Append into a table partitioned by day, hash-bucketed and sorted on
     its key prefix.  Later joins / aggregations on the bucket column read
-    it without a shuffle.  Duplicate keys are allowed (append-only)."""
+    it without a shuffle.  Duplicate keys are allowed (append-only).  Rows
+    are dealt out by day and bucket first, so there is one file of each."""
     check_key_prefix([c for c in df.columns if c != day_col], list(sort_cols))
-    (df.write.format(fmt).mode(mode).partitionBy(day_col)
+    (df.repartition(day_col, F.pmod(F.hash(bucket_col), F.lit(n_buckets)))
+       .write.format(fmt).mode(mode).partitionBy(day_col)
        .bucketBy(n_buckets, bucket_col).sortBy(*sort_cols).saveAsTable(table))
 
 
+def replace_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int, day_col: str = "ds",
+                  bucket_col: str = "id", sort_cols=("id", "cdc_time"),
+                  n_buckets: int = fixed.TABLE_BUCKETS, fmt: str = "parquet") -> None:
+    """Write one batch (column ``batch_id``) into a table partitioned by
+    batch and day; what an earlier attempt of the batch wrote is replaced,
+    other batches stay."""
+    if not spark.catalog.tableExists(table):
+        check_key_prefix([c for c in df.columns if c not in (day_col, "batch_id")], list(sort_cols))
+        (spark.createDataFrame([], df.schema).write.format(fmt).partitionBy("batch_id", day_col)
+           .bucketBy(n_buckets, bucket_col).sortBy(*sort_cols).saveAsTable(table))
+    # the batch's earlier rows go first; if this attempt fails the next one
+    # starts here again
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {table} PARTITION (batch_id={int(batch_id)})").collect():
+        day = dict(p.split("=", 1) for p in spec.split("/"))[day_col]  # names of days only
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id={int(batch_id)}, {day_col}='{day}')")
+    columns = [c for c in spark.table(table).columns]
+    (df.select(*columns).repartition(day_col, F.pmod(F.hash(bucket_col), F.lit(n_buckets)))
+       .write.mode("append").insertInto(table))
+
+
 def expire_day_partitions(spark: SparkSession, table: str, as_of_day: str, day_col: str = "ds",
                           days_before: int = fixed.RETENTION_DAYS_BEFORE,
                           days_after: int = fixed.RETENTION_DAYS_AFTER) -> list:

@@ -17,21 +17,34 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
                  .option("mode", "PERMISSIVE").csv(path))
 
 
+def _json(spark: SparkSession, path: str, schema: str | None, multi_line: bool | None) -> DataFrame:
+    """JSON lines, or documents over several lines (``multi_line``).  When
+    not told, the first line decides: an array, or an object that does not
+    end on its line, is a document of several lines."""
+    if multi_line is None:
+        first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+        start = first[0][0].strip() if first else ""
+        multi_line = start.startswith("[") or (start.startswith("{") and not start.endswith("}"))
+    r = spark.read.option("multiLine", multi_line)
+    return (r.schema(schema) if schema else r).json(path)
+
+
 def load_records(spark: SparkSession, path: str, schema: str | None = None,
-                 sample_if_unknown: bool = False) -> DataFrame:
-    """Load records by file extension: ``.json`` (a JSON array or JSON
-    lines), ``.csv`` (with header).  Any other input is an error unless the
-    caller explicitly asks for the built-in three-address sample
-    (``sample_if_unknown=True``) - a bad input is never silently replaced."""
+                 sample_if_unknown: bool = False, multi_line: bool | None = None) -> DataFrame:
+    """Load records by file extension: ``.json`` (JSON arrays or JSON lines,
+    see ``multi_line``; an array is read by one task a file, as the format
+    demands), ``.jsonl``, ``.csv`` (with header).  Any other input is an
+    error unless the caller explicitly asks for the built-in three-address
+    sample (``sample_if_unknown=True``) - a bad input is never silently
+    replaced."""
     low = path.lower().rstrip("/")
     if sample_if_unknown and not low.endswith((".json", ".jsonl", ".csv")):
         from tidemark.functions import fixed
         from tidemark.functions.compute import literal_table
         return literal_table(spark, [(r[0],) for r in fixed.ADDRESS_ROWS[:fixed.SAMPLE_ADDRESSES]],
                              "address string")
-    if low.endswith(".json") or low.endswith(".jsonl"):
-        r = spark.read.option("multiLine", low.endswith(".json"))
-        return (r.schema(schema) if schema else r).json(path)
+    if low.endswith((".json", ".jsonl")):
+        return _json(spark, path, schema, False if low.endswith(".jsonl") else multi_line)
     if low.endswith(".csv"):
         r = spark.read.option("header", True)
         return (r.schema(schema) if schema else r.option("inferSchema", False)).csv(path)
@@ -39,11 +52,11 @@ def load_records(spark: SparkSession, path: str, schema: str | None = None,
 
 
 def load_state(spark: SparkSession, path: str, schema: str | None = None,
-               time_col: str = "update_time", out: str = "last_update") -> DataFrame:
-    """Current-state JSON document (array of records) with the parsed
-    last-update time per record; unparsable times become NULL."""
-    r = spark.read.option("multiLine", True)
-    df = (r.schema(schema) if schema else r).json(path)
+               time_col: str = "update_time", out: str = "last_update",
+               multi_line: bool | None = None) -> DataFrame:
+    """Current-state JSON (an array of records, or JSON lines) with the
+    parsed last-update time per record; unparsable times become NULL."""
+    df = _json(spark, path, schema, multi_line)
     if time_col in df.columns:
         df = df.withColumn(out, T.parse_time(time_col))
     return df

@@ -46,3 +46,19 @@ def changes_after(spark: SparkSession, url: str, table: str, cursor: int,
                     partition_column=id_col if upper is not None and num_partitions > 1 else None,
                     lower_bound=cursor + 1, upper_bound=upper, num_partitions=num_partitions)
     return df.where(F.col(id_col) > F.lit(cursor)).orderBy(id_col)
+
+
+def max_id(spark: SparkSession, url: str, table: str, id_col: str = "change_id",
+           options: dict | None = None) -> int | None:
+    """Largest id of a table, answered by the database (one row)."""
+    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(id_col)
+    return read_table(spark, url, f"(SELECT MAX({quoted}) AS m FROM {table}) t", options).first()[0]
+
+
+def changes_between(spark: SparkSession, url: str, table: str, cursor: int, upper: int,
+                    id_col: str = "change_id", options: dict | None = None,
+                    num_partitions: int = 8) -> DataFrame:
+    """Change rows with ``cursor < id <= upper`` in ``num_partitions`` range
+    queries; both bounds are pushed into them."""
+    df = read_table(spark, url, table, options, id_col, cursor + 1, upper + 1, num_partitions)
+    return df.where((F.col(id_col) > F.lit(cursor)) & (F.col(id_col) <= F.lit(upper)))

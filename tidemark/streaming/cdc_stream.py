@@ -9,10 +9,11 @@
 * keep a keyed "latest value" state up to date per micro-batch;
 * run the repeated rate-refresh cycle against the committed state.
 
-Replayed micro-batches do not double-count: the table load skips a batch
-id whose counters are already written, and the keyed-state and refresh
-handlers rebuild the same state from the committed version (a replayed
-refresh finds its keys fresh and writes no new change records).
+A replayed micro-batch replaces what its first attempt wrote: loaded rows,
+quarantined rows and counters lie in folders of their batch id, which are
+overwritten; change records and counters of a refresh lie in folders of the
+state version they lead to, and are written before that version is
+committed.
 """
 
 from __future__ import annotations
@@ -83,13 +84,14 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
                  target_schema: str, key_col: str = "id", time_col: str = "cdc_time",
                  day_col: str = "ds", n_buckets: int = fixed.TABLE_BUCKETS,
                  trigger: str | None = fixed.LOAD_TRIGGER, available_now: bool = False,
-                 quarantine_path: str | None = None):
-    """Micro-batch load of flattened changes into a day-partitioned,
-    bucketed table, plus one counter row per batch
-    (batch_id, rows, last change id) appended to ``metrics_path``.
+                 quarantine_path: str | None = None, defaults: dict | None = None):
+    """Micro-batch load of flattened changes into a table partitioned by
+    batch and day and bucketed, plus one counter row per batch
+    (batch_id, rows, last change id) under ``metrics_path``.
 
     ``target_schema`` lists the table columns (key column first, then the
-    time column: the key prefix the table is sorted on).  With
+    time column: the key prefix the table is sorted on); ``defaults`` fills
+    columns that are NULL or missing.  A repeated batch replaces its rows.  With
     ``quarantine_path``, change rows whose non-blank row image is not valid
     JSON are appended there instead of being loaded.
     """
@@ -98,30 +100,23 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # counters are partitioned by batch id: a replay only probes its own folder
-        try:
-            done = spark.read.json(f"{metrics_path.rstrip('/')}/batch_id={batch_id}").limit(1).count() > 0
-        except Exception:  # noqa: BLE001 - folder absent: batch not loaded yet
-            done = False
-        if done:
-            return
         if quarantine_path:
             # unparsable row images are kept aside; the rest is loaded
-            changelog.malformed_changes(batch).drop("doc").withColumn("batch_id", F.lit(batch_id)) \
-                .write.mode("append").json(quarantine_path)
+            (changelog.malformed_changes(batch).drop("doc").write.mode("overwrite")
+                .json(f"{quarantine_path.rstrip('/')}/batch_id={batch_id}"))
             batch = changelog.well_formed_changes(batch)
-        typed = _typed_from_docs(batch, target_schema)
+        typed = changelog.with_defaults(_typed_from_docs(batch, target_schema), defaults or {})
         typed = typed.withColumn(time_col, F.coalesce(F.col(time_col).cast("timestamp"), F.current_timestamp()))
         # counters are observed while the rows are written: one pass
         obs = Observation(f"load_batch_{batch_id}")
         observed = typed.observe(obs, F.count(F.lit(1)).alias("rows"),
                                  F.max("change_id").alias("last_change_id"))
-        rows = observed.select(*cols, F.date_format(time_col, fixed.DATE_TEXT_FORMAT).alias(day_col))
-        writers.write_day_bucketed(rows, table, day_col, key_col, (key_col, time_col), n_buckets)
+        rows = observed.select(*cols, F.date_format(time_col, fixed.DATE_TEXT_FORMAT).alias(day_col),
+                               F.lit(batch_id).cast("bigint").alias("batch_id"))
+        writers.replace_batch(spark, rows, table, batch_id, day_col, key_col, (key_col, time_col), n_buckets)
         got = obs.get
-        spark.createDataFrame([(batch_id, got["rows"], got["last_change_id"])],
-                              "batch_id bigint, rows bigint, last_change_id bigint") \
-             .write.mode("append").partitionBy("batch_id").json(metrics_path)
+        (spark.createDataFrame([(got["rows"], got["last_change_id"])], "rows bigint, last_change_id bigint")
+              .coalesce(1).write.mode("overwrite").json(f"{metrics_path.rstrip('/')}/batch_id={batch_id}"))
 
     w = flat.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
@@ -129,8 +124,8 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
 
 
 def batch_counters(spark: SparkSession, metrics_path: str) -> DataFrame:
-    """Per-batch counters with the running total (replayed batches counted once)."""
-    m = spark.read.json(metrics_path).dropDuplicates(["batch_id"])
+    """Per-batch counters with the running total (a replayed batch has one row)."""
+    m = spark.read.json(metrics_path)
     return changelog.running_total(m, "batch_id", "rows", out="cumulative_rows")
 
 
@@ -164,8 +159,8 @@ def refresh_stream(snapshots: DataFrame, state_base: str, changes_path: str, cou
     """Repeated refresh cycle: every micro-batch of landed fetch results
     (base_currency, target_currency, rate) runs one refresh against the
     committed rate state - due filter, fallback imputation, keyed upsert -
-    commits the next state version, and appends the change records and the
-    cycle counters (tagged with the batch id and state version).
+    writes the change records and the cycle counters under the number of the
+    next state version and commits that version last.
 
     ``as_of`` fixes "now" (tests); by default each batch uses its start time.
     """
@@ -179,11 +174,9 @@ def refresh_stream(snapshots: DataFrame, state_base: str, changes_path: str, cou
             dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)).cast("timestamp_ntz")
         state = writers.read_state(spark, state_base, refresh.RATE_STATE_SCHEMA)
         out = refresh.refresh_rates(spark, state, batch, now, interval_seconds)
-        version = writers.commit_state(spark, out["new_state"], state_base)
-        out["changes"].write.mode("append").json(changes_path)
-        (out["counts"].withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                      .withColumn("state_version", F.lit(version).cast("bigint"))
-                      .write.mode("append").json(counts_path))
+        counts = out["counts"].withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        writers.commit_with(spark, out["new_state"], state_base,
+                            {changes_path: out["changes"], counts_path: counts})
 
     w = snapshots.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

@@ -62,12 +62,10 @@ MIN_ADDRESS_LEN = 3
 
 IM_START = "<|im_start|>"
 IM_END = "<|im_end|>"
-# Training text: "<|im_start|>user {instruction} <|im_end|> <|im_start|>assistant {output} <|im_end|>"
-CHAT_TRAIN_PARTS = ("<|im_start|>user ", " <|im_end|> <|im_start|>assistant ", " <|im_end|>")
-# Plain dialogue text: "用户: {instruction}\n助手: {output}"
-CHAT_PLAIN_PARTS = ("用户: ", "\n助手: ", "")
-# Generation prompt: "<|im_start|>user\n{prompt}<|im_end|>\n<|im_start|>assistant\n"
-CHAT_PROMPT_PARTS = ("<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n")
+# Training text, plain dialogue and generation prompt.
+CHAT_TRAIN = "<|im_start|>user {instruction} <|im_end|> <|im_start|>assistant {output} <|im_end|>"
+CHAT_PLAIN = "用户: {instruction}\n助手: {output}"
+CHAT_PROMPT = "<|im_start|>user\n{instruction}<|im_end|>\n<|im_start|>assistant\n"
 ASSISTANT_MARKER = "<|im_start|>assistant\n"
 
 # --- FIXED VALUES: vocabulary (58 entries, ids 0-57) --------------------------

@@ -6,6 +6,8 @@ functions, so they stay inside whole-stage codegen (no Python UDF).
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import Column
@@ -93,16 +95,12 @@ def hash_unit(key, modulus: int) -> Column:
 
 def chat_text(instruction, output, style: str = "train") -> Column:
     """Chat text for an (instruction, output) pair in one of three styles."""
-    if style == "train":
-        a, b, c = fixed.CHAT_TRAIN_PARTS
-        return F.concat(F.lit(a), _c(instruction), F.lit(b), _c(output), F.lit(c))
-    if style == "plain":
-        a, b, c = fixed.CHAT_PLAIN_PARTS
-        return F.concat(F.lit(a), _c(instruction), F.lit(b), _c(output), F.lit(c))
-    if style == "prompt":
-        a, b = fixed.CHAT_PROMPT_PARTS
-        return F.concat(F.lit(a), _c(instruction), F.lit(b))
-    raise ValueError(f"unknown chat style {style!r}")
+    templates = {"train": fixed.CHAT_TRAIN, "plain": fixed.CHAT_PLAIN, "prompt": fixed.CHAT_PROMPT}
+    if style not in templates:
+        raise ValueError(f"unknown chat style {style!r}")
+    values = {"instruction": _c(instruction), "output": _c(output)}
+    parts = re.split(r"\{(\w+)\}", templates[style])  # literal, name, literal, ...
+    return F.concat(*[values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)])
 
 
 def extract_response(c) -> Column:

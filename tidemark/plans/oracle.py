@@ -214,7 +214,63 @@ def _dq_rows():
     ]
 
 
+LATEST = f"""
+SELECT user_id, event_type, event_id, value, strftime(ts, {TS_FMT}) AS ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
 SQL = {
+    "sink_state_upsert": LATEST,
+    "sink_bucketed_state": LATEST,
+
+    "sink_kv_partitioned": f"""
+SELECT strftime(o_orderdate, '%Y%m%d') || '_' || CAST(o_orderkey AS VARCHAR) AS rowkey, o_orderkey,
+       CASE WHEN strftime(o_orderdate, '%Y%m%d') = '{Q.SCAN_DAY}' THEN 1.5 ELSE o_totalprice END AS o_totalprice
+FROM orders""",
+
+    "sink_cell_versions": f"""
+SELECT rowkey, CAST(version AS INTEGER) AS version, event_id, value FROM (
+  SELECT CAST(user_id AS VARCHAR) || '_' || event_type AS rowkey, event_id, value,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS version
+  FROM events) WHERE version <= {fixed.KV_MAX_VERSIONS}""",
+
+    "sink_day_bucketed": """
+SELECT strftime(ts, '%Y-%m-%d') AS ds, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1""",
+
+    "corpus_round_trip": f"""
+SELECT u.conv_id, md5('<|im_start|>user' || chr(10) || u.text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10))
+         AS prompt_md5, md5(a.text) AS output_md5, '' AS input
+{CHAT_JOIN}""",
+
+    "state_round_trip": f"""
+SELECT user_id, event_type, strftime(max(ts), {TS_FMT}) AS last_update FROM events GROUP BY 1, 2""",
+
+    "delimited_table": """
+SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS INTEGER) AS ds FROM customer""",
+
+    "append_log": "SELECT 2 * count(*) AS lines FROM conversations",
+
+    "view_star": "SELECT * FROM nation",
+
+    "changelog_chain": f"""
+WITH o AS (
+  SELECT o_orderkey, o_orderstatus, o_totalprice,
+         o_orderdate < TIMESTAMP '{Q.SNAPSHOT_OLD_END}' AS in_old,
+         NOT (o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '{Q.PURGE_BEFORE}') AS in_new,
+         CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS new_price
+  FROM orders),
+d AS (
+  SELECT *, CASE WHEN NOT in_old THEN 'I' WHEN NOT in_new THEN 'D' ELSE 'U' END AS operation FROM o
+  WHERE (in_old OR in_new) AND NOT (in_old AND in_new AND o_orderstatus <> 'O'))
+SELECT row_number() OVER (ORDER BY o_orderkey) AS change_id, o_orderkey AS id, operation,
+       CASE WHEN operation = 'D' THEN o_totalprice ELSE new_price END AS price
+FROM d""",
+
+    "apply_changelog": """
+SELECT user_id AS record_id, event_id AS change_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'error'""",
+
     "status_counts": """
 SELECT o_orderstatus AS status, count(*) AS count FROM orders GROUP BY o_orderstatus""",
 

@@ -7,6 +7,8 @@ SQL in ``plans.oracle`` uses the same values.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,10 @@ from tidemark.functions import text as T
 from tidemark.functions import tokens as K
 from tidemark.functions.compute import literal_table
 from tidemark.operators import analytics, changelog, corpus, encode, kv, refresh, state
-from tidemark.sources.tables import table
+from tidemark.session import scratch_path
+from tidemark.sinks import writers
+from tidemark.sources import catalog, files
+from tidemark.sources.tables import register_views, table
 
 # Query parameters (not reference values).
 AS_OF = "2024-01-31 00:00:00"          # "now" of every batch query
@@ -418,7 +423,149 @@ def q_dq_checks(spark, sf):
                                _t(spark, sf, "part"), _t(spark, sf, "customer"))
 
 
+# --- write, repeat, read back ---------------------------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_sink_state_upsert(spark, sf):
+    """Two batches into the committed state, the second one repeated."""
+    ev = _t(spark, sf, "events").select(*KEYS, "event_id", "ts", "value")
+    base, late = _scratch(spark, "state"), F.col("ts") >= _ts(STATE_CUTOFF)
+    for part in (~late, late, late):
+        writers.upsert_state(spark, ev.where(part), base, KEYS, ["ts", "event_id"])
+    return writers.read_state(spark, base).select(*KEYS, "event_id", "value", T.time_text("ts").alias("ts"))
+
+
+def q_sink_bucketed_state(spark, sf):
+    """As ``sink_state_upsert``, rewriting only the buckets that a batch touches."""
+    ev = _t(spark, sf, "events").select(*KEYS, "event_id", "ts", "value")
+    path, late = _scratch(spark, "buckets"), F.col("ts") >= _ts(STATE_CUTOFF)
+    for part in (~late, late, late):
+        writers.upsert_partitioned_state(spark, ev.where(part), path, KEYS, ["ts", "event_id"], buckets=16)
+    return spark.read.parquet(path).select(*KEYS, "event_id", "value", T.time_text("ts").alias("ts"))
+
+
+def q_sink_kv_partitioned(spark, sf):
+    """Orders by month and row key; then those of one month again with
+    another price, twice: the other rows of the month stay."""
+    o = _t(spark, sf, "orders")
+    rows = o.select(T.time_text("o_orderdate", "yyyyMM").alias("partition_date"),
+                    T.row_key(T.day_key("o_orderdate"), "o_orderkey").alias("rowkey"), "o_orderkey", "o_totalprice")
+    path = _scratch(spark, "kv")
+    writers.write_kv_partitioned(spark, rows, path)
+    again = rows.where(F.col("rowkey").startswith(SCAN_DAY)).withColumn("o_totalprice", F.lit(1.5))
+    for _ in range(2):
+        writers.write_kv_partitioned(spark, again, path)
+    return spark.read.parquet(path).select("rowkey", "o_orderkey", "o_totalprice")
+
+
+def q_sink_cell_versions(spark, sf):
+    """Versioned cells: early events, then late ones twice."""
+    ev = _t(spark, sf, "events").select(T.row_key("user_id", "event_type").alias("rowkey"), "ts", "event_id", "value")
+    base, late = _scratch(spark, "cells"), F.col("ts") >= _ts(STATE_CUTOFF)
+    for part in (~late, late, late):
+        writers.keep_cell_versions(spark, ev.where(part), base, "rowkey", "ts", tie_col="event_id")
+    return writers.read_state(spark, base).select("rowkey", "version", "event_id", "value")
+
+
+def q_sink_day_bucketed(spark, sf):
+    """Two batches into a table by batch and day, the second one repeated."""
+    ev = _t(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("cdc_time"), "user_id",
+                                        T.time_text("ts", fixed.DATE_TEXT_FORMAT).alias("ds"))
+    name = f"events_{uuid.uuid4().hex}"
+    late = F.col("cdc_time") >= _ts(STATE_CUTOFF)
+    for batch, part in enumerate((~late, late)):
+        for _ in range(batch + 1):
+            writers.replace_batch(spark, ev.where(part).withColumn("batch_id", F.lit(batch).cast("bigint")), name, batch)
+    return spark.table(name).groupBy("ds").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
+
+
+def q_corpus_round_trip(spark, sf):
+    """Corpus records written as JSON and loaded by their extension."""
+    c = corpus.chat_turns(_t(spark, sf, "conversations"), "prompt")
+    path = _scratch(spark, "corpus") + ".json"
+    writers.write_corpus(c.select(F.col("chat").alias("instruction"), "output",
+                                  F.col("conv_id").cast("string").alias("original_address")), path)
+    r = files.load_records(spark, path, "instruction string, input string, output string, original_address string")
+    return r.select(F.col("original_address").cast("bigint").alias("conv_id"), F.md5("instruction").alias("prompt_md5"),
+                    F.md5("output").alias("output_md5"), "input")
+
+
+def q_state_round_trip(spark, sf):
+    """The latest state as JSON, loaded back with its times parsed."""
+    ev = _t(spark, sf, "events").select(*KEYS, "event_id", "ts")
+    st = state.latest_per_key(ev, KEYS, ["ts", "event_id"]).withColumn("update_time", T.time_text("ts")).drop("ts")
+    path = _scratch(spark, "state-json")
+    st.write.json(path)
+    loaded = files.load_state(spark, path, "user_id bigint, event_type string, event_id bigint, update_time string")
+    return files.last_update_per_key(loaded, KEYS).withColumn("last_update", T.time_text("last_update"))
+
+
+def q_delimited_table(spark, sf):
+    """Customers as delimited text by nation, read as an external table."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", F.col("c_nationkey").alias("ds"))
+    path = _scratch(spark, "csv")
+    c.write.partitionBy("ds").option("header", True).csv(path)
+    name = f"customers_{uuid.uuid4().hex}"
+    catalog.create_delimited_table(spark, name, "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE, ds INT", path, "ds")
+    for n in _t(spark, sf, "nation").select("n_nationkey").collect():
+        catalog.add_partition(spark, name, {"ds": n[0]})
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def q_append_log(spark, sf):
+    """Records appended twice to a log; its lines."""
+    c = _t(spark, sf, "conversations").select("conv_id", "turn", "role")
+    path = _scratch(spark, "log")
+    for _ in range(2):
+        writers.append_jsonl(c, path)
+    return refresh.non_blank_lines(spark, path)
+
+
+def q_view_star(spark, sf):
+    register_views(spark, sf, ["nation"])
+    return spark.sql("SELECT * FROM nation")
+
+
+def q_changelog_chain(spark, sf):
+    """Two snapshots -> change rows -> flattened documents -> typed columns."""
+    old, new = _snapshots(_t(spark, sf, "orders"))
+    ch = changelog.diff_to_changelog(changelog.snapshot_diff(old, new, "o_orderkey"), "o_orderkey", "orders", AS_OF)
+    flat = changelog.flatten(ch, cdc_time=_ts(AS_OF))
+    doc = F.from_json("doc", "o_orderkey bigint, o_totalprice double, original_operation string, operation string, "
+                             "old_data struct<o_orderkey: bigint, o_totalprice: double>")
+    d = flat.select("change_id", doc.alias("d"))
+    return d.select("change_id", F.coalesce("d.o_orderkey", "d.old_data.o_orderkey").alias("id"),
+                    F.coalesce("d.original_operation", "d.operation").alias("operation"),
+                    F.coalesce("d.o_totalprice", "d.old_data.o_totalprice").alias("price"))
+
+
+def q_apply_changelog(spark, sf):
+    """The current rows after all changes, applied in two parts, the second
+    one twice."""
+    ch = events_as_changelog(_t(spark, sf, "events"))
+    late = F.col("change_time") >= _ts(STATE_CUTOFF)
+    now = None
+    for part in (~late, late, late):
+        now = changelog.apply_changelog(now, ch.where(part), "k bigint")
+    return now.select("record_id", "change_id", "row.k")
+
+
 QUERIES = {
+    "sink_state_upsert": q_sink_state_upsert,
+    "sink_bucketed_state": q_sink_bucketed_state,
+    "sink_kv_partitioned": q_sink_kv_partitioned,
+    "sink_cell_versions": q_sink_cell_versions,
+    "sink_day_bucketed": q_sink_day_bucketed,
+    "corpus_round_trip": q_corpus_round_trip,
+    "state_round_trip": q_state_round_trip,
+    "delimited_table": q_delimited_table,
+    "append_log": q_append_log,
+    "view_star": q_view_star,
+    "changelog_chain": q_changelog_chain,
+    "apply_changelog": q_apply_changelog,
     "status_counts": q_status_counts,
     "partition_scan": q_partition_scan,
     "rowkey_prefix_scan": q_rowkey_prefix_scan,

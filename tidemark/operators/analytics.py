@@ -21,23 +21,25 @@ def basket_affinity(lineitem: DataFrame, order: str = "l_orderkey", part: str =
                     qty: str = "l_quantity", digits: int = 6) -> DataFrame:
     """Products bought together with the top seller.
 
-    Only pairs (top seller, other product) within an order are formed:
-    the orders holding the top seller are a semi-join filter, so output is
-    linear in the data (no all-pairs self join).  For each other product:
+    Orders holding the top seller are flagged, and products are counted over
+    all and over flagged orders in one aggregate, so no pairs are formed and
+    the work is linear in the data.  For each other product:
     ``co_orders``, ``support = co/all orders``, ``confidence = co/orders
     with top`` and ``lift = confidence / (orders with product / all)``.
     """
-    op = lineitem.select(order, part).distinct()
-    top = top_product(lineitem, part, qty).withColumnRenamed(part, "_top")
-    # one-row table: safe to broadcast
-    top_orders = op.join(F.broadcast(top), F.col(part) == F.col("_top")).select(order)
-    n_orders = op.select(order).distinct().agg(F.count(F.lit(1))).scalar()
-    n_top = top_orders.agg(F.count(F.lit(1))).scalar()
-    with_top = op.join(top_orders, order, "left_semi")
-    co = (with_top.join(F.broadcast(top), F.col(part) == F.col("_top"), "left_anti")
-                  .groupBy(part).agg(F.count(F.lit(1)).alias("co_orders")))
-    per_part = op.groupBy(part).agg(F.count(F.lit(1)).alias("part_orders"))
-    j = co.join(per_part, part)
+    top = top_product(lineitem, part, qty).scalar()
+    # one layout by order serves the distinct pairs, the flag whether the
+    # order holds the top seller, and the count of orders
+    op = lineitem.select(order, part).repartition(order).distinct()
+    in_order = Window.partitionBy(order)
+    flagged = op.select(part, F.max(F.col(part) == top).over(in_order).alias("_with_top"),
+                        (F.row_number().over(in_order.orderBy(part)) == 1).alias("_first"))
+    per_part = flagged.groupBy(part).agg(
+        F.count(F.lit(1)).alias("part_orders"), F.count_if("_with_top").alias("co_orders"),
+        F.count_if("_first").alias("_orders"), F.count_if(F.col("_first") & F.col("_with_top")).alias("_top_orders"))
+    n_orders = per_part.agg(F.sum("_orders")).scalar()
+    n_top = per_part.agg(F.sum("_top_orders")).scalar()
+    j = per_part.where((F.col(part) != top) & (F.col("co_orders") > 0))
     conf = F.col("co_orders") / n_top
     return j.select(
         part, "co_orders",

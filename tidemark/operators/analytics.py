@@ -32,14 +32,17 @@ def basket_affinity(lineitem: DataFrame, order: str = "l_orderkey", part: str =
     # order holds the top seller, and the count of orders
     op = lineitem.select(order, part).repartition(order).distinct()
     in_order = Window.partitionBy(order)
-    flagged = op.select(part, F.max(F.col(part) == top).over(in_order).alias("_with_top"),
+    op = op.withColumn("_is_top", F.col(part) == top)
+    flagged = op.select(part, "_is_top", F.max("_is_top").over(in_order).alias("_with_top"),
                         (F.row_number().over(in_order.orderBy(part)) == 1).alias("_first"))
     per_part = flagged.groupBy(part).agg(
         F.count(F.lit(1)).alias("part_orders"), F.count_if("_with_top").alias("co_orders"),
-        F.count_if("_first").alias("_orders"), F.count_if(F.col("_first") & F.col("_with_top")).alias("_top_orders"))
-    n_orders = per_part.agg(F.sum("_orders")).scalar()
-    n_top = per_part.agg(F.sum("_top_orders")).scalar()
-    j = per_part.where((F.col(part) != top) & (F.col("co_orders") > 0))
+        F.bool_or("_is_top").alias("_is_top"), F.count_if("_first").alias("_orders"),
+        F.count_if(F.col("_first") & F.col("_with_top")).alias("_top_orders"))
+    # one row, read off the same aggregate
+    totals = per_part.agg(F.struct(F.sum("_orders").alias("n"), F.sum("_top_orders").alias("top"))).scalar()
+    j = (per_part.where(~F.col("_is_top") & (F.col("co_orders") > 0)).withColumn("_totals", totals))
+    n_orders, n_top = F.col("_totals.n"), F.col("_totals.top")
     conf = F.col("co_orders") / n_top
     return j.select(
         part, "co_orders",

@@ -11,6 +11,7 @@ from tidemark.session import checkpoint_dir
 
 # A small table is only hinted as a broadcast after its rows were counted.
 BROADCAST_ROWS = 10_000
+BROADCAST_KEYS = 1_000_000  # rows of a hash or id and little else
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -21,6 +21,11 @@ probe goes down it once, sharing the overlap counted on common prefixes,
 and leaves a subtree when its overlap so far plus what remains, of the
 probe or of the longest set below, can no longer reach the similarity.
 
+*Before texts travel.*  Every set has a bitmap of about its size in bits,
+each n-gram flipping one.  The bits in which two bitmaps differ are at most
+the n-grams in which the sets do, so a document whose bitmap is too far
+from all others of its group is left out of the comparison, exactly.
+
 *Hot groups.*  Only which documents hang together is asked for, so pairs
 that already do are not compared again.  In each of ``ROUNDS`` rounds a
 document is compared in the group of one partner for all that it emits (a
@@ -45,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, whole_text
+from tidemark.llm.common import BROADCAST_KEYS, materialise, small, whole_text
 from tidemark.llm.components import components
 
 N = 3
@@ -103,6 +108,51 @@ def emitted(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return s[:len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A power of two of bits, at least as many as n-grams; each flips one."""
+    bits = max(64, 1 << (len(s) - 1).bit_length())
+    flips = np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(maps: np.ndarray) -> np.ndarray:
+    """Bitmaps of half the bits, as the same sets would have them."""
+    half = maps.shape[1] // 2
+    return maps[:, :half] ^ maps[:, half:]
+
+
+def may_link(sizes: np.ndarray, maps: list[bytes], labels: list, percent: int = PERCENT) -> np.ndarray:
+    """Which members of a group may link with one of another label."""
+    order = np.argsort(sizes, kind="stable")
+    size = sizes[order]
+    name = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    label = np.array([name[labels[i]] for i in order])
+    width = np.array([len(maps[i]) for i in order])
+    out = np.zeros(len(order), bool)
+    rows = {w: np.frombuffer(b"".join(maps[i] for i, x in zip(order, width) if x == w), _U).reshape(-1, w // 8)
+            for w in dict.fromkeys(width.tolist())}
+    begin = {w: int(np.searchsorted(width, w)) for w in rows}  # wider maps belong to larger sets
+    half = {w: _folded(m) for w, m in rows.items() if w > 8}
+    for i in range(len(order)):
+        w = int(width[i])
+        mine = rows[w][i - begin[w]]
+        to = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
+        for other, table in ((w, rows.get(w)), (2 * w, half.get(2 * w))):
+            if table is None:
+                continue
+            a, b = max(i + 1, begin[other]), min(to, begin[other] + len(table))
+            if a >= b:
+                continue
+            apart = np.bitwise_count(table[a - begin[other]:b - begin[other]] ^ mine).sum(axis=1, dtype=np.int64)
+            near = (apart * (100 + percent) <= (size[i] + size[a:b]) * (100 - percent)) & (label[a:b] != label[i])
+            if near.any():
+                out[i] = True
+                out[a:b] |= near
+    back = np.empty(len(order), bool)
+    back[order] = out
+    return back
+
+
 class Groups:
     """Which members of a group hang together."""
 
@@ -220,59 +270,83 @@ def common_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
 
 
 def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, order) -> DataFrame:
-    """(id, n, key, grams) of every row; ``key`` is a 128-bit hash of the set."""
+    """(id, n, key, bits, grams) of every row; ``key`` is a 128-bit hash of
+    the set, ``bits`` its bitmap, ``grams`` what it emits."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         put = order.value.put
         for batch in batches:
-            size, key, grams = [], [], []
+            size, key, bits, grams = [], [], [], []
             for text in batch.column("text"):
                 s = put(shingles(text.as_buffer().to_pybytes(), n))
                 size.append(len(s))
                 key.append(xxhash.xxh3_128_digest(s.tobytes()))
+                bits.append(bitmap(s) if len(s) else None)
                 grams.append(emitted(s, percent).view(np.int64))
             ends = np.cumsum([0, *map(len, grams)], dtype=np.int32)
             flat = pa.array(np.concatenate([*grams, np.empty(0, np.int64)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends), flat)], names=["id", "n", "key", "grams"])
+                 pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                names=["id", "n", "key", "bits", "grams"])
 
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n long, key binary, grams array<long>")
-
+    return rows.mapInArrow(run, f"id {kind}, n long, key binary, bits binary, grams array<long>")
 
-def _verify(tasks: DataFrame, texts: DataFrame, n: int, percent: int, order) -> DataFrame:
-    """``tasks(g, id, label)``: compare the documents of each group ``g``;
-    returns links ``(a, b)`` that span what hangs together."""
-    kind = dict(tasks.dtypes)["id"]
 
+def _by_group(rows: DataFrame, columns: list[str], of_group, schema: str) -> DataFrame:
+    """Apply ``of_group`` (lists of the columns -> rows) to each group ``g``.
+    Groups are dealt out whole and read in order; one is held at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, labels, sets, out = None, [], [], [], None
+        now, held, kind = None, [[] for _ in columns], None
 
-        def links() -> Iterator[tuple]:
-            if len(ids) > 1:
-                groups = join_group(sets, labels, percent)
-                for i in range(len(ids)):
-                    if (r := groups.root(i)) != i:
-                        yield ids[r], ids[i]
+        def batch(found: list) -> pa.RecordBatch:
+            parts = list(zip(*found)) or [[] for _ in kind]
+            return pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(parts, kind)], schema=kind)
 
-        for batch in batches:
-            pairs, same = [], batch.schema.field("id").type
-            out = pa.schema([("a", same), ("b", same)])
-            for g, i, label, text in zip(*(batch.column(c).to_pylist() for c in ("g", "id", "label", "text"))):
+        for b in batches:
+            found = []
+            kind = pa.schema([(c, b.schema.field("g" if c == "g" else "id").type) for c in names])
+            for g, *values in zip(b.column("g").to_pylist(), *(b.column(c).to_pylist() for c in columns)):
                 if g != now:
-                    pairs.extend(links())
-                    now, ids, labels, sets = g, [], [], []
-                ids.append(i)
-                labels.append(label)
-                sets.append(order.value.put(shingles(text, n)))
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in pairs], schema=out)
-        if out is not None:
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links()], schema=out)
+                    found.extend(of_group(now, *held))
+                    now, held = g, [[] for _ in columns]
+                for h, v in zip(held, values):
+                    h.append(v)
+            yield batch(found)
+        if kind is not None:
+            yield batch(list(of_group(now, *held)))
+
+    names = [x.split()[0] for x in schema.split(", ")]
+    return (rows.repartition("g").sortWithinPartitions("g", "id").select("g", *columns).mapInArrow(run, schema))
 
-    rows = tasks.join(texts, "id").repartition("g").sortWithinPartitions("g", "id")
-    return rows.select("g", "id", "label", "text").mapInArrow(run, f"a {kind}, b {kind}")
+
+def _filter(tasks: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``tasks(g, id, label)`` that may have a link in their group."""
+    def near(g, ids: list, labels: list, sizes: list, maps: list) -> Iterator[tuple]:
+        if len(ids) > 1:
+            for i in np.flatnonzero(may_link(np.array(sizes), maps, labels, percent)):
+                yield g, ids[i], labels[i]
+
+    kind = dict(tasks.dtypes)["id"]
+    return _by_group(tasks.join(marks, "id"), ["id", "label", "n", "bits"], near,
+                     f"g string, id {kind}, label {kind}").distinct()
+
+
+def _verify(tasks: DataFrame, texts: DataFrame, n: int, percent: int, order) -> DataFrame:
+    """``tasks(g, id, label)``: compare the documents of each group ``g``;
+    returns links ``(a, b)`` that span what hangs together."""
+    def links(g, ids: list, labels: list, texts: list) -> Iterator[tuple]:
+        if len(ids) > 1:
+            sets = [order.value.put(shingles(t, n)) for t in texts]
+            groups = join_group(sets, labels, percent)
+            for i in range(len(ids)):
+                if (r := groups.root(i)) != i:
+                    yield ids[r], ids[i]
+
+    kind = dict(tasks.dtypes)["id"]
+    return _by_group(tasks.join(texts, "id"), ["id", "label", "text"], links, f"a {kind}, b {kind}")
 
 
 def _blocks(count: str) -> F.Column:
@@ -304,11 +378,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .groupBy("c", "lo", "x", "y").agg(F.min("gram").alias("gram")).select("gram"))
     met = materialise(met.join(once, "gram"), "ngram-met")
 
-    involved = met.select("id").distinct()
-    texts = (docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
-                 .join(involved, "id", "left_semi"))
-    texts = materialise(texts, "ngram-texts")
-
+    marks = some.select("id", "n", "bits")
     found = None
     labels = met.select("id", F.col("id").alias("label")).limit(0)
     for turn in range(ROUNDS + 1):
@@ -322,6 +392,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             tasks = _partner_tasks(open_, turn)
         else:
             tasks = _all_pairs_tasks(open_)
+        tasks = materialise(_filter(tasks, marks, percent), "ngram-tasks")
+        ids = materialise(tasks.select("id").distinct(), "ngram-ids")
+        texts = (docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
+                     .join(small(ids, BROADCAST_KEYS), "id", "left_semi"))
         edges = materialise(_verify(tasks, texts, n, percent, order), "ngram-links")
         found = edges if found is None else found.union(edges)
         labels = components(found)
@@ -375,4 +449,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the document of the smallest id of every component."""
     found = groups(docs, id_col, text_col, n, percent)
     gone = materialise(found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct(), "ngram-gone")
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    return docs.join(small(gone, BROADCAST_KEYS), id_col, "left_anti").select(*docs.columns)

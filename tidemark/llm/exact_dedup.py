@@ -1,10 +1,12 @@
 """Exact dedup by a 128-bit content hash, with the bytes compared inside
 each group so that colliding texts are never merged.
 
-Rows are grouped on narrow columns only (id and hash).  Texts travel only
-for hashes that more than one row has, and there ``groupBy(hash, text)``
-collapses equal copies before the shuffle, so a hot group ships one text
-per input partition and no task ever gathers a group's rows.
+Rows are grouped on narrow columns only (id and hash).  The hashes that
+more than one row has are counted and, up to ``BROADCAST_KEYS`` of them,
+broadcast, so that the texts of all other rows stay where they are read
+(beyond that number the texts are shuffled by hash).  For those hashes
+``groupBy(hash, text)`` collapses equal copies before the shuffle: a hot
+group ships one text per input partition and no task gathers its rows.
 
 Defined cases: a null text equals the empty text; ids that are null rank
 below every other id, so a group of null ids only keeps one of its rows;
@@ -20,12 +22,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, whole_text
+from tidemark.llm.common import BROADCAST_KEYS, materialise, small, whole_text
 
 
 def hash128(text: Column) -> Column:
     """128-bit content hash of the UTF-8 bytes."""
-    return F.md5(text)
+    return F.unhex(F.md5(text))
 
 
 def _stay(keep: str, col: str) -> Column:
@@ -37,7 +39,7 @@ def _collided(docs: DataFrame, repeated: DataFrame, text_col: str,
     """Hashes that cover more than one distinct text, by comparing bytes."""
     texts = docs.select(hash_of(whole_text(text_col)).alias("_h"),
                         whole_text(text_col).alias("_t"))
-    texts = texts.join(repeated.select("_h"), "_h", "left_semi")
+    texts = texts.join(small(repeated.select("_h"), BROADCAST_KEYS), "_h", "left_semi")
     return (texts.groupBy("_h", "_t").agg(F.lit(1).alias("_one"))
                  .groupBy("_h").agg(F.sum("_one").alias("_texts"))
                  .where("_texts > 1").select("_h"))
@@ -100,7 +102,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
                          F.col(id_col).alias("_id"), hash_of(whole_text(text_col)).alias("_h"))
     plain = repeated.join(collided, "_h", "left_anti")
-    kept = (tagged.join(plain, "_h", "left")
+    kept = (tagged.join(small(plain, BROADCAST_KEYS), "_h", "left")
                   .where(F.col("_c").isNull() | F.col("_id").eqNullSafe(F.col("_keep"))))
     if not collided.isEmpty():
         clash = tagged.join(collided, "_h", "left_semi").withColumn("_t", whole_text(f"_row.{text_col}"))

@@ -1,0 +1,65 @@
+"""Registered queries: against SQL where there is any, else that each
+answers for every row of its table."""
+
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+import corpus_pipeline
+from tidemark.llm.queries import QUERIES, SQL
+
+SF = "/root/testdata/sf0.001"
+ROWS = {"op4_language_id": "documents", "op1_token_counts": "documents", "op2_quality": "documents",
+        "op3_byte_bpe": "documents", "op7_line_dedup": "documents", "op9_ngram_join": "documents"}
+
+
+def norm(v):
+    return "nan" if isinstance(v, float) and math.isnan(v) else repr(round(v, 9)) if isinstance(v, float) else str(v)
+
+
+def test_registered():
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert "pipeline" in E.queries()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = QUERIES[name](spark, SF)
+    cur = con.execute(SQL[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(df.columns)
+    pick = lambda rows, cols: sorted("|".join(norm(r[cols.index(c)]) for c in sorted(names)) for r in rows)
+    assert pick(df.collect(), df.columns) == pick(cur.fetchall(), names)
+
+
+@pytest.mark.parametrize("name", sorted(ROWS))
+def test_one_row_for_each_document(spark, name):
+    ids = sorted(r.doc_id for r in QUERIES[name](spark, SF).select("doc_id").collect())
+    assert ids == sorted(r.doc_id for r in spark.read.parquet(f"{SF}/{ROWS[name]}.parquet").select("doc_id").collect())
+
+
+def test_pipeline_stages(spark):
+    """Every stage works on all that its predecessor kept."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = [tuple(r) for r in docs.collect()]
+        out = stage(spark, docs, SF)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == columns, name
+            after = [tuple(r) for r in out.collect()]
+            assert set(after) <= set(before), name
+            if name != "mixing":
+                assert len(after) <= len(before), name
+            docs = spark.createDataFrame(after, docs.schema)
+            text = [r[columns.index("text")] for r in after]
+            if name == "exact_dedup":
+                assert len(set(text)) == len(text) == len({r[columns.index("text")] for r in before})
+        else:
+            assert out.count() == len(before)

@@ -41,7 +41,7 @@ SAMPLE = 6000       # rated rows that are fitted on, at most
 BITS = 18
 EPOCHS, BATCH, RATE, SPARSE = 10, 64, 0.3, 1.5e-3
 SHARE = 20.0        # value of a feature that all words have
-KEEP = 0.5          # least tail probability of a document that stays
+KEEP = 0.4          # least tail probability of a document that stays
 MEMO = 400_000
 
 _RUN = re.compile(r"(.)\1+")

@@ -57,8 +57,8 @@ N = 3
 PERCENT = 90
 BLOCK = 256          # sets of a group that one tree holds at most
 ROUNDS = 2
-LOCAL = 3            # documents of a batch that make an n-gram worth reporting
-OFTEN = 16           # reported documents that make it common
+LOCAL = 2            # documents of a batch that make an n-gram worth reporting
+OFTEN = 4            # reported documents that make it common
 COMMON = 1_000_000   # common n-grams that are put in order
 
 _U = np.uint64
@@ -366,10 +366,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                .where("c > 1").select("key", "rep"), "ngram-classes")
     # an id may have several texts and so several sets; each has its class
     reps = (some.join(repeated, "key", "left").where("rep is null or rep = id")
-                .select("id", F.explode("grams").alias("gram")))
-    gram = W.partitionBy("gram")
-    met = (reps.select("gram", "id", F.min("id").over(gram).alias("lo"), F.max("id").over(gram).alias("hi"))
-               .where("lo < hi").select("gram", "id"))
+                .select("id", "n", F.explode("grams").alias("gram")))
+    # linked sets are of like size: of those that emit an n-gram, only the
+    # ones whose next smaller or next larger set is near enough go on
+    by_size = W.partitionBy("gram").orderBy("n", "id")
+    met = (reps.select("gram", "id", "n", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more"))
+               .where((100 * F.col("less") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("more")))
+               .select("gram", "id"))
     met = materialise(met, "ngram-met").distinct()
     # of n-grams with the same documents, one will do
     once = (met.groupBy("gram").agg(F.count("*").alias("c"), F.min("id").alias("lo"),
@@ -381,6 +384,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks = some.select("id", "n", "bits")
     found = None
     labels = met.select("id", F.col("id").alias("label")).limit(0)
+    gram = W.partitionBy("gram")
     for turn in range(ROUNDS + 1):
         known = met.join(labels, "id", "left").select("gram", "id", F.coalesce("label", "id").alias("label"))
         open_ = materialise(

@@ -33,8 +33,9 @@ FIELD = "<*>"
 
 
 def _masked(line: Column) -> Column:
-    """The line with variable fields replaced and white space evened out."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, r"\S*[0-9]\S*", FIELD), r"\s+", " "))
+    """The line with variable fields replaced and white space evened out.
+    The pattern starts at tokens only and never goes back."""
+    return F.trim(F.regexp_replace(F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD), r"\s+", " "))
 
 
 def _count(items: Column) -> Column:
@@ -47,7 +48,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     key = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
            F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)).alias("k2")]
     each = docs.select(*key, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    masked = each.select("k1", "k2", "pos", _masked(F.col("line")).alias("line")).where("line <> ''")
+    masked = each.where(F.col("line").rlike(r"\S")).select("k1", "k2", "pos", _masked(F.col("line")).alias("line"))
     tokens = masked.select("k1", "k2", "pos", "line", F.split("line", " ").alias("tokens"))
     return tokens.select("k1", "k2", "pos", F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(1)).alias("b"),
                          F.size("tokens").alias("n"),

@@ -66,3 +66,24 @@ def test_few_and_none(spark):
     two = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], schema)
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(two, F.lit(True)).collect()) == [
         (1, 1, 2, 0.0), (2, 1, 1, 0.0)]
+
+
+def test_norms_of_any_spread(spark):
+    """One vector of 50 times the length, then norms over several octaves."""
+    x = np.array(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas().embedding.tolist(), float)
+    rng = np.random.default_rng(3)
+    outlier = x.copy()
+    outlier[7] *= 50
+    for y in (outlier, x * np.exp(rng.normal(size=len(x)))[:, None]):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in ann.nearest(df, F.col("id") % 20 == 0, shard_rows=256).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        assert sorted(got) == list(range(0, len(y), 20)) and {len(v) for v in got.values()} == {20}
+        hits = 0
+        for q in got:
+            s = y @ y[q]
+            s[q] = -np.inf
+            hits += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+        print("recall", hits / (20 * len(got)))
+        assert hits >= 0.95 * 20 * len(got)

@@ -1,21 +1,26 @@
 """Nearest neighbours by inner product with vantage-point trees per shard.
 
-*A metric.*  Vectors get one more component so that all have the length of
-the longest one; queries get a zero there and are scaled to that length.
-Euclidean distance then orders candidates as the inner product does, and
-the triangle inequality holds.
-
-*Shards.*  A bounded sample is fitted into a top tree of vantage points
-whose leaves are the shards; every vector falls into one leaf, and a leaf
-with more than ``SHARD_ROWS`` vectors is split further by a hash.  A query
-visits the shards that can hold something nearer than its ``k``-th
-neighbour in the sample, which bounds the true distance from above.
+*A metric.*  Vectors fall into bands of like norm (``BANDS`` to an octave).
+Those of a band are divided by its longest norm and get one more component
+that makes their length 1; queries get a zero there and are scaled to 1.
+Euclidean distance then orders a band's candidates as the inner product
+does, and the triangle inequality holds.  With one band for all, a single
+long vector would put every distance near the square root of 2, where a
+factor below 1 prunes what is near as well.
+
+*Shards.*  A bounded sample is fitted into a top tree of vantage points for
+each band, whose leaves are the shards; every vector falls into one leaf,
+and a leaf with more than ``SHARD_ROWS`` vectors is split further by a hash.
+A query visits the shards that can hold something with a greater product
+than its ``k``-th in the sample, which bounds the true one from below; a
+band whose longest vector cannot reach that is left out.
 
 *In a shard.*  A vantage-point tree is built and all of the shard's
 queries go down it together; a subtree is pruned for a query when the
 triangle inequality puts everything in it farther than ``factor`` times
 its ``k``-th distance so far.  ``factor`` 1 prunes only what cannot matter
-and the search is exact; a smaller factor prunes more.
+and the search is exact; a smaller factor prunes more.  Queries that get
+fewer than ``k`` rows that way are searched again with factor 1.
 
 Equal vectors travel as one with their smallest ``k + 1`` ids (no query can
 need more), so a vector that a third of all rows share is one candidate
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +52,7 @@ SAMPLE = 4096         # vectors the top tree is fitted on, at most
 SHARD_ROWS = 4096     # vectors that one tree holds, about
 QUERY_BLOCK = 8192    # queries that go down a tree together, about
 LEAF = 64             # vectors in a leaf of a tree
+BANDS = 2             # bands of norms to an octave
 
 
 @dataclass
@@ -182,14 +189,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def _lift(x: np.ndarray, longest: float) -> np.ndarray:
-    extra = np.sqrt(np.maximum(0, longest * longest - (x * x).sum(axis=1)))
+def _lift(x: np.ndarray, longest: np.ndarray | float) -> np.ndarray:
+    x = x / np.reshape(longest, (-1, 1))
+    extra = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
     return np.concatenate([x, extra[:, None]], axis=1)
 
 
-def _lift_query(q: np.ndarray, longest: float) -> np.ndarray:
-    scaled = q * (longest / np.linalg.norm(q, axis=1))[:, None]
-    return np.concatenate([scaled, np.zeros((len(q), 1))], axis=1)
+def _lift_query(q: np.ndarray) -> np.ndarray:
+    return np.concatenate([q / np.linalg.norm(q, axis=1)[:, None], np.zeros((len(q), 1))], axis=1)
 
 
 def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -218,85 +225,120 @@ def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_co
     asked = materialise(clean.where(query).join(distinct.select("v", "key"), "v").select("id", "key"), "ann-asked")
     wanted = distinct.join(asked.select("key").distinct(), "key").select("key", "v")
 
-    longest = distinct.select(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)).alias("n")).agg(
-        F.max("n")).collect()[0][0]
-    count = distinct.count()
-    fitted = distinct.orderBy(F.xxhash64("key"), "key").limit(sample).select("key", "v").toArrow()
-    points = _lift(_matrix(fitted.column("v").combine_chunks()), longest)
-    points = points[np.argsort(fitted.column("key").to_numpy(), kind="stable")]
-    leaf = max(1, min(len(points), -(-len(points) * shard_rows // count)))
-    tree, leaves = build(points, leaf)
-    shared = spark.sparkContext.broadcast((tree, points, longest))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
+    # 1 is in the middle of a band, so rounding does not split unit vectors
+    banded = distinct.withColumn("norm", norm).withColumn(
+        "band", F.floor(F.log2("norm") * BANDS + 0.5).cast("int"))
+    # one row a band, of which there are as many as octaves of a double at most
+    held = banded.groupBy("band").agg(F.max("norm").alias("longest"), F.count("*").alias("n")).orderBy("band").collect()
+    longest = {r["band"]: r["longest"] for r in held}
+    count = sum(r["n"] for r in held)
+    fitted = banded.orderBy(F.xxhash64("key"), "key").limit(sample).select("key", "v", "band").toArrow()
+    order = np.argsort(fitted.column("key").to_numpy(), kind="stable")
+    points = _matrix(fitted.column("v").combine_chunks())[order]
+    of_point = fitted.column("band").to_numpy()[order]
+    # a band without a vector in the sample is small: one shard
+    trees, shards = {}, 0
+    for band in longest:
+        mine = _lift(points[of_point == band], longest[band])
+        leaf = max(1, min(len(points), -(-len(points) * shard_rows // count)))
+        tree, leaves = build(mine, leaf)
+        trees[band] = tree, shards
+        shards += leaves
+    shared = spark.sparkContext.broadcast((trees, points, longest))
     inside = f"shard int, key {kind}, v array<double>"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, _, longest = shared.value
+        trees, _, longest = shared.value
         for b in batches:
-            shard = assign(tree, _lift(_matrix(b.column("v")), longest)) if len(b) else np.empty(0, np.int64)
+            shard = np.empty(len(b), np.int64)
+            bands = b.column("band").to_numpy()
+            for band in np.unique(bands).tolist():
+                mine = np.flatnonzero(bands == band)
+                tree, start = trees[band]
+                shard[mine] = start + assign(tree, _lift(_matrix(b.column("v").take(pa.array(mine))), longest[band]))
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *b.columns], names=["shard", *b.schema.names])
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, points, longest = shared.value
+    def visit(factor: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, points, longest = shared.value
         need = k + 1
         for b in batches:
             if not len(b):
                 continue
-            q = _lift_query(_matrix(b.column("v")), longest)
-            limit = np.full(len(q), np.inf)
+            y = _matrix(b.column("v"))
+            q = _lift_query(y)
+            # the product of the direction with the k-th in the sample
+            least = np.full(len(q), -np.inf)
             if len(points) >= need:
                 for i in range(0, len(q), 512):
-                    d = ((q[i:i + 512] ** 2).sum(axis=1)[:, None] + (points ** 2).sum(axis=1)[None]
-                         - 2 * q[i:i + 512] @ points.T)
-                    limit[i:i + 512] = np.sqrt(np.maximum(0, np.partition(d, need - 1, axis=1)[:, need - 1])) + 1e-9
-            who, shard = reach(tree, q, factor * limit)
-            pick = pa.array(who)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), b.column("key").take(pick), b.column("v").take(pick),
-                 pa.array(limit).take(pick)], names=["shard", "key", "v", "limit"])
-
-    placed = distinct.select("key", "ids", "v").mapInArrow(
-        place, f"shard int, key {kind}, ids array<{kind}>, v array<double>")
+                    s = q[i:i + 512, :-1] @ points.T
+                    least[i:i + 512] = -np.partition(-s, need - 1, axis=1)[:, need - 1]
+            for band, (tree, start) in trees.items():
+                within = least / longest[band]
+                can = np.flatnonzero(within <= 1 + 1e-9)
+                if not len(can):
+                    continue
+                limit = np.sqrt(np.maximum(0, 2 - 2 * within[can])) + 1e-7
+                who, shard = reach(tree, q[can], factor * limit)
+                pick = pa.array(can[who])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(start + shard, pa.int32()), b.column("key").take(pick), b.column("v").take(pick),
+                     pa.array(limit[who])], names=["shard", "key", "v", "limit"])
+
+    placed = banded.select("key", "ids", "v", "band").mapInArrow(
+        place, f"shard int, key {kind}, ids array<{kind}>, v array<double>, band int")
     placed = materialise(placed, "ann-placed")
-    visits = materialise(wanted.mapInArrow(visit, inside + ", limit double"), "ann-visits")
-    # a shard that holds much is split by a hash, its queries by another one
-    load = (placed.groupBy("shard").agg(F.count("*").alias("n"))
-                  .join(visits.groupBy("shard").agg(F.count("*").alias("m")), "shard")
-                  .select("shard", F.ceil(F.col("n") / (2 * shard_rows)).cast("int").alias("parts"),
-                          F.ceil(F.col("m") / QUERY_BLOCK).cast("int").alias("blocks")))
-    load = materialise(load, "ann-load")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = (placed.join(load, "shard").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
-                  .withColumn("block", every("blocks")).select("shard", "part", "block", "key", "ids", "v",
-                                                              F.lit(None).cast("double").alias("limit")))
-    right = (visits.join(load, "shard").withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), "blocks").cast("int"))
-                   .withColumn("part", every("parts")).select("shard", "part", "block", "key",
-                                                              F.lit(None).cast(f"array<{kind}>").alias("ids"), "v",
-                                                              "limit"))
     group = ["shard", "part", "block"]
 
-    def run(table: pa.Table) -> pa.Table:
-        is_candidate = table.column("limit").is_null()
-        c, q = table.filter(is_candidate), table.filter(table.column("limit").is_valid())
-        schema = pa.schema([("key", c.schema.field("key").type), ("ids", c.schema.field("ids").type),
-                            ("score", pa.float64())])
-        if not len(c) or not len(q):
-            return schema.empty_table()
-        _, _, longest = shared.value
-        x, y = _matrix(c.column("v").combine_chunks()), _matrix(q.column("v").combine_chunks())
-        found, _ = search(_lift(x, longest), _lift_query(y, longest), min(k + 1, len(c)), factor,
-                          q.column("limit").to_numpy())
-        who, at = np.nonzero(found >= 0)
-        hit = found[who, at]
-        score = np.einsum("ij,ij->i", x[hit], y[who])
-        return pa.table([q.column("key").take(pa.array(who)), c.column("ids").take(pa.array(hit)), pa.array(score)],
-                        schema=schema)
-
-    hits = left.unionByName(right).groupBy(*group).applyInArrow(
-        run, f"key {kind}, ids array<{kind}>, score double")
-    best = W.partitionBy("key").orderBy(F.desc("score"), "id")
-    near = (hits.select("key", F.explode("ids").alias("id"), "score")
-                .withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"))
-    near = materialise(near, "ann-near")
+    def probe(wanted: DataFrame, factor: float) -> DataFrame:
+        """The ``k + 1`` best (key, id, score) of every vector asked for."""
+        visits = materialise(wanted.mapInArrow(partial(visit, factor), inside + ", limit double"), "ann-visits")
+        # a shard that holds much is split by a hash, its queries by another one
+        load = (placed.groupBy("shard").agg(F.count("*").alias("n"))
+                      .join(visits.groupBy("shard").agg(F.count("*").alias("m")), "shard")
+                      .select("shard", F.ceil(F.col("n") / (2 * shard_rows)).cast("int").alias("parts"),
+                              F.ceil(F.col("m") / QUERY_BLOCK).cast("int").alias("blocks")))
+        load = materialise(load, "ann-load")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = (placed.join(load, "shard").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
+                      .withColumn("block", every("blocks")).select("shard", "part", "block", "key", "ids", "v", "band",
+                                                                  F.lit(None).cast("double").alias("limit")))
+        right = (visits.join(load, "shard")
+                       .withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), "blocks").cast("int"))
+                       .withColumn("part", every("parts"))
+                       .select("shard", "part", "block", "key", F.lit(None).cast(f"array<{kind}>").alias("ids"), "v",
+                               F.lit(None).cast("int").alias("band"), "limit"))
+
+        def run(table: pa.Table) -> pa.Table:
+            is_candidate = table.column("limit").is_null()
+            c, q = table.filter(is_candidate), table.filter(table.column("limit").is_valid())
+            schema = pa.schema([("key", c.schema.field("key").type), ("ids", c.schema.field("ids").type),
+                                ("score", pa.float64())])
+            if not len(c) or not len(q):
+                return schema.empty_table()
+            _, _, longest = shared.value
+            x, y = _matrix(c.column("v").combine_chunks()), _matrix(q.column("v").combine_chunks())
+            found, _ = search(_lift(x, longest[c.column("band")[0].as_py()]), _lift_query(y), min(k + 1, len(c)),
+                              factor, q.column("limit").to_numpy())
+            who, at = np.nonzero(found >= 0)
+            hit = found[who, at]
+            score = np.einsum("ij,ij->i", x[hit], y[who])
+            return pa.table([q.column("key").take(pa.array(who)), c.column("ids").take(pa.array(hit)),
+                             pa.array(score)], schema=schema)
+
+        hits = left.unionByName(right).groupBy(*group).applyInArrow(
+            run, f"key {kind}, ids array<{kind}>, score double")
+        best = W.partitionBy("key").orderBy(F.desc("score"), "id")
+        near = (hits.select("key", F.explode("ids").alias("id"), "score")
+                    .withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"))
+        return materialise(near, "ann-near")
+
+    near = probe(wanted, factor)
+    if factor < 1:
+        full = near.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > k).select("key")
+        few = materialise(wanted.join(full, "key", "left_anti"), "ann-few")
+        if not few.isEmpty():
+            near = near.join(few.select("key"), "key", "left_anti").unionByName(probe(few, 1.0))
     # every asking id gets its vector's list, without itself
     rank = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     out = (asked.select(F.col("id").alias("query_id"), "key").join(near, "key").where("id <> query_id")

@@ -1,7 +1,9 @@
 """Line dedup with a log-template tree, in DataFrame operations only.
 
 Lines are parsed as log lines are: a token with a digit is a variable
-field; a line descends a tree of fixed depth by its number of tokens and
+field (in scripts written without spaces the run with the digit is); lines
+with few words beside their fields are compared as they are.  A line
+descends a tree of fixed depth by its number of tokens and
 its first ``DEPTH`` tokens to a leaf.  In a leaf that several different
 lines reach, the most frequent token of every position makes the leaf's
 template, and the lines that agree with it in at least ``SIMILAR`` of the
@@ -30,12 +32,28 @@ SIMILAR = 0.7
 MIN_DOCS = 3
 MIN_TOKENS = 8   # shorter lines are not generalised beyond their variable fields
 FIELD = "<*>"
+WORDS = 0.4      # least share of words among the words and fields of a line that is masked
+# South East Asian scripts, kana, Han and their punctuation
+UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3000-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF00-\uFF0F\uFF1A-\uFF20\x{20000}-\x{3FFFF}"
+
+
+def _even(line: Column) -> Column:
+    return F.trim(F.regexp_replace(line, r"\s+", " "))
 
 
 def _masked(line: Column) -> Column:
     """The line with variable fields replaced and white space evened out.
-    The pattern starts at tokens only and never goes back."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD), r"\s+", " "))
+    The pattern starts where a token or run does and never goes back."""
+    field = rf"(?<![^\s{UNSPACED}])[^\s0-9{UNSPACED}]*+[0-9][^\s{UNSPACED}]*+"
+    return _even(F.regexp_replace(line, field, FIELD))
+
+
+def _literal(masked: Column) -> Column:
+    """Whether a line has too few words beside its fields: number tables,
+    lone years and ids.  Two characters of an unspaced script are a word."""
+    fields = F.regexp_count(masked, F.lit(r"<\*>"))
+    words = F.regexp_count(masked, F.lit(rf"[{UNSPACED}]{{1,2}}|\p{{L}}[^\s{UNSPACED}]*+"))
+    return masked.contains(FIELD) & (words < WORDS * (words + fields))
 
 
 def _count(items: Column) -> Column:
@@ -48,10 +66,13 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     key = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
            F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)).alias("k2")]
     each = docs.select(*key, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    masked = each.where(F.col("line").rlike(r"\S")).select("k1", "k2", "pos", _masked(F.col("line")).alias("line"))
-    tokens = masked.select("k1", "k2", "pos", "line", F.split("line", " ").alias("tokens"))
+    masked = each.where(F.col("line").rlike(r"\S")).withColumn("masked", _masked(F.col("line")))
+    known = masked.withColumn("literal", _literal(F.col("masked")))
+    known = known.withColumn("line", F.when(F.col("literal"), _even(F.col("line"))).otherwise(F.col("masked")))
+    tokens = known.select("k1", "k2", "pos", "line", "literal", F.split("line", " ").alias("tokens"))
     return tokens.select("k1", "k2", "pos", F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(1)).alias("b"),
-                         F.size("tokens").alias("n"),
+                         # a line compared as it is takes no part in templates
+                         F.when(F.col("literal"), 0).otherwise(F.size("tokens")).alias("n"),
                          F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens")
 
 

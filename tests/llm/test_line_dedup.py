@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 from tidemark.llm import line_dedup as L
+from tidemark.llm.queries import op7_line_dedup
 
 
 def masked(line):
@@ -74,3 +75,16 @@ def test_lines_of_fields_are_compared_as_they_are(spark):
     # equal ones recur, and so do words around a field
     same = ["7 8  9\nPage 1 of 5\n第1章 今天", "7 8 9\nPage 2 of 5\n第2章 今天", "7 8 9\nPage 3 of 5\n第33章 今天"]
     assert kept(spark, same) == ["", "", ""]
+
+
+def test_long_lines_of_two_documents(spark, tmp_path):
+    words = "the quick brown fox jumps over a lazy dog and"
+    passage, short = " ".join([words] * 6), " ".join([words] * 4)
+    unspaced = "".join(chr(0x4E00 + i) for i in range(120))
+    texts = [f"alpha\n{passage}\n{short}\n{unspaced}", f"beta\n{short}\n{passage}\n{unspaced}", "gamma " * 70]
+    assert kept(spark, texts, long_docs=L.LONG_DOCS) == [f"alpha\n{short}", f"beta\n{short}", texts[2]]
+    assert kept(spark, texts) == texts
+    # and the query asks for them
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted((r.doc_id, r.n_dropped) for r in op7_line_dedup(spark, str(tmp_path)).collect()) == [
+        (0, 2), (1, 2), (2, 0)]

@@ -8,7 +8,9 @@ its first ``DEPTH`` tokens to a leaf.  In a leaf that several different
 lines reach, the most frequent token of every position makes the leaf's
 template, and the lines that agree with it in at least ``SIMILAR`` of the
 positions are its lines; every other line is a template of its own.  Lines
-whose template occurs in at least ``min_docs`` documents are dropped.
+whose template occurs in at least ``min_docs`` documents are dropped, and
+with ``long_docs`` also lines of at least ``LONG`` words that are equal but
+for their fields in that many documents.
 
 Counting is combined before each shuffle (equal lines meet as one row a
 partition); only leaves that several documents reach with different lines
@@ -32,6 +34,8 @@ SIMILAR = 0.7
 MIN_DOCS = 3
 MIN_TOKENS = 8   # shorter lines are not generalised beyond their variable fields
 FIELD = "<*>"
+LONG = 50        # words of a long line
+LONG_DOCS = 2    # documents that a long line recurs in, where that is asked for
 WORDS = 0.4      # least share of words among the words and fields of a line that is masked
 # South East Asian scripts, kana, Han and their punctuation
 UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3000-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF00-\uFF0F\uFF1A-\uFF20\x{20000}-\x{3FFFF}"
@@ -60,6 +64,12 @@ def _count(items: Column) -> Column:
     return F.when(items.isNull(), 0).otherwise(F.size(items)).cast("long")
 
 
+def _long(line: Column, tokens: Column) -> Column:
+    """Two characters of an unspaced script are a word."""
+    return (F.size(tokens) >= LONG) | ((F.length(line) >= 2 * LONG)
+                                       & (F.size(tokens) + F.regexp_count(line, F.lit(rf"[{UNSPACED}]{{2}}")) >= LONG))
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each line that is not blank: the document's key (two
     hashes of id and text), the position, the masked line, its leaf."""
@@ -73,6 +83,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return tokens.select("k1", "k2", "pos", F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(1)).alias("b"),
                          # a line compared as it is takes no part in templates
                          F.when(F.col("literal"), 0).otherwise(F.size("tokens")).alias("n"),
+                         _long(F.col("line"), F.col("tokens")).alias("long"),
                          F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens")
 
 
@@ -104,13 +115,14 @@ def _templates(docs: DataFrame, lines: DataFrame, counted: DataFrame, id_col: st
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_docs: int = MIN_DOCS) -> DataFrame:
+                   min_docs: int = MIN_DOCS, long_docs: int | None = None) -> DataFrame:
     """``docs`` with the text without recurring lines, all other columns
     unchanged, and ``_lines``, ``_dropped`` (numbers of lines) behind them."""
     lines = materialise(_lines(docs, id_col, text_col).drop("tokens"), "lines-rows")
-    counted = materialise(lines.groupBy("leaf", "a", "b", "n", "k1", "k2").agg(F.lit(1))
-                               .groupBy("leaf", "a", "b", "n").agg(F.count("*").alias("docs")), "lines-counted")
-    drop = (counted.where(F.col("docs") >= min_docs).select("a", "b")
+    counted = materialise(lines.groupBy("leaf", "a", "b", "n", "long", "k1", "k2").agg(F.lit(1))
+                               .groupBy("leaf", "a", "b", "n", "long").agg(F.count("*").alias("docs")), "lines-counted")
+    least = F.when(F.col("long"), min(min_docs, long_docs or min_docs)).otherwise(min_docs)
+    drop = (counted.where(F.col("docs") >= least).select("a", "b")
                    .union(_templates(docs, lines, counted, id_col, text_col, min_docs)).distinct())
     drop = materialise(drop, "lines-drop")
     gone = (lines.join(drop, ["a", "b"], "left_semi").groupBy("k1", "k2")

@@ -59,7 +59,8 @@ def op6_nearest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    out = line_dedup.drop_recurring(_read(spark, sf, "documents").select("doc_id", "text"))
+    out = line_dedup.drop_recurring(_read(spark, sf, "documents").select("doc_id", "text"),
+                                    long_docs=line_dedup.LONG_DOCS)
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
                       F.sha2("text", 256).alias("text_sha256"))
 

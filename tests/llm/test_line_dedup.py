@@ -88,3 +88,33 @@ def test_long_lines_of_two_documents(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted((r.doc_id, r.n_dropped) for r in op7_line_dedup(spark, str(tmp_path)).collect()) == [
         (0, 2), (1, 2), (2, 0)]
+
+
+def test_several_templates_of_a_leaf(spark):
+    """Two templates share length and path; short lines have one too."""
+    name = "ada ben cy dot eva fay gus hal ivy jon".split()
+    big = [f"please note that {n} has left a comment under your post" for n in name]
+    small = [f"please note that our office in {n} stays closed on monday" for n in name[:4]]
+    alone = ["please note that nobody here knew why it rained so much", "please note that seven geese flew over an empty green field"]
+    short = [f"posted by user {n} today" for n in name[:3]]
+    texts = [f"{a}\nown words {n}" for a, n in zip(big, name)] + [f"{a}\nmore {b}" for a, b in zip(small, name)] + alone
+    texts += short + ["posted by user and deleted"]
+    got = kept(spark, texts)
+    assert got == [f"own words {n}" for n in name] + [f"more {n}" for n in name[:4]] + alone + [""] * 3 + texts[-1:]
+
+
+def test_many_lines_of_one_path(spark, monkeypatch):
+    """Every line comes to lead, also where several rounds are needed."""
+    monkeypatch.setattr(L, "LEADERS", 1)
+    monkeypatch.setattr(L, "GROWTH", 2)
+    pool = [f"{x}{y}" for x in "bcdfghjkl" for y in "aeiou"]
+    lone = ["we say that {} {} {} {} {} at last".format(*(pool[(7 * i + j * (i + 3)) % 45] + "n" * (i % 3) for j in range(5)))
+            for i in range(40)]
+    same = [f"we say that all rivers run {pool[i]} down at last" for i in range(3)]
+    got = kept(spark, lone + same)
+    assert got[40:] == [""] * 3
+    agree = lambda x, y: sum(a == b for a, b in zip(x.split(), y.split()))
+    for line, left in zip(lone, got):
+        near = {x for x in lone + same if agree(line, x) >= 7}
+        assert left == line or len(near) > 1
+        assert left == "" or len(near) < 3

@@ -7,7 +7,11 @@ descends a tree of fixed depth by its number of tokens and
 its first ``DEPTH`` tokens to a leaf.  In a leaf that several different
 lines reach, the most frequent token of every position makes the leaf's
 template, and the lines that agree with it in at least ``SIMILAR`` of the
-positions are its lines; every other line is a template of its own.  Lines
+positions are its lines.  The others may have templates beside it: two of
+them that agree in as many positions share all tokens of one of a few
+segments, so they meet by those; a line leads those it meets, and every line
+that is not dropped comes to lead.  A line that agrees with no other is a
+template of its own.  Short lines may differ in one position.  Lines
 whose template occurs in at least ``min_docs`` documents are dropped, and
 with ``long_docs`` also lines of at least ``LONG`` words that are equal but
 for their fields in that many documents.
@@ -27,12 +31,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import BROADCAST_KEYS, materialise, small
 
 DEPTH = 3
 SIMILAR = 0.7
 MIN_DOCS = 3
-MIN_TOKENS = 8   # shorter lines are not generalised beyond their variable fields
+MIN_TOKENS = 8   # shorter lines take no part in the vote and have to agree in more
+SHORT_TOKENS = 5     # of four tokens the path alone would make most of the agreement
+SHORT_SIMILAR = 0.8  # one position of 5 to 7
+LEADERS = 32         # lines of a segment that lead in the first round, about; GROWTH times as many in each next one
+GROWTH = 8
 FIELD = "<*>"
 LONG = 50        # words of a long line
 LONG_DOCS = 2    # documents that a long line recurs in, where that is asked for
@@ -87,17 +95,51 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                          F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens")
 
 
+def _tokens(docs: DataFrame, lines: DataFrame, wide: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The lines of the leaves ``wide`` with their tokens and ``w``, how
+    often they occur.  One occurrence of each is cut from its document."""
+    key = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
+           F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)).alias("k2")]
+    once = (lines.where(F.col("n") >= SHORT_TOKENS).join(wide, "leaf", "left_semi").groupBy("leaf", "a", "b", "n")
+                 .agg(F.count("*").alias("w"), F.min(F.struct("k1", "k2", "pos")).alias("at")))
+    once = materialise(once, "lines-once")
+    need = once.groupBy("at.k1", "at.k2").agg(F.collect_list(F.struct("at.pos", "leaf", "a", "b", "n", "w")).alias("need"))
+    need = materialise(need, "lines-need")
+    texts = docs.select(*key, F.col(text_col).alias("text"))
+    texts = texts.join(small(need.select("k1", "k2"), BROADCAST_KEYS), ["k1", "k2"], "left_semi").join(need, ["k1", "k2"])
+    # an array of one, so that a text is split once
+    cut = texts.select(F.explode(F.flatten(F.transform(F.array(F.split("text", "\n")), lambda parts: F.transform(
+        "need", lambda x: F.struct(x.alias("x"), F.get(parts, x["pos"]).alias("line")))))).alias("r"))
+    # rows that repeat id and text are one document
+    return cut.select("r.x.*", "r.line").groupBy("leaf", "a", "b", "n", "w").agg(F.first("line").alias("line")).select(
+        "leaf", "a", "b", "n", "w", F.split(_masked(F.col("line")), " ").alias("tokens"))
+
+
+def _same(x: str, y: str) -> Column:
+    """In how many positions two arrays of tokens agree."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda acc, p: acc + p)
+
+
+def _similar(n: Column) -> Column:
+    """How many positions of ``n`` have to agree."""
+    return F.when(n < MIN_TOKENS, F.ceil(SHORT_SIMILAR * n - 1e-9)).otherwise(F.ceil(SIMILAR * n - 1e-9)).cast("int")
+
+
 def _templates(docs: DataFrame, lines: DataFrame, counted: DataFrame, id_col: str, text_col: str,
                min_docs: int) -> DataFrame:
-    """(a, b) of the lines that a leaf's template generalises, where enough
+    """(a, b) of the lines that a template generalises, where enough
     documents have one of them."""
-    wide = (counted.where(F.col("n") >= MIN_TOKENS).groupBy("leaf")
+    wide = (counted.where(F.col("n") >= SHORT_TOKENS).groupBy("leaf")
                    .agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
                    .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select("leaf"))
     wide = materialise(wide, "lines-leaves")
-    held = materialise(
-        _lines(docs, id_col, text_col).where(F.col("n") >= MIN_TOKENS).join(wide, "leaf", "left_semi")
-        .groupBy("leaf", "a", "b", "tokens").agg(F.count("*").alias("w")), "lines-tokens")
+    held = materialise(_tokens(docs, lines, wide, id_col, text_col), "lines-tokens")
+    voted = _voted(lines, held.where(F.col("n") >= MIN_TOKENS), min_docs)
+    return _led(lines, counted, held, materialise(voted, "lines-voted"), min_docs)
+
+
+def _voted(lines: DataFrame, held: DataFrame, min_docs: int) -> DataFrame:
+    """The lines that agree with the most frequent tokens of their leaf."""
     votes = (held.select("leaf", "w", F.posexplode("tokens").alias("pos", "token"))
                  .groupBy("leaf", "pos", "token").agg(F.sum("w").alias("w"))
                  .groupBy("leaf", "pos").agg(F.max(F.struct("w", "token")).alias("top")))
@@ -105,15 +147,57 @@ def _templates(docs: DataFrame, lines: DataFrame, counted: DataFrame, id_col: st
     shape = votes.groupBy("leaf").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", F.col("top.token").alias("token")))),
         lambda x: x["token"]).alias("template"))
-    same = F.aggregate(F.zip_with("tokens", "template", lambda x, y: (x == y).cast("int")), F.lit(0),
-                       lambda acc, x: acc + x)
-    like = held.join(shape, "leaf").where(same >= SIMILAR * F.size("tokens")).select("leaf", "a", "b")
+    like = held.join(shape, "leaf").where(_same("tokens", "template") >= SIMILAR * F.size("tokens")).select("leaf", "a", "b")
     like = materialise(like, "lines-like")
     often = (lines.join(like.select("a", "b"), ["a", "b"], "left_semi").groupBy("leaf", "k1", "k2").agg(F.lit(1))
                   .groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf"))
     return like.join(often, "leaf").select("a", "b")
 
 
+def _led(lines: DataFrame, counted: DataFrame, held: DataFrame, voted: DataFrame, min_docs: int) -> DataFrame:
+    """``voted`` and the (a, b) of the lines in the group of a leading line,
+    where enough documents have one of the group.  Lines that are in such a
+    group, or ``voted``, lead no more."""
+    # d positions may differ: of d + 1 segments beyond the path one is equal
+    d = F.col("n") - _similar(F.col("n"))
+    start = lambda i: (DEPTH + F.floor(i * (F.col("n") - DEPTH) / (d + 1))).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), d), lambda i: F.xxhash64(
+        "leaf", i, F.slice("tokens", start(i) + 1, start(i + 1) - start(i))))
+    met = materialise(held.select("a", "b", F.explode(parts).alias("part")), "lines-parts")
+    crowd = met.groupBy("part").agg(F.count("*").alias("lines")).where("lines > 1")
+    met = materialise(met.join(crowd, "part"), "lines-met")
+    crowded = materialise(met.groupBy("a", "b").agg(F.max("lines").alias("lines")), "lines-crowded")
+    most = crowded.agg(F.max("lines")).collect()[0][0] or 0
+    # a line of enough documents makes its group one; of the others, all documents are known
+    docs = counted.join(crowded, ["a", "b"], "left_semi").select("a", "b", "docs")
+    docs = materialise(docs, "lines-docs")
+    of = (lines.join(docs.where(F.col("docs") < min_docs), ["a", "b"], "left_semi").groupBy("a", "b", "k1", "k2")
+               .agg(F.lit(1)).groupBy("a", "b").agg(F.collect_list(F.struct("k1", "k2")).alias("of")))
+    side = materialise(held.select("a", "b", "n", "tokens").join(docs, ["a", "b"]).join(of, ["a", "b"], "left"),
+                       "lines-sides")
+    leader = side.select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("tokens").alias("ltokens"),
+                         F.col("docs").alias("ldocs"), F.col("of").alias("lof"))
+    turn = F.pmod(F.xxhash64("a", "b", F.lit(7)), "lines")
+    out, last, lead = voted, 0, LEADERS
+    while most > last:
+        leads = crowded.where((turn >= last) & (turn < lead)).join(out, ["a", "b"], "left_anti").select("a", "b")
+        leads = met.join(leads, ["a", "b"], "left_semi").select("part", F.col("a").alias("la"), F.col("b").alias("lb"))
+        pairs = (leads.join(met.select("part", "a", "b"), "part").where("a <> la or b <> lb")
+                      .select("la", "lb", "a", "b").distinct())
+        agree = pairs.join(leader, ["la", "lb"]).join(side, ["a", "b"]).where(
+            (F.size("tokens") == F.size("ltokens")) & (_same("tokens", "ltokens") >= _similar(F.col("n"))))
+        agree = materialise(agree.select("la", "lb", "ldocs", "lof", "a", "b", "docs", "of"), "lines-agree")
+        each = agree.select("la", "lb", "docs", "of").union(agree.select("la", "lb", "ldocs", "lof"))
+        each = each.select("la", "lb", "docs", F.explode_outer("of").alias("doc"))
+        enough = (each.groupBy("la", "lb", "doc").agg(F.max("docs").alias("docs"))
+                      .groupBy("la", "lb").agg(F.max("docs").alias("docs"), F.count("doc").alias("n"))
+                      .where((F.col("docs") >= min_docs) | (F.col("n") >= min_docs)).select("la", "lb"))
+        group = agree.select("la", "lb", "a", "b").join(enough, ["la", "lb"])
+        out = materialise(out.union(group.select("a", "b")).union(group.select("la", "lb")).distinct(), "lines-out")
+        last, lead = lead, lead * GROWTH
+    return out
+
+
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_docs: int = MIN_DOCS, long_docs: int | None = None) -> DataFrame:
     """``docs`` with the text without recurring lines, all other columns

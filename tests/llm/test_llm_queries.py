@@ -21,7 +21,7 @@ from tidemark.llm.queries import GOOD, GRADES, QUERIES, RANKS, SQL, grade
 
 SF = "/root/testdata/sf0.001"
 ROWS = {"op4_language_id": "documents", "op1_token_counts": "documents", "op2_quality": "documents",
-        "op3_byte_bpe": "documents", "op7_line_dedup": "documents", "op9_ngram_join": "documents"}
+        "op3_byte_bpe": "documents", "op7_line_dedup": "documents", "op9_ngram_join": "documents", "op12_substring_dedup": "documents"}
 
 
 def norm(v):
@@ -30,14 +30,14 @@ def norm(v):
 
 def test_registered():
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(QUERIES)
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cur = con.execute(SQL[name])

@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, exact_dedup, langid, line_dedup, mixing, ngram_join, quality, token_counts, warc
+from tidemark.llm import (ann, bpe, exact_dedup, hard_negatives, langid, line_dedup, mixing, ngram_join, phrases,
+                          quality, substrings, token_counts, warc)
 from tidemark.llm.common import shared_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -82,6 +83,20 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_read(spark, sf, "documents"), keep="largest")
 
 
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_read(spark, sf, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = substrings.drop_repeats(_read(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_read(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
@@ -93,6 +108,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_phrases": op11_phrases,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
@@ -150,5 +168,65 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+""",
+    "op11_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS k))),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM counts WHERE f >= 30),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM often WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, p.f AS l, r.f AS r,
+         (2000000::HUGEINT * c.a // (p.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+  JOIN often p ON p.lang = c.lang AND p.phrase = array_to_string(list_slice(c.w, 1, j), ' ')
+  JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, j + 1, c.k), ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cuts) WHERE o = 1),
+inner_phrases AS (
+  SELECT lang, a AS around, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand))),
+gone AS (SELECT DISTINCT b.lang, b.phrase FROM best b
+         JOIN inner_phrases i ON b.lang = i.lang AND b.phrase = i.phrase AND 100 * i.around >= 80 * b.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+  FROM best ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank::INT AS rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""",
+    "op12_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+windows AS (SELECT row, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS h
+            FROM (SELECT row, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT row, i + j AS pos FROM again, (SELECT unnest(range(0, 35)) AS j)),
+words AS (SELECT row, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM words ANTI JOIN gone USING (row, pos) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)
+""",
+    "op13_hard_negatives": """
+WITH r AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.id AS anchor, a.label = b.label AS same, b.id, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM r a JOIN r b ON a.id % 50 = 0 AND a.id <> b.id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor, p.id AS positive, p.score AS ps, s.id, s.score,
+             row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS k
+      FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, k::INT AS rank, id AS negative_id, ps AS positive_score, score AS negative_score
+FROM n WHERE k <= 3
 """,
 }

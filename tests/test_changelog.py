@@ -68,7 +68,7 @@ def test_running_total_matches_brute_force(spark):
     rnd = random.Random(7)
     vals = [(i, rnd.randint(0, 9)) for i in range(0, 500, 3)]
     df = spark.createDataFrame(vals, "k long, v long")
-    got = {r.k: r.running_total for r in changelog.running_total(df, "k", "v", blocks=7).collect()}
+    got = {r.k: r.running_total for r in changelog.running_total(df, "k", "v", block_rows=25).collect()}
     acc, want = 0, {}
     for k, v in vals:
         acc += v
@@ -165,5 +165,9 @@ def test_apply_changelog(spark):
             (3, "u", 1, "U", '{"id": 1}', '{"id": 1, "v": "c"}', None), (4, "u", 2, "D", '{"id": 2}', None, None)]
     df = spark.createDataFrame(rows, changelog.CHANGELOG_SCHEMA)
     now = changelog.apply_changelog(None, df, "id long, v string")
-    assert [(r.record_id, r.row.v) for r in now.collect()] == [(1, "c")]
-    assert [(r.record_id, r.row.v) for r in changelog.apply_changelog(now, df, "id long, v string").collect()] == [(1, "c")]
+    rows_of = lambda s: [(r.record_id, r.row.v) for r in changelog.current_rows(s).collect()]
+    assert rows_of(now) == [(1, "c")]
+    again = changelog.apply_changelog(now, df, "id long, v string")
+    assert rows_of(again) == [(1, "c")]
+    # an earlier part once more: what was removed stays removed
+    assert rows_of(changelog.apply_changelog(again, df.where("change_id <= 2"), "id long, v string")) == [(1, "c")]

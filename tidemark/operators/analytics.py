@@ -17,6 +17,9 @@ def top_product(lineitem: DataFrame, part: str = "l_partkey", qty: str = "l_quan
     return totals.orderBy(F.col("_q").desc(), F.col(part).asc()).limit(1).select(part)
 
 
+DAYS = 100_000    # a day table has a row a day
+
+
 def basket_affinity(lineitem: DataFrame, order: str = "l_orderkey", part: str = "l_partkey",
                     qty: str = "l_quantity", digits: int = 6) -> DataFrame:
     """Products bought together with the top seller.
@@ -83,8 +86,7 @@ def new_product_trend(lineitem: DataFrame, part: str = "l_partkey", ts: str = "l
 def report_rollup(orders: DataFrame, customer: DataFrame, nation: DataFrame,
                   region: DataFrame) -> DataFrame:
     """Order totals by region > nation > status with subtotals and grand
-    total (ROLLUP).  Money is summed in integer cents so totals are exact.
-    ``level`` = number of rolled-up columns (0 = detail, 3 = grand total)."""
+    total (ROLLUP).  Money is summed in integer cents so totals are exact."""
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     # one row a customer and status before the join, one a nation and status
     # before the names; only that small table is rolled up
@@ -94,6 +96,13 @@ def report_rollup(orders: DataFrame, customer: DataFrame, nation: DataFrame,
                                     F.col("o_custkey") == F.col("c_custkey"))
                               .groupBy("c_nationkey", "o_orderstatus").agg(F.sum("n").alias("n"),
                                                                            F.sum("cents").alias("cents")))
+    return rollup_nations(per_nation, nation, region)
+
+
+def rollup_nations(per_nation: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """The rollup of one row a nation and status (``c_nationkey``,
+    ``o_orderstatus``, ``n``, ``cents``).  ``level`` = number of rolled-up
+    columns (0 = detail, 3 = grand total)."""
     j = (per_nation.join(nation.select("n_nationkey", "n_name", "n_regionkey"),
                          F.col("c_nationkey") == F.col("n_nationkey"))
                    .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")))
@@ -191,3 +200,12 @@ def compare_copies(sources: dict, copies: dict) -> DataFrame:
             & F.col("_s").eqNullSafe(F.col("_c")))
     return (s.join(c, "table_name", "full_outer").withColumn("in_sync", F.coalesce(same, F.lit(False)))
              .drop("_s", "_c"))
+
+
+def of_days(fact: DataFrame, days: DataFrame, day_col: str) -> DataFrame:
+    """Rows of a table partitioned by ``day_col`` for the days of a (filtered)
+    day table, with its columns.  The days become known when the query runs
+    and prune the partitions before the scan; a day table of more than
+    ``DAYS`` rows is not hinted as a broadcast."""
+    few = days.select(day_col).limit(DAYS + 1).count() <= DAYS
+    return fact.join(F.broadcast(days) if few else days, day_col)

@@ -16,6 +16,7 @@ from tidemark.functions import fixed
 from tidemark.functions import jsonx
 from tidemark.functions import text as T
 from tidemark.functions.compute import with_computed
+from tidemark.session import written
 
 CHANGELOG_SCHEMA = ("change_id bigint, table_name string, record_id bigint, operation string, "
                     "old_data string, new_data string, change_time timestamp")
@@ -106,36 +107,52 @@ def diff_to_changelog(diff: DataFrame, key: str, table_name: str, change_time, i
 
 def apply_changelog(state: DataFrame | None, changes: DataFrame, row_schema: str,
                     key: str = "record_id") -> DataFrame:
-    """Current rows after a change log: of each record's changes the one
-    with the greatest ``change_id`` counts; I and U put their new image, D
-    removes the record.  ``state`` (``key``, ``change_id``, ``row``) is an
-    earlier result, or None; applying the same changes again changes
-    nothing.  Removed records stay out of the result."""
+    """State after a change log (``key``, ``change_id``, ``row``): of each
+    record's changes the one with the greatest ``change_id`` counts; I and U
+    put their new image, D leaves a tombstone (``row`` null), so that earlier
+    changes that are applied once more do not bring the record back.
+    ``state`` is an earlier result, or None.  Applying any of the same
+    changes again changes nothing; :func:`current_rows` leaves the tombstones
+    out."""
     new = changes.select(F.col("record_id").alias(key), "change_id",
                          F.when(F.col("operation") != fixed.OP_DELETE,
                                 F.from_json("new_data", row_schema)).alias("row"))
     every = new if state is None else state.select(key, "change_id", "row").unionByName(new)
-    last = every.groupBy(key).agg(F.max("change_id").alias("change_id"),
+    return every.groupBy(key).agg(F.max("change_id").alias("change_id"),
                                   F.max_by("row", "change_id").alias("row"))
-    return last.where(F.col("row").isNotNull())
+
+
+def current_rows(state: DataFrame) -> DataFrame:
+    """The records of an :func:`apply_changelog` state that were not removed."""
+    return state.where(F.col("row").isNotNull())
+
+
+def _block_of(x, cuts: list, first: int = 0):
+    """Number of ``cuts`` (sorted) below ``x``; searched by halves."""
+    if not cuts:
+        return F.lit(first)
+    half = len(cuts) // 2
+    return (F.when(x > cuts[half], _block_of(x, cuts[half + 1:], first + half + 1))
+             .otherwise(_block_of(x, cuts[:half], first)))
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "running_total",
-                  blocks: int = 256) -> DataFrame:
+                  block_rows: int = 1_000_000, most_blocks: int = 4096) -> DataFrame:
     """Cumulative sum of ``value_col`` in ``order_col`` order, without a
     window over all rows.
 
-    Quantiles of the order column cut the rows into at most ``blocks``
-    blocks of about equal size, however sparse or dense its values are; the
-    block totals get their prefix sum (at most ``blocks`` rows), which is
-    joined back as the offset of a window in each block.  ``order_col`` must
-    be a numeric, unique ordering key.
+    The input is written once.  Quantiles of the order column, taken from
+    the written table, cut it into blocks of about ``block_rows`` rows (at
+    most ``most_blocks``, each then larger), however sparse or dense its
+    values are; the block totals get their prefix sum (one row a block),
+    which is joined back as the offset of a window in each block.
+    ``order_col`` must be a numeric, unique ordering key.
     """
-    cuts = df.agg(F.percentile_approx(order_col, [i / blocks for i in range(1, blocks)], 100 * blocks)).first()[0]
-    cuts = sorted(set(cuts or []))
-    block = F.aggregate(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>"), F.lit(0),
-                        lambda n, c: n + F.coalesce((F.col(order_col) > c).cast("int"), F.lit(0)))
-    with_b = df.withColumn("_blk", block)
+    df = written(df, "running-total")
+    blocks = min(most_blocks, max(1, -(-df.count() // block_rows)))
+    cuts = [] if blocks == 1 else df.agg(F.percentile_approx(
+        order_col, [i / blocks for i in range(1, blocks)], 100 * blocks)).first()[0]
+    with_b = df.withColumn("_blk", _block_of(F.col(order_col), sorted(set(cuts or []))))
     totals = with_b.groupBy("_blk").agg(F.sum(value_col).alias("_bt"))
     w_top = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_blk", F.coalesce(F.sum("_bt").over(w_top), F.lit(0)).alias("_off"))

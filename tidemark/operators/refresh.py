@@ -87,6 +87,20 @@ def state_stats(state: DataFrame, keys, time_col: str, fallback_col: str, as_of,
     return out
 
 
+def coverage_sketches(df: DataFrame, group_cols, key, lg_k: int = 12) -> DataFrame:
+    """One mergeable sketch (HyperLogLog) of the keys and the rows of each
+    group, e.g. of a day; written once, it answers for any period without the
+    rows."""
+    return df.groupBy(*group_cols).agg(F.hll_sketch_agg(key, lg_k).alias("sketch"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def merged_coverage(sketches: DataFrame, period_cols) -> DataFrame:
+    """Distinct keys (estimate) and rows of merged groups.  The relative
+    standard error is about ``1.04 / sqrt(2 ** lg_k)``: 1.6 % for 12."""
+    return sketches.groupBy(*period_cols).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("keys_estimate"),
+                                              F.sum("n_rows").alias("n_rows"))
+
+
 def success_rate(df: DataFrame, group_cols, failed) -> DataFrame:
     """Per group: total, failed and ``(total - failed) / total * 100``
     (rounded to 4 places; 0 when total is 0)."""
@@ -108,7 +122,7 @@ def count_non_blank_lines(df: DataFrame, text_col: str, group_cols=()) -> DataFr
 
 def non_blank_lines(spark, path: str) -> DataFrame:
     """Number of non-blank lines of a text/JSONL log (one row)."""
-    return (spark.read.text(path).where(F.trim(F.col("value")) != "")
+    return (spark.read.text(path).where(T.strip_ws("value") != "")
                  .agg(F.count(F.lit(1)).alias("lines")))
 
 
@@ -118,6 +132,20 @@ RATE_STATE_SCHEMA = ("base_currency string, target_currency string, rates map<st
 RATE_SNAPSHOT_SCHEMA = "base_currency string, target_currency string, rate double"
 
 
+def one_fetch_per_key(snapshot: DataFrame, keys, usable, time_col: str | None = None) -> DataFrame:
+    """One landed fetch result a key: a usable one before a failed one, then
+    the latest by ``time_col`` (where there is one), then the greatest values
+    of the other columns in their order, so that the choice does not depend
+    on how the rows are dealt out."""
+    from tidemark.operators import state as S
+
+    others = [c for c in snapshot.columns if c not in keys]
+    rows = snapshot.withColumn("_usable", F.coalesce(usable, F.lit(False)))
+    first = [time_col] if time_col in others else []
+    order = ["_usable", *first, *[c for c in others if c not in first]]
+    return S.latest_per_key(rows, keys, order).drop("_usable")
+
+
 def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
                   incremental: bool = True, pairs: dict | None = None) -> dict:
     """One refresh cycle of the pair-keyed rate state, as one batch plan.
@@ -125,7 +153,9 @@ def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
     ``state``: current rows (base_currency, target_currency, rates map,
     date, timestamp, source, is_fallback, update_time, crawl_time).
     ``snapshot``: landed fetch results (base_currency, target_currency,
-    rate) - rate NULL or 0 when the fetch failed.
+    rate, and optionally ``fetched_at``) - rate NULL or 0 when the fetch
+    failed.  Of several results of a pair one counts
+    (:func:`one_fetch_per_key`).
 
     Returns ``new_state`` (keyed upsert), ``changes`` (one change record
     per refreshed pair) and ``counts`` (cycle counters).
@@ -136,7 +166,9 @@ def refresh_rates(spark, state, snapshot, as_of, interval_seconds: float,
     dim = pairs_frame(spark, pairs).select(F.col("base").alias(keys[0]), F.col("target").alias(keys[1]))
     last = state.select(*keys, T.parse_time("update_time").alias("last_seen"))
     due = S.due_keys(dim, last, keys, "last_seen", as_of, interval_seconds, incremental)
-    todo = due.where("due").select(*keys).join(snapshot.select(*keys, "rate"), keys, "left")
+    fetched = one_fetch_per_key(snapshot.select(*keys, "rate", *[c for c in ["fetched_at"] if c in snapshot.columns]),
+                                keys, F.col("rate") != 0, "fetched_at")
+    todo = due.where("due").select(*keys).join(fetched.select(*keys, "rate"), keys, "left")
     ref = S.fallback_rates_frame(spark).select(F.col("base").alias(keys[0]),
                                                F.col("target").alias(keys[1]), "rate")
     filled = S.impute(todo, "rate", ref.withColumnRenamed("rate", "ref_rate"), keys, "ref_rate",
@@ -183,7 +215,8 @@ def refresh_weather(spark, state, snapshot, as_of, interval_seconds: float,
     keys = ["province"]
     last = state.select("province", T.parse_time("update_time").alias("last_seen"))
     due = S.due_keys(provinces_frame(spark), last, keys, "last_seen", as_of, interval_seconds, incremental)
-    snap = snapshot.select("province", "date", "weather", "temperature", "wind", "source")
+    snap = one_fetch_per_key(snapshot.select("province", "date", "weather", "temperature", "wind", "source"), keys,
+                             F.coalesce("weather", "temperature", "wind").isNotNull(), "date")
     todo = due.where("due").select("province").join(snap, "province", "left")
     filled = fill_weather_defaults(todo, as_of)
     rows = filled.select("province", "date", "weather", "temperature", "wind", "source",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from tidemark.functions import fixed
 from tidemark.plans import queries as Q
+from tidemark.plans import upkeep as U
 
 # RE2 spellings of the Unicode classes used by the Spark side.
 RE2_SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
@@ -250,7 +251,7 @@ SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS INTEGER) AS ds FROM cus
 
     "append_log": "SELECT 2 * count(*) AS lines FROM conversations",
 
-    "view_star": "SELECT * FROM nation",
+    "view_star": "SELECT * FROM customer",
 
     "changelog_chain": f"""
 WITH o AS (
@@ -599,4 +600,86 @@ GROUP BY ROLLUP (r_name, n_name, o_orderstatus)""",
     "dq_checks": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, '{c}' AS check_name, CAST(({s}) AS BIGINT) AS n_bad"
         for t, c, s in _dq_rows()),
+
+    "report_from_changes": f"""
+WITH o AS (
+  SELECT o_custkey,
+         CASE WHEN o_orderstatus = 'P' AND o_orderkey % 11 = 0 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+         CAST(round((CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END) * 100) AS BIGINT) AS cents
+  FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '{Q.PURGE_BEFORE}'))
+SELECT r_name, n_name, o_orderstatus, count(*) AS n_orders, CAST(sum(cents) AS BIGINT) AS total_cents,
+       CAST((r_name IS NULL)::INT + (n_name IS NULL)::INT + (o_orderstatus IS NULL)::INT AS INTEGER) AS level
+FROM o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+GROUP BY ROLLUP (r_name, n_name, o_orderstatus)""",
+
+    "stream_counters": f"""
+SELECT strftime(date_trunc('day', ts), {TS_FMT}) AS window_start,
+       CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS operation,
+       count(*) AS changes, max(event_id) + 1 AS last_id
+FROM events GROUP BY 1, 2""",
+
+    "stream_change_table": """
+SELECT CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS operation, count(*) AS n,
+       CAST(sum(event_id + 1) AS BIGINT) AS id_sum, min(event_id) + 1 AS first_id, max(event_id) + 1 AS last_id,
+       count(CASE WHEN event_type <> 'signup' THEN props END) AS n_old,
+       count(CASE WHEN event_type <> 'error' THEN props END) AS n_new
+FROM events GROUP BY 1""",
+
+    "copy_differences": """
+WITH e AS (SELECT min(o_orderkey) AS low, max(o_orderkey) - min(o_orderkey) + 1 AS width FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey - low >= width - width // 500 THEN 'missing' ELSE 'changed' END AS difference
+FROM orders, e
+WHERE o_orderkey - low >= width - width // 500
+   OR (o_orderkey - low >= width // 4 AND o_orderkey - low < width // 4 + width // 200 AND o_orderkey % 3 = 0)
+UNION ALL
+SELECT o_orderkey + width, 'added' FROM orders, e WHERE o_orderkey - low < width // 1000 + 1""",
+
+    "bucketed_join": """
+SELECT l_orderkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+       max(o_totalprice) AS o_totalprice, max(o_orderstatus) AS o_orderstatus
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey""",
+
+    "point_reads": f"""
+SELECT asked, strftime(o_orderdate, '%Y%m%d') || '_' || CAST(o_orderkey AS VARCHAR) AS rowkey, o_orderkey, o_totalprice
+FROM (SELECT 'few' AS asked, * FROM orders WHERE o_orderkey < {U.FEW_KEYS}
+      UNION ALL SELECT 'many', * FROM orders WHERE o_orderkey % 3 = 0)""",
+
+    "pruned_days": """
+SELECT strftime(ts, '%Y-%m-%d') AS ds, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, count(*) AS n_events,
+       count(DISTINCT user_id) AS n_users
+FROM events WHERE isodow(ts) >= 6 GROUP BY 1, 2""",
+
+    "cells_as_of": f"""
+WITH c AS (SELECT CAST(user_id AS VARCHAR) || '_' || event_type AS rowkey, ts, event_id, value FROM events),
+q AS (SELECT rowkey, t AS as_of FROM (SELECT DISTINCT rowkey FROM c),
+        (SELECT unnest([{', '.join(f"TIMESTAMP '{t}'" for t in U.AS_OF_TIMES)}]) AS t)),
+r AS (SELECT q.rowkey, q.as_of, event_id, value, ts,
+             row_number() OVER (PARTITION BY q.rowkey, q.as_of ORDER BY ts DESC NULLS LAST, event_id DESC) AS k
+      FROM q LEFT JOIN c ON c.rowkey = q.rowkey AND c.ts <= q.as_of)
+SELECT rowkey, strftime(as_of, {TS_FMT}) AS as_of, event_id, value, strftime(ts, {TS_FMT}) AS ts FROM r WHERE k = 1""",
+
+    "payload_drift": """
+WITH f AS (
+  SELECT 'events' AS source, 'k' AS field, 'BIGINT' AS kind FROM events WHERE json_extract(props, '$.k') IS NOT NULL
+  UNION ALL SELECT 'orders', 'o_orderkey', 'BIGINT' FROM orders
+  UNION ALL SELECT 'orders', 'price', CASE WHEN o_orderstatus = 'P' THEN 'STRING' ELSE 'DECIMAL' END FROM orders
+  UNION ALL SELECT 'orders', 'priority', 'STRING' FROM orders WHERE o_orderstatus = 'O'),
+g AS (SELECT source, field, kind, count(*) AS n_rows FROM f GROUP BY ALL)
+SELECT source, field, kind, n_rows, count(*) OVER (PARTITION BY source, field) > 1 AS drifts FROM g""",
+
+    "payload_typed": """
+SELECT 'orders' AS source, o_orderkey AS id, NULL::BIGINT AS k, o_orderkey,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS priority, round(o_totalprice, 2) AS price FROM orders
+UNION ALL
+SELECT 'events', event_id, CAST(json_extract(props, '$.k') AS BIGINT), NULL, NULL, NULL FROM events""",
+
+    "sketch_coverage": """
+SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+       true AS within_bound
+FROM events GROUP BY 1""",
+
+    "exact_split": f"""
+WITH n AS (SELECT count(*) AS n, count(*) * {fixed.EVAL_PERCENT} // 100 AS e FROM documents)
+SELECT 'eval' AS split, e AS n, e AS n_ids FROM n UNION ALL SELECT 'train', n - e, n - e FROM n""",
 }

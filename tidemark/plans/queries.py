@@ -17,39 +17,13 @@ from tidemark.functions import text as T
 from tidemark.functions import tokens as K
 from tidemark.functions.compute import literal_table
 from tidemark.operators import analytics, changelog, corpus, encode, kv, refresh, state
-from tidemark.session import scratch_path
+from tidemark.plans.base import (AS_OF, STATE_CUTOFF, REFRESH_INTERVAL, FRESH_INTERVAL, SCAN_DAY, SNAPSHOT_OLD_END, PURGE_BEFORE, SCAN_PREFIX, CDC_BATCH, EVENT_REF_VALUES, STORE_TABLES,
+                                 _scratch, _t, _ts)
+from tidemark.plans.upkeep import UPKEEP
+from tidemark.session import written
 from tidemark.sinks import writers
 from tidemark.sources import catalog, files
-from tidemark.sources.tables import register_views, table
-
-# Query parameters (not reference values).
-AS_OF = "2024-01-31 00:00:00"          # "now" of every batch query
-STATE_CUTOFF = "2024-01-21 00:00:00"   # events before: stored state; after: new batch
-REFRESH_INTERVAL = 86400               # seconds
-FRESH_INTERVAL = 3 * 86400             # seconds
-SCAN_DAY = "19980101"
-SNAPSHOT_OLD_END = "2001-01-01 00:00:00"  # earlier snapshot: orders placed before
-PURGE_BEFORE = "1996-01-01 00:00:00"      # later snapshot: fulfilled orders before are archived
-SCAN_PREFIX = "199801"
-CDC_BATCH = 1000
-# per-event-type reference values for imputation ('error' has none)
-EVENT_REF_VALUES = {"view": 10.0, "click": 20.0, "purchase": 30.0, "signup": 40.0}
-STORE_TABLES = {
-    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
-    "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
-    "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
-    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
-    "labels": "doc_id", "conversations": "conv_id",
-}
-
-
-def _ts(s: str):
-    return F.lit(s).cast("timestamp_ntz")
-
-
-def _t(spark, sf, name):
-    return table(spark, sf, name)
-
+from tidemark.sources.tables import register_views
 
 # --- orders key-value store --------------------------------------------------
 
@@ -425,10 +399,6 @@ def q_dq_checks(spark, sf):
 
 # --- write, repeat, read back ---------------------------------------------------------
 
-def _scratch(spark, name: str) -> str:
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-
-
 def q_sink_state_upsert(spark, sf):
     """Two batches into the committed state, the second one repeated."""
     ev = _t(spark, sf, "events").select(*KEYS, "event_id", "ts", "value")
@@ -448,16 +418,19 @@ def q_sink_bucketed_state(spark, sf):
 
 
 def q_sink_kv_partitioned(spark, sf):
-    """Orders by month and row key; then those of one month again with
-    another price, twice: the other rows of the month stay."""
+    """Orders by month and row key; then those of one day again with other
+    prices, each key several times with the last put to count, twice: the
+    other rows of the month stay."""
     o = _t(spark, sf, "orders")
     rows = o.select(T.time_text("o_orderdate", "yyyyMM").alias("partition_date"),
-                    T.row_key(T.day_key("o_orderdate"), "o_orderkey").alias("rowkey"), "o_orderkey", "o_totalprice")
+                    T.row_key(T.day_key("o_orderdate"), "o_orderkey").alias("rowkey"), "o_orderkey", "o_totalprice",
+                    F.lit(0).alias("put"))
     path = _scratch(spark, "kv")
-    writers.write_kv_partitioned(spark, rows, path)
-    again = rows.where(F.col("rowkey").startswith(SCAN_DAY)).withColumn("o_totalprice", F.lit(1.5))
+    writers.write_kv_partitioned(spark, rows, path, order_cols="put")
+    again = (rows.where(F.col("rowkey").startswith(SCAN_DAY)).withColumn("put", F.explode(F.sequence(F.lit(1), F.lit(4))))
+                 .withColumn("o_totalprice", F.when(F.col("put") == 4, 1.5).otherwise(10.0 * F.col("put"))))
     for _ in range(2):
-        writers.write_kv_partitioned(spark, again, path)
+        writers.write_kv_partitioned(spark, again, path, order_cols="put")
     return spark.read.parquet(path).select("rowkey", "o_orderkey", "o_totalprice")
 
 
@@ -474,12 +447,15 @@ def q_sink_day_bucketed(spark, sf):
     """Two batches into a table by batch and day, the second one repeated."""
     ev = _t(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("cdc_time"), "user_id",
                                         T.time_text("ts", fixed.DATE_TEXT_FORMAT).alias("ds"))
-    name = f"events_{uuid.uuid4().hex}"
+    name, path = f"events_{uuid.uuid4().hex}", _scratch(spark, "day-bucketed")
     late = F.col("cdc_time") >= _ts(STATE_CUTOFF)
     for batch, part in enumerate((~late, late)):
         for _ in range(batch + 1):
-            writers.replace_batch(spark, ev.where(part).withColumn("batch_id", F.lit(batch).cast("bigint")), name, batch)
-    return spark.table(name).groupBy("ds").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
+            writers.replace_batch(spark, ev.where(part).withColumn("batch_id", F.lit(batch).cast("bigint")), name, batch,
+                                  path=path)
+    rows = spark.read.schema(spark.table(name).schema).parquet(path)
+    catalog.drop_table(spark, name)  # the files stay
+    return rows.groupBy("ds").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
 
 
 def q_corpus_round_trip(spark, sf):
@@ -512,21 +488,26 @@ def q_delimited_table(spark, sf):
     catalog.create_delimited_table(spark, name, "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE, ds INT", path, "ds")
     for n in _t(spark, sf, "nation").select("n_nationkey").collect():
         catalog.add_partition(spark, name, {"ds": n[0]})
-    return spark.sql(f"SELECT * FROM {name}")
+    out = written(spark.sql(f"SELECT * FROM {name}"), "delimited")
+    catalog.drop_table(spark, name)
+    return out
 
 
 def q_append_log(spark, sf):
-    """Records appended twice to a log; its lines."""
+    """Records appended twice to a log, and lines of blanks and tabs for
+    every first turn; its lines that are not blank."""
     c = _t(spark, sf, "conversations").select("conv_id", "turn", "role")
     path = _scratch(spark, "log")
     for _ in range(2):
         writers.append_jsonl(c, path)
+    blank = c.where("turn = 0").select(F.concat(F.lit(" \t"), F.repeat(F.lit("\t"), F.pmod("conv_id", F.lit(3)).cast("int"))).alias("value"))
+    blank.write.mode("append").text(path)
     return refresh.non_blank_lines(spark, path)
 
 
 def q_view_star(spark, sf):
-    register_views(spark, sf, ["nation"])
-    return spark.sql("SELECT * FROM nation")
+    register_views(spark, sf, ["customer"])
+    return spark.sql("SELECT * FROM customer")
 
 
 def q_changelog_chain(spark, sf):
@@ -543,14 +524,14 @@ def q_changelog_chain(spark, sf):
 
 
 def q_apply_changelog(spark, sf):
-    """The current rows after all changes, applied in two parts, the second
-    one twice."""
+    """The current rows after all changes, applied in two parts; both are
+    applied again, the earlier one last, which brings no removed row back."""
     ch = events_as_changelog(_t(spark, sf, "events"))
     late = F.col("change_time") >= _ts(STATE_CUTOFF)
     now = None
-    for part in (~late, late, late):
+    for part in (~late, late, late, ~late):
         now = changelog.apply_changelog(now, ch.where(part), "k bigint")
-    return now.select("record_id", "change_id", "row.k")
+    return changelog.current_rows(now).select("record_id", "change_id", "row.k")
 
 
 QUERIES = {
@@ -608,4 +589,5 @@ QUERIES = {
     "new_product_trend": q_new_product_trend,
     "report_rollup": q_report_rollup,
     "dq_checks": q_dq_checks,
+    **UPKEEP,
 }

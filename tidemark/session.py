@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package assumes.  The time zone is pinned so
 # that timestamp text and day boundaries do not depend on the host.
@@ -69,6 +70,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back:
+    what follows reads the files and does not compute ``df`` again, also
+    when an executor is lost."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for a named streaming query under the shared
     ``spark.checkpoint.dir`` (offsets and commits survive driver restarts

@@ -94,10 +94,15 @@ def commit_state(spark: SparkSession, df: DataFrame, base: str) -> int:
     cur = current_version(spark, base)
     nxt = 0 if cur is None else cur + 1
     df.write.mode("overwrite").parquet(version_path(base, nxt))
-    spark.createDataFrame([(str(nxt),)], "value string").coalesce(1).write.mode("append").text(_commits(base))
+    commit_version(spark, base, nxt)
     return nxt
 
 
+def commit_version(spark: SparkSession, base: str, version: int) -> None:
+    """Make a written version the current one."""
+    spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.mode("append").text(_commits(base))
+
+
 def commit_with(spark: SparkSession, df: DataFrame, base: str, logs: dict) -> int:
     """Write ``logs`` (path -> frame) under ``state_version=<next>``, then
     commit ``df`` as that version.
@@ -161,13 +166,13 @@ def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[int
     """Remove all but the newest ``keep`` committed versions; returns the
     removed ones.  Call it when no reader holds an older version."""
     now = current_version(spark, base)
-    gone = []
-    conf = spark._jsc.hadoopConfiguration()
-    for v in range(0 if now is None else max(0, now - keep + 1)):
-        where = spark._jvm.org.apache.hadoop.fs.Path(version_path(base, v))
-        if where.getFileSystem(conf).delete(where, True):
-            gone.append(v)
-    return gone
+    return [v for v in range(0 if now is None else max(0, now - keep + 1)) if remove(spark, version_path(base, v))]
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of ours; False where there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def keep_cell_versions(spark: SparkSession, batch: DataFrame, base: str, key_cols, version_col: str,
@@ -188,18 +193,28 @@ def keep_cell_versions(spark: SparkSession, batch: DataFrame, base: str, key_col
 # --- key-ordered KV files ---------------------------------------------------------------
 
 def write_kv_partitioned(spark: SparkSession, df: DataFrame, path: str, key: str = "rowkey",
-                         partition_col: str = "partition_date", files_per_day: int = 1) -> None:
+                         partition_col: str = "partition_date", files_per_day: int = 1,
+                         order_cols=None, bloom_keys: int | None = None) -> None:
     """Partition-prefixed key-value upsert: one directory per day, rows
     range-partitioned and sorted by row key so each file holds one
     contiguous key range (Parquet min/max statistics then skip row groups
     on key-prefix scans).
 
     A row replaces the stored row of the same key; the other rows of its
-    day stay.  Days that the batch does not touch are neither read nor
-    written, and a repeated batch gives the same files' contents.
+    day stay.  Of rows of one key in a batch the one with the greatest
+    ``order_cols`` counts (the last put), ties and a batch without order by
+    the greatest values of its other columns.  Days that the batch does not
+    touch are neither read nor written, and a repeated batch gives the same
+    files' contents.  With ``bloom_keys`` (distinct keys of a file, about)
+    the files get a Bloom filter on the key, for :func:`kv.multi_get`.
     """
     checkpoint_dir(spark)
-    new = df.dropDuplicates([partition_col, key]).checkpoint()
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols or [])
+    rest = [c for c, t in df.dtypes if c not in (partition_col, key, *order_cols) and "map<" not in t and "variant" not in t]
+    new = df
+    if order_cols + rest:
+        new = S.latest_per_key(df, [partition_col, key], order_cols + rest).select(*df.columns)
+    new = (new if order_cols + rest else df.dropDuplicates([partition_col, key])).checkpoint()
     days = [r[0] for r in new.select(partition_col).distinct().collect()]  # names only
     cur = _read_if_there(lambda: spark.read.parquet(path))
     merged = new
@@ -210,8 +225,11 @@ def write_kv_partitioned(spark: SparkSession, df: DataFrame, path: str, key: str
         merged = old.select(*new.columns).unionByName(new).checkpoint()
     ordered = (merged.repartitionByRange(max(1, len(days) * files_per_day), partition_col, key)
                      .sortWithinPartitions(partition_col, key))
-    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col).parquet(path))
+    out = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if bloom_keys:
+        out = (out.option(f"parquet.bloom.filter.enabled#{key}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{key}", str(bloom_keys)))
+    out.partitionBy(partition_col).parquet(path)
 
 
 def read_kv_prefix(spark: SparkSession, path: str, prefix: str, key: str = "rowkey",
@@ -241,18 +259,31 @@ def write_day_bucketed(df: DataFrame, table: str, day_col: str = "ds", bucket_co
        .bucketBy(n_buckets, bucket_col).sortBy(*sort_cols).saveAsTable(table))
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, bucket_col: str, n_buckets: int = fixed.TABLE_BUCKETS,
+                   fmt: str = "parquet") -> None:
+    """A table of files in ``path``, hash-bucketed and sorted by
+    ``bucket_col``, one file a bucket.  Tables of the same buckets are joined
+    and grouped on that column without a shuffle."""
+    (df.repartition(n_buckets, bucket_col).write.format(fmt).mode("overwrite").bucketBy(n_buckets, bucket_col)
+       .sortBy(bucket_col).option("path", path).saveAsTable(table))
+
+
 def replace_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int, day_col: str = "ds",
                   bucket_col: str = "id", sort_cols=("id", "cdc_time"),
-                  n_buckets: int = fixed.TABLE_BUCKETS, fmt: str = "parquet") -> None:
+                  n_buckets: int = fixed.TABLE_BUCKETS, fmt: str = "parquet", path: str | None = None) -> None:
     """Write one batch (column ``batch_id``) into a table partitioned by
     batch and day; what an earlier attempt of the batch wrote is replaced,
-    other batches stay."""
+    other batches stay.  ``path`` puts the files of a new table there instead
+    of in the warehouse."""
     if not spark.catalog.tableExists(table):
         check_key_prefix([c for c in df.columns if c not in (day_col, "batch_id")], list(sort_cols))
-        (spark.createDataFrame([], df.schema).write.format(fmt).partitionBy("batch_id", day_col)
-           .bucketBy(n_buckets, bucket_col).sortBy(*sort_cols).saveAsTable(table))
+        new = (spark.createDataFrame([], df.schema).write.format(fmt).partitionBy("batch_id", day_col)
+                    .bucketBy(n_buckets, bucket_col).sortBy(*sort_cols))
+        (new.option("path", path) if path else new).saveAsTable(table)
     # the batch's earlier rows go first; if this attempt fails the next one
     # starts here again
+    if path:  # dropping a partition leaves the files of a table with a path
+        remove(spark, f"{path.rstrip('/')}/batch_id={int(batch_id)}")
     for (spec,) in spark.sql(f"SHOW PARTITIONS {table} PARTITION (batch_id={int(batch_id)})").collect():
         day = dict(p.split("=", 1) for p in spec.split("/"))[day_col]  # names of days only
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id={int(batch_id)}, {day_col}='{day}')")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
 from tidemark.operators import changelog
+from tidemark.operators.state import latest_per_key
 from tidemark.sinks import writers
 from tidemark.sources.catalog import check_key_prefix
 
@@ -123,6 +124,59 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
     return w.start()
 
 
+def unique_changes(changes: DataFrame, delay: str = "2 days", id_col: str = "change_id",
+                   time_col: str = "change_time") -> DataFrame:
+    """Each change once, however often it is delivered: its id is kept in the
+    state store until ``delay`` has passed in event time, and what arrives
+    later than that is behind the watermark and left out.  ``delay`` must
+    cover how far out of order changes arrive for the first time."""
+    return changes.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([id_col])
+
+
+def change_counters(unique: DataFrame, every: str = "1 day", group_cols=("table_name", "operation"),
+                    id_col: str = "change_id", time_col: str = "change_time") -> DataFrame:
+    """Streaming counters of the change time's windows: changes and last id.
+    A window leaves the state store when the watermark has passed it."""
+    w = F.window(time_col, every)
+    return (unique.groupBy(w.alias("w"), *group_cols)
+                  .agg(F.count(F.lit(1)).alias("changes"), F.max(id_col).alias("last_id"))
+                  .select(F.col("w.start").alias("window_start"), *group_cols, "changes", "last_id"))
+
+
+def keep_counters(counters: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+                  available_now: bool = False):
+    """Write the counters that each micro-batch has changed in a folder of its
+    number; a batch that is repeated replaces its own."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    w = counters.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def read_counters(spark: SparkSession, path: str, group_cols=("table_name", "operation")) -> DataFrame:
+    """The last state of every window's counters."""
+    return latest_per_key(spark.read.parquet(path), ["window_start", *group_cols], "batch").drop("batch")
+
+
+def land_batches(changes: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                 trigger: str | None = None):
+    """Write the changes of each micro-batch in a folder of its number."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    w = changes.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
+
+
 def batch_counters(spark: SparkSession, metrics_path: str) -> DataFrame:
     """Per-batch counters with the running total (a replayed batch has one row)."""
     m = spark.read.json(metrics_path)

@@ -67,6 +67,22 @@ def test_take_repeats_rows(spark):
     assert {i: n for i, n in rows_taken.items() if i in mixed} == {i: n for i, n in mixed.items() if n}
 
 
+def test_part_of_the_rows_of_one_id(spark):
+    """Equal rows, and rows of one id that differ in a column only."""
+    data = [(1, "w " * 100, "a", i % 3) for i in range(600)] + [(2 + i, "v " * 50, "b", 0) for i in range(400)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, x int")
+    want = shares({"a": 60_000, "b": 20_000})
+    for n in (1, 4):
+        got = mixing.mix(df.repartition(n)).collect()
+        taken = Counter()
+        for r in got:
+            assert r.taken <= 3 * r["size"]
+            taken["a" if r.doc_id == 1 else "b"] += r.taken
+        assert len(got) == 1000 and all(abs(taken[s] - want[s]) <= 100 for s in want) and want["a"] % 60_000
+    rows_taken = Counter(r.source for r in mixing.take(df).collect())
+    assert rows_taken == {"a": taken["a"] // 100, "b": taken["b"] // 50}
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(none).count() == 0

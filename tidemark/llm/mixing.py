@@ -12,8 +12,10 @@ are taken from every document, the hash threshold decides the rest, so the
 thresholds of a smaller and a larger budget are nested.
 
 Defined cases: a null text has size 0; sources are ranked by code point
-with null last; rows repeating an id share its hash and its fate; a null id
-is hashed by its text; a source without words has target 0 and takes 0.
+with null last; a null id is hashed by its text; rows that repeat an id (null
+too) are hashed by id, whole row and their number among equal rows, so that a
+part of them can be taken; a source without words has target 0 and takes 0.  The sources (not the rows)
+are ordered in one task.
 """
 
 from __future__ import annotations
@@ -22,25 +24,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, small
+from tidemark.llm.common import BROADCAST_KEYS, materialise, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)   # by rank of the source, repeating
 MAX_EPOCHS = 3        # a target stops at so many times its source
 BITS = 12             # buckets a source and round: 4096
 LEVELS = 4            # rounds of refinement, 48 hash bits in all
+NUMBERED = 1_000_000  # equal rows that a task numbers
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def row_hash(id_col: str, text_col: str) -> Column:
+def _bits(key: Column) -> Column:
     """48 stable bits: the first 12 hex digits of an md5."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col)), F.lit(""))
     return F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("long")
 
 
+def row_hash(id_col: str, text_col: str) -> Column:
+    return _bits(F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col)), F.lit("")))
+
+
+def _repeated(rows: DataFrame) -> DataFrame | None:
+    """The ids of more than one of the (narrow) rows."""
+    twice = materialise(rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
+                            .select(F.col("id").alias("_again")), "mix-repeated")
+    return None if twice.isEmpty() else twice
+
+
+def _numbered(docs: DataFrame, twice: DataFrame, id_col: str) -> DataFrame:
+    """The rows of repeated ids as ``_row`` with their ``hash``: equal rows
+    are counted first and then numbered, so none gathers in a task."""
+    names = docs.columns
+    whole = F.struct(*[F.col(f"`{c}`") for c in names])
+    rows = docs.join(small(twice, BROADCAST_KEYS), F.col(id_col).eqNullSafe(F.col("_again")), "left_semi")
+    rows = rows.select(whole.alias("_row"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_key"))
+    rows = rows.withColumn("_key", F.concat_ws("/", "_key", F.md5(F.to_json("_row", {"ignoreNullFields": "false"}))))
+    rows = materialise(rows.groupBy("_key").agg(F.first("_row").alias("_row"), F.count("*").alias("_n")), "mix-equal")
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {NUMBERED}")))
+    number = F.explode(F.sequence(F.col("_b") * NUMBERED, F.least((F.col("_b") + 1) * NUMBERED, F.col("_n")) - 1))
+    each = rows.select("_key", "_n").withColumn("_b", block).repartition("_key", "_b").withColumn("_i", number)
+    each = each.select("_key", "_i").join(rows.select("_key", "_row"), "_key")
+    return each.select("_row", _bits(F.concat_ws("/", "_key", F.col("_i").cast("string"))).alias("hash"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS,
                    max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``(source, source_size)`` -> with ``target``.
@@ -111,14 +140,21 @@ def thresholds(rows: DataFrame, targets: DataFrame, bits: int = BITS, levels: in
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> tuple[DataFrame, DataFrame]:
-    """The narrow rows (id, source, size, hash), written once, and the
-    threshold of every source."""
+         weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The narrow rows (id, source, size, hash), written once, the threshold
+    of every source, and the repeated ids, if any."""
     rows = materialise(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"), row_hash(id_col, text_col).alias("hash")), "mix-rows")
+    twice = _repeated(rows)
+    if twice is not None:
+        again = _numbered(docs, twice, id_col).select(
+            F.col(f"_row.`{id_col}`").alias("id"), F.col(f"_row.`{source_col}`").cast("string").alias("source"),
+            word_count(F.col(f"_row.`{text_col}`")).alias("size"), "hash")
+        once = rows.join(small(twice, BROADCAST_KEYS), F.col("id").eqNullSafe(F.col("_again")), "left_anti")
+        rows = materialise(once.unionByName(again), "mix-rows")
     sizes = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    return rows, thresholds(rows, source_targets(sizes, weights, max_epochs))
+    return rows, thresholds(rows, source_targets(sizes, weights, max_epochs)), twice
 
 
 def _repeats() -> Column:
@@ -129,7 +165,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per row of ``docs``: id, ``size``, ``source_size``, ``target``
     (of its source) and ``taken`` (words the mix takes, repeats counted)."""
-    rows, limits = plan(docs, id_col, text_col, source_col, weights, max_epochs)
+    rows, limits, _ = plan(docs, id_col, text_col, source_col, weights, max_epochs)
     limits = small(limits.withColumnRenamed("source", "_s"))
     out = rows.join(limits, rows["source"].eqNullSafe(limits["_s"]), "left")
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
@@ -140,11 +176,16 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
          weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mixed rows themselves: every row as often as the mix takes it,
     columns unchanged."""
-    _, limits = plan(docs, id_col, text_col, source_col, weights, max_epochs)
+    _, limits, twice = plan(docs, id_col, text_col, source_col, weights, max_epochs)
     limits = small(limits.select(F.col("source").alias("_s"), "epochs", "below"))
     names = docs.columns
-    t = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
-                    F.col(source_col).cast("string").alias("_src"), row_hash(id_col, text_col).alias("hash"))
+    once = docs
+    if twice is not None:
+        once = docs.join(small(twice, BROADCAST_KEYS), F.col(id_col).eqNullSafe(F.col("_again")), "left_anti")
+    t = once.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), row_hash(id_col, text_col).alias("hash"))
+    if twice is not None:
+        t = t.unionByName(_numbered(docs, twice, id_col))
+    t = t.withColumn("_src", F.col(f"_row.`{source_col}`").cast("string"))
     t = t.join(limits, t["_src"].eqNullSafe(limits["_s"])).withColumn("_k", _repeats()).where("_k > 0")
     t = t.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))))
     return t.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])

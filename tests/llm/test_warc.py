@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import os
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import warc
@@ -71,3 +73,34 @@ def test_empty_table(spark):
     path = shared_path(spark, "warc-test")
     warc.write(warc.with_revisits(spark.createDataFrame([], "page_id long, url string, html string")), path)
     assert warc.read(spark, path).count() == 0
+
+
+def test_append_keeps_earlier_records(spark):
+    path = shared_path(spark, "warc-append")
+    for i in range(3):
+        page = spark.createDataFrame([(i, f"http://{i}", f"page {i}")], "page_id long, url string, html string")
+        warc.write(warc.with_revisits(page), path)
+    assert sorted(r.p for r in warc.read(spark, path).select(warc.id_of("record_id").alias("p")).collect()) == [0, 1, 2]
+
+
+def test_failed_job_leaves_no_files(spark):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    path = shared_path(spark, "warc-abort")
+    names = ["record_type", "record_id", "target_uri", "refers_to", "payload"]
+    schema = StructType([StructField(n, StringType()) for n in names])
+    writer = warc.WarcSource({"path": path}).writer(schema, False)
+    batch = pa.RecordBatch.from_arrays([pa.array([x]) for x in ("response", "<urn:page:1>", "u", None)] + [pa.array([b"x"])], names=names)
+    done = writer.write(iter([batch]))
+    assert len(os.listdir(path.removeprefix("file:"))) == 1
+    writer.abort([done, None])
+    assert os.listdir(path.removeprefix("file:")) == []
+
+
+def test_text_ids(spark):
+    pages = spark.createDataFrame([("a b", "u", "x"), ("c", "u", "x")], "page_id string, url string, html string")
+    path = shared_path(spark, "warc-text")
+    warc.write(warc.with_revisits(pages), path)
+    got = {(r.p, r.f) for r in warc.read(spark, path).select(warc.id_of("record_id", "string").alias("p"),
+                                                             warc.id_of("refers_to", "string").alias("f")).collect()}
+    assert got == {("a b", None), ("c", "a b")}

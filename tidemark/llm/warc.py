@@ -95,8 +95,8 @@ class _Written(WriterCommitMessage):
 class _Writer(DataSourceArrowWriter):
     """Columns ``record_type, record_id, target_uri, refers_to, payload``."""
 
-    def __init__(self, options: dict):
-        self.path = options["path"]
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.path, self.overwrite = options["path"], overwrite
         self.roll = int(options.get("maxfilebytes", 64 << 20))
         self.date = options.get("date", DATE)
 
@@ -130,10 +130,22 @@ class _Writer(DataSourceArrowWriter):
         store, root = _store(self.path)
         store.create_dir(root, recursive=True)
         files = sorted(f for m in messages if m is not None for f in m.files)
+        listed = posixpath.join(root, LIST)
+        if not self.overwrite and store.get_file_info(listed).type == pafs.FileType.File:
+            with store.open_input_stream(listed, compression=None) as f:
+                files = [*map(tuple, json.loads(f.read())), *files]
         with store.open_output_stream(posixpath.join(root, LIST), compression=None) as out:
             out.write(json.dumps(files).encode())
 
 
+    def abort(self, messages: list) -> None:
+        """Remove what the finished tasks of a failed job wrote."""
+        store, root = _store(self.path)
+        for m in messages:
+            for name, _ in m.files if m is not None else ():
+                store.delete_file(posixpath.join(root, name))
+
+
 # --- reading ----------------------------------------------------------------
 
 @dataclass
@@ -284,7 +296,7 @@ class WarcSource(DataSource):
         return _Reader(schema, self._lower())
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self._lower())
+        return _Writer(self._lower(), overwrite)
 
     def _lower(self) -> dict:
         return {k.lower(): v for k, v in self.options.items()}
@@ -321,7 +333,8 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def write(records_: DataFrame, path: str, **options) -> None:
-    """Write records as archives under ``path``, a new folder."""
+    """Write records as archives under ``path``, beside those that are there.
+    One writer at a time: the list of files is replaced when a job commits."""
     register(records_.sparkSession)
     records_.write.format("warc").mode("append").options(**options).save(path)
 

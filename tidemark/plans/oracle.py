@@ -613,6 +613,39 @@ FROM o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nat
 JOIN region ON n_regionkey = r_regionkey
 GROUP BY ROLLUP (r_name, n_name, o_orderstatus)""",
 
+    "topic_load": f"""
+WITH c AS (SELECT CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS operation,
+                  CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id + 1 AS change_id FROM events)
+SELECT operation, '{Q.AS_OF[:10]}' AS ds, count(*) AS n,
+       CAST(sum(CASE WHEN operation <> 'D' THEN k END) AS BIGINT) AS k_sum,
+       max(CASE WHEN operation <> 'D' THEN change_id END) AS last_id, (SELECT count(*) FROM c) AS n_counted
+FROM c GROUP BY operation""",
+
+    "refresh_cycles": f"""
+WITH p AS (SELECT b, t, row_number() OVER (ORDER BY b, t) - 1 AS pair
+           FROM (VALUES {', '.join(f"('{b}', '{t}')" for b, ts in fixed.CURRENCY_PAIRS.items() for t in ts)}) AS v(b, t)),
+ref AS (SELECT * FROM (VALUES {', '.join(f"('{b}', '{t}', {r})" for b, m in fixed.FALLBACK_RATES.items() for t, r in m.items())}) AS v(b, t, r)),
+f AS (SELECT p.b, p.t, ts,
+             CASE WHEN NOT (event_type = 'error' OR (ts < TIMESTAMP '{U.CYCLES[0]}' AND p.pair % 6 = 2)) THEN value END AS rate
+      FROM events JOIN p ON event_id % 18 = p.pair),
+c AS (SELECT * FROM (VALUES (TIMESTAMP '1900-01-01', TIMESTAMP '{U.CYCLES[0]}'),
+        (TIMESTAMP '{U.CYCLES[1]}', TIMESTAMP '{U.CYCLES[2]}'), (TIMESTAMP '{U.CYCLES[2]}', TIMESTAMP '{U.CYCLES[3]}')) AS v(lo, hi)),
+g AS (SELECT c.hi, p.b, p.t, f.rate,
+             row_number() OVER (PARTITION BY c.hi, p.b, p.t ORDER BY coalesce(f.rate <> 0, false) DESC, f.ts DESC NULLS LAST,
+                                f.rate DESC NULLS LAST) AS k
+      FROM c CROSS JOIN p LEFT JOIN f ON f.b = p.b AND f.t = p.t AND f.ts >= c.lo AND f.ts < c.hi)
+SELECT g.b AS base_currency, g.t AS target_currency,
+       round(CASE WHEN coalesce(g.rate, 0) <> 0 THEN g.rate ELSE ref.r END, 6) AS exchange_rate,
+       strftime(hi, {TS_FMT}) AS update_time, coalesce(g.rate, 0) = 0 AS is_fallback
+FROM g LEFT JOIN ref ON ref.b = g.b AND ref.t = g.t WHERE k = 1""",
+
+    "preview_orders": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
+
+    "catalog_statements": """
+SELECT true AS made, false AS made_again, 1::BIGINT AS databases, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS key_sum,
+       true AS has_version, false AS left_behind FROM customer""",
+
     "stream_counters": f"""
 SELECT strftime(date_trunc('day', ts), {TS_FMT}) AS window_start,
        CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS operation,

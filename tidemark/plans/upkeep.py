@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
@@ -238,7 +238,112 @@ def q_exact_split(spark, sf):
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_ids"))
 
 
+# --- topics, refresh cycles, statements -------------------------------------------------------
+
+LOADED_ROW = "k bigint, cdc_time string, original_change_id bigint, original_operation string, operation string"
+
+
+def q_topic_load(spark, sf):
+    """Changes as JSON records of a topic (files stand in for it), loaded in
+    two micro-batch runs into a table by batch and day."""
+    ev = _t(spark, sf, "events")
+    topic, path, metrics, checkpoint = (_scratch(spark, n) for n in ("topic", "topic-table", "topic-metrics", "topic-checkpoint"))
+    name = f"topic_{uuid.uuid4().hex}"
+    late = F.col("ts") >= _ts(STATE_CUTOFF)
+    for part in (~late, late):
+        flat = changelog.flatten(_event_changes(ev.where(part)), cdc_time=_ts(AS_OF))
+        records = flat.select("doc", "change_id")
+        (writers.as_topic_records(records.select(F.col("doc").alias("document"), "change_id"), key_col="change_id")
+                .write.mode("append").json(topic))
+        messages = (spark.readStream.schema("key string, value string").json(topic)
+                         .select(F.from_json("value", "document string, change_id bigint").alias("m")).select(
+                             F.col("m.document").alias("doc"), F.col("m.change_id").alias("change_id")))
+        cdc_stream.load_batches(messages, name, metrics, checkpoint, LOADED_ROW, key_col="k", available_now=True,
+                                path=path).awaitTermination()
+    rows = spark.read.schema(spark.table(name).schema).parquet(path)
+    catalog.drop_table(spark, name)  # the files stay
+    counted = cdc_stream.batch_counters(spark, metrics).agg(F.max("cumulative_rows").alias("n_counted"))
+    loaded = rows.groupBy(F.coalesce("original_operation", "operation").alias("operation"), "ds").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("k").alias("k_sum"), F.max("original_change_id").alias("last_id"))
+    return loaded.withColumn("n_counted", F.lit(counted.first()["n_counted"]).cast("bigint"))
+
+
+CYCLES = ["2024-01-10 00:00:00", "2024-01-10 00:30:00", "2024-01-20 00:00:00", "2024-01-31 00:00:00"]
+CYCLE_SECONDS = 3600
+
+
+def _fetched(spark, events: DataFrame) -> DataFrame:
+    """Events as fetch results of the pairs; an error is a failed fetch, and
+    every sixth pair fails in the first ten days."""
+    pairs = refresh.pairs_frame(spark).select(F.col("base").alias("base_currency"), F.col("target").alias("target_currency"))
+    rank = F.row_number().over(Window.orderBy("base_currency", "target_currency")) - 1   # 18 fixed rows
+    pairs = pairs.withColumn("pair", rank)
+    early = F.col("ts") < _ts(CYCLES[0])
+    failed = (F.col("event_type") == "error") | (early & (F.col("pair") % 6 == 2))
+    return (events.withColumn("pair", F.pmod("event_id", F.lit(18)).cast("int")).join(F.broadcast(pairs), "pair")
+                  .select("base_currency", "target_currency", F.when(~failed, F.col("value")).alias("rate"),
+                          F.col("ts").alias("fetched_at")))
+
+
+def q_refresh_cycles(spark, sf):
+    """Four cycles of the rate refresh over landed fetch results, many of a
+    pair in each; the second one comes too early for any pair, and the last one
+    is run again after a failure before its commit."""
+    fetched = written(_fetched(spark, _t(spark, sf, "events")), "fetched")
+    base, log = _scratch(spark, "rates"), _scratch(spark, "rate-changes")
+    before = "1900-01-01 00:00:00"
+    for now in CYCLES:
+        landed = fetched.where((F.col("fetched_at") >= _ts(before)) & (F.col("fetched_at") < _ts(now)))
+        for attempt in (0, 1) if now == CYCLES[-1] else (1,):
+            stored = writers.read_state(spark, base, refresh.RATE_STATE_SCHEMA)
+            out = refresh.refresh_rates(spark, stored, landed, _ts(now), CYCLE_SECONDS)
+            if attempt:
+                writers.commit_with(spark, out["new_state"], base, {log: out["changes"]})
+            else:  # written, not committed
+                version = writers.current_version(spark, base) + 1
+                out["changes"].write.json(f"{log}/state_version={version}")
+        before = now
+    changes = spark.read.schema("base_currency string, target_currency string, exchange_rate double, update_time string, "
+                                "is_fallback boolean").json(log)
+    return changes.select("base_currency", "target_currency", F.round("exchange_rate", 6).alias("exchange_rate"), "update_time",
+                          F.coalesce("is_fallback", F.lit(False)).alias("is_fallback"))
+
+
+def q_preview_orders(spark, sf):
+    """The first rows of a table for display, in the order of the key."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return writers.preview(o.orderBy(F.desc("o_totalprice"), "o_orderkey"))
+
+
+def q_catalog_statements(spark, sf):
+    """A database and a table are made twice and filled once; what the
+    statements say, and the table's rows before it is dropped."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    home = spark.catalog.currentDatabase()
+    name = f"db_{uuid.uuid4().hex}"
+    try:
+        for _ in range(2):
+            catalog.create_database(spark, name)
+        made = [catalog.create_table_if_absent(spark, f"{name}.customers", c) for _ in range(2)]
+        c.write.insertInto(f"{name}.customers")
+        listed = catalog.show_databases(spark).where(F.col("namespace") == name).count()
+        rows = spark.table(f"{name}.customers").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("c_custkey").alias("key_sum")).first()
+        version = catalog.engine_version(spark).first()["version"]
+        catalog.drop_table(spark, f"{name}.customers")
+        left = spark.catalog.tableExists(f"{name}.customers")
+    finally:
+        spark.catalog.setCurrentDatabase(home)
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    return spark.createDataFrame([(made[0], made[1], listed, rows["n_rows"], rows["key_sum"], bool(version), left)],
+                                 "made boolean, made_again boolean, databases long, n_rows long, key_sum long, "
+                                 "has_version boolean, left_behind boolean")
+
+
 UPKEEP = {
+    "topic_load": q_topic_load,
+    "refresh_cycles": q_refresh_cycles,
+    "preview_orders": q_preview_orders,
+    "catalog_statements": q_catalog_statements,
     "report_from_changes": q_report_from_changes,
     "stream_counters": q_stream_counters,
     "stream_change_table": q_stream_change_table,

@@ -85,7 +85,7 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
                  target_schema: str, key_col: str = "id", time_col: str = "cdc_time",
                  day_col: str = "ds", n_buckets: int = fixed.TABLE_BUCKETS,
                  trigger: str | None = fixed.LOAD_TRIGGER, available_now: bool = False,
-                 quarantine_path: str | None = None, defaults: dict | None = None):
+                 quarantine_path: str | None = None, defaults: dict | None = None, path: str | None = None):
     """Micro-batch load of flattened changes into a table partitioned by
     batch and day and bucketed, plus one counter row per batch
     (batch_id, rows, last change id) under ``metrics_path``.
@@ -94,7 +94,8 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
     time column: the key prefix the table is sorted on); ``defaults`` fills
     columns that are NULL or missing.  A repeated batch replaces its rows.  With
     ``quarantine_path``, change rows whose non-blank row image is not valid
-    JSON are appended there instead of being loaded.
+    JSON are appended there instead of being loaded.  ``path`` puts the files
+    of a new table there instead of in the warehouse.
     """
     cols = [c.strip().split(" ")[0] for c in target_schema.split(",")]
     check_key_prefix(cols, [key_col, time_col])
@@ -114,7 +115,8 @@ def load_batches(flat: DataFrame, table: str, metrics_path: str, checkpoint: str
                                  F.max("change_id").alias("last_change_id"))
         rows = observed.select(*cols, F.date_format(time_col, fixed.DATE_TEXT_FORMAT).alias(day_col),
                                F.lit(batch_id).cast("bigint").alias("batch_id"))
-        writers.replace_batch(spark, rows, table, batch_id, day_col, key_col, (key_col, time_col), n_buckets)
+        writers.replace_batch(spark, rows, table, batch_id, day_col, key_col, (key_col, time_col), n_buckets,
+                              path=path)
         got = obs.get
         (spark.createDataFrame([(got["rows"], got["last_change_id"])], "rows bigint, last_change_id bigint")
               .coalesce(1).write.mode("overwrite").json(f"{metrics_path.rstrip('/')}/batch_id={batch_id}"))

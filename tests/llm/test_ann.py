@@ -87,3 +87,19 @@ def test_norms_of_any_spread(spark):
             hits += len(got[q] & set(np.argsort(-s)[:20].tolist()))
         print("recall", hits / (20 * len(got)))
         assert hits >= 0.95 * 20 * len(got)
+
+
+def test_share_looked_at_on_clusters():
+    """Figures of the README: pairs that no bound leaves out, and recall."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(200, 64))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    x = centres[rng.integers(0, 200, 8000)] + rng.normal(size=(8000, 64)) * 0.02
+    asks = np.arange(0, 8000, 20)
+    q = x[asks] / np.linalg.norm(x[asks], axis=1)[:, None]
+    seen, s = [], q @ x.T
+    ids, _ = ann.search(ann._lift(x, np.linalg.norm(x, axis=1).max()), ann._lift_query(q), 21, ann.FACTOR, np.full(400, np.inf), seen)
+    s[np.arange(400), asks] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :20]
+    recall = np.mean([len({*a[a != j][:20]} & {*b}) / 20 for a, b, j in zip(ids, best, asks)])
+    assert recall >= 0.95 and sum(seen) <= 0.4 * 400 * 8000

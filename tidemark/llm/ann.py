@@ -16,9 +16,9 @@ than its ``k``-th in the sample, which bounds the true one from below; a
 band whose longest vector cannot reach that is left out.
 
 *In a shard.*  A vantage-point tree is built and all of the shard's
-queries go down it together; a subtree is pruned for a query when the
-triangle inequality puts everything in it farther than ``factor`` times
-its ``k``-th distance so far.  ``factor`` 1 prunes only what cannot matter
+queries go down it together; a subtree, and in a leaf a row, is pruned for a
+query when the triangle inequality with one of the path's vantage points puts
+it farther than ``factor`` times the query's ``k``-th distance so far.  ``factor`` 1 prunes only what cannot matter
 and the search is exact; a smaller factor prunes more.  Queries that get
 fewer than ``k`` rows that way are searched again with factor 1.
 
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise
 
 K = 20
-FACTOR = 0.9          # of the pruning distance; 1 is exact
+FACTOR = 0.6          # of the pruning distance; 1 is exact
 SAMPLE = 4096         # vectors the top tree is fitted on, at most
 SHARD_ROWS = 4096     # vectors that one tree holds, about
 QUERY_BLOCK = 8192    # queries that go down a tree together, about
@@ -65,6 +65,7 @@ class Node:
     outside: Node | None = None
     least: list = field(default_factory=list)   # distance ranges of both sides
     number: int = -1                     # of a leaf, in order
+    known: np.ndarray | None = None      # of a leaf: its rows' distances to the path's vantage points
 
 
 def build(x: np.ndarray, leaf: int, seed: int = 1) -> tuple[Node, int]:
@@ -73,7 +74,7 @@ def build(x: np.ndarray, leaf: int, seed: int = 1) -> tuple[Node, int]:
     rng = np.random.default_rng(seed)
     leaves = 0
 
-    def grow(rows: np.ndarray) -> Node:
+    def grow(rows: np.ndarray, known: np.ndarray) -> Node:
         nonlocal leaves
         if len(rows) > leaf:
             best = None
@@ -91,12 +92,13 @@ def build(x: np.ndarray, leaf: int, seed: int = 1) -> tuple[Node, int]:
                 node = Node(point=x[i], radius=radius)
                 node.least = [(float(d[near].min()), float(d[near].max())),
                               (float(d[~near].min()), float(d[~near].max()))]
-                node.inside, node.outside = grow(rows[near]), grow(rows[~near])
+                known = np.concatenate([known, d[:, None]], axis=1)
+                node.inside, node.outside = grow(rows[near], known[near]), grow(rows[~near], known[~near])
                 return node
         leaves += 1
-        return Node(rows=rows, number=leaves - 1)
+        return Node(rows=rows, number=leaves - 1, known=known)
 
-    return grow(np.arange(len(x))), leaves
+    return grow(np.arange(len(x)), np.empty((len(x), 0))), leaves
 
 
 def assign(tree: Node, x: np.ndarray) -> np.ndarray:
@@ -137,9 +139,13 @@ def reach(tree: Node, q: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate([*queries, np.empty(0, np.int64)]), np.concatenate([*leaves, np.empty(0, np.int64)])
 
 
-def search(x: np.ndarray, q: np.ndarray, k: int, factor: float, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def search(x: np.ndarray, q: np.ndarray, k: int, factor: float, limit: np.ndarray,
+           seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(rows of ``x``, distances), queries x k, -1 where there are fewer.
-    ``limit`` bounds each query's k-th distance from above."""
+    ``limit`` bounds each query's k-th distance from above.  What bounds a
+    subtree, and in a leaf each row, from below is the greatest that any
+    vantage point on the path gives.  ``seen`` gets the number of (query, row)
+    pairs that no bound leaves out."""
     tree, _ = build(x, LEAF)
     ids = np.full((len(q), k), -1, np.int64)
     dist = np.full((len(q), k), np.inf)
@@ -148,32 +154,43 @@ def search(x: np.ndarray, q: np.ndarray, k: int, factor: float, limit: np.ndarra
     def bound(rows: np.ndarray) -> np.ndarray:
         return factor * np.minimum(dist[rows, -1], limit[rows])
 
-    def look(node: Node, rows: np.ndarray) -> None:
+    def look(node: Node, rows: np.ndarray, path: list[np.ndarray]) -> None:
+        most, can = bound(rows)[:, None] + 1e-9, np.ones((len(rows), len(node.rows)), bool)
+        for mine, theirs in zip(path, node.known.T):
+            can &= np.abs(mine[:, None] - theirs[None]) <= most
+        if seen is not None:
+            seen.append(int(can.sum()))
+        some = can.any(axis=1)
+        rows, can = rows[some], can[some]
+        if not len(rows):
+            return
         d = np.sqrt(np.maximum(0, q_sq[rows, None] + x_sq[None, node.rows] - 2 * (q[rows] @ x[node.rows].T)))
+        d = np.where(can, d, np.inf)
         all_d = np.concatenate([dist[rows], d], axis=1)
         all_i = np.concatenate([ids[rows], np.broadcast_to(node.rows, d.shape)], axis=1)
         order = np.argsort(all_d, axis=1, kind="stable")[:, :k]
         dist[rows] = np.take_along_axis(all_d, order, 1)
-        ids[rows] = np.take_along_axis(all_i, order, 1)
+        ids[rows] = np.where(np.isinf(dist[rows]), -1, np.take_along_axis(all_i, order, 1))
 
-    def go(node: Node, rows: np.ndarray) -> None:
+    def go(node: Node, rows: np.ndarray, above: np.ndarray, path: list[np.ndarray]) -> None:
         if not len(rows):
             return
         if node.rows is not None:
-            look(node, rows)
+            look(node, rows, path)
             return
         d = np.linalg.norm(q[rows] - node.point, axis=1)
         sides = (node.inside, node.outside)
         (in_lo, in_hi), (out_lo, out_hi) = node.least
         # by the triangle inequality nothing on a side is nearer than this
-        low = (np.maximum(d - in_hi, in_lo - d), np.maximum(d - out_hi, out_lo - d))
+        low = (np.maximum(above, np.maximum(d - in_hi, in_lo - d)), np.maximum(above, np.maximum(d - out_hi, out_lo - d)))
         first = (d > node.radius).astype(np.int64)
         for turn in (0, 1):
             for side in (0, 1):  # the nearer side first, then the other one
                 mine = (first == side) if turn == 0 else (first != side)
-                go(sides[side], rows[mine & (low[side] <= bound(rows) + 1e-9)])
+                mine &= low[side] <= bound(rows) + 1e-9
+                go(sides[side], rows[mine], low[side][mine], [p[mine] for p in [*path, d]])
 
-    go(tree, np.arange(len(q)))
+    go(tree, np.arange(len(q)), np.zeros(len(q)), [])
     return ids, dist
 
 

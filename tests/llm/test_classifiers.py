@@ -81,3 +81,52 @@ def test_empty_tables(spark, docs):
     assert langid.identify(none, langid.train([b"aaa", b"bbb"], ["x", "y"])).count() == 0
     model = quality.train([quality.features("a b"), quality.features("c")], np.array([0, 1]), 2)
     assert quality.rate(none, model, 1).count() == 0
+
+
+def test_scores_follow_from_the_weights(spark, docs):
+    """Expected grade and tail of every row from the fitted weights, worked
+    out word by word."""
+    import math
+    import re
+
+    import xxhash
+
+    model = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), grade(), GRADES, sample=400)
+    weight = lambda s: float(model.weights[xxhash.xxh3_64_intdigest(s.encode()) % (1 << quality.BITS)])
+
+    def shape(word):
+        kinds = ["0" if c in "0123456789" else "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else c for c in word]
+        return "".join(c for i, c in enumerate(kinds) if i == 0 or c != kinds[i - 1] or c == "\n")
+
+    def tail(text):
+        words = text.split()
+        kinds = set(words)
+        score = weight(f"r{round(2 * math.log2(max(1, len(words)) / max(1, len(kinds))))}")
+        score += weight(f"t{round(20 * sum(a == b for a, b in zip(words, words[1:])) / max(1, len(words)))}")
+        score += weight(f"y{round(40 * len(re.sub(r'[\w\s]', '', text)) / max(1, len(text)))}")
+        for w in kinds:
+            low = w.lower()
+            score += weight("w" + low) + weight("p" + low[:5]) + weight("q" + low[:4])
+            score += quality.SHARE / len(kinds) * (weight("e" + low[-2:]) + weight("s" + shape(w)))
+        above = [1 / (1 + math.exp(-(score - t))) for t in model.thresholds]
+        return sum(above), above[GOOD - 1]
+
+    odd = spark.createDataFrame([(-9, "A" * 39 + "bbb" + "7" * 60 + "Z" * 50 + " tail")], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").limit(400).union(odd)
+    got = {(r.row.doc_id, r.row.text): (r.expected_grade, r.tail) for r in quality.rate(rows, model, GOOD).collect()}
+    for (i, text), (expected, p) in got.items():
+        want = tail(text or "")
+        assert abs(expected - want[0]) < 1e-5 and abs(p - want[1]) < 1e-5, i
+
+
+def test_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One id with many rows, some of them equal."""
+    docs = spark.createDataFrame([(7, f"text {i % 300}") for i in range(900)] + [(8, "other"), (9, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 0), (9, 0, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, grades, n: seen.append((len(rows), sorted(grades.tolist()))) or "model")
+    for parts in (1, 4):
+        assert quality.fit(docs.repartition(parts), labels, grade(), GRADES, sample=200) == "model"
+    assert seen[0] == seen[1] and seen[0][0] == 200
+    quality.fit(docs, labels, grade(), GRADES, sample=1000)
+    assert seen[-1][0] == 302

@@ -57,7 +57,7 @@ def _hash(feature: str) -> int:
 def word_features(word: str) -> tuple[list[int], list[int]]:
     """(features that count by presence, features that count by share)"""
     low = word.lower()
-    shape = _RUN.sub(r"\1", word[:40].translate(_SHAPE))
+    shape = _RUN.sub(r"\1", word.translate(_SHAPE))
     return [_hash("w" + low), _hash("p" + low[:5]), _hash("q" + low[:4])], [_hash("e" + low[-2:]), _hash("s" + shape)]
 
 
@@ -184,7 +184,9 @@ class Scorer:
 def fit(docs: DataFrame, ratings: DataFrame, grade: Column, n_grades: int, id_col: str = "doc_id",
         text_col: str = "text", sample: int = SAMPLE) -> Model | None:
     """Train on documents that have a rating; ``grade`` is a column of
-    ``ratings``.  None without ratings or with one grade only."""
+    ``ratings``.  None without ratings or with one grade only.  At most
+    ``sample`` different texts are fitted on and collected, also where one id
+    has many rows: equal rows count once, the smallest hashes are taken."""
     rated = ratings.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).where(
         "id is not null and grade is not null")
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
@@ -200,7 +202,12 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: Column, n_grades: int, id_co
                  pa.array([v for _, v in found], pa.list_(pa.float32()))],
                 names=["id", "grade", "features", "weight"])
 
-    chosen = rows.join(F.broadcast(pick), "id").select(F.col("id").cast("string").alias("id"), "grade", "text")
+    texts = rows.join(F.broadcast(pick), "id").withColumn("h", F.xxhash64("text"))
+    first = (texts.select("id", "grade", "h").distinct().orderBy(F.xxhash64("id"), "id", "grade", "h").limit(sample)
+                  .withColumnRenamed("h", "own"))
+    chosen = (rows.join(F.broadcast(first), "id").where(F.xxhash64("text") == F.col("own"))
+                  .groupBy("id", "grade", "own").agg(F.first("text").alias("text"))
+                  .select(F.col("id").cast("string").alias("id"), "grade", "text"))
     got = chosen.mapInArrow(run, "id string, grade int, features array<int>, weight array<float>").toArrow()
     got = got.sort_by([("id", "ascending"), ("grade", "ascending")])
     grades = got.column("grade").to_numpy().astype(np.int64)

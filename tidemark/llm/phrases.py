@@ -61,6 +61,7 @@ CONTAINED = 100, 80     # goes if 100 * f(longer) >= 80 * a
 BANDS = 100_000, 1_000, 0   # lower edges of the bounds that are expanded in turn
 COUNT_BITS = 20         # buckets of word counts
 FLAG_BITS = 22          # buckets of a set of phrases
+SLICE = 4 << 20         # bytes of text whose phrases are counted together
 TO = table(b" \t", b".,;:!?\n\x0b\x0c\r", lower=True)
 _U = np.uint64
 _ROWS = "lang string, phrase string, a long"
@@ -160,7 +161,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and, as null, how many there are."""
     for batch in batches:
         for lang, texts in _by_language(batch):
-            for words in slices(texts, TO, carry=0):
+            for words in slices(texts, TO, 0, SLICE):
                 counts = np.bincount(words.ids, minlength=len(words.vocabulary))
                 yield _rows(lang, words.vocabulary.cast(pa.string(), safe=False), counts)
                 yield _rows(lang, pa.nulls(1, pa.string()), np.array([len(words.ids)]))
@@ -172,7 +173,7 @@ def _count_phrases(counts, admit):
         lengths = only.lengths()
         for batch in batches:
             for lang, texts in _by_language(batch):
-                for words in slices(texts, TO, carry=max(lengths) - 1):
+                for words in slices(texts, TO, max(lengths) - 1, SLICE):
                     hashes = word_hashes(words.vocabulary.to_pylist(), lang)
                     low, high = (side[bucket(fold([hashes]), COUNT_BITS)] for side in (known.low, known.high))
                     often = (high > 0)[words.ids]

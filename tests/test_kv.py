@@ -90,7 +90,7 @@ def test_versioned_cell_store(spark, tmp_dir):
                                "rowkey string, qualifier string, value string, ts long")
     writers.keep_cell_versions(spark, b1, base, ["rowkey", "qualifier"], "ts")
     writers.keep_cell_versions(spark, b2, base, ["rowkey", "qualifier"], "ts")
-    st = writers.read_state(spark, base)
+    st = spark.read.parquet(base)
     got = sorted((r.rowkey, r.version, r.value) for r in st.collect())
     assert got == [("order_1", 1, "DONE"), ("order_1", 2, "SHIPPED"), ("order_1", 3, "PAID"),
                    ("order_2", 1, "PENDING")]
@@ -102,5 +102,5 @@ def test_versioned_cell_store(spark, tmp_dir):
                                "rowkey string, qualifier string, value string, ts long, seq long")
     writers.keep_cell_versions(spark, t1, base2, ["rowkey", "qualifier"], "ts", tie_col="seq")
     writers.keep_cell_versions(spark, t2, base2, ["rowkey", "qualifier"], "ts", tie_col="seq")
-    got2 = sorted((r.version, r.value) for r in writers.read_state(spark, base2).collect())
+    got2 = sorted((r.version, r.value) for r in spark.read.parquet(base2).collect())
     assert got2 == [(1, "PAID"), (2, "PENDING")]

@@ -222,7 +222,7 @@ def test_state_sinks_replay(spark, tmp_dir):
     base = os.path.join(tmp_dir, "cells")
     for _ in range(2):
         writers.keep_cell_versions(spark, cells, base, "rowkey", "ts")
-        assert sorted(r.ts for r in writers.read_state(spark, base).collect()) == [1, 2, 3]
+        assert sorted(r.ts for r in spark.read.parquet(base).collect()) == [1, 2, 3]
 
     path = os.path.join(tmp_dir, "buckets")
     rows = spark.range(20).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit(1).alias("seq"))

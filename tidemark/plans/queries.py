@@ -437,10 +437,10 @@ def q_sink_kv_partitioned(spark, sf):
 def q_sink_cell_versions(spark, sf):
     """Versioned cells: early events, then late ones twice."""
     ev = _t(spark, sf, "events").select(T.row_key("user_id", "event_type").alias("rowkey"), "ts", "event_id", "value")
-    base, late = _scratch(spark, "cells"), F.col("ts") >= _ts(STATE_CUTOFF)
+    path, late = _scratch(spark, "cells"), F.col("ts") >= _ts(STATE_CUTOFF)
     for part in (~late, late, late):
-        writers.keep_cell_versions(spark, ev.where(part), base, "rowkey", "ts", tie_col="event_id")
-    return writers.read_state(spark, base).select("rowkey", "version", "event_id", "value")
+        writers.keep_cell_versions(spark, ev.where(part), path, "rowkey", "ts", tie_col="event_id", buckets=16)
+    return spark.read.parquet(path).select("rowkey", "version", "event_id", "value")
 
 
 def q_sink_day_bucketed(spark, sf):

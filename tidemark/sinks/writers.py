@@ -139,9 +139,21 @@ def upsert_partitioned_state(spark: SparkSession, batch: DataFrame, path: str, k
     batch, not the whole state, and a repeated batch gives the same state.
     Use a bucket count large enough that one bucket fits a task comfortably.
     """
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+
+    def merge(stored: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
+        if stored is None:
+            return S.latest_per_key(new, keys, order_cols)
+        return S.upsert(stored, new, keys, order_cols, origin_col=None)
+
+    _merge_buckets(spark, batch, path, keys, buckets, merge)
+
+
+def _merge_buckets(spark: SparkSession, batch: DataFrame, path: str, keys, buckets: int, merge) -> None:
+    """Rewrite the buckets that ``batch`` touches with ``merge(stored rows
+    without further columns, batch, keys with the bucket)``."""
     checkpoint_dir(spark)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     meta = f"{path.rstrip('/')}/_buckets"
     said = _read_if_there(lambda: spark.read.text(meta))
     if said is None:
@@ -151,13 +163,12 @@ def upsert_partitioned_state(spark: SparkSession, batch: DataFrame, path: str, k
     b = batch.withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
     cur = _read_if_there(lambda: spark.read.parquet(path))
     if cur is None:
-        merged = S.latest_per_key(b, keys + ["_bucket"], order_cols)
+        merged = merge(None, b, [*keys, "_bucket"])
     else:
         # the batch is computed once; its bucket ids become a static filter
         b = b.checkpoint()
         touched = [r[0] for r in b.select("_bucket").distinct().collect()]
-        cur = cur.where(F.col("_bucket").isin(touched))
-        merged = S.upsert(cur.select(*b.columns), b, keys + ["_bucket"], order_cols, origin_col=None).checkpoint()
+        merged = merge(cur.where(F.col("_bucket").isin(touched)).select(*b.columns), b, [*keys, "_bucket"]).checkpoint()
     (merged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("_bucket").parquet(path))
 
@@ -175,19 +186,21 @@ def remove(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def keep_cell_versions(spark: SparkSession, batch: DataFrame, base: str, key_cols, version_col: str,
-                       n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None) -> int:
+def keep_cell_versions(spark: SparkSession, batch: DataFrame, path: str, key_cols, version_col: str,
+                       n: int = fixed.KV_MAX_VERSIONS, tie_col: str | None = None, buckets: int = 64) -> None:
     """Versioned-cell store: add the batch, keep the newest ``n`` versions
-    per cell, commit as the next state version.  A version that is written
-    again replaces itself, so a repeated batch changes nothing."""
+    per cell.  Only the key buckets that the batch touches are read and
+    rewritten, as for :func:`upsert_partitioned_state`.  A version that is
+    written again replaces itself, so a repeated batch changes nothing."""
     from tidemark.operators.kv import keep_versions
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    cur = read_state(spark, base)
-    stored = batch.limit(0) if cur is None else cur.select(*batch.columns)
-    cell = key_cols + [version_col] + ([tie_col] if tie_col else [])
-    kept = keep_versions(S.upsert(stored, batch, cell, [version_col], origin_col=None),
-                         key_cols, version_col, n, tie_col)
-    return commit_state(spark, kept, base)
+    more = [version_col] + ([tie_col] if tie_col else [])
+
+    def merge(stored: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
+        every = S.upsert(new.limit(0) if stored is None else stored, new, keys + more, [version_col], origin_col=None)
+        return keep_versions(every, keys, version_col, n, tie_col)
+
+    _merge_buckets(spark, batch, path, key_cols, buckets, merge)
 
 
 # --- key-ordered KV files ---------------------------------------------------------------

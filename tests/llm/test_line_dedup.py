@@ -1,9 +1,15 @@
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import line_dedup as L
 from tidemark.llm.queries import op7_line_dedup
 
+NO_DIGITS = str.maketrans("0123456789", "ghijklmnop")
+
 
 def masked(line):
     return re.sub(r"[\t-\r ]+", " ", re.sub(r"[^\t-\r ]*[0-9][^\t-\r ]*", "<*>", line)).strip(" ")
@@ -103,10 +109,8 @@ def test_several_templates_of_a_leaf(spark):
     assert got == [f"own words {n}" for n in name] + [f"more {n}" for n in name[:4]] + alone + [""] * 3 + texts[-1:]
 
 
-def test_many_lines_of_one_path(spark, monkeypatch):
-    """Every line comes to lead, also where several rounds are needed."""
-    monkeypatch.setattr(L, "LEADERS", 1)
-    monkeypatch.setattr(L, "GROWTH", 2)
+def test_many_lines_of_one_path(spark):
+    """A small template among many lines of its path."""
     pool = [f"{x}{y}" for x in "bcdfghjkl" for y in "aeiou"]
     lone = ["we say that {} {} {} {} {} at last".format(*(pool[(7 * i + j * (i + 3)) % 45] + "n" * (i % 3) for j in range(5)))
             for i in range(40)]
@@ -118,3 +122,64 @@ def test_many_lines_of_one_path(spark, monkeypatch):
         near = {x for x in lone + same if agree(line, x) >= 7}
         assert left == line or len(near) > 1
         assert left == "" or len(near) < 3
+
+
+def patterned(rows, min_docs):
+    """The lines of ``rows`` (document, line) that the rule for patterns
+    finds, where all lines have one length and path."""
+    docs = defaultdict(set)
+    for d, line in rows:
+        docs[line].add(d)
+    n = len(rows[0][1].split(" "))
+    need = -(-L.SIMILAR * n // 1) if n >= L.MIN_TOKENS else -(-L.SHORT_SIMILAR * n // 1)
+    support = Counter()
+    for line, ds in docs.items():
+        for p, token in enumerate(line.split(" ")):
+            support[p, token] += len(ds)
+    groups = defaultdict(set)
+    for line in docs:
+        tokens, least = line.split(" "), min_docs
+        while least <= max(support[p, t] for p, t in enumerate(tokens)):
+            shape = tuple(t if support[p, t] >= least else "<*>" for p, t in enumerate(tokens))
+            if sum(support[p, t] >= least for p, t in enumerate(tokens)) >= need:
+                groups[shape].add(line)
+            least *= L.STEP
+    return {x for g in groups.values() if len(g) > 1 and len(set().union(*(docs[x] for x in g))) >= min_docs for x in g}
+
+
+def test_patterns_against_brute_force(spark):
+    rnd = random.Random(6)
+    word = lambda k: "w" + "abcdefghij"[rnd.randrange(10)] * rnd.randrange(1, k)
+    shapes = ["x y z one two three {} four five {}", "x y z {} {} seven eight nine ten up", "x y z {} {} {} {} {} {} {}"]
+    rows = [(i // 2, rnd.choice(shapes).format(*(word(rnd.choice([2, 9])) for _ in range(7)))) for i in range(300)]
+    df = spark.createDataFrame([(d, "\n".join(x for dd, x in rows if dd == d)) for d in range(150)], "doc_id long, text string")
+    lines = L._lines(df, "doc_id", "text").drop("tokens")
+    counted = lines.groupBy("leaf", "a", "b", "n", "long", "k1", "k2").agg(F.lit(1)).groupBy("leaf", "a", "b", "n", "long").agg(
+        F.count("*").alias("docs"))
+    wide = counted.select("leaf").distinct()
+    held = L._tokens(df, lines, wide, "doc_id", "text").join(counted.select("a", "b", "docs"), ["a", "b"])
+    got = L._patterned(lines, held, 3).join(held.select("a", "b", "tokens"), ["a", "b"]).distinct()
+    assert {" ".join(r.tokens) for r in got.collect()} == patterned(rows, 3)
+    assert patterned(rows, 3)
+
+
+def test_cost_of_lines_of_one_path(spark):
+    """No step pairs the lines of a path: twice the lines are about twice
+    the rows of every step."""
+    rnd = random.Random(2)
+    lines = lambda n: [" ".join(["we", "say", "that", *(f"q{rnd.randrange(10 ** 6):x}z".translate(NO_DIGITS) for _ in range(7)), "end"])
+                       for _ in range(n)]
+    took = []
+    for n in (1000, 4000):
+        texts = lines(n)
+        start = time.time()
+        assert kept(spark, texts) == texts
+        took.append(time.time() - start)
+    assert took[1] < 3 * took[0] + 5
+
+
+def test_hashes_do_not_follow_from_each_other(spark):
+    """Equal first hashes say nothing of the second one."""
+    df = spark.range(200_000).select(*L._hashes("a", "b", "id"))
+    masks = df.select((F.col("a") % 1024).alias("a"), (F.col("b") % 1024).alias("b")).distinct()
+    assert masks.count() > 150_000

@@ -7,19 +7,21 @@ descends a tree of fixed depth by its number of tokens and
 its first ``DEPTH`` tokens to a leaf.  In a leaf that several different
 lines reach, the most frequent token of every position makes the leaf's
 template, and the lines that agree with it in at least ``SIMILAR`` of the
-positions are its lines.  The others may have templates beside it: two of
-them that agree in as many positions share all tokens of one of a few
-segments, so they meet by those; a line leads those it meets, and every line
-that is not dropped comes to lead.  A line that agrees with no other is a
-template of its own.  Short lines may differ in one position.  Lines
+positions are its lines.  A leaf may hold more templates: tokens that fewer
+than ``t`` documents have in their position become fields, and lines that are
+equal then have a template if ``SIMILAR`` of its positions are no fields;
+``t`` is ``min_docs`` times 1, 4, 16 and so on, so that a frequent value is a
+field as well where its template is more frequent.  What has no template yet
+is looked at again without the lines that have one, in the leaves that lost
+some, until none is found.  Short lines may differ in one position.  Lines
 whose template occurs in at least ``min_docs`` documents are dropped, and
 with ``long_docs`` also lines of at least ``LONG`` words that are equal but
 for their fields in that many documents.
 
 Counting is combined before each shuffle (equal lines meet as one row a
 partition); only leaves that several documents reach with different lines
-have their tokens looked at.  A text is put together again from one flag
-for each of its lines.
+have their tokens looked at.  A text is put together again from the
+positions that it loses; texts that lose none stay where they are read.
 
 Defined cases: null texts stay null and have no lines; blank lines are
 always kept; a line that repeats in one document counts once; rows that repeat id and text are one document; an empty text
@@ -39,8 +41,7 @@ MIN_DOCS = 3
 MIN_TOKENS = 8   # shorter lines take no part in the vote and have to agree in more
 SHORT_TOKENS = 5     # of four tokens the path alone would make most of the agreement
 SHORT_SIMILAR = 0.8  # one position of 5 to 7
-LEADERS = 32         # lines of a segment that lead in the first round, about; GROWTH times as many in each next one
-GROWTH = 8
+STEP = 4             # from one support of tokens to the next one
 FIELD = "<*>"
 LONG = 50        # words of a long line
 LONG_DOCS = 2    # documents that a long line recurs in, where that is asked for
@@ -50,14 +51,17 @@ UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3000-\u30FF\u3400-\u4DBF\u
 
 
 def _even(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, r"\s+", " "))
+    odd = line.contains("  ")
+    for blank in "\t\x0b\f\r":
+        odd = odd | line.contains(blank)
+    return F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 
 def _masked(line: Column) -> Column:
     """The line with variable fields replaced and white space evened out.
     The pattern starts where a token or run does and never goes back."""
     field = rf"(?<![^\s{UNSPACED}])[^\s0-9{UNSPACED}]*+[0-9][^\s{UNSPACED}]*+"
-    return _even(F.regexp_replace(line, field, FIELD))
+    return _even(F.when(line.rlike("[0-9]"), F.regexp_replace(line, field, FIELD)).otherwise(line))
 
 
 def _literal(masked: Column) -> Column:
@@ -73,22 +77,28 @@ def _count(items: Column) -> Column:
 
 
 def _long(line: Column, tokens: Column) -> Column:
-    """Two characters of an unspaced script are a word."""
-    return (F.size(tokens) >= LONG) | ((F.length(line) >= 2 * LONG)
-                                       & (F.size(tokens) + F.regexp_count(line, F.lit(rf"[{UNSPACED}]{{2}}")) >= LONG))
+    """Two characters of an unspaced script are a word; each has two bytes
+    more than an ASCII character at least, so most lines need no counting."""
+    missing = LONG - F.size(tokens)
+    return (missing <= 0) | ((F.octet_length(line) - F.length(line) >= 4 * missing)
+                             & (F.regexp_count(line, F.lit(rf"[{UNSPACED}]{{2}}")) >= missing))
+
+
+def _hashes(first: str, second: str, *columns: str) -> list[Column]:
+    """Two hashes that do not follow from each other."""
+    return [F.xxhash64(*columns).alias(first), F.xxhash64(F.lit(1), *columns).alias(second)]
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each line that is not blank: the document's key (two
     hashes of id and text), the position, the masked line, its leaf."""
-    key = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
-           F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)).alias("k2")]
+    key = _hashes("k1", "k2", id_col, text_col)
     each = docs.select(*key, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
     masked = each.where(F.col("line").rlike(r"\S")).withColumn("masked", _masked(F.col("line")))
     known = masked.withColumn("literal", _literal(F.col("masked")))
     known = known.withColumn("line", F.when(F.col("literal"), _even(F.col("line"))).otherwise(F.col("masked")))
     tokens = known.select("k1", "k2", "pos", "line", "literal", F.split("line", " ").alias("tokens"))
-    return tokens.select("k1", "k2", "pos", F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(1)).alias("b"),
+    return tokens.select("k1", "k2", "pos", *_hashes("a", "b", "line"),
                          # a line compared as it is takes no part in templates
                          F.when(F.col("literal"), 0).otherwise(F.size("tokens")).alias("n"),
                          _long(F.col("line"), F.col("tokens")).alias("long"),
@@ -98,8 +108,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _tokens(docs: DataFrame, lines: DataFrame, wide: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The lines of the leaves ``wide`` with their tokens and ``w``, how
     often they occur.  One occurrence of each is cut from its document."""
-    key = [F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
-           F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)).alias("k2")]
+    key = _hashes("k1", "k2", id_col, text_col)
     once = (lines.where(F.col("n") >= SHORT_TOKENS).join(wide, "leaf", "left_semi").groupBy("leaf", "a", "b", "n")
                  .agg(F.count("*").alias("w"), F.min(F.struct("k1", "k2", "pos")).alias("at")))
     once = materialise(once, "lines-once")
@@ -133,9 +142,17 @@ def _templates(docs: DataFrame, lines: DataFrame, counted: DataFrame, id_col: st
                    .agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
                    .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select("leaf"))
     wide = materialise(wide, "lines-leaves")
-    held = materialise(_tokens(docs, lines, wide, id_col, text_col), "lines-tokens")
-    voted = _voted(lines, held.where(F.col("n") >= MIN_TOKENS), min_docs)
-    return _led(lines, counted, held, materialise(voted, "lines-voted"), min_docs)
+    rest = _tokens(docs, lines, wide, id_col, text_col).join(counted.select("a", "b", "docs"), ["a", "b"])
+    rest, out = materialise(rest, "lines-tokens"), None
+    while True:
+        found = _voted(lines, rest.where(F.col("n") >= MIN_TOKENS), min_docs).union(_patterned(lines, rest, min_docs))
+        found = materialise(found.distinct(), "lines-found")
+        out = found if out is None else out.union(found)
+        if found.isEmpty():
+            return out
+        here = rest.join(small(found, BROADCAST_KEYS), ["a", "b"], "left_semi").select("leaf").distinct()
+        rest = rest.join(small(found, BROADCAST_KEYS), ["a", "b"], "left_anti").join(here, "leaf", "left_semi")
+        rest = materialise(rest, "lines-rest")
 
 
 def _voted(lines: DataFrame, held: DataFrame, min_docs: int) -> DataFrame:
@@ -154,48 +171,42 @@ def _voted(lines: DataFrame, held: DataFrame, min_docs: int) -> DataFrame:
     return like.join(often, "leaf").select("a", "b")
 
 
-def _led(lines: DataFrame, counted: DataFrame, held: DataFrame, voted: DataFrame, min_docs: int) -> DataFrame:
-    """``voted`` and the (a, b) of the lines in the group of a leading line,
-    where enough documents have one of the group.  Lines that are in such a
-    group, or ``voted``, lead no more."""
-    # d positions may differ: of d + 1 segments beyond the path one is equal
-    d = F.col("n") - _similar(F.col("n"))
-    start = lambda i: (DEPTH + F.floor(i * (F.col("n") - DEPTH) / (d + 1))).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), d), lambda i: F.xxhash64(
-        "leaf", i, F.slice("tokens", start(i) + 1, start(i + 1) - start(i))))
-    met = materialise(held.select("a", "b", F.explode(parts).alias("part")), "lines-parts")
-    crowd = met.groupBy("part").agg(F.count("*").alias("lines")).where("lines > 1")
-    met = materialise(met.join(crowd, "part"), "lines-met")
-    crowded = materialise(met.groupBy("a", "b").agg(F.max("lines").alias("lines")), "lines-crowded")
-    most = crowded.agg(F.max("lines")).collect()[0][0] or 0
-    # a line of enough documents makes its group one; of the others, all documents are known
-    docs = counted.join(crowded, ["a", "b"], "left_semi").select("a", "b", "docs")
-    docs = materialise(docs, "lines-docs")
-    of = (lines.join(docs.where(F.col("docs") < min_docs), ["a", "b"], "left_semi").groupBy("a", "b", "k1", "k2")
-               .agg(F.lit(1)).groupBy("a", "b").agg(F.collect_list(F.struct("k1", "k2")).alias("of")))
-    side = materialise(held.select("a", "b", "n", "tokens").join(docs, ["a", "b"]).join(of, ["a", "b"], "left"),
-                       "lines-sides")
-    leader = side.select(F.col("a").alias("la"), F.col("b").alias("lb"), F.col("tokens").alias("ltokens"),
-                         F.col("docs").alias("ldocs"), F.col("of").alias("lof"))
-    turn = F.pmod(F.xxhash64("a", "b", F.lit(7)), "lines")
-    out, last, lead = voted, 0, LEADERS
-    while most > last:
-        leads = crowded.where((turn >= last) & (turn < lead)).join(out, ["a", "b"], "left_anti").select("a", "b")
-        leads = met.join(leads, ["a", "b"], "left_semi").select("part", F.col("a").alias("la"), F.col("b").alias("lb"))
-        pairs = (leads.join(met.select("part", "a", "b"), "part").where("a <> la or b <> lb")
-                      .select("la", "lb", "a", "b").distinct())
-        agree = pairs.join(leader, ["la", "lb"]).join(side, ["a", "b"]).where(
-            (F.size("tokens") == F.size("ltokens")) & (_same("tokens", "ltokens") >= _similar(F.col("n"))))
-        agree = materialise(agree.select("la", "lb", "ldocs", "lof", "a", "b", "docs", "of"), "lines-agree")
-        each = agree.select("la", "lb", "docs", "of").union(agree.select("la", "lb", "ldocs", "lof"))
-        each = each.select("la", "lb", "docs", F.explode_outer("of").alias("doc"))
-        enough = (each.groupBy("la", "lb", "doc").agg(F.max("docs").alias("docs"))
-                      .groupBy("la", "lb").agg(F.max("docs").alias("docs"), F.count("doc").alias("n"))
-                      .where((F.col("docs") >= min_docs) | (F.col("n") >= min_docs)).select("la", "lb"))
-        group = agree.select("la", "lb", "a", "b").join(enough, ["la", "lb"])
-        out = materialise(out.union(group.select("a", "b")).union(group.select("la", "lb")).distinct(), "lines-out")
-        last, lead = lead, lead * GROWTH
-    return out
+def _patterned(lines: DataFrame, held: DataFrame, min_docs: int) -> DataFrame:
+    """The lines that are equal to others but for tokens of little support,
+    in enough documents together."""
+    each = held.select("leaf", "a", "b", "n", "docs", F.posexplode("tokens").alias("pos", "token"))
+    support = each.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("s"))
+    marked = (each.join(support, ["leaf", "pos", "token"]).groupBy("leaf", "a", "b", "n", "docs")
+                  .agg(F.array_sort(F.collect_list(F.struct("pos", "token", "s"))).alias("t")))
+    # supports that this line's tokens tell apart
+    top = F.array_max(F.transform("t", lambda x: x["s"]))
+    steps = F.floor(F.log(float(STEP), F.greatest(top / min_docs, F.lit(1.0))) + 1e-9).cast("int")
+    marked = marked.withColumn("least", F.explode(F.transform(
+        F.sequence(F.lit(0), steps), lambda i: F.lit(min_docs) * F.pow(F.lit(float(STEP)), i))))
+    fits = F.size(F.filter("t", lambda x: x["s"] >= F.col("least"))) >= _similar(F.col("n"))
+    pattern = F.transform("t", lambda x: F.when(x["s"] >= F.col("least"), x["token"]).otherwise(FIELD))
+    member = (marked.where(fits).select("leaf", "a", "b", "docs", pattern.alias("p"))
+                    .select("leaf", "a", "b", "docs", *_hashes("px", "py", "p")).distinct())
+    member = materialise(member, "lines-patterns")
+    likely = (member.groupBy("leaf", "px", "py").agg(F.count("*").alias("lines"), F.sum("docs").alias("docs"))
+                    .where((F.col("lines") > 1) & (F.col("docs") >= min_docs)).select("leaf", "px", "py"))
+    member = materialise(member.join(likely, ["leaf", "px", "py"], "left_semi"), "lines-members")
+    often = (lines.select("a", "b", "k1", "k2").join(member, ["a", "b"]).groupBy("leaf", "px", "py", "k1", "k2").agg(F.lit(1))
+                  .groupBy("leaf", "px", "py").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
+    return member.join(often.select("leaf", "px", "py"), ["leaf", "px", "py"], "left_semi").select("a", "b")
+
+
+def _with_positions(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` with the positions that they lose.  While these are few, or
+    the rows that lose some are, the other texts are not moved."""
+    size = gone.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("_gone")), F.lit(0)).alias("m")).first()
+    if size["m"] <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(gone), ["k1", "k2"], "left")
+    if size["n"] > BROADCAST_KEYS:
+        return rows.join(gone, ["k1", "k2"], "left")
+    keys = F.broadcast(gone.select("k1", "k2"))
+    here = rows.join(keys, ["k1", "k2"], "left_semi").join(gone, ["k1", "k2"])
+    return here.unionByName(rows.join(keys, ["k1", "k2"], "left_anti"), allowMissingColumns=True)
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -209,13 +220,13 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     drop = (counted.where(F.col("docs") >= least).select("a", "b")
                    .union(_templates(docs, lines, counted, id_col, text_col, min_docs)).distinct())
     drop = materialise(drop, "lines-drop")
-    gone = (lines.join(drop, ["a", "b"], "left_semi").groupBy("k1", "k2")
+    gone = (lines.join(small(drop, BROADCAST_KEYS), ["a", "b"], "left_semi").groupBy("k1", "k2")
                  .agg(F.sort_array(F.collect_set("pos")).alias("_gone")))
+    gone = materialise(gone, "lines-gone")
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
-                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
-                       F.xxhash64(F.col(id_col), F.col(text_col), F.lit(1)).alias("k2"))
-    rows = rows.join(gone, ["k1", "k2"], "left")
+                       *_hashes("k1", "k2", id_col, text_col))
+    rows = _with_positions(rows, gone)
     text = F.col(f"_row.`{text_col}`")
     split = F.split(text, "\n")
     # the dropped positions cut the lines into runs that are kept

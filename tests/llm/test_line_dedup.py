@@ -153,7 +153,7 @@ def test_patterns_against_brute_force(spark):
     shapes = ["x y z one two three {} four five {}", "x y z {} {} seven eight nine ten up", "x y z {} {} {} {} {} {} {}"]
     rows = [(i // 2, rnd.choice(shapes).format(*(word(rnd.choice([2, 9])) for _ in range(7)))) for i in range(300)]
     df = spark.createDataFrame([(d, "\n".join(x for dd, x in rows if dd == d)) for d in range(150)], "doc_id long, text string")
-    lines = L._lines(df, "doc_id", "text").drop("tokens")
+    lines = L._lines(df, "doc_id", "text")
     counted = lines.groupBy("leaf", "a", "b", "n", "long", "k1", "k2").agg(F.lit(1)).groupBy("leaf", "a", "b", "n", "long").agg(
         F.count("*").alias("docs"))
     wide = counted.select("leaf").distinct()
@@ -183,3 +183,17 @@ def test_hashes_do_not_follow_from_each_other(spark):
     df = spark.range(200_000).select(*L._hashes("a", "b", "id"))
     masks = df.select((F.col("a") % 1024).alias("a"), (F.col("b") % 1024).alias("b")).distinct()
     assert masks.count() > 150_000
+
+
+def test_simpler_patterns_say_the_same(spark):
+    """Lines without unspaced scripts, masked and counted by both patterns."""
+    rnd = random.Random(11)
+    lines = ["".join(rnd.choice("abZé09 \t-.,ßж()") for _ in range(rnd.randrange(30))) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    plain = [tuple(r) for r in df.select(L._masked(F.col("line")), L._literal(L._masked(F.col("line")))).collect()]
+    spaced = L._spaced
+    try:
+        L._spaced = lambda line: F.lit(False)
+        assert plain == [tuple(r) for r in df.select(L._masked(F.col("line")), L._literal(L._masked(F.col("line")))).collect()]
+    finally:
+        L._spaced = spaced

@@ -57,18 +57,27 @@ def _even(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
 
 
+def _spaced(line: Column) -> Column:
+    """Whether a line has no character from the Thai block on, so none of
+    ``UNSPACED``: simpler patterns say the same of it."""
+    return ~line.rlike(r"[\u0E00-\uFFFF\x{10000}-\x{10FFFF}]")
+
+
 def _masked(line: Column) -> Column:
     """The line with variable fields replaced and white space evened out.
-    The pattern starts where a token or run does and never goes back."""
+    The patterns start where a token or run does and never go back."""
     field = rf"(?<![^\s{UNSPACED}])[^\s0-9{UNSPACED}]*+[0-9][^\s{UNSPACED}]*+"
-    return _even(F.when(line.rlike("[0-9]"), F.regexp_replace(line, field, FIELD)).otherwise(line))
+    fields = (F.when(_spaced(line), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", FIELD))
+               .otherwise(F.regexp_replace(line, field, FIELD)))
+    return _even(F.when(line.rlike("[0-9]"), fields).otherwise(line))
 
 
 def _literal(masked: Column) -> Column:
     """Whether a line has too few words beside its fields: number tables,
     lone years and ids.  Two characters of an unspaced script are a word."""
     fields = F.regexp_count(masked, F.lit(r"<\*>"))
-    words = F.regexp_count(masked, F.lit(rf"[{UNSPACED}]{{1,2}}|\p{{L}}[^\s{UNSPACED}]*+"))
+    words = (F.when(_spaced(masked), F.regexp_count(masked, F.lit(r"\p{L}\S*+")))
+              .otherwise(F.regexp_count(masked, F.lit(rf"[{UNSPACED}]{{1,2}}|\p{{L}}[^\s{UNSPACED}]*+"))))
     return masked.contains(FIELD) & (words < WORDS * (words + fields))
 
 
@@ -76,10 +85,10 @@ def _count(items: Column) -> Column:
     return F.when(items.isNull(), 0).otherwise(F.size(items)).cast("long")
 
 
-def _long(line: Column, tokens: Column) -> Column:
+def _long(line: Column, size: Column) -> Column:
     """Two characters of an unspaced script are a word; each has two bytes
     more than an ASCII character at least, so most lines need no counting."""
-    missing = LONG - F.size(tokens)
+    missing = LONG - size
     return (missing <= 0) | ((F.octet_length(line) - F.length(line) >= 4 * missing)
                              & (F.regexp_count(line, F.lit(rf"[{UNSPACED}]{{2}}")) >= missing))
 
@@ -93,16 +102,19 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each line that is not blank: the document's key (two
     hashes of id and text), the position, the masked line, its leaf."""
     key = _hashes("k1", "k2", id_col, text_col)
-    each = docs.select(*key, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+    # the text is hashed once, before its lines are taken apart
+    each = docs.select(*key, F.split(F.col(text_col), "\n").alias("parts")).select(
+        "k1", "k2", F.posexplode("parts").alias("pos", "line"))
     masked = each.where(F.col("line").rlike(r"\S")).withColumn("masked", _masked(F.col("line")))
     known = masked.withColumn("literal", _literal(F.col("masked")))
     known = known.withColumn("line", F.when(F.col("literal"), _even(F.col("line"))).otherwise(F.col("masked")))
-    tokens = known.select("k1", "k2", "pos", "line", "literal", F.split("line", " ").alias("tokens"))
-    return tokens.select("k1", "k2", "pos", *_hashes("a", "b", "line"),
-                         # a line compared as it is takes no part in templates
-                         F.when(F.col("literal"), 0).otherwise(F.size("tokens")).alias("n"),
-                         _long(F.col("line"), F.col("tokens")).alias("long"),
-                         F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens")
+    size = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    known = known.select("k1", "k2", "pos", "line", "literal", size.alias("size"))
+    return known.select("k1", "k2", "pos", *_hashes("a", "b", "line"),
+                        # a line compared as it is takes no part in templates
+                        F.when(F.col("literal"), 0).otherwise(F.col("size")).alias("n"),
+                        _long(F.col("line"), F.col("size")).alias("long"),
+                        F.xxhash64("size", F.substring_index("line", " ", DEPTH)).alias("leaf"))
 
 
 def _tokens(docs: DataFrame, lines: DataFrame, wide: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -213,7 +225,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    min_docs: int = MIN_DOCS, long_docs: int | None = None) -> DataFrame:
     """``docs`` with the text without recurring lines, all other columns
     unchanged, and ``_lines``, ``_dropped`` (numbers of lines) behind them."""
-    lines = materialise(_lines(docs, id_col, text_col).drop("tokens"), "lines-rows")
+    lines = materialise(_lines(docs, id_col, text_col), "lines-rows")
     counted = materialise(lines.groupBy("leaf", "a", "b", "n", "long", "k1", "k2").agg(F.lit(1))
                                .groupBy("leaf", "a", "b", "n", "long").agg(F.count("*").alias("docs")), "lines-counted")
     least = F.when(F.col("long"), min(min_docs, long_docs or min_docs)).otherwise(min_docs)

@@ -83,8 +83,9 @@ def fold(parts: list[np.ndarray]) -> np.ndarray:
         return (out ^ (out >> _U(32))) * _U(0x94D049BB133111EB)
 
 
-def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> _U(64 - bits)).astype(np.int64)
+def bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash; ``buckets`` is a power of 2."""
+    return (hashes >> _U(65 - buckets.bit_length())).astype(np.int64)
 
 
 @dataclass
@@ -124,7 +125,7 @@ class Parts:
         for length, first, words, flags in self.tests:
             if length == n:
                 begin = at - n + 1 + first
-                out |= flags[bucket(fold([hashed[begin + k] for k in range(words)]), FLAG_BITS)]
+                out |= flags[bucket(fold([hashed[begin + k] for k in range(words)]), len(flags))]
         return out
 
 
@@ -175,7 +176,7 @@ def _count_phrases(counts, admit):
             for lang, texts in _by_language(batch):
                 for words in slices(texts, TO, max(lengths) - 1, SLICE):
                     hashes = word_hashes(words.vocabulary.to_pylist(), lang)
-                    low, high = (side[bucket(fold([hashes]), COUNT_BITS)] for side in (known.low, known.high))
+                    low, high = (side[bucket(fold([hashes]), len(side))] for side in (known.low, known.high))
                     often = (high > 0)[words.ids]
                     low, high, hashed = low[words.ids], high[words.ids], hashes[words.ids]
                     for n in lengths:
@@ -193,7 +194,7 @@ def _count_phrases(counts, admit):
 
 # --- tables of a fixed size -------------------------------------------------------
 
-def _buckets(rows: DataFrame, bits: int) -> DataFrame:
+def _buckets(rows: DataFrame, buckets: int) -> DataFrame:
     """(bucket, a) of each phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,14 +207,14 @@ def _buckets(rows: DataFrame, bits: int) -> DataFrame:
                 for n in {len(phrases[i]) for i in mine}:
                     some = np.array([i for i in mine if len(phrases[i]) == n])
                     parts = [word_hashes([phrases[i][j] for i in some], lang) for j in range(n)]
-                    out[some] = bucket(fold(parts), bits)
+                    out[some] = bucket(fold(parts), buckets)
             yield pa.RecordBatch.from_arrays([pa.array(out), batch.column("a")], names=["bucket", "a"])
 
     return rows.select("lang", F.col("phrase").cast("binary").alias("phrase"), "a").mapInArrow(run, "bucket int, a long")
 
 
 def _counts(words: DataFrame) -> Counts:
-    got = (_buckets(words, COUNT_BITS).groupBy("bucket").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    got = (_buckets(words, 1 << COUNT_BITS).groupBy("bucket").agg(F.min("a").alias("low"), F.max("a").alias("high"))
            .toArrow())
     out = Counts(np.zeros(1 << COUNT_BITS, np.int64), np.zeros(1 << COUNT_BITS, np.int64))
     at = got.column("bucket").to_numpy()
@@ -223,7 +224,7 @@ def _counts(words: DataFrame) -> Counts:
 
 def _flags(rows: DataFrame) -> np.ndarray:
     out = np.zeros(1 << FLAG_BITS, bool)
-    out[_buckets(rows, FLAG_BITS).select("bucket").distinct().toArrow().column("bucket").to_numpy()] = True
+    out[_buckets(rows, 1 << FLAG_BITS).select("bucket").distinct().toArrow().column("bucket").to_numpy()] = True
     return out
 
 
@@ -278,7 +279,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                  bands: tuple[int, ...] = BANDS) -> DataFrame:
     """The best ``top`` phrases of each language: ``lang``, ``rank``,
     ``phrase``, ``a``, ``l``, ``r``, ``n`` (words of the language), ``score``.
-    Ties in the score go to greater ``a``, then by the phrase's bytes."""
+    Ties in the score go to greater ``a``, then by the phrase's bytes.
+    ``bands`` fall to 0, and ``longest`` is 3 at least."""
+    if longest < 3 or bands[-1] != 0:
+        raise ValueError("longest is 3 at least, and the last band's edge 0")
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(lang_col, F.lit("und")).alias("lang"), whole_text(text_col).cast("binary").alias("text"))
     broadcast = spark.sparkContext.broadcast
@@ -289,10 +293,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     words = totals.where("phrase is not null")
     word_counts = broadcast(_counts(words))
     held = {n: None for n in range(2, longest + 1)}   # counted phrases by length
-    open_langs, settled = all_words.select("lang"), []
+    open_langs, settled = small(all_words.select("lang")), []
 
     def count(admit) -> DataFrame:
-        some = texts.join(small(open_langs), "lang", "left_semi")
+        some = texts.join(open_langs, "lang", "left_semi")
         rows = some.mapInArrow(_count_phrases(word_counts, broadcast(admit)), _ROWS)
         return (rows.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least))
 
@@ -305,7 +309,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
         return reduce(DataFrame.unionByName, [held[n] for n in range(2, most + 1)], words)
 
     def ours(rows: DataFrame) -> DataFrame:
-        return rows.join(small(open_langs), "lang", "left_semi")
+        return rows.join(open_langs, "lang", "left_semi")
 
     above = None
     for edge in bands:
@@ -328,8 +332,9 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                                 .join(wanted.drop("a"), ["lang", "phrase"], "left_semi"), "phrase-found")
             for n in range(2, longest):
                 add(found.where(F.size(F.split("phrase", " ")) == n), n)
-        candidates = ours(reduce(DataFrame.unionByName, [held[n] for n in range(2, longest + 1)]))
-        best = _scored(candidates, counted(longest))[0].where(F.col("score") >= edge)
+            candidates = ours(reduce(DataFrame.unionByName, [held[n] for n in range(2, longest + 1)]))
+            best = _scored(candidates, counted(longest))[0]
+        best = best.where(F.col("score") >= edge)
         around = reduce(DataFrame.unionByName, [_contained(ours(held[n])) for n in range(3, longest + 1)])
         around = around.groupBy("lang", "phrase").agg(F.max("around").alias("around"))
         gone = F.coalesce(contained[0] * _whole(F.col("around")) >= contained[1] * _whole(F.col("a")), F.lit(False))
@@ -338,9 +343,11 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                                .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top), "phrases-kept")
         done = kept.where(F.col("rank") == top).select("lang") if edge > 0 else open_langs
         settled.append(kept.join(done, "lang", "left_semi"))
-        open_langs = materialise(open_langs.join(done, "lang", "left_anti"), "phrase-languages")
         above = edge
-        if open_langs.isEmpty():
-            break
+        if edge > 0:
+            open_langs = materialise(open_langs.join(done, "lang", "left_anti"), "phrase-languages")
+            if open_langs.isEmpty():
+                break
+            open_langs = small(open_langs)
     return (reduce(DataFrame.unionByName, settled).join(all_words, "lang")
             .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))

@@ -45,6 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -59,6 +60,7 @@ BLOCK = 256          # sets of a group that one tree holds at most
 ROUNDS = 2
 LOCAL = 2            # documents of a batch that make an n-gram worth reporting
 OFTEN = 4            # reported documents that make it common
+TEXT_BYTES = 4 << 20  # text whose sets are described at once, about
 COMMON = 1_000_000   # common n-grams that are put in order
 
 _U = np.uint64
@@ -257,8 +259,11 @@ def common_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
     """The most common n-grams, the rarest of them first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_buffer().to_pybytes(), n) for t in batch.column("text")]
-            gram, count = np.unique(np.concatenate([*sets, np.empty(0, _U)]), return_counts=True)
+            gram = np.concatenate([*(shingles(t.as_buffer().to_pybytes(), n) for t in batch.column("text")), np.empty(0, _U)])
+            gram.sort()  # in place: one array of the batch's n-grams at a time
+            first = np.flatnonzero(np.concatenate([[len(gram) > 0], gram[1:] != gram[:-1]])[: len(gram)])
+            count = np.diff(np.append(first, len(gram)))
+            gram = gram[first]
             often = count >= LOCAL
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram[often].view(np.int64)), pa.array(count[often].astype(np.int64))], names=["gram", "n"])
@@ -269,6 +274,18 @@ def common_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
     return top.column("gram").to_numpy()[::-1].view(_U).copy()
 
 
+def _by_bytes(batches: Iterator[pa.RecordBatch], limit: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``limit`` bytes of ``text`` (a longer
+    text is a slice of its own)."""
+    for batch in batches:
+        size = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size) // limit
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, order) -> DataFrame:
     """(id, n, key, bits, grams) of every row; ``key`` is a 128-bit hash of
     the set, ``bits`` its bitmap, ``grams`` what it emits."""
@@ -276,7 +293,7 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         put = order.value.put
-        for batch in batches:
+        for batch in _by_bytes(batches):
             size, key, bits, grams = [], [], [], []
             for text in batch.column("text"):
                 s = put(shingles(text.as_buffer().to_pybytes(), n))

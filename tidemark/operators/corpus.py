@@ -3,8 +3,8 @@ and question/answer pair generation.
 
 Each step is a DataFrame transformation built from native expressions;
 pair generation builds an array of structs per row and explodes it (the
-table-function equivalent), so the work is one pass plus the shuffle of
-the final de-duplication.
+table-function equivalent).  Rows are dealt out before anything is
+de-duplicated, so that no task holds all distinct rows of what it read.
 """
 
 from __future__ import annotations
@@ -53,12 +53,25 @@ def _pair(cond, instruction, output):
     return F.when(cond, s) if cond is not None else s
 
 
+def _dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``df``, dealt out by their values and the task that read
+    them.  A following ``distinct`` holds the rows of one share instead of
+    those of a whole input split; rows that are frequent are in several
+    shares and shrink there before they meet."""
+    rows = df.select(*columns, F.spark_partition_id().alias("_task"))
+    return rows.repartition(*columns, "_task").select(*columns)
+
+
 def qa_pairs_rule(df: DataFrame, address: str = "cleaned_address",
                   province: str = "province", city: str = "city",
                   district: str = "district", street: str = "street") -> DataFrame:
     """Up to four pairs per address from its known components, de-duplicated
-    over (instruction, output, original_address, components)."""
+    over (instruction, output, original_address, components).  All pairs
+    follow from address and components, which are part of the result, so
+    these are de-duplicated before the pairs are made; within one row, pairs
+    can only be equal when the address is NULL."""
     a = F.col(address)
+    key = (address, province, city, district, street)
     standard = T.strip_ws(F.concat(T.or_empty(province), T.or_empty(city),
                                    T.or_empty(district), T.or_empty(street)))
     pairs = F.array(
@@ -71,13 +84,13 @@ def qa_pairs_rule(df: DataFrame, address: str = "cleaned_address",
         _pair(standard != "", F.concat(F.lit(fixed.Q_STANDARD), a),
               F.concat(F.lit(fixed.A_STANDARD), standard)),
     )
-    return (df.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("pair"),
-                      F.col(address).alias("original_address"),
-                      province, city, district, street)
-              .select(F.col("pair.instruction").alias("instruction"),
-                      F.col("pair.output").alias("output"),
-                      "original_address", province, city, district, street)
-              .distinct())
+    pairs = F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
+    return (_dealt(df, *key).distinct()
+            .select(F.explode(pairs).alias("pair"), a.alias("original_address"),
+                    province, city, district, street)
+            .select(F.col("pair.instruction").alias("instruction"),
+                    F.col("pair.output").alias("output"),
+                    "original_address", province, city, district, street))
 
 
 def address_components(df: DataFrame, col: str = "cleaned_address") -> DataFrame:

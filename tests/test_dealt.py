@@ -1,6 +1,10 @@
 """What is de-duplicated is dealt out first: no task holds all distinct rows
 of the split that it read."""
 
+import random
+
+from pyspark.sql import functions as F
+
 from tidemark.functions import fixed
 from tidemark.operators import corpus
 
@@ -43,3 +47,25 @@ def test_rule_pairs_dealt(spark):
     want = rule_pairs([tuple(r) for r in df.collect()])
     assert len(got) == len(want) and set(got) == want
     assert sum(r[0] is None for r in got) == 3  # province and city give the same pair
+
+
+def test_regex_pairs_dealt(spark):
+    """Equal pairs of addresses with other components are one row."""
+    rnd = random.Random(8)
+    parts = ["省", "市", "区", "县", "街", "路", "a", " ", "无法确定", "北京"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 5))) for _ in range(600)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "cleaned_address string")
+    pairs = corpus.qa_pairs_regex(df)
+    assert dealt_first(pairs)
+    want, made = set(), 0
+    for r in corpus.address_components(df).where(F.col("cleaned_address").isNotNull()).collect():
+        p, c = r.c_province, r.c_city
+        whole = p + c + r.c_district + r.c_street + r.c_detail
+        for q, answer in ((fixed.Q_PROVINCE, fixed.A_PREFIX + p if p else fixed.A_NO_PROVINCE),
+                          (fixed.Q_CITY, fixed.A_PREFIX + c if c else fixed.A_NO_CITY),
+                          (fixed.Q_STANDARD, (fixed.A_STANDARD + whole).strip())):
+            if fixed.NOT_SURE not in answer:
+                made += 1
+                want.add((q + whole.strip(), "", answer, whole.strip()))
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(want) < made and set(got) == want

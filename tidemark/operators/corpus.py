@@ -115,28 +115,28 @@ def qa_pairs_regex(df: DataFrame, col: str = "cleaned_address") -> DataFrame:
     answer is 'cannot determine' are dropped; de-duplicated on
     (instruction, output).  ``original_address`` is a function of the
     instruction (the instruction is the question text followed by it), so
-    de-duplicating whole rows keeps exactly one row per (instruction,
-    output) - as a hash aggregate over the keys, with no sort."""
+    one row per (instruction, output) is one per question, address and
+    output: these are de-duplicated, and the instruction is written out
+    afterwards."""
     comp = address_components(df, col)
     parts = [F.col(c) for c in ("c_province", "c_city", "c_district", "c_street", "c_detail")]
-    base = T.strip_ws(F.concat(*parts))
-    pairs = F.array(
-        _pair(None, F.concat(F.lit(fixed.Q_PROVINCE), base),
-              F.when(F.col("c_province") != "", F.concat(F.lit(fixed.A_PREFIX), "c_province"))
-               .otherwise(F.lit(fixed.A_NO_PROVINCE))),
-        _pair(None, F.concat(F.lit(fixed.Q_CITY), base),
-              F.when(F.col("c_city") != "", F.concat(F.lit(fixed.A_PREFIX), "c_city"))
-               .otherwise(F.lit(fixed.A_NO_CITY))),
-        _pair(None, F.concat(F.lit(fixed.Q_STANDARD), base),
-              T.strip_ws(F.concat(F.lit(fixed.A_STANDARD), *parts))),
-    )
-    return (comp.select(F.explode(pairs).alias("pair"), base.alias("original_address"))
-                .select(F.col("pair.instruction").alias("instruction"),
-                        F.lit("").alias("input"),
-                        F.col("pair.output").alias("output"),
-                        "original_address")
-                .where(~F.contains(F.col("output"), F.lit(fixed.NOT_SURE)))
-                .distinct())
+    found = comp.select(T.strip_ws(F.concat(*parts)).alias("original_address"), "c_province", "c_city",
+                        T.strip_ws(F.concat(F.lit(fixed.A_STANDARD), *parts)).alias("_standard"))
+    questions = [fixed.Q_PROVINCE, fixed.Q_CITY, fixed.Q_STANDARD]
+    outputs = [
+        F.when(F.col("c_province") != "", F.concat(F.lit(fixed.A_PREFIX), "c_province"))
+         .otherwise(F.lit(fixed.A_NO_PROVINCE)),
+        F.when(F.col("c_city") != "", F.concat(F.lit(fixed.A_PREFIX), "c_city"))
+         .otherwise(F.lit(fixed.A_NO_CITY)),
+        F.col("_standard"),
+    ]
+    pairs = (_dealt(found, *found.columns)
+             .select(F.posexplode(F.array(*outputs)).alias("_question", "output"), "original_address")
+             .where(~F.contains(F.col("output"), F.lit(fixed.NOT_SURE)))
+             .distinct())
+    question = F.element_at(F.array(*[F.lit(q) for q in questions]), F.col("_question") + 1)
+    return pairs.select(F.concat(question, "original_address").alias("instruction"),
+                        F.lit("").alias("input"), "output", "original_address")
 
 
 def training_records(pairs: DataFrame) -> DataFrame:

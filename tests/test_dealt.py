@@ -1,12 +1,12 @@
 """What is de-duplicated is dealt out first: no task holds all distinct rows
-of the split that it read."""
+of the split that it read, or a share that grows with the table."""
 
 import random
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
-from tidemark.operators import corpus
+from tidemark.operators import analytics, corpus
 
 ADDRESS = "cleaned_address string, province string, city string, district string, street string"
 
@@ -69,3 +69,41 @@ def test_regex_pairs_dealt(spark):
                 want.add((q + whole.strip(), "", answer, whole.strip()))
     got = [tuple(r) for r in pairs.collect()]
     assert len(got) == len(want) < made and set(got) == want
+
+
+def basket(lines):
+    """Baskets by hand; a NULL order is an order, a NULL product is in it."""
+    qty, orders = {}, {}
+    for o, p, q in lines:
+        qty[p] = qty.get(p, 0) + q
+        orders.setdefault(o, set()).add(p)
+    top = min(qty, key=lambda p: (-qty[p], p))
+    with_top = [o for o, ps in orders.items() if top in ps]
+    out = {}
+    for p in qty:
+        n, co = sum(p in ps for ps in orders.values()), sum(p in orders[o] for o in with_top)
+        if p not in (top, None) and co:
+            conf = co / len(with_top)
+            out[p] = (co, round(co / len(orders), 6), round(conf, 6), round(conf / (n / len(orders)), 6))
+    return out
+
+
+def test_basket_shares_by_lines(spark, monkeypatch):
+    """Shares follow the number of lines; equal lines, lines of one order and
+    product, NULL orders and NULL products give the rows counted by hand."""
+    rnd = random.Random(4)
+    lines = [(rnd.randint(1, 150) if rnd.random() < 0.97 else None, rnd.randint(1, 25), float(rnd.randint(1, 9)))
+             for _ in range(400)]
+    lines += rnd.sample(lines, 90) + [(o, None, 0.0) for o in (1, 2, 2, None)] + [(7, 3, 900.0)]
+    df = spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double")
+    monkeypatch.setattr(analytics, "TASK_ROWS", 20, raising=False)
+    got = analytics.basket_affinity(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-len(lines) // 20)}), REPARTITION_BY_NUM" in plan
+    rows = [tuple(r) for r in got.collect()]
+    assert {r[0]: r[1:] for r in rows} == basket(lines) and len({r[0] for r in rows}) == len(rows)
+
+
+def test_basket_of_no_lines(spark):
+    df = spark.createDataFrame([], "l_orderkey long, l_partkey long, l_quantity double")
+    assert analytics.basket_affinity(df).collect() == []

@@ -17,6 +17,7 @@ def top_product(lineitem: DataFrame, part: str = "l_partkey", qty: str = "l_quan
     return totals.orderBy(F.col("_q").desc(), F.col(part).asc()).limit(1).select(part)
 
 
+TASK_ROWS = 500_000    # order lines that a task sorts
 DAYS = 100_000    # a day table has a row a day
 
 
@@ -29,15 +30,22 @@ def basket_affinity(lineitem: DataFrame, order: str = "l_orderkey", part: str =
     the work is linear in the data.  For each other product:
     ``co_orders``, ``support = co/all orders``, ``confidence = co/orders
     with top`` and ``lift = confidence / (orders with product / all)``.
+
+    The lines are dealt by order into shares of about ``TASK_ROWS``, counted
+    beforehand, so that a task's memory does not grow with the table.
     """
     top = top_product(lineitem, part, qty).scalar()
-    # one layout by order serves the distinct pairs, the flag whether the
-    # order holds the top seller, and the count of orders
-    op = lineitem.select(order, part).repartition(order).distinct()
-    in_order = Window.partitionBy(order)
-    op = op.withColumn("_is_top", F.col(part) == top)
-    flagged = op.select(part, "_is_top", F.max("_is_top").over(in_order).alias("_with_top"),
-                        (F.row_number().over(in_order.orderBy(part)) == 1).alias("_first"))
+    lines = lineitem.select(order, part)
+    shares = -(-lines.count() // TASK_ROWS) or 1
+    # one layout and one sort by order and product serve the distinct pairs,
+    # the flag whether the order holds the top seller, and the count of orders
+    in_order = Window.partitionBy(order).orderBy(part)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    op = lines.repartition(shares, order).withColumn("_is_top", F.col(part) == top)
+    flagged = (op.select(part, "_is_top", F.max("_is_top").over(whole).alias("_with_top"),
+                         (F.row_number().over(in_order) == 1).alias("_first"),
+                         F.lag(part).over(in_order).alias("_before"))
+                 .where(F.col("_first") | ~F.col(part).eqNullSafe(F.col("_before"))))
     per_part = flagged.groupBy(part).agg(
         F.count(F.lit(1)).alias("part_orders"), F.count_if("_with_top").alias("co_orders"),
         F.bool_or("_is_top").alias("_is_top"), F.count_if("_first").alias("_orders"),

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed
-from tidemark.operators import analytics, corpus
+from tidemark.operators import analytics, corpus, encode
 
 ADDRESS = "cleaned_address string, province string, city string, district string, street string"
 
@@ -49,6 +49,13 @@ def test_rule_pairs_dealt(spark):
     assert sum(r[0] is None for r in got) == 3  # province and city give the same pair
 
 
+def test_encoded_pairs_dealt(spark):
+    df = addresses(spark)
+    e = encode.encode_pairs(corpus.qa_pairs_rule(df), fixed.MAX_LENGTH, keep=("instruction", "output"))
+    assert dealt_first(e)
+    want = sorted((r[0] or "", r[1]) for r in rule_pairs([tuple(r) for r in df.collect()]))
+    assert sorted((r.instruction or "", r.output) for r in e.collect()) == want
+
 def test_regex_pairs_dealt(spark):
     """Equal pairs of addresses with other components are one row."""
     rnd = random.Random(8)

@@ -56,6 +56,16 @@ def test_encoded_pairs_dealt(spark):
     want = sorted((r[0] or "", r[1]) for r in rule_pairs([tuple(r) for r in df.collect()]))
     assert sorted((r.instruction or "", r.output) for r in e.collect()) == want
 
+
+def test_decoded_pairs_dealt(spark):
+    df = addresses(spark)
+    e = encode.encode_pairs(corpus.qa_pairs_rule(df.where("cleaned_address IS NOT NULL")), 8, keep=("output",))
+    d = encode.decode_ids(e)
+    assert dealt_first(d)
+    got = d.select("output", "decoded").collect()
+    assert len(got) == len(rule_pairs([tuple(r) for r in df.collect() if r.cleaned_address is not None]))
+    assert all(len(r.decoded.split()) == 8 for r in got)
+
 def test_regex_pairs_dealt(spark):
     """Equal pairs of addresses with other components are one row."""
     rnd = random.Random(8)
